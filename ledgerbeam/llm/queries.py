@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_rules
+from . import line_crf, quality_rules
 from .common import table
 
 
@@ -16,8 +16,15 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = line_crf.train(docs, table(spark, sf_dir, "labels"))
+    return line_crf.score(docs, model).select("doc_id", line_crf.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 QUERIES = {
     "op3_quality_rules": op3_quality_rules,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 ORACLES: dict[str, str] = {}
