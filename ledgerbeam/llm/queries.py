@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_crf, quality_rules
+from . import line_crf, quality_rules, simhash
 from .common import table
 
 
@@ -16,6 +16,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return simhash.near_duplicates(docs).select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = line_crf.train(docs, table(spark, sf_dir, "labels"))
@@ -24,6 +29,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_quality_rules": op3_quality_rules,
+    "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
