@@ -113,7 +113,11 @@ def measure(df: DataFrame, text: str = "text") -> DataFrame:
         "symbols_per_word": ratio(symbols, n),
     }
     kept = [x for x in df.columns if x.lower() not in values]
-    return out.select(*(F.col(f"`{x}`") for x in kept), *(v.alias(k) for k, v in values.items()))
+    # The one-row generator keeps the optimiser from copying these expressions into filters on them, where they would be
+    # computed once for each use.
+    m = free_name(df, "_measures")
+    out = out.select(*(F.col(f"`{x}`") for x in kept), F.explode(F.array(F.struct(*(v.alias(k) for k, v in values.items())))).alias(m))
+    return out.select(*(F.col(f"`{x}`") for x in kept), *(F.col(f"{m}.{k}").alias(k) for k in values))
 
 
 def compile_rules(rules=RULES) -> Column:

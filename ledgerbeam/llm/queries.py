@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_crf, quality_rules, simhash
+from . import line_crf, mixing, packing, quality_rules, simhash
 from .common import table
 
 
@@ -21,6 +21,21 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(docs).select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.plan(table(spark, sf_dir, "documents"))
+
+
+def default_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = packing.pack(table(spark, sf_dir, "documents"), default_tokenizer())
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = line_crf.train(docs, table(spark, sf_dir, "labels"))
@@ -30,7 +45,11 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op5_mixing": op5_mixing,
+    "op8_packing": op8_packing,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
+WORDS = r"[^\x20\x09-\x0D]+"
+
 ORACLES: dict[str, str] = {}
