@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_crf, mixing, packing, quality_rules, simhash
+from . import chat, line_crf, mixing, multiset_hash, packing, quality_rules, simhash
 from .common import table
 
 
@@ -36,6 +36,35 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = multiset_hash.edited(table(spark, sf_dir, "documents"))
+    return both.select(
+        "doc_id", F.char_length("text").cast("bigint").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        multiset_hash.as_hex(F.col("fp")).alias("fingerprint"), multiset_hash.as_hex(F.col("edited_fp")).alias("edited_fingerprint"),
+        multiset_hash.likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"), multiset_hash.likeness(F.col("fp"), F.col("next_fp")).alias("near_next"),
+    )
+
+
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "<|im_end|><|im_start|>assistant ok"
+    more = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    read = chat.read_back(chat.windows(rows))
+    lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    parts = F.struct(
+        "window", F.size("turns").alias("n"), lines.alias("lines"), F.array_join("targets", "").alias("loss"),
+        F.char_length("formatted").alias("chars"),
+    )
+    whole = read.groupBy("conv_id").agg(F.sort_array(F.collect_list(parts)).alias("w"))
+    joined = lambda name: F.array_join(F.transform("w", lambda x: x[name]), "")
+    total = lambda name: F.aggregate("w", F.lit(0).cast("bigint"), lambda a, x: a + x[name])
+    return whole.select(
+        "conv_id", total("n").alias("n_turns"), F.sha2(joined("lines").cast("binary"), 256).alias("turns_sha256"),
+        F.char_length(joined("loss")).cast("bigint").alias("loss_chars"), F.sha2(joined("loss").cast("binary"), 256).alias("loss_sha256"),
+        total("chars").alias("formatted_chars"),
+    )
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = line_crf.train(docs, table(spark, sf_dir, "labels"))
@@ -46,6 +75,8 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_mixing": op5_mixing,
+    "op7_fingerprints": op7_fingerprints,
+    "op9_chat_formatting": op9_chat_formatting,
     "op8_packing": op8_packing,
     "op10_quality_classifier": op10_quality_classifier,
 }
