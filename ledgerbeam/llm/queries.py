@@ -2,11 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, line_crf, mixing, multiset_hash, packing, quality_rules, simhash
-from .common import table
+from . import chat, line_crf, mixing, multiset_hash, packing, quality_rules, simhash, warc_zip
+from .common import shared_dir, table
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    manifest = warc_zip.write(table(spark, sf_dir, "pages"), folder)
+    return warc_zip.read(manifest, folder, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "offset", "length"
+    )
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,6 +82,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_warc": op2_warc,
     "op3_quality_rules": op3_quality_rules,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_mixing": op5_mixing,
