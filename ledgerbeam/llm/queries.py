@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, line_crf, mixing, multiset_hash, packing, quality_rules, simhash, warc_zip
+from . import chat, line_crf, mixing, multiset_hash, packing, quality_rules, simhash, style_tree, warc_zip
 from .common import shared_dir, table
 
 
@@ -46,6 +46,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return style_tree.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = multiset_hash.edited(table(spark, sf_dir, "documents"))
     return both.select(
@@ -86,6 +90,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_mixing": op5_mixing,
+    "op6_html_extraction": op6_html_extraction,
     "op7_fingerprints": op7_fingerprints,
     "op9_chat_formatting": op9_chat_formatting,
     "op8_packing": op8_packing,
