@@ -7,10 +7,21 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, line_crf, mixing, multiset_hash, packing, quality_rules, simhash, style_tree, warc_zip
+from . import chat, language_id, line_crf, mixing, multiset_hash, packing, quality_rules, simhash, style_tree, warc_zip
 from .common import shared_dir, table
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents (with doc_id; their source stands for a host) and pages (with page_id)."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("bigint"), "text", "lang", "source")
+    none = F.lit(None).cast("string")
+    rows = docs.select(
+        "doc_id", F.lit(None).cast("bigint").alias("page_id"), "text", none.alias("declared"), F.col("source").alias("host"), none.alias("suffix"), none.alias("path_lang")
+    ).unionByName(language_id.of_pages(table(spark, sf_dir, "pages")).withColumn("doc_id", F.lit(None).cast("bigint")))
+    found = language_id.identify(rows, language_id.train(docs))
+    return found.select("doc_id", "page_id", "lang", "probability", "text_lang", "declared", "host", "suffix")
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     manifest = warc_zip.write(table(spark, sf_dir, "pages"), folder)
@@ -86,6 +97,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op2_warc": op2_warc,
     "op3_quality_rules": op3_quality_rules,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
