@@ -20,7 +20,8 @@ counts before it is judged.
 
 Nulls: a null text or address gives no evidence.  A row without any evidence
 gets the prior of all rows.  Languages are those of the labelled table; without
-labelled rows ``lang`` is null.  Ties go to the first language by code point.
+labelled rows ``lang`` is null.  Extra columns pass through, those that bear an
+output's name are replaced.  Ties go to the first language by code point.
 Repeated rows are judged one by one; empty tables give empty results.
 """
 
@@ -122,14 +123,15 @@ def identify(rows: DataFrame, model: tuple[list[str], np.ndarray] | None) -> Dat
 
     declared and path_lang are language codes, host and suffix parts of the address; all may be null.
     """
-    rest = [c for c in rows.columns if c != "text"]
+    rest = [c for c in rows.columns if c.lower() not in ("text", "lang", "probability", "text_lang")]
     if model is None:
         return rows.select(*rest, F.lit(None).cast("string").alias("lang"), F.lit(None).cast("double").alias("probability"), F.lit(None).cast("string").alias("text_lang"))
     langs, logs = model
     n = len(langs)
     known = F.array(*map(F.lit, langs))
     domain = F.coalesce(F.substring_index("host", ".", -3), F.lit(""))
-    rows = rows.select(*rest, likelihoods(F.col("text"), langs, logs).alias("ll"))
+    evidence_columns = ("declared", "host", "suffix", "path_lang")
+    rows = rows.select(F.struct(*rest).alias("row"), *evidence_columns, likelihoods(F.col("text"), langs, logs).alias("ll"))
     rows = rows.withColumns({"p": _posterior(F.col("ll")), "domain": domain})
     # declarations outside the model's languages count as one value
     code = lambda c: F.when(F.col(c).isNull(), F.lit(None)).when(F.array_contains(known, F.col(c)), F.col(c)).otherwise(F.lit("other"))
@@ -158,7 +160,8 @@ def identify(rows: DataFrame, model: tuple[list[str], np.ndarray] | None) -> Dat
     out = out.withColumn("post", _posterior(fused))
     best = F.array_max("post")
     pick = lambda a: F.element_at(known, F.array_position(a, F.array_max(a)).cast("int"))
-    return out.select(*rest, pick("post").alias("lang"), best.alias("probability"), pick("p").alias("text_lang"))
+    passed = (F.col(f"row.`{c}`").alias(c) for c in rest)
+    return out.select(*passed, pick("post").alias("lang"), best.alias("probability"), pick("p").alias("text_lang"))
 
 
 #: Elements whose content is no text, comments, and all other tags.

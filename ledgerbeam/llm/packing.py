@@ -39,7 +39,7 @@ BLOCK = 128
 CLOSE = 0
 #: Splits text before merging; the pattern of byte-level BPE (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-SCHEMA = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
+SCHEMA = "doc_id string, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
 
 
 def _byte_values() -> dict[str, int]:
@@ -160,7 +160,7 @@ class _Block:
 
     def take(self) -> pd.DataFrame:
         names = [x.split()[0] for x in SCHEMA.split(", ")]
-        frame = pd.DataFrame.from_records(self.out, columns=names).astype({"doc_id": "Int64"})
+        frame = pd.DataFrame.from_records(self.out, columns=names)
         self.out = []
         return frame
 
@@ -172,9 +172,9 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, piece: int =
         encode = encoder(tokenizer)
         own = _Block(TaskContext.get().partitionId() << 36, capacity, piece)
         for pdf in batches:
-            for doc_id, text in zip(pdf["doc_id"].astype("Int64"), pdf["text"], strict=True):
+            for doc_id, text in zip(pdf["doc_id"], pdf["text"], strict=True):
                 ids = np.array([*encode(text), CLOSE] if isinstance(text, str) else [CLOSE], "<u4")
-                own.add(None if doc_id is pd.NA else int(doc_id), ids)
+                own.add(doc_id, ids)
                 if own.held >= block * capacity:
                     own.pack()
                 if len(own.out) >= 4096:
@@ -183,4 +183,5 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, piece: int =
         if own.out:
             yield own.take()
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInPandas(run, SCHEMA)
+    # ids travel as text: pandas would turn numbers with nulls among them to floats
+    return docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(run, SCHEMA).withColumn("doc_id", F.col("doc_id").cast("bigint"))

@@ -26,7 +26,7 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     manifest = warc_zip.write(table(spark, sf_dir, "pages"), folder)
     return warc_zip.read(manifest, folder, payloads=False).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "offset", "length"
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
 
 
@@ -109,6 +109,40 @@ QUERIES = {
     "op10_quality_classifier": op10_quality_classifier,
 }
 
-WORDS = r"[^\x20\x09-\x0D]+"
-
-ORACLES: dict[str, str] = {}
+#: SQL for words, and for texts of documents (null: none).
+_W = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+_STOPS = ", ".join(f"'{x}'" for x in sorted(set(quality_rules.STOP_WORDS)))
+
+ORACLES: dict[str, str] = {
+    "op2_warc": """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages), h AS (SELECT page_id, octet_length(b) AS n, upper(sha1(b)) AS x, max(page_id) OVER (PARTITION BY b) AS last FROM p)
+SELECT page_id, n AS payload_bytes,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (('0x' || substr(x, i // 4 * 5 + 1, 5))::INT >> (15 - 5 * (i % 4))) % 32 + 1, 1) FOR i IN range(32)], '') AS payload_digest,
+  CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> last THEN last END AS refers_to FROM h""",
+    "op3_quality_rules": rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {_W} AS w, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)),
+twice AS (SELECT doc_id, i FROM win QUALIFY count(*) OVER (PARTITION BY doc_id, s) > 1),
+rep AS (SELECT doc_id, count(DISTINCT i + k) AS r FROM twice, range(5) t(k) GROUP BY doc_id),
+m AS (SELECT doc_id, len(w)::BIGINT AS n, length(array_to_string(w, ''))::BIGINT AS wc, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS sy, (len(lines) - len(list_distinct(lines)))::BIGINT AS dl, coalesce(r, 0) AS r,
+  len(lines) AS nl, len(list_filter(w, lambda x: x IN ({_STOPS}))) AS st, length(regexp_replace(text, '[^A-Z]', '', 'g')) AS up, len(list_filter(lines, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*[-*•]'))) AS bu, len(list_distinct(w)) AS dw
+  FROM d LEFT JOIN rep USING (doc_id)),
+b AS (SELECT *, n < 10 OR 100 * r > 20 * n AS base_failed FROM m)
+SELECT doc_id, n AS n_words, wc AS word_chars, sy AS n_symbols, dl AS n_dup_lines, r AS n_repeat_words, base_failed,
+  NOT base_failed AND wc / n BETWEEN 1 AND 40 AND sy / n <= 0.3 AND (n < 100 OR st / n >= 0.01) AND (n < 100 OR dl / nl <= 0.6) AND (n < 20 OR up / wc <= 0.7) AND (n < 50 OR bu / nl <= 0.9) AND dw / n >= 0.05 AS kept
+FROM b""",
+    "op9_chat_formatting": r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, k, CASE k WHEN 0 THEN 'user' ELSE 'assistant' END, '<|im_end|><|im_start|>assistant ok' FROM range(2) t(k)),
+t AS (SELECT *, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) + 4 AS tok, length('<|im_start|>' || role || '<|im_end|>') + 2 + length(regexp_replace(text, '<(!*)\|', '<!\1|', 'g')) AS chars,
+  row_number() OVER o AS n FROM c WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+p AS (SELECT *, sum(tok) OVER (PARTITION BY conv_id ORDER BY n) - tok AS start FROM t),
+w AS (SELECT *, start // 1024 AS win FROM p),
+f AS (SELECT conv_id, win, min(start) AS opens, row_number() OVER (PARTITION BY conv_id ORDER BY win) AS k FROM w GROUP BY conv_id, win),
+again AS (SELECT a.conv_id, sum(a.chars) AS chars FROM w a JOIN f x ON x.conv_id = a.conv_id AND x.win = a.win JOIN f y ON y.conv_id = a.conv_id AND y.k = x.k + 1
+  WHERE NOT (a.n = 1 AND a.role = 'system') AND y.opens - a.start <= 128 GROUP BY a.conv_id),
+sys AS (SELECT a.conv_id, a.chars * (SELECT count(*) - 1 FROM f WHERE f.conv_id = a.conv_id) AS chars FROM w a WHERE a.n = 1 AND a.role = 'system')
+SELECT w.conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256, coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256, (sum(w.chars) + coalesce(max(again.chars), 0) + coalesce(max(sys.chars), 0))::BIGINT AS formatted_chars
+FROM w LEFT JOIN again ON again.conv_id = w.conv_id LEFT JOIN sys ON sys.conv_id = w.conv_id GROUP BY w.conv_id""",
+}

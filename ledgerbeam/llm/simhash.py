@@ -72,9 +72,10 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             fps = np.array([fingerprint(x if isinstance(x, str) else None, shingle) for x in pdf["text"]], np.uint64)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "fp": fps.view(np.int64)})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "fp": fps.view(np.int64)})
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInPandas(run, "doc_id bigint, fp bigint")
+    # ids travel as text: pandas would turn numbers with nulls among them to floats
+    return docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(run, "doc_id string, fp bigint").withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 
 def trie_join(keys: np.ndarray, roots: np.ndarray, budget: int = BUDGET) -> tuple[np.ndarray, np.ndarray]:
@@ -217,7 +218,9 @@ def near_duplicates(docs: DataFrame, budget: int = BUDGET, shingle: int = SHINGL
     nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
     comps = components(links(nodes.select("fp"), budget)).select(F.col("u").alias("fp"), F.col("v").alias("label"))
     nodes = nodes.join(comps, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
-    tops = nodes.groupBy("label").agg(F.min("least").alias("component_id"))
+    # stored, so that both sides of the join on the label are plain exchanges and a large component can be split
+    nodes = cut(nodes)
+    tops = cut(nodes.groupBy("label").agg(F.min("least").alias("component_id")))
     of_fp = nodes.join(tops, "label").select("fp", "component_id")
     return fps.join(of_fp, "fp", "left").select("doc_id", "fp", "component_id")
 

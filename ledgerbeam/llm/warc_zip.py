@@ -222,6 +222,8 @@ def write(pages: DataFrame, folder: str, least: int = 0) -> DataFrame:
     rows = rows.join(first, ["sha", "size"])
     revisit = (F.col("size") >= least) & ~F.col("page_id").eqNullSafe(F.col("response"))
     rows = rows.select("page_id", "url", F.when(~revisit, F.col("payload")).alias("body"), F.when(revisit, F.col("payload")).alias("same"), "response", revisit.alias("revisit"))
+    # ids travel as text: pandas would turn numbers with nulls among them to floats
+    rows = rows.withColumns({"page_id": F.col("page_id").cast("string"), "response": F.col("response").cast("string")})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, top = open_store(folder)
@@ -249,10 +251,10 @@ def write(pages: DataFrame, folder: str, least: int = 0) -> DataFrame:
             return pd.DataFrame({"archive": [f"{s['name']}.wacz"], "records": [len(s["index"])], "bytes": [z.at]})
 
         for pdf in batches:
-            for page, url, body, same, response, again in zip(pdf["page_id"].astype("Int64"), pdf["url"], pdf["body"], pdf["same"], pdf["response"].astype("Int64"), pdf["revisit"], strict=True):
+            for page, url, body, same, response, again in zip(pdf["page_id"], pdf["url"], pdf["body"], pdf["same"], pdf["response"], pdf["revisit"], strict=True):
                 state = state or begin()
-                page = None if page is pd.NA else int(page)
-                raw = to_record(page, url if isinstance(url, str) else None, bytes(same if again else body), None if response is pd.NA else int(response), bool(again))
+                page = int(page) if isinstance(page, str) else None
+                raw = to_record(page, url if isinstance(url, str) else None, bytes(same if again else body), int(response) if isinstance(response, str) else None, bool(again))
                 state["index"].append(json.dumps({"page": page, "type": "revisit" if again else "response", "offset": state["size"], "length": len(raw)}) + "\n")
                 state["zip"].data(raw)
                 state["size"] += len(raw)
@@ -303,7 +305,7 @@ def read(manifest: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
         names = [x.split()[0] for x in RECORD_SCHEMA.split(", ")]
 
         def frame(rows: list[dict]) -> pd.DataFrame:
-            return pd.DataFrame.from_records(rows, columns=names).astype({"page_id": "Int64", "refers_to": "Int64"})
+            return pd.DataFrame({c: pd.array([r[c] for r in rows], "Int64") if c in ("page_id", "refers_to") else [r[c] for r in rows] for c in names})
 
         for pdf in batches:
             for archive, first, last in zip(pdf["archive"], pdf["first"], pdf["last"], strict=True):
