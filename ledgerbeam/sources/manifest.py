@@ -89,7 +89,7 @@ def check_complete(looped: int, counted: int) -> None:
 def checked_event(df: DataFrame, column: str = "event") -> DataFrame:
     """Unsigned 64-bit events, which Parquet readers give as decimal(20,0), as bigint; values from 2**63 on fail the job."""
     wide = F.col(column).cast("decimal(20,0)")
-    return df.withColumn(column, F.when(wide < F.lit(2**63), wide.cast("bigint")).otherwise(F.raise_error(F.concat(F.lit("event out of range: "), wide.cast("string")))))
+    return df.withColumn(column, F.when(wide <= F.lit(2**63 - 1), wide.cast("bigint")).otherwise(F.raise_error(F.concat(F.lit("event out of range: "), wide.cast("string")))))
 
 
 def walk(spark: SparkSession, top: str, prefixes: tuple[str, ...]) -> DataFrame:
