@@ -218,7 +218,7 @@ def patch_priority(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""{RANKED}, c AS (SELECT count(*) FILTER (WHERE gen <> fgen OR exp <> fexp) AS conflicts, count(*) FILTER (WHERE gen = fgen AND exp = fexp AND (n <> fn OR m <> fm)) AS other_counts,
   count(*) FILTER (WHERE own > 1) AS repeated FROM w2), s AS (SELECT count(*) AS shared FROM (SELECT 1 FROM items GROUP BY lumi, event HAVING min(ord) <> max(ord))) SELECT * FROM c, s""")
 def patch_conflicts(spark: SparkSession, d: str) -> DataFrame:
-    return extract.conflict_counts(_rank2(spark, d), 2)
+    return extract.conflict_counts(_rank2(spark, d))
 
 
 @query(f"""{RANKED} SELECT dataset, ord AS priority, ord, count(*) AS entries, count(*) FILTER (WHERE ord <> ford AND own = 1) AS superseded, count(*) FILTER (WHERE own > 1) AS repeated,

@@ -70,6 +70,10 @@ def test_format_2(spark):
     out, counts = run(spark, 2, *MAIN2, expect={DA: 9, DB: 3})
     assert rows(out) == WANT2
     assert counts == {"conflicts": 0, "other_counts": 1, "repeated": 0, "shared": 2, "entries": 14, "datasets": 3, "inputs": 4}
+    large = table(spark, "a4", 2).withColumn("nAddBJets", F.lit(40_000))
+    with pytest.raises(Refused) as e:
+        extract.run([(DA, 0, large)], 2)
+    assert e.value.code == 5
     rank = extract.ranked(extract.inputs([(d, p, table(spark, n, 2)) for d, n, p in MAIN2]), 2)
     by = {(r["dataset"], r["priority"]): (r["entries"], r["superseded"], r["written"]) for r in extract.sources(rank).collect()}
     assert by == {(DA, 0): (5, 0, 3), (DA, 1): (4, 2, 1), (DB, 0): (3, 0, 2), (DC, 0): (2, 0, 0)}
