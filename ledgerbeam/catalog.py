@@ -320,6 +320,12 @@ def hist_booked(spark: SparkSession, d: str) -> DataFrame:
     return hist.booked(A.sidecar(spark, d))
 
 
+@query("SELECT (CASE WHEN exp % 100 < 0 THEN 0 WHEN exp % 100 >= 60 THEN 61 ELSE exp % 100 + 1 END)::INT AS bin, count(*) AS n, count(*)::DOUBLE AS sumw, count(*)::DOUBLE AS sumw2 FROM sidecar GROUP BY ALL")
+def hist_sub(spark: SparkSession, d: str) -> DataFrame:
+    """Sub-codes in 60 bins, so that 61 and above fall in the overflow bin."""
+    return hist.histogram(A.sidecar(spark, d), codec.raw_sub_code("Expanded_genTtbarId"), 60, 0, 60)
+
+
 @query("""SELECT (CASE WHEN l_quantity < 10 THEN 0 WHEN l_quantity >= 40 THEN 11 ELSE floor((l_quantity - 10) * 10 / 30) + 1 END)::INT AS bin, count(*) AS n, sum((l_linenumber)::DOUBLE) AS sumw,
   sum((l_linenumber * l_linenumber)::DOUBLE) AS sumw2 FROM lineitem GROUP BY ALL""")
 def hist_weighted(spark: SparkSession, d: str) -> DataFrame:

@@ -112,9 +112,9 @@ def test_chunk_files(spark, tmp_path):
 
 
 def test_walks_and_catalogues(spark, tmp_path):
-    for name in ("sidecar_1.bin", "other.bin", "ttbarIDExtend_2.bin"):
+    for name in ("sidecar_1.bin", "other.bin", "extend_2.bin"):
         (tmp_path / name).write_text("x")
-    assert manifest.walk(spark, str(tmp_path), ("sidecar", "ttbarIDExtend")).count() == 2
+    assert manifest.walk(spark, str(tmp_path), ("sidecar", "extend")).count() == 2
     cat = manifest.catalogue(spark, json.dumps({"2017": {"datasets": [{"name": "a", "dataset": "/A/B/C", "enabled": True}]}}))
     assert cat.first()["era"] == "2017" and cat.first()["enabled"]
 
