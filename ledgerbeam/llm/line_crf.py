@@ -11,8 +11,9 @@ Training lines take the label of their document.  The fit uses at most
 ``MAX_PER_CLASS`` labelled documents of either class, those with the smallest
 hash of doc_id; this bound is the only sampling here, every document is scored
 on its whole text.  Executors turn the sampled texts into features; only these
-come to the driver.  Chains longer than ``SEGMENT`` lines are cut for training
-alone.
+come to the driver, of a document with more than ``SEGMENTS * SEGMENT`` lines
+those of ``SEGMENTS`` evenly spaced stretches.  Chains longer than ``SEGMENT``
+lines are cut for training alone.
 
 Nulls: a null text counts as empty.  Texts without a visible line score
 ``EMPTY_SCORE``.  Label rows with a null id or quality are ignored, rows with an
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_PER_CLASS = 3000
-SEGMENT = 64
+SEGMENT, SEGMENTS = 64, 8
 EMPTY_SCORE = 0.01
 #: Characters of text that are turned into features at once.
 CHUNK = 4_000_000
@@ -217,6 +218,10 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = MAX_PER_CLASS) ->
         for pdf in batches:
             for text, quality in zip(pdf["text"], pdf["quality"], strict=True):
                 x, size, _ = line_features([text])
+                if len(x) > SEGMENT * SEGMENTS:
+                    starts = np.linspace(0, len(x) - SEGMENT, SEGMENTS).astype(int)
+                    at = np.unique(np.concatenate([np.arange(k, k + SEGMENT) for k in starts]))
+                    x, size = x[at], size[at]
                 yield type(pdf)({"x": [x.astype(np.float32).tobytes()], "size": [size.astype(np.float32).tobytes()], "quality": [int(quality)]})
 
     got = rows.mapInPandas(features, "x binary, size binary, quality int").collect()
