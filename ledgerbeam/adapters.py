@@ -14,6 +14,8 @@ from .operators import derive
 
 #: Events of one luminosity block.
 PER_BLOCK = 5000
+#: Events of one run; the test tables have one run.
+PER_RUN = 10**12
 MASK = '{"1": [[1, 1], [4, 7], [9, 9], [20, 24]], "2": [[1, 3]]}'
 
 
@@ -38,7 +40,7 @@ def sidecar(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.when(multi >= 2, 55).when(multi == 1, 54).otherwise(53))
     )
     out = out.select(
-        "ev", "cust", F.lit(1).cast("bigint").alias("run"), codec.idiv("ev", PER_BLOCK).alias("luminosityBlock"), (F.col("ev") % PER_BLOCK).alias("event"),
+        "ev", "cust", (codec.idiv("ev", PER_RUN) + 1).alias("run"), codec.idiv("ev", PER_BLOCK).alias("luminosityBlock"), (F.col("ev") % PER_BLOCK).alias("event"),
         (F.col("cust") % 3 * 100 + base).cast("int").alias("genTtbarId"), n.cast("int").alias("nAddBJets"), multi.cast("int").alias("nAddBJetsMulti"),
         ((F.col("cust") % 64) / 64).cast("float").alias("Generator_x1"), ((F.col("ev") % 32) / 32).cast("float").alias("Generator_x2"),
         (F.col("cust") % 5 - 2).cast("int").alias("Generator_id1"), (F.col("ev") % 7 - 3).cast("int").alias("Generator_id2"),
@@ -94,7 +96,7 @@ ev1 AS (
   SELECT *, (cust % 3 * 100 + CASE WHEN n = 0 THEN CASE WHEN ev % 4 = 0 THEN 41 ELSE 0 END WHEN n = 1 THEN CASE WHEN m >= 1 THEN 52 ELSE 51 END
     WHEN m >= 2 THEN 55 WHEN m = 1 THEN 54 ELSE 53 END)::INT AS gen FROM ev0),
 sidecar AS (
-  SELECT ev, cust, 1::BIGINT AS run, ev // {PER_BLOCK} AS lumi, ev % {PER_BLOCK} AS event, gen, n, m,
+  SELECT ev, cust, ev // {PER_RUN} + 1 AS run, ev // {PER_BLOCK} AS lumi, ev % {PER_BLOCK} AS event, gen, n, m,
     CASE WHEN n <= 2 THEN gen ELSE gen // 100 * 100 + CASE WHEN n = 3 THEN CASE WHEN m >= 1 THEN 62 ELSE 61 END ELSE CASE WHEN m >= 1 THEN 72 ELSE 71 END END END::INT AS exp,
     ((cust % 64) / 64)::FLOAT AS x1, ((ev % 32) / 32)::FLOAT AS x2, (cust % 5 - 2)::INT AS id1, (ev % 7 - 3)::INT AS id2
   FROM ev1),

@@ -2,7 +2,7 @@
 
 All functions return DataFrames; ``verdict`` collects one row.  The probe side
 is never multiplied: repeated keys of the build side are reported by
-``duplicates`` and represented by one row, chosen by value.
+``duplicates``, which a verdict heeds before any comparison.
 """
 
 from __future__ import annotations
@@ -22,8 +22,12 @@ def _n(condition: Column) -> Column:
 
 
 def unique_side(side: DataFrame, key=KEY, payload=PAYLOAD) -> DataFrame:
-    """One row per key, with the number of rows it stands for.  The join on the same key needs no further shuffle."""
-    return side.groupBy(*key).agg(F.min(F.struct(*payload)).alias("side"), F.count("*").alias("side_rows"))
+    """One row per key, with the number of rows it stands for; repeated keys show the least value of each column.
+
+    The join on the same key needs no further shuffle, and plain minima stay in hash aggregation.
+    """
+    by = side.groupBy(*key).agg(F.count("*").alias("side_rows"), *(F.min(c).alias(f"_{c}") for c in payload))
+    return by.select(*key, F.struct(*(F.col(f"_{c}").alias(c) for c in payload)).alias("side"), "side_rows")
 
 
 def match(nano: DataFrame, side: DataFrame, key=KEY) -> DataFrame:

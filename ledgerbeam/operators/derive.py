@@ -22,7 +22,9 @@ def accepted(pt: Column, eta: Column, pt_min: float = PT_MIN, eta_max: float = E
 
 def count_jets(hadrons: DataFrame, by: str = "ev", pt_min: float = PT_MIN, eta_max: float = ETA_MAX) -> DataFrame:
     """by, nAddBJets, nAddBJetsMulti from one row per hadron (by, jet_idx, pt, eta, from_top); events without accepted jets have no row."""
-    jets = hadrons.where(accepted(F.col("pt"), F.col("eta"), pt_min, eta_max) & (F.col("jet_idx") >= 0)).groupBy(by, "jet_idx")
+    # dealt by event once: both aggregates, and a join on the event after them, find their rows in place
+    ok = hadrons.where(accepted(F.col("pt"), F.col("eta"), pt_min, eta_max) & (F.col("jet_idx") >= 0)).repartition(by)
+    jets = ok.groupBy(by, "jet_idx")
     jets = jets.agg(F.count_if("from_top").alias("top"), F.count_if(~F.col("from_top")).alias("add"))
     extra = (F.col("add") > 0) & (F.col("top") == 0)
     return jets.groupBy(by).agg(

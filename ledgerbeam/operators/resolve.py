@@ -23,7 +23,8 @@ def check_lookup(lookup: DataFrame, key=KEY) -> None:
 
 def resolve(rows: DataFrame, lookup: DataFrame, key=KEY) -> DataFrame:
     """rows with hit, resolved (stored code on a hit, own code otherwise) and mismatch (hit whose stored own code differs)."""
-    stored = lookup.groupBy(*key).agg(F.min(F.struct("genTtbarId", "Expanded_genTtbarId")).alias("stored"))
+    by = lookup.groupBy(*key).agg(F.min("genTtbarId").alias("_gen"), F.min("Expanded_genTtbarId").alias("_exp"))
+    stored = by.select(*key, F.struct(F.col("_gen").alias("genTtbarId"), F.col("_exp").alias("Expanded_genTtbarId")).alias("stored"))
     out = rows.join(stored, list(key), "left")
     hit = F.col("stored").isNotNull()
     return out.withColumns({
