@@ -7,7 +7,7 @@ is never multiplied: repeated keys of the build side are reported by
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import codec
@@ -103,8 +103,8 @@ def reclassified(matched: DataFrame) -> DataFrame:
 def census(table: DataFrame, code: str) -> DataFrame:
     """Rows by sub-code, and their share of all rows."""
     by = table.groupBy(codec.raw_sub_code(code).alias("sub")).agg(F.count("*").alias("n"))
-    total = by.agg(F.sum("n").alias("total"))
-    return by.join(F.broadcast(total), F.lit(True)).select("sub", "n", (F.col("n") * 100.0 / F.col("total")).alias("percent"))
+    # the window sees one row per sub-code
+    return by.select("sub", "n", (F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy())).alias("percent"))
 
 
 def conservation(left: DataFrame, right: DataFrame, left_code: str = "genTtbarId", right_code: str = "Expanded_genTtbarId") -> DataFrame:

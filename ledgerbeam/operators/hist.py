@@ -39,8 +39,8 @@ def ratio(left: DataFrame, right: DataFrame, normalise: bool = False) -> DataFra
     """bin, a, b, ratio (null where b is 0), red (off by over 1e-6) and listed (b is 0, or off by over 1e-9)."""
     both = left.select("bin", F.col("n").alias("a")).join(right.select("bin", F.col("n").alias("b")), "bin", "full_outer").fillna(0)
     if normalise:
-        areas = both.agg(F.sum("a").alias("ta"), F.sum("b").alias("tb"))
-        both = both.join(F.broadcast(areas), F.lit(True)).select("bin", F.try_divide("a", "ta").alias("a"), F.try_divide("b", "tb").alias("b"))
+        area = lambda c: F.sum(c).over(Window.partitionBy())  # noqa: E731  of one row per bin
+        both = both.select("bin", F.try_divide("a", area("a")).alias("a"), F.try_divide("b", area("b")).alias("b"))
     r = F.try_divide(F.col("a"), F.col("b"))
     off = F.abs(r - 1)
     return both.select("bin", "a", "b", r.alias("ratio"), F.coalesce(off > 1e-6, F.lit(False)).alias("red"), ((F.col("b") == 0) | (off > 1e-9)).alias("listed"))

@@ -44,14 +44,15 @@ def blocks(rows: DataFrame, file: str | None = None, file_index: str | None = No
 
 def coverage(seen: DataFrame, mask: DataFrame) -> DataFrame:
     """One row: mask_lumis (overlapping intervals count twice), seen, inside and outside distinct blocks, and unseen ones."""
-    lumis = mask.agg(F.coalesce(F.sum(F.col("hi") - F.col("lo") + 1), F.lit(0)).alias("mask_lumis"))
+    lumis = mask.select(F.lit("mask_lumis").alias("what"), (F.col("hi") - F.col("lo") + 1).alias("n"))
     s = seen.select("run", "luminosityBlock").distinct()
-    ins = inside(s, mask).agg(F.count("*").alias("inside"))
-    total = s.agg(F.count("*").alias("seen"))
+    ins = inside(s, mask).select(F.lit("inside").alias("what"), F.lit(1).cast("bigint").alias("n"))
+    total = s.select(F.lit("seen").alias("what"), F.lit(1).cast("bigint").alias("n"))
     whole = mask.select("run", F.explode(F.sequence("lo", "hi")).alias("luminosityBlock")).distinct()
-    rest = whole.join(s, ["run", "luminosityBlock"], "left_anti").agg(F.count("*").alias("unseen"))
-    one = lumis.join(total, F.lit(True)).join(ins, F.lit(True)).join(rest, F.lit(True))
-    return one.select("mask_lumis", "seen", "inside", (F.col("seen") - F.col("inside")).alias("outside"), "unseen")
+    rest = whole.join(s, ["run", "luminosityBlock"], "left_anti").select(F.lit("unseen").alias("what"), F.lit(1).cast("bigint").alias("n"))
+    every = lumis.unionByName(total).unionByName(ins).unionByName(rest)
+    sums = {k: F.coalesce(F.sum(F.when(F.col("what") == k, F.col("n"))), F.lit(0)) for k in ("mask_lumis", "seen", "inside", "unseen")}
+    return every.agg(sums["mask_lumis"].alias("mask_lumis"), sums["seen"].alias("seen"), sums["inside"].alias("inside"), (sums["seen"] - sums["inside"]).alias("outside"), sums["unseen"].alias("unseen"))
 
 
 def containment(rows: DataFrame, mask: DataFrame, full: bool = False) -> Verdict:
