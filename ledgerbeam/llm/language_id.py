@@ -140,14 +140,15 @@ def identify(rows: DataFrame, model: tuple[list[str], np.ndarray] | None) -> Dat
     def evidence(key: str) -> DataFrame:
         """log P(value | language), smoothed."""
         seen = _means(rows.where(F.col(key).isNotNull()), [key], n, "v")
-        of_lang = seen.agg(*(F.sum(F.get("sum_v", F.lit(k))).alias(f"t{k}") for k in range(n)), F.count("*").alias("values"))
-        part = F.array(*(F.log((F.get("sum_v", F.lit(k)) + 0.5) / (F.col(f"t{k}") + 0.5 * F.col("values"))) for k in range(n)))
-        return seen.join(F.broadcast(of_lang), F.lit(True)).select(F.col(key), part.alias(f"log_{key}"))
+        # one row of a number per language
+        total = seen.agg(*(F.coalesce(F.sum(F.get("sum_v", F.lit(k))), F.lit(0.0)).alias(f"t{k}") for k in range(n)), F.count("*").alias("values")).first()
+        part = F.array(*(F.log((F.get("sum_v", F.lit(k)) + 0.5) / (total[f"t{k}"] + 0.5 * total["values"])) for k in range(n)))
+        return seen.select(F.col(key), part.alias(f"log_{key}"))
 
-    everything = _means(rows, [], n, "all").select(F.transform("sum_all", lambda x: (x + 1.0 / n) / (F.col("n_all") + 1)).alias("base"))
+    everything = _means(rows, [], n, "all").first()
+    base = F.array(*(F.lit(((x or 0.0) + 1.0 / n) / (everything["n_all"] + 1)) for x in everything["sum_all"]))
     smooth = lambda sums, rows_of, base: F.zip_with(sums, base, lambda x, b: (x + PSEUDO * b) / (F.col(rows_of) + PSEUDO))
-    by_domain = _means(rows, ["domain"], n, "d").join(F.broadcast(everything), F.lit(True))
-    by_domain = by_domain.select(F.col("domain").alias("dx"), smooth("sum_d", "n_d", "base").alias("base_d"))
+    by_domain = _means(rows, ["domain"], n, "d").select(F.col("domain").alias("dx"), smooth("sum_d", "n_d", base).alias("base_d"))
     hosts = _means(rows, ["host", "domain"], n, "h").join(by_domain, F.col("domain") == F.col("dx"))
     hosts = hosts.select(F.col("host").alias("hx"), "sum_h", "n_h", "base_d")
     out = rows.join(hosts, F.col("host").eqNullSafe(F.col("hx")))
