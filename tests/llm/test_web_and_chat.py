@@ -94,6 +94,9 @@ HEAD = "<html><head><title>t</title><style>p{}</style><script>var x='</p>';</scr
         ("<article><p>1 < 2 &lt; 3 &copy; &#x41;&nbsp;</p>", "1 < 2 < 3 © A"),
         ("<div role=navigation>x</div><p>y", "y"),
         ("", ""),
+        ("<div class='page has-sidebar no-comments'><main class='banner-shown'><div class='entry-header'><h1>T</h1></div><p>a <math>x</math></main><div class=header>h</div></div>", "T\na x"),
+        ('<p title="open>x</p><p>y', "x\ny"),
+        ("<p>a<b>b</b><i>c</i> <span class='ad'>d</span>e<!-- <p> -->f", "abc ef"),
     ],
 )
 def test_pages(page, want):
