@@ -56,7 +56,7 @@ RULES = (
 )
 
 
-def repeat_words(w: Column, hashes: Column, n: Column) -> Column:
+def repeat_words(hashes: Column) -> Column:
     """Words covered by windows that occur twice or more; hashes are the windows' hashes in order of position."""
     pairs = F.array_sort(F.arrays_zip(hashes.alias("h"), F.sequence(F.lit(1), F.size(hashes)).alias("p")))
 
@@ -103,7 +103,7 @@ def measure(df: DataFrame, text: str = "text") -> DataFrame:
         "word_chars": chars.cast("bigint"),
         "n_symbols": symbols.cast("bigint"),
         "n_dup_lines": dup_lines.cast("bigint"),
-        "n_repeat_words": F.when(F.size(F.array_distinct(hs)) == F.size(hs), F.lit(0)).otherwise(repeat_words(c, hs, n)).cast("bigint"),
+        "n_repeat_words": F.when(F.size(F.array_distinct(hs)) == F.size(hs), F.lit(0)).otherwise(repeat_words(hs)).cast("bigint"),
         "mean_word_chars": ratio(chars, n),
         "stop_word_ratio": ratio(F.size(F.filter(c, lambda x: x.isin(*STOP_WORDS))), n),
         "upper_letter_ratio": ratio(upper, chars),
