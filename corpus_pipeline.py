@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerbeam.llm import line_crf, mixing, packing, quality_rules, simhash
-from ledgerbeam.llm.common import cut, shared_dir, table
+from ledgerbeam.llm.common import shared_dir, table
 
 #: The classifier and the packing have no SQL form; tests hold each stage against a plain version.
 ORACLE_SQL = None
@@ -50,12 +52,12 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, each written to the shared folder and read again."""
-    folder = f"{shared_dir(spark)}/pipeline-{spark.sparkContext.applicationId}-{id(object())}"
+    """All stages; all but the last are written to the shared folder and read again."""
+    folder = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs.write.mode("overwrite").parquet(f"{folder}/{name}")
             docs = spark.read.parquet(f"{folder}/{name}")
-    return cut(docs)
+    return docs
