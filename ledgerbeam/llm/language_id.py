@@ -76,8 +76,8 @@ def train(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[list[s
         yield pd.DataFrame({"k": range(len(langs)), "counts": [x.astype("<i8").tobytes() for x in sums]})
 
     total = np.zeros((len(langs), SLOTS))
-    # one row per language and task
-    for r in rows.select("text", "k").coalesce(8).mapInPandas(count, "k int, counts binary").toLocalIterator():
+    # the sample is small, so it is dealt anew rather than read by few tasks; one row per language and task comes back
+    for r in rows.select("text", "k").repartition(8).mapInPandas(count, "k int, counts binary").toLocalIterator():
         total[r["k"]] += np.frombuffer(r["counts"], "<i8")
     total += 0.5
     return langs, np.log(total / total.sum(1, keepdims=True)).astype(np.float32)
