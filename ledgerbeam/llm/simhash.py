@@ -26,7 +26,7 @@ fall in one component.  Empty tables give empty results.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -42,6 +42,8 @@ BUDGET = 4
 CHUNK = 1024
 #: Fingerprints whose tries are traversed at once.
 FOREST = 16_384
+#: Node pairs that advance through the tries at once.
+PAIRS = 1 << 18
 #: Shingles whose bits are counted at once.
 BLOCK = 65_536
 
@@ -78,61 +80,76 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(run, "doc_id string, fp bigint").withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 
-def trie_join(keys: np.ndarray, roots: np.ndarray, budget: int = BUDGET) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the linked pairs.
+def trie_links(keys: np.ndarray, roots: np.ndarray, budget: int = BUDGET) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions of the linked pairs, in batches.
 
     keys: unsigned fingerprints.  roots: rows (a_lo, a_hi, b_lo, b_hi) of ranges in keys, each range sorted; equal
-    ranges make a self-join.
+    ranges make a self-join.  At most about ``PAIRS`` node pairs advance at once; the others wait on a stack, no more
+    than a few times as many.
     """
-    a0, a1, b0, b1 = (roots[:, k].astype(np.int64) for k in range(4))
-    errors = np.zeros(len(roots), np.int64)
-    left, right = [], []
-    for bit in range(63, -1, -1):
-        if not len(a0):
-            break
-        # pairs of single leaves need no further levels
-        leaf = (a1 - a0 == 1) & (b1 - b0 == 1) & ~((a0 == b0) & (a1 == b1))
+    before: dict[int, np.ndarray] = {}  # of each bit: how many of the first keys have it clear
+
+    def clear(bit: int) -> np.ndarray:
+        if bit not in before:
+            before[bit] = np.concatenate([[0], np.cumsum((keys >> np.uint64(bit)) & np.uint64(1) == 0)])
+        return before[bit]
+
+    stack = [(63, np.concatenate([roots.astype(np.int64).T, np.zeros((1, len(roots)), np.int64)]))]
+    while stack:
+        bit, front = stack.pop()
+        if front.shape[1] > PAIRS:
+            half = front.shape[1] // 2
+            stack += [(bit, front[:, :half]), (bit, front[:, half:])]
+            continue
+        a0, a1, b0, b1, errors = front
+        if bit < 0:  # equal keys: the ranges' full product, by a star
+            for p0, p1, q0, q1 in zip(a0, a1, b0, b1, strict=True):
+                yield np.concatenate([np.arange(p0, p1), np.full(q1 - q0, p0)]), np.concatenate([np.full(p1 - p0, q0), np.arange(q0, q1)])
+            continue
+        own = (a0 == b0) & (a1 == b1)
+        leaf = (a1 - a0 == 1) & (b1 - b0 == 1) & ~own  # pairs of single keys need no further levels
         if leaf.any():
             i, j = a0[leaf], b0[leaf]
             near = np.bitwise_count(keys[i] ^ keys[j]) <= budget
-            left.append(i[near])
-            right.append(j[near])
-            a0, a1, b0, b1, errors = (x[~leaf] for x in (a0, a1, b0, b1, errors))
-        zeros = np.concatenate([[0], np.cumsum((keys >> np.uint64(bit)) & np.uint64(1) == 0)])
+            yield i[near], j[near]
+            a0, a1, b0, b1, errors, own = (x[~leaf] for x in (a0, a1, b0, b1, errors, own))
+        if not len(a0):
+            continue
+        zeros = clear(bit)
         am, bm = a0 + zeros[a1] - zeros[a0], b0 + zeros[b1] - zeros[b0]
-        own = (a0 == b0) & (a1 == b1)
         parts = []
-        for x0, x1, y0, y1, more, keep in (
-            (a0, am, b0, bm, 0, None),
-            (am, a1, bm, b1, 0, None),
-            (a0, am, bm, b1, 1, None),
-            (am, a1, b0, bm, 1, ~own),  # in a self-join the mirror of the pair before
+        for x0, x1, y0, y1, more, mirror in (
+            (a0, am, b0, bm, 0, False),
+            (am, a1, bm, b1, 0, False),
+            (a0, am, bm, b1, 1, False),
+            (am, a1, b0, bm, 1, True),  # in a self-join the mirror of the pair before
         ):
             ok = (x0 < x1) & (y0 < y1) & (errors + more <= budget)
-            if keep is not None:
-                ok &= keep
-            if more == 0:
-                ok &= ~(own & (x1 - x0 < 2))
+            ok &= ~own if mirror else ~(own & (x1 - x0 < 2)) if not more else True
             parts.append(np.stack([x0[ok], x1[ok], y0[ok], y1[ok], errors[ok] + more]))
-        a0, a1, b0, b1, errors = np.concatenate(parts, 1)
-    for p0, p1, q0, q1 in zip(a0, a1, b0, b1, strict=True):  # equal keys: the ranges' full product, by a star
-        left.append(np.concatenate([np.arange(p0, p1), np.full(q1 - q0, p0)]))
-        right.append(np.concatenate([np.full(p1 - p0, q0), np.arange(q0, q1)]))
-    if not left:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(left), np.concatenate(right)
+        stack.append((bit - 1, np.concatenate(parts, 1)))
 
 
-def forest(n: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the graph on 0..n-1: each position that isn't the first of its component, and that first."""
+def forest(n: int, links: Iterable[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the graph on 0..n-1: each position that isn't the first of its component, and that first.
+
+    links come in batches, which are merged to the components one by one and not kept.
+    """
     label = np.arange(n)
-    while True:
-        before = label.copy()
-        np.minimum.at(label, i, label[j])
-        np.minimum.at(label, j, label[i])
-        label = label[label]
-        if np.array_equal(before, label):
-            break
+    for i, j in links:
+        i, j = label[i], label[j]
+        i, j = i[i != j], j[i != j]
+        if not len(i):
+            continue
+        root = np.arange(n)
+        while True:
+            old = root.copy()
+            np.minimum.at(root, i, root[j])
+            np.minimum.at(root, j, root[i])
+            root = root[root]
+            if np.array_equal(old, root):
+                break
+        label = root[label]
     moved = np.flatnonzero(label != np.arange(n))
     return moved, label[moved]
 
@@ -150,8 +167,7 @@ def _traverse(pdf: pd.DataFrame, budget: int) -> pd.DataFrame:
     pair = pdf["ci"].to_numpy(np.int64)[order][lo] != pdf["cj"].to_numpy(np.int64)[order][lo]
     roots = np.stack([lo, np.where(pair, mid, hi), np.where(pair, mid, lo), hi], 1)
     roots = roots[(roots[:, 0] < roots[:, 1]) & (roots[:, 2] < roots[:, 3])]
-    i, j = trie_join(fp, roots, budget)
-    u, v = forest(len(fp), i, j)
+    u, v = forest(len(fp), trie_links(fp, roots, budget))
     # one link may show in several groups of the batch
     signed = fp.view(np.int64)
     a, b = signed[u], signed[v]

@@ -73,12 +73,24 @@ def test_long_chain_is_one_component(spark):
     assert {r["v"] for r in simhash.components(edges).collect()} == {0}
 
 
-def test_trie_join_finds_all_pairs():
+@pytest.mark.parametrize("pairs", [4, 1 << 18])
+def test_trie_links_are_all_pairs(monkeypatch, pairs):
+    monkeypatch.setattr(simhash, "PAIRS", pairs)
     rng = random.Random(5)
     keys = np.array(sorted(cluster(rng, 50, 3) | {rng.getrandbits(64) for _ in range(50)}), np.uint64)
-    i, j = simhash.trie_join(keys, np.array([[0, len(keys), 0, len(keys)]]))
+    batches = list(simhash.trie_links(keys, np.array([[0, len(keys), 0, len(keys)]])))
+    found = [(min(a, b), max(a, b)) for i, j in batches for a, b in zip(i.tolist(), j.tolist())]
     want = {(a, b) for a in range(len(keys)) for b in range(a + 1, len(keys)) if bin(int(keys[a]) ^ int(keys[b])).count("1") <= 4}
-    assert {(min(a, b), max(a, b)) for a, b in zip(i.tolist(), j.tolist())} == want
+    assert set(found) == want and len(found) == len(want)
+    half = len(keys) // 2
+    across = [(a, b) for i, j in simhash.trie_links(keys, np.array([[0, half, half, len(keys)]])) for a, b in zip(i.tolist(), j.tolist())]
+    assert set(across) == {(a, b) for a, b in want if a < half <= b}
+
+
+def test_forest_merges_batches():
+    batches = [(np.array([0, 4]), np.array([1, 5])), (np.array([1]), np.array([2])), (np.array([5, 2]), np.array([6, 0])), (np.array([6]), np.array([2]))]
+    u, v = simhash.forest(8, batches)
+    assert u.tolist() == [1, 2, 4, 5, 6] and set(v.tolist()) == {0}
 
 
 def test_keep_one(spark, odd, empty):
