@@ -182,7 +182,8 @@ def links(distinct: DataFrame, budget: int = BUDGET, chunk: int = CHUNK) -> Data
         F.shiftrightunsigned("fp", a).bitwiseAND(F.lit((1 << (b - a)) - 1)) for a, b in zip(bounds[:-1], bounds[1:], strict=True)
     ]
     spread = distinct.select("fp", F.posexplode(F.array(*block)).alias("b", "v"))
-    hot = spread.groupBy("b", "v").count().where(F.col("count") > chunk).select("b", "v", F.ceil(F.col("count") / chunk).cast("int").alias("k"))
+    # stored: the join below then has plain exchanges on both sides, and Spark splits a hot group before it is dealt out
+    hot = cut(spread.groupBy("b", "v").count().where(F.col("count") > chunk).select("b", "v", F.ceil(F.col("count") / chunk).cast("int").alias("k")))
     dealt = spread.join(hot, ["b", "v"], "left").withColumn("k", F.coalesce("k", F.lit(1)))
     dealt = dealt.withColumn("mine", F.pmod(F.xxhash64("fp"), F.col("k")).cast("int"))
     dealt = dealt.select("fp", "b", "v", "mine", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other"))
