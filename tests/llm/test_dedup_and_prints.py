@@ -141,3 +141,12 @@ def test_empty_tables(spark, empty):
 def test_one_document_is_next_to_itself(spark):
     df = spark.createDataFrame([(7, "abcdefgh")], "doc_id bigint, text string")
     assert multiset_hash.edited(df).first()["edited"] == "abcdefab"
+
+
+def test_repeated_ids_are_edited_row_by_row(spark, odd):
+    """Rows of one id all count; the next document of an id is the row of the next larger one whose beginning sorts first."""
+    more = odd.unionByName(spark.createDataFrame([(2, "zzzz"), (2, "yyyy")], "doc_id bigint, text string"), allowMissingColumns=True)
+    rows = multiset_hash.edited(more).collect()
+    assert len(rows) == more.count() == 11
+    assert {r["edited"] for r in rows if r["doc_id"] == 1} == {"a b c d e f g h i "}
+    assert all(r["fp"] == rows[k]["fp"] for r in rows for k in range(len(rows)) if r["text"] == rows[k]["text"])
