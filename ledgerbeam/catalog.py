@@ -170,7 +170,7 @@ def audit_corrupted(spark: SparkSession, d: str) -> DataFrame:
 c AS (SELECT sub, coalesce(a, 0) AS a, coalesce(b, 0) AS b, sub IN (53, 54, 55, 61, 62, 71, 72) AS moved, sub IN (61, 62, 71, 72) AS ext FROM a FULL JOIN b USING (sub)),
 r AS (SELECT 'totals_equal' AS "check", sum(a)::BIGINT AS left_n, sum(b)::BIGINT AS right_n FROM c
   UNION ALL SELECT 'untouched_subs_equal', count(*) FILTER (WHERE NOT moved), count(*) FILTER (WHERE NOT moved AND a = b) FROM c
-  UNION ALL SELECT 'bbb_conserved', coalesce(sum(a) FILTER (WHERE moved), 0)::BIGINT, coalesce(sum(b) FILTER (WHERE moved), 0)::BIGINT FROM c
+  UNION ALL SELECT 'bbb_conserved', coalesce(sum(a) FILTER (WHERE moved AND NOT ext), 0)::BIGINT, coalesce(sum(b) FILTER (WHERE moved), 0)::BIGINT FROM c
   UNION ALL SELECT 'reference_has_no_extension', coalesce(sum(a) FILTER (WHERE ext), 0)::BIGINT, 0 FROM c)
 SELECT *, left_n = right_n AS holds FROM r""")
 def spot_conservation(spark: SparkSession, d: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import codec
-from ..plans.verdict import AUDIT, Verdict, decide
+from ..plans.verdict import AUDIT, Code, Verdict, decide
 
 KEY = ("run", "luminosityBlock", "event")
 PAYLOAD = ("genTtbarId", "Expanded_genTtbarId", "nAddBJets", "nAddBJetsMulti")
@@ -118,7 +118,7 @@ def conservation(left: DataFrame, right: DataFrame, left_code: str = "genTtbarId
     sums = both.agg(
         F.coalesce(F.sum("a"), F.lit(0)).alias("a0"), F.coalesce(F.sum("b"), F.lit(0)).alias("b0"),
         _n(~sub.isin(*moved)).alias("a1"), _n(~sub.isin(*moved) & (F.col("a") == F.col("b"))).alias("b1"),
-        total("a", sub.isin(*moved)).alias("a2"), total("b", sub.isin(*moved)).alias("b2"),
+        total("a", sub.isin(53, 54, 55)).alias("a2"), total("b", sub.isin(*moved)).alias("b2"),
         total("a", sub.isin(*codec.TTNB)).alias("a3"), F.lit(0).cast("bigint").alias("b3"),
     )
     names = ("totals_equal", "untouched_subs_equal", "bbb_conserved", "reference_has_no_extension")
@@ -153,3 +153,37 @@ def rule_violations(side: DataFrame) -> DataFrame:
         F.count("*").alias("rows"), _n(rule).alias("rule"), _n(moved).alias("prefix"), (_n(rule) + _n(moved)).alias("violations"),
         F.coalesce(F.max(codec.sub_code("Expanded_genTtbarId").isin(71, 72)), F.lit(False)).alias("has_4b"),
     )
+
+
+#: Counters of self_invariants that must be 0.
+MUST_BE_ZERO = ("le2_changed", "eq3_other", "ge4_other", "sub_56", "prefix_changed", "other_origin", "run_not_1")
+
+
+def rule_verdict(side: DataFrame, expect_4b: bool = False) -> Verdict:
+    """2 if a row breaks a rule, 3 if 71 or 72 is expected and does not occur; tables that can't be read fail in the scan (4)."""
+    row = rule_violations(side).first().asDict()
+    if row["violations"]:
+        return Verdict(2, "violations", row)
+    return Verdict(3, "has_4b", row) if expect_4b and not row["has_4b"] else Verdict(0, None, row)
+
+
+def spot_verdict(reference: DataFrame, side: DataFrame, position: str, key: tuple[str, ...] = ("run", "event")) -> Verdict:
+    """Spot comparison: each row of the reference against the last row of side with its key, then the censuses.
+
+    5 if nothing matches, 6 if codes differ, 7 if a census check fails; rows that others overwrite are counted.
+    """
+    last = last_wins(side, key, position, "genTtbarId").withColumnsRenamed({"genTtbarId": "_gen"})
+    both = reference.join(last, list(key), "left").agg(
+        _n(F.col("_gen").isNotNull()).alias("matched"), _n(F.col("_gen").isNull()).alias("unmatched"), _n(F.col("_gen") != F.col("genTtbarId")).alias("disagree")
+    )
+    row = both.first().asDict()
+    row["overwritten"] = last.agg(F.coalesce(F.sum("overwritten"), F.lit(0)).alias("n")).first()["n"]
+    row["broken"] = conservation(reference, side).where(~F.col("holds")).count()
+    return decide(row, [(Code.NOTHING, "matched", "positive"), (Code.DISAGREE, "disagree", "zero"), (7, "broken", "zero")])
+
+
+def files_verdict(files: DataFrame, unreadable: int = 0) -> Verdict:
+    """Of by_file's rows: unreadable files fail first (1), then invariants (2); empty files do not fail."""
+    row = files.agg(F.count("*").alias("files"), _n("empty").alias("empty_files"), *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("entries", *MUST_BE_ZERO))).first().asDict()
+    row["unreadable"] = unreadable
+    return decide(row, [(1, "unreadable", "zero"), *((2, c, "zero") for c in MUST_BE_ZERO)])

@@ -75,6 +75,7 @@ def test_missing_products(spark):
 
 SIDE = "run bigint, luminosityBlock bigint, event bigint, genTtbarId int, Expanded_genTtbarId int, nAddBJets int, nAddBJetsMulti int"
 NANO = "run bigint, luminosityBlock bigint, event bigint, genTtbarId int"
+NANO_NAMES = ("run", "luminosityBlock", "event", "genTtbarId")
 GOOD = [(1, 1, 1, 53, 61, 3, 0), (1, 1, 2, 54, 72, 4, 1), (1, 1, 3, 0, 0, 0, 0), (1, 1, 4, 153, 153, 2, 1)]
 
 
@@ -119,6 +120,24 @@ def test_nothing_matched_and_sorted_differences(spark):
     assert verdict(spark, wrong, checks=SORTED_AUDIT).passed and verdict(spark, wrong).code == 8
 
 
+def test_other_verdicts(spark):
+    side = spark.createDataFrame(GOOD, SIDE).withColumn("pos", F.col("event"))
+    reference = side.select(*NANO_NAMES)
+    assert audit.rule_verdict(side).passed and audit.rule_verdict(side, expect_4b=True).passed
+    assert audit.rule_verdict(side.where("event <> 2"), expect_4b=True).code == 3
+    assert audit.rule_verdict(side.withColumn("Expanded_genTtbarId", F.lit(161))).code == 2
+    spot = lambda r, s: audit.spot_verdict(r, s, "pos")
+    assert spot(reference, side).passed and spot(reference.withColumn("event", F.col("event") + 100), side).code == 5
+    assert spot(reference.withColumn("genTtbarId", F.when(F.col("event") == 1, 54).otherwise(F.col("genTtbarId"))), side).code == 6
+    assert spot(reference, side.withColumn("Expanded_genTtbarId", F.when(F.col("event") == 3, 41).otherwise(F.col("Expanded_genTtbarId")))).code == 7
+    newer = side.unionByName(side.where("event = 1").withColumns({"genTtbarId": F.lit(55), "pos": F.lit(99)}))
+    assert spot(reference, newer).code == 6 and spot(reference, newer).counters["overwritten"] == 1
+    files = audit.by_file(side.withColumn("file", F.lit("a")), spark.createDataFrame([("a",), ("b",)], "file string"))
+    assert audit.files_verdict(files).passed and audit.files_verdict(files).counters["empty_files"] == 1 and audit.files_verdict(files, 1).code == 1
+    broken = audit.by_file(side.withColumns({"file": F.lit("a"), "run": F.lit(2)}), spark.createDataFrame([("a",)], "file string"))
+    assert audit.files_verdict(broken).code == 2 and audit.files_verdict(broken, 1).code == 1
+
+
 def test_missing_counters_fail():
     assert decide({}, AUDIT).code == 9
 
