@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerbeam.llm import line_crf, mixing, packing, quality_rules, simhash
+from ledgerbeam.llm import line_crf, mixing, near_copies, packing, quality_rules
 from ledgerbeam.llm.common import shared_dir, table
 
 #: The classifier and the packing have no SQL form; tests hold each stage against a plain version.
@@ -28,8 +28,8 @@ def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return simhash.keep_one(docs)
+    """One document of each group of near-duplicates: five-word shingles with Jaccard similarity 0.8 or more."""
+    return near_copies.keep_one(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

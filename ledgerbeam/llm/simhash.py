@@ -242,6 +242,21 @@ def near_duplicates(docs: DataFrame, budget: int = BUDGET, shingle: int = SHINGL
     return fps.join(of_fp, "fp", "left").select("doc_id", "fp", "component_id")
 
 
+def lead(docs: DataFrame, node: str, found: DataFrame) -> DataFrame:
+    """One row of docs for each component of the nodes in column node: the smallest doc_id, nulls last, then the smallest hash of the text.
+
+    found: u and the label v of its component, for nodes that don't label their own.
+    """
+    null, num, text, rank = (free_name(docs, x) for x in ("_null", "_num", "_text", "_rank"))
+    row = docs.withColumns({null: F.col("doc_id").isNull(), num: F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)), text: F.xxhash64("text")})
+    keys = [null, num, text, node]
+    best = row.groupBy(F.col(node).alias("u")).agg(F.min(F.struct(*keys)).alias("best")).join(found, "u", "left")
+    best = cut(best.groupBy(F.coalesce("v", "u").alias("label")).agg(F.min("best").alias("best")).select("best.*"))
+    # rows that repeat both id and text are the only ones left to choose from
+    out = row.join(best, keys, "left_semi").withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(text)))
+    return out.where(F.col(rank) == 1).select(*docs.columns)
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of docs that lead their components: of each the row with the smallest doc_id, of its repeats one."""
     lead, rank = free_name(docs, "_lead"), free_name(docs, "_rank")
