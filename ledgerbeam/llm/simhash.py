@@ -258,12 +258,16 @@ def lead(docs: DataFrame, node: str, found: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of docs that lead their components: of each the row with the smallest doc_id, of its repeats one."""
-    lead, rank = free_name(docs, "_lead"), free_name(docs, "_rank")
-    first = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(lead)).distinct()
-    out = docs.join(first, F.col("doc_id").eqNullSafe(F.col(lead)), "left_semi")
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    return out.withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1).drop(rank)
+    """The rows of docs that lead their components (see lead)."""
+    node = free_name(docs, "_node")
+
+    @F.pandas_udf("bigint")
+    def fp(text: pd.Series) -> pd.Series:
+        return pd.Series(np.array([fingerprint(x if isinstance(x, str) else None) for x in text], np.uint64).view(np.int64))
+
+    rows = docs.withColumn(node, fp("text"))
+    nodes = cut(rows.select(F.col(node).alias("fp")).distinct())
+    return lead(rows, node, components(links(nodes))).drop(node)
 
 
 def as_hex(fp):

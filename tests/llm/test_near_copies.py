@@ -68,6 +68,15 @@ def test_pipeline_stage_drops_copies_beyond_four_bits(spark):
     assert [r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, "").collect()] == [0]
 
 
+@pytest.mark.parametrize("keep", [simhash.keep_one, near_copies.keep_one])
+def test_one_of_each_group_with_null_and_repeated_ids(spark, keep):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
+    rows = [(None, a), (None, b), (None, b), (None, c), (1, c), (7, a.upper()), (2, " ".join(f"d{k}" for k in range(40))), (2, " ".join(f"e{k}" for k in range(40))), (2, " ".join(f"e{k}" for k in range(40)))]
+    kept = keep(spark.createDataFrame([(*r, "en", "s", 0) for r in rows], DOCS)).collect()
+    texts = sorted((r["doc_id"] or 0, r["text"][0].lower()) for r in kept)
+    assert texts == [(0, "b"), (1, "c"), (2, "d"), (2, "e"), (7, "a")]
+
+
 def test_odd_and_empty(spark, odd, empty):
     kept = near_copies.keep_one(odd.withColumns({"_node": F.lit(1), "_rank": F.lit(2)}))
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 2, 5, 6, 2**60 + 1]
