@@ -15,10 +15,12 @@ cut from each page.
 
 Importance alone can't tell changing menus, adverts and footers from content,
 so marked branches (navigation, header, footer, aside, form, advert, notice and
-comment markup, hidden elements) have importance 0 from the start, and what a
-page marks as its article or main part has importance 1: in it only marked
-branches go.  A page with such a part yields that part alone; an article
-repeated all over a host is therefore kept.
+comment markup, hidden elements) have importance 0 from the start.  What a page
+marks as its article or main part has importance 1, but the branches in it are
+judged like all others, so boilerplate repeated in every article goes; only a
+part without any important branch, an article repeated all over a host, is kept
+as it is.  A page yields its main part alone unless more words are left outside
+it, as with a teaser card beside an unmarked body; then it yields both.
 
 The tree's counts are summed in the tasks before they are shuffled, 40 bytes a
 distinct text at most; the tree of a host, not its pages, is what one task
@@ -188,9 +190,9 @@ class Page:
             if is_content and not marked and not noise:
                 content = self.has_content = True
             inside = stack[-1][4]
-            if not noise and (marked or not inside and (is_content or tag in BLOCKS)):
+            if not noise and (marked or is_content or tag in BLOCKS):
                 node = self.key(parent, f"{tag} {style}")
-                self.nodes.setdefault(node, (parent, 0.0 if marked else 1.0 if is_content else None))
+                self.nodes.setdefault(node, (parent, 0.0 if marked else 1.0 if is_content and not inside else None))
                 self.styles.setdefault(parent, []).append(tag)
                 above = (*above, node)
             else:
@@ -206,9 +208,12 @@ class Page:
 
     def text(self, noise: frozenset | set = frozenset()) -> str:
         """The blocks that are neither marked nor below a node of noise, one line each."""
+        left = [(t, content) for t, _, above, content in self.blocks if not noise.intersection(above)]
         if self.has_content:
-            return "\n".join(t for t, _, _, content in self.blocks if content)
-        return "\n".join(t for t, _, above, _ in self.blocks if not noise.intersection(above))
+            inside, outside = (sum(t.count(" ") + 1 for t, content in left if content == side) for side in (True, False))
+            if outside <= inside:
+                left = [x for x in left if x[1]]
+        return "\n".join(t for t, _ in left)
 
 
 NODE, STYLE, TEXT = 0, 1, 2
@@ -229,12 +234,12 @@ def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for text, host in zip(pdf["html"], pdf["host"], strict=True):
             page = Page(text if isinstance(text, str) else "", host)
             texts: dict[int, list[str]] = {}
-            for words, node, _, content in page.blocks:
-                if node and not content:
+            for words, node, _, _ in page.blocks:
+                if node:
                     texts.setdefault(node, []).append(words)
             for node, (parent, fixed) in page.nodes.items():
                 held[(host, node, parent, fixed, NODE, 0)] += 1
-                if fixed is None:
+                if fixed != 0:
                     held[(None, node, -1, None, STYLE, xxh64_intdigest(" ".join(page.styles.get(node, ()))) >> 1)] += 1
                     if node in texts:
                         held[(None, node, -1, None, TEXT, xxh64_intdigest("\n".join(texts[node])) >> 1)] += 1
@@ -280,8 +285,8 @@ def importance(nodes: pd.DataFrame) -> dict[int, float]:
         todo += below.get(n, [])
     for n in reversed(order):
         r = rows[n]
-        if r.fixed == r.fixed and r.fixed is not None:
-            out[n] = float(r.fixed)
+        if r.fixed == 0:
+            out[n] = 0.0
             continue
         parts = [(rows[k].pages, out[k]) for k in below.get(n, ())]
         if r.content == r.content and r.content is not None:
@@ -289,6 +294,15 @@ def importance(nodes: pd.DataFrame) -> dict[int, float]:
         inner = sum(p * x for p, x in parts) / sum(p for p, _ in parts) if parts else 0.0
         # a node stays if it has any important branch
         out[n] = max(PRESENTATION * float(r.presentation) + (1 - PRESENTATION) * inner, max((x for _, x in parts), default=0.0))
+        if r.fixed == 1:
+            if out[n] < LEAST:  # wholly repeated: nothing in it tells the article from the rest, so the mark decides
+                todo = list(below.get(n, ()))
+                while todo:
+                    k = todo.pop()
+                    if rows[k].fixed != 0:
+                        out[k] = 1.0
+                        todo += below.get(k, ())
+            out[n] = 1.0
     return out
 
 

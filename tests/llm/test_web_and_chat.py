@@ -116,6 +116,15 @@ def test_articles_repeated_on_a_host_stay(spark):
     assert {r["text"] for r in style_tree.extract(spark.createDataFrame(rows, PAGES)).collect()} == {"same for all"}
 
 
+def test_tree_decides_inside_and_beside_main_parts(spark):
+    """Boilerplate repeated in every article goes; a teaser card doesn't hide an unmarked body."""
+    page = "<body><article><h1>Title {0}</h1><p>own text {0}</p><div class=z1>Read us every day</div></article></body>"
+    card = "<body><article class=teaser><p>card {0}</p></article><div class=x><p>body text of page {0}, longer than the card</p></div></body>"
+    rows = [(k, "http://a.example.com/", page.format(k)) for k in range(12)] + [(100 + k, "http://b.example.com/", card.format(k)) for k in range(12)]
+    out = {r["page_id"]: r["text"] for r in style_tree.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert out[3] == "Title 3\nown text 3" and out[103] == "card 3\nbody text of page 3, longer than the card"
+
+
 def test_extraction_query_by_a_plain_version(spark):
     got = {r["page_id"]: r for r in queries.op6_html_extraction(spark, SMALL).collect()}
     pages = spark.read.parquet(f"{SMALL}/pages.parquet").collect()
