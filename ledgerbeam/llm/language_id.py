@@ -31,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,8 +42,6 @@ SLOTS = 1 << 15
 TRUST = 0.25
 MOST = 12.0
 PSEUDO = 4.0
-#: Languages in the model at most, by number of labelled rows.
-LANGUAGES = 64
 
 
 def trigrams(text: str | None) -> np.ndarray:
@@ -58,22 +56,22 @@ def trigrams(text: str | None) -> np.ndarray:
 def train(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[list[str], np.ndarray] | None:
     """Languages and their log probabilities of each slot.  labelled: doc_id, text, lang."""
     known = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    langs = sorted(r["lang"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect())
+    langs = sorted(r["lang"] for r in known.select("lang").distinct().collect())
     if not langs:
         return None
-    picks = [known.where(F.col("lang") == x).select(F.col("doc_id").alias("i"), F.lit(k).alias("k")).orderBy(F.xxhash64("i"), "i").limit(per_language) for k, x in enumerate(langs)]
-    some = picks[0]
-    for p in picks[1:]:
-        some = some.unionByName(p)
-    # at most LANGUAGES * per_language rows of 12 bytes
+    # Spark limits the rows of each language before the exchange
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("i"), "i"))
+    picks = known.select("lang", F.col("doc_id").alias("i")).withColumn("rank", rank).where(F.col("rank") <= per_language)
+    some = picks.select("i", (F.array_position(F.lit(langs), F.col("lang")) - 1).cast("int").alias("k"))
+    # at most per_language rows of a language, 12 bytes each
     rows = known.join(F.broadcast(some.distinct()), (F.col("doc_id") == F.col("i")))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums = np.zeros((len(langs), SLOTS), np.int64)
+        sums: dict[int, np.ndarray] = {}
         for pdf in batches:
             for text, k in zip(pdf["text"], pdf["k"], strict=True):
-                sums[k] += np.bincount(trigrams(text), minlength=SLOTS)
-        yield pd.DataFrame({"k": range(len(langs)), "counts": [x.astype("<i8").tobytes() for x in sums]})
+                sums[k] = sums.get(k, 0) + np.bincount(trigrams(text), minlength=SLOTS)
+        yield pd.DataFrame({"k": list(sums), "counts": [x.astype("<i8").tobytes() for x in sums.values()]})
 
     total = np.zeros((len(langs), SLOTS))
     # the sample is small, so it is dealt anew rather than read by few tasks; one row per language and task comes back

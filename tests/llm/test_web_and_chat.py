@@ -183,6 +183,16 @@ def test_languages(spark):
     assert sum(r["lang"] == r["truth"] for r in got) >= 0.99 * len(got) and all(0 < r["probability"] <= 1 for r in got)
 
 
+def test_every_labelled_language_is_in_the_model(spark):
+    """More languages than 64, the last of them with the fewest rows."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda k: letters[k % 26] * 2 + letters[k // 26] + "qz"
+    rows = [(100 * k + j, f"{word(k)} " * 5, f"l{k:02}") for k in range(70) for j in range(2 if k < 69 else 1)]
+    langs, logs = language_id.train(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    assert langs == [f"l{k:02}" for k in range(70)] and logs.shape[0] == 70
+    assert all(logs[:, language_id.trigrams(f"{word(k)} " * 5)].sum(1).argmax() == k for k in range(70))
+
+
 def test_evidence_decides_without_text(spark):
     """An empty page takes the language its declaration and host speak for; a clear text overrides both."""
     model = (["de", "en"], language_id.np.log(language_id.np.full((2, language_id.SLOTS), 1.0 / language_id.SLOTS, "float32")))
