@@ -1,22 +1,26 @@
-"""Near copies by an exact set join: Jaccard similarity of 0.8 or more on five-word shingles.
+"""Near copies by SimHash: a trie self-join with a wide budget, each link checked exactly.
 
 Texts are lower-cased in A-Z and split into words; those that are equal then are
-one node, keyed by its XXH64 value.  A node's shingles are the set of its runs
-of five words; a shorter text is one shingle, a text without words has none.
-
-Candidates.  In any order of all shingles, two sets of which one has n members
-can only reach the similarity if they share one of the first n - ceil(0.8 n) + 1
-of each.  Shingles that are common in a sample of ``SAMPLE`` texts come last in
-the order, so that stock phrases seldom key a group; the sample changes costs,
-never the result.  Pairs that share a key are pruned by bounds that no similar
-pair breaks: the sizes, the places of the key in both orders, and the bits in
-which two 256-bit parity maps differ (at most the number of unshared shingles).
-What is left is checked on the shingles themselves.
-
-Large groups.  First each group's members are compared with one of them, the
-same for all groups that have it, and the components found so far are labelled;
-then all pairs of a group with different labels are compared, so a dense group
-of near copies costs about its size and no link between components is lost.
+one node, keyed by its XXH64 value.  A node's shingles are its runs of five
+words; a shorter text is one shingle, a text without words has none.  Two nodes
+are linked if the Jaccard similarity of their sets of shingles is 0.8 or more.
+
+Fingerprints of such a pair differ in a share of arccos(8/9) / pi of their bits
+at most, 9.7 of 64 with a standard deviation of 2.9.  A budget of ``BUDGET``
+bits so misses one pair in a million right at the limit and fewer above.  Blocks
+of bits can't group texts for so wide a budget, since groups would be a fixed
+share of all texts.  Groups are therefore keyed by the least hashes of the
+shingles: ``BANDS`` keys of ``ROWS`` least hashes each, of which a similar pair
+shares none with a chance of (1 - 0.8 ** ROWS) ** BANDS, again under one in a
+million.  Within a group the tries of the fingerprints are traversed against
+each other as in the module ``simhash``.
+
+Large groups.  Each node is first checked against one member of its groups, the
+node with the least key among them; the components found so far are labelled.
+Then the tries of all groups that hold several labels are joined, for pairs of
+different labels only.  So a dense group of near copies costs about its size,
+and no link between components is lost.  A group of more than ``CHUNK`` nodes is
+dealt out by trie prefix.
 
 Nulls: a null text has no words; all texts without words are one node.  Ids play
 no part in the links.  Empty tables give empty results.
@@ -24,26 +28,26 @@ no part in the links.  Empty tables give empty results.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
-from functools import lru_cache, reduce
-from operator import add
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, WHITE, cut, free_name, shared_dir
-from .simhash import components, lead
+from .common import BLANKS, WHITE, cut, free_name
+from .simhash import CHUNK, GROUP, _ranges, by_groups, by_prefix, components, lead, trie_links, whole
 
 SEED = 42
 SHINGLE = 5
-#: Texts, about, whose shingles tell which are common, and how many of these are kept.
-SAMPLE = 8192
-COMMON = 200_000
-#: Words of a parity map.
-MAP = 4
+BUDGET = 24
+BANDS, ROWS = 20, 3
+#: Shingles that are hashed on at once.
+BLOCK = 8192
+#: Odd factors, one for each least hash.
+FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
+MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
 
 def plain(text: Column) -> Column:
@@ -63,26 +67,26 @@ def shingles(text: str) -> list[bytes]:
     return [joined[a:b] for a, b in zip(starts, ends[SHINGLE - 1 :])] or [joined]
 
 
-def hashes(text: str) -> np.ndarray:
-    """The distinct shingles' hashes, sorted."""
+def features(text: str) -> tuple[int, int, list[int]]:
+    """The number of distinct shingles of a plain text, its fingerprint as a signed number, and its group keys."""
     from xxhash import xxh64_digest
 
-    return np.unique(np.frombuffer(b"".join([xxh64_digest(s, SEED) for s in shingles(text)]), ">i8").astype(np.int64))
-
-
-def prefix(h: np.ndarray, common: np.ndarray, seen: np.ndarray) -> np.ndarray:
-    """The first hashes in the order of their count in the sample, as many as a similar set can't miss."""
-    n = len(h)
-    if n and len(common):
-        at = np.minimum(np.searchsorted(common, h), len(common) - 1)
-        h = h[np.lexsort((h, np.where(common[at] == h, seen[at], 0)))]
-    return h[: n - (4 * n + 4) // 5 + 1] if n else h
-
-
-def parity(h: np.ndarray) -> list[int]:
-    """Of 256 cells that the hashes fall in: whether an odd number fell in each."""
-    odd = np.bincount((h & 255), minlength=64 * MAP) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+    raw = b"".join([xxh64_digest(s, SEED) for s in shingles(text)])
+    if not raw:
+        return 0, 0, []
+    n = len(raw) // 8
+    hashes = np.frombuffer(raw, ">u8").astype(np.uint64)
+    counts, least = np.zeros(64, np.int64), np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, n, BLOCK):
+        counts += np.unpackbits(np.frombuffer(raw[8 * at : 8 * (at + BLOCK)], np.uint8)).reshape(-1, 64).sum(0, dtype=np.int64)
+        least = np.minimum(least, (hashes[at : at + BLOCK, None] * FACTORS).min(0))
+    bits = np.packbits(2 * counts > n)
+    rows = least.reshape(BANDS, ROWS)
+    keys = np.arange(BANDS, dtype=np.uint64)
+    for k in range(ROWS):
+        keys = (keys ^ rows[:, k]) * MIX[k]
+        keys ^= keys >> np.uint64(29)
+    return len(np.unique(hashes)), int.from_bytes(bits.tobytes(), "big", signed=True), keys.view(np.int64).tolist()
 
 
 @lru_cache(64)
@@ -97,85 +101,75 @@ def similar(a: str, b: str) -> bool:
     return bool(both) and 5 * both >= 4 * (len(x) + len(y) - both)
 
 
-def _common(nodes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles seen in three or more texts of a sample, sorted, and in how many."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pd.DataFrame({"node": pdf["node"], "h": [hashes(t) for t in pdf["plain"]]})
-
-    part = nodes.where(F.pmod("node", F.lit(max(1, nodes.count() // SAMPLE))) == 0)
-    each = part.mapInPandas(run, "node bigint, h array<bigint>").dropDuplicates(["node"]).select(F.explode("h").alias("h"))
-    top = each.groupBy("h").count().where("count >= 3").orderBy(F.desc("count"), "h").limit(COMMON).toPandas().sort_values("h")
-    return top["h"].to_numpy(np.int64), top["count"].to_numpy(np.int64)
-
-
-def _keys(nodes: DataFrame) -> DataFrame:
-    """key, node, n, pos and the parity map m0.. of every node, for keys that two or more nodes have."""
-    common, seen = _common(nodes)
-    handed = nodes.sparkSession.sparkContext.broadcast((common, seen))
+def _members(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """key, node, n and fp of the groups of two nodes or more, and key and the least node of each."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, counts = handed.value
         for pdf in batches:
-            h = [hashes(t) for t in pdf["plain"]]
-            yield pd.DataFrame({
-                "node": pdf["node"], "n": np.fromiter(map(len, h), np.int64, len(h)),
-                "keys": [prefix(x, known, counts) for x in h], "map": [parity(x) for x in h],
-            })
+            n, fp, keys = zip(*map(features, pdf["plain"]), strict=True) if len(pdf) else ((), (), ())
+            yield pd.DataFrame({"node": pdf["node"], "n": n, "fp": fp, "keys": list(keys)})
 
-    sets = cut(nodes.mapInPandas(run, "node bigint, n bigint, keys array<bigint>, map array<bigint>").dropDuplicates(["node"]))
-    spread = sets.select("node", "n", F.posexplode("keys").alias("pos", "key"))
-    spread = spread.withColumn("in", F.count(F.lit(1)).over(Window.partitionBy("key"))).where(F.col("in") > 1)
-    maps = sets.select("node", *(F.col("map")[k].alias(f"m{k}") for k in range(MAP)))
-    return cut(spread.join(maps, "node").select("key", "node", "n", "pos", *(f"m{k}" for k in range(MAP))))
+    sets = cut(nodes.mapInPandas(run, "node bigint, n bigint, fp bigint, keys array<bigint>").dropDuplicates(["node"]))
+    spread = sets.select("node", "n", "fp", F.explode("keys").alias("key"))
+    heads = spread.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most").select("key", "least")
+    heads = cut(heads)
+    return cut(spread.join(heads.select("key"), "key")), heads
 
 
-def _possible(a: str, b: str) -> Column:
-    """Whether rows a and b of one key can be similar: sizes, places of the key, parity maps."""
+def _near(a: str, b: str) -> Column:
+    """Whether rows a and b can be similar: sizes and fingerprints."""
     x, y = (lambda c: F.col(f"{a}.{c}")), (lambda c: F.col(f"{b}.{c}"))
-    both = x("n") + y("n")
-    most = F.least(x("pos"), y("pos")) + F.least(x("n") - x("pos"), y("n") - y("pos"))
-    unshared = reduce(add, (F.bit_count(x(f"m{k}").bitwiseXOR(y(f"m{k}"))) for k in range(MAP)))
-    return (5 * F.least(x("n"), y("n")) >= 4 * F.greatest(x("n"), y("n"))) & (9 * most >= 4 * both) & (9 * unshared <= both)
-
-
-def _texts(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """node and plain of the nodes in pairs; their list is stored as a table, whose size tells Spark how to join it."""
-    where = f"{shared_dir(nodes.sparkSession)}/near-copies-{uuid.uuid4().hex}"
-    pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().write.parquet(where)
-    return cut(nodes.join(nodes.sparkSession.read.parquet(where), "node", "left_semi").dropDuplicates(["node"]))
+    return (5 * F.least(x("n"), y("n")) >= 4 * F.greatest(x("n"), y("n"))) & (F.bit_count(x("fp").bitwiseXOR(y("fp"))) <= BUDGET)
 
 
-def _checked(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+def _checked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs u > v whose texts are similar."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             yield pdf.loc[[similar(a, b) for a, b in zip(pdf["a"], pdf["b"], strict=True)], ["u", "v"]]
 
-    pairs = cut(pairs.select(F.greatest("a.node", "b.node").alias("u"), F.least("a.node", "b.node").alias("v")).distinct())
-    texts = _texts(nodes, pairs)
     full = pairs.join(texts.select(F.col("node").alias("u"), F.col("plain").alias("a")), "u")
     full = full.join(texts.select(F.col("node").alias("v"), F.col("plain").alias("b")), "v").select("u", "v", "a", "b")
     return cut(full.mapInPandas(run, "u bigint, v bigint"))
 
 
-def labels(nodes: DataFrame) -> DataFrame:
+def _across(labelled: DataFrame, chunk: int) -> DataFrame:
+    """Pairs u > v of nodes of one group that have different labels and can be similar."""
+
+    def traverse(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        order, fp, roots = _ranges(pdf)
+        node, n, label = (pdf[c].to_numpy(np.int64)[order] for c in ("node", "n", "label"))
+        for i, j in trie_links(fp, roots, BUDGET, label):
+            ok = 5 * np.minimum(n[i], n[j]) >= 4 * np.maximum(n[i], n[j])
+            a, b = node[i[ok]], node[j[ok]]
+            yield pd.DataFrame({"u": np.maximum(a, b), "v": np.minimum(a, b)}).drop_duplicates()
+
+    zero = F.lit(0).cast("bigint")
+    groups = labelled.select("node", "n", "fp", "label", F.lit(0).alias("level"), zero.alias("path"), F.col("key").alias("v"))
+    hot = cut(groups.groupBy("v").count().where(F.col("count") > chunk).select("v"))
+    dealt = whole(groups)
+    if not hot.isEmpty():
+        large = by_prefix(cut(groups.join(hot, "v", "left_semi")), {0: list(range(63, -1, -1))}, BUDGET, chunk)
+        dealt = whole(groups.join(hot, "v", "left_anti")).unionByName(large)
+    return by_groups(dealt.select("node", "n", "label", "fp", *GROUP, "side"), traverse, "u bigint, v bigint").distinct()
+
+
+def labels(nodes: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """u and the smallest node v of its component, for every u that isn't that smallest; nodes has node and plain, repeats allowed."""
-    keys = _keys(nodes)
-    # one member of each group, by a hash of the node, against the others
-    row = F.struct(F.xxhash64("node").alias("h"), *keys.columns[1:])
-    first = cut(keys.groupBy("key").agg(F.min(row).alias("first")).select("key", "first.*"))
-    star = keys.alias("a").join(first.alias("b"), F.col("a.key") == F.col("b.key")).where(F.col("a.node") != F.col("b.node"))
-    edges = _checked(star.where(_possible("a", "b")), nodes)
+    members, heads = _members(nodes)
+    # each node against one member of its groups
+    one = members.join(heads, "key").groupBy("node").agg(F.min("least").alias("least"), F.first("n").alias("n"), F.first("fp").alias("fp"))
+    one = cut(one)
+    star = one.where("node > least").alias("a").join(one.alias("b"), F.col("a.least") == F.col("b.node")).where(_near("a", "b"))
+    texts = cut(nodes.join(one.select("node"), "node", "left_semi").dropDuplicates(["node"]))
+    edges = _checked(cut(star.select(F.col("a.node").alias("u"), F.col("b.node").alias("v"))), texts)
     found = components(edges).select(F.col("u").alias("node"), F.col("v").alias("label"))
     # all pairs of a group that the stars leave apart
-    labelled = keys.join(found, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
-    labelled = cut(labelled.join(mixed, "key"))
-    apart = labelled.alias("a").join(labelled.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.label") < F.col("b.label")) & _possible("a", "b"))
-    return components(edges.unionByName(_checked(apart, nodes)))
+    labelled = cut(members.join(found, "node", "left").withColumn("label", F.coalesce("label", "node")))
+    mixed = cut(labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key"))
+    apart = cut(_across(labelled.join(mixed, "key"), chunk))
+    return components(edges.unionByName(_checked(apart, texts)))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

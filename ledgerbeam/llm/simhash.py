@@ -11,10 +11,17 @@ of ``budget + 1`` bit blocks: each distinct fingerprint goes to one group per
 block, keyed by the block's value.  Within a group the fingerprints, sorted,
 form a binary trie whose nodes are ranges; node pairs are traversed together
 from the root, level by level, adding up differing bits, and a pair is pruned
-as soon as the budget is exceeded.  A group of more than ``CHUNK`` fingerprints
-is dealt out as pairs of chunks, each traversed as a pair of tries, so no task
-holds it whole and no link is lost.  Each traversal returns a spanning forest
-of its links, not all pairs.
+as soon as the budget is exceeded.  Each traversal returns a spanning forest of
+its links, not all pairs.
+
+Hot groups.  A group of more than ``CHUNK`` fingerprints is keyed again: its
+other bits are cut in ``budget + 1`` blocks too, one of which must agree, so
+each of its fingerprints goes to that many smaller groups, and so on for
+``LEVELS`` levels.  Rows per fingerprint so grow with the logarithm of the
+table.  Groups that are still hot, dense clusters, are dealt out by trie prefix:
+a chunk meets only the chunks whose prefix differs in at most ``budget`` bits,
+and the prefix gets longer until every chunk fits, so no task holds a group
+whole and no link is lost.
 
 Components come from alternating large-star and small-star steps on the
 forests' edges, cut by checkpoints.
@@ -27,6 +34,8 @@ fall in one component.  Empty tables give empty results.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -40,6 +49,8 @@ SHINGLE = 4
 BUDGET = 4
 #: Fingerprints of a group that are joined in one piece.
 CHUNK = 1024
+#: Levels of blocks; an agreeing pair of the last has 38 bits or so in common.
+LEVELS = 3
 #: Fingerprints whose tries are traversed at once.
 FOREST = 16_384
 #: Node pairs that advance through the tries at once.
@@ -80,13 +91,15 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(run, "doc_id string, fp bigint").withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 
-def trie_links(keys: np.ndarray, roots: np.ndarray, budget: int = BUDGET) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def trie_links(keys: np.ndarray, roots: np.ndarray, budget: int = BUDGET, label: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Positions of the linked pairs, in batches.
 
     keys: unsigned fingerprints.  roots: rows (a_lo, a_hi, b_lo, b_hi) of ranges in keys, each range sorted; equal
     ranges make a self-join.  At most about ``PAIRS`` node pairs advance at once; the others wait on a stack, no more
-    than a few times as many.
+    than a few times as many.  With labels only pairs of different ones count, and node pairs of one label are pruned;
+    equal keys then give all their pairs, else a star.
     """
+    changes = None if label is None else np.concatenate([[0], np.cumsum(label[1:] != label[:-1])])
     before: dict[int, np.ndarray] = {}  # of each bit: how many of the first keys have it clear
 
     def clear(bit: int) -> np.ndarray:
@@ -102,6 +115,16 @@ def trie_links(keys: np.ndarray, roots: np.ndarray, budget: int = BUDGET) -> Ite
             stack += [(bit, front[:, :half]), (bit, front[:, half:])]
             continue
         a0, a1, b0, b1, errors = front
+        if changes is not None and len(a0):
+            mixed = (label[a0] != label[b0]) | (changes[a0] != changes[a1 - 1]) | (changes[b0] != changes[b1 - 1])
+            a0, a1, b0, b1, errors = (x[mixed] for x in (a0, a1, b0, b1, errors))
+        if bit < 0 and label is not None:
+            for p0, p1, q0, q1 in zip(a0, a1, b0, b1, strict=True):
+                for p in range(p0, p1):
+                    j = np.arange(q0 if p0 != q0 else p + 1, q1)
+                    j = j[label[j] != label[p]]
+                    yield np.full(len(j), p), j
+            continue
         if bit < 0:  # equal keys: the ranges' full product, by a star
             for p0, p1, q0, q1 in zip(a0, a1, b0, b1, strict=True):
                 yield np.concatenate([np.arange(p0, p1), np.full(q1 - q0, p0)]), np.concatenate([np.full(p1 - p0, q0), np.arange(q0, q1)])
@@ -111,6 +134,8 @@ def trie_links(keys: np.ndarray, roots: np.ndarray, budget: int = BUDGET) -> Ite
         if leaf.any():
             i, j = a0[leaf], b0[leaf]
             near = np.bitwise_count(keys[i] ^ keys[j]) <= budget
+            if label is not None:
+                near &= label[i] != label[j]
             yield i[near], j[near]
             a0, a1, b0, b1, errors, own = (x[~leaf] for x in (a0, a1, b0, b1, errors, own))
         if not len(a0):
@@ -154,11 +179,15 @@ def forest(n: int, links: Iterable[tuple[np.ndarray, np.ndarray]]) -> tuple[np.n
     return moved, label[moved]
 
 
-def _traverse(pdf: pd.DataFrame, budget: int) -> pd.DataFrame:
-    """The forest of all groups in pdf; its rows lie sorted by group, then side."""
+#: Of a dealt row: its group, the pair of chunks (ci = cj: one chunk with itself) and which of the two it is in.
+GROUP = ["level", "path", "v", "ci", "cj"]
+
+
+def _ranges(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order of pdf's rows by group, side and fp, the sorted fingerprints, and the roots of the groups' tries."""
     fp = pdf["fp"].to_numpy(np.int64).view(np.uint64)
     side = pdf["side"].to_numpy(np.int64)
-    group = np.cumsum(np.concatenate([[0], (np.diff(pdf[["b", "v", "ci", "cj"]].to_numpy(np.int64), axis=0) != 0).any(1)]))
+    group = np.cumsum(np.concatenate([[0], (np.diff(pdf[GROUP].to_numpy(np.int64), axis=0) != 0).any(1)]))
     order = np.lexsort((fp, side, group))
     fp, side, group = fp[order], side[order], group[order]
     ids = np.arange(group[-1] + 1)
@@ -166,32 +195,21 @@ def _traverse(pdf: pd.DataFrame, budget: int) -> pd.DataFrame:
     mid = lo + np.bincount(group, side == 0, len(ids)).astype(np.int64)
     pair = pdf["ci"].to_numpy(np.int64)[order][lo] != pdf["cj"].to_numpy(np.int64)[order][lo]
     roots = np.stack([lo, np.where(pair, mid, hi), np.where(pair, mid, lo), hi], 1)
-    roots = roots[(roots[:, 0] < roots[:, 1]) & (roots[:, 2] < roots[:, 3])]
+    return order, fp, roots[(roots[:, 0] < roots[:, 1]) & (roots[:, 2] < roots[:, 3])]
+
+
+def _traverse(pdf: pd.DataFrame, budget: int) -> Iterator[pd.DataFrame]:
+    """The forest of all groups in pdf, whose rows lie sorted by group."""
+    _, fp, roots = _ranges(pdf)
     u, v = forest(len(fp), trie_links(fp, roots, budget))
     # one link may show in several groups of the batch
     signed = fp.view(np.int64)
     a, b = signed[u], signed[v]
-    return pd.DataFrame({"u": np.maximum(a, b), "v": np.minimum(a, b)}).drop_duplicates()
+    yield pd.DataFrame({"u": np.maximum(a, b), "v": np.minimum(a, b)}).drop_duplicates()
 
 
-def links(distinct: DataFrame, budget: int = BUDGET, chunk: int = CHUNK) -> DataFrame:
-    """Edges u > v between the distinct fingerprints of column fp that span the same components as all links."""
-    width = budget + 1
-    bounds = [64 * k // width for k in range(width + 1)]
-    block = [
-        F.shiftrightunsigned("fp", a).bitwiseAND(F.lit((1 << (b - a)) - 1)) for a, b in zip(bounds[:-1], bounds[1:], strict=True)
-    ]
-    spread = distinct.select("fp", F.posexplode(F.array(*block)).alias("b", "v"))
-    # stored: the join below then has plain exchanges on both sides, and Spark splits a hot group before it is dealt out
-    hot = cut(spread.groupBy("b", "v").count().where(F.col("count") > chunk).select("b", "v", F.ceil(F.col("count") / chunk).cast("int").alias("k")))
-    dealt = spread.join(hot, ["b", "v"], "left").withColumn("k", F.coalesce("k", F.lit(1)))
-    dealt = dealt.withColumn("mine", F.pmod(F.xxhash64("fp"), F.col("k")).cast("int"))
-    dealt = dealt.select("fp", "b", "v", "mine", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other"))
-    dealt = dealt.select(
-        "b", "v", F.least("mine", "other").alias("ci"), F.greatest("mine", "other").alias("cj"),
-        (F.col("mine") > F.col("other")).cast("int").alias("side"), "fp",
-    )
-    key = ["b", "v", "ci", "cj"]
+def by_groups(dealt: DataFrame, traverse, schema: str) -> DataFrame:
+    """What traverse yields of dealt rows, some whole groups at a time."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
@@ -200,15 +218,80 @@ def links(distinct: DataFrame, budget: int = BUDGET, chunk: int = CHUNK) -> Data
             if len(rest) < FOREST:
                 continue
             # all but the last group are whole
-            last = rest[key].iloc[-1]
-            open_ = (rest[key] == last).all(axis=1).to_numpy()
+            last = rest[GROUP].iloc[-1]
+            open_ = (rest[GROUP] == last).all(axis=1).to_numpy()
             if not open_.all():
-                yield _traverse(rest[~open_].reset_index(drop=True), budget)
+                yield from traverse(rest[~open_].reset_index(drop=True))
                 rest = rest[open_].reset_index(drop=True)
         if rest is not None and len(rest):
-            yield _traverse(rest, budget)
+            yield from traverse(rest)
+
+    return dealt.repartition(*GROUP).sortWithinPartitions(*GROUP).mapInPandas(run, schema)
+
+
+def path_bits(level: int, path: int, width: int) -> tuple[list[int], list[int]]:
+    """The bits that agree in the groups of a path, and the other ones from the top; a path lists the block of each level, base width."""
+    free, fixed = list(range(63, -1, -1)), []
+    for k in range(level, -1, -1):
+        b = path // width**k % width
+        block = free[len(free) * b // width : len(free) * (b + 1) // width]
+        fixed += block
+        free = [x for x in free if x not in set(block)]
+    return fixed, free
+
 
-    return dealt.repartition(*key).sortWithinPartitions(*key).mapInPandas(run, "u bigint, v bigint").distinct()
+def _signed(bits) -> int:
+    n = sum(1 << b for b in bits)
+    return n - (1 << 64) if n >> 63 else n
+
+
+def whole(groups: DataFrame) -> DataFrame:
+    """Rows of groups as one chunk each."""
+    zero = F.lit(0).cast("bigint")
+    return groups.withColumns({"ci": zero, "cj": zero, "side": F.lit(0)})
+
+
+def by_prefix(hot: DataFrame, bits: dict[int, list[int]], budget: int, chunk: int) -> DataFrame:
+    """Rows of hot groups dealt out as pairs of chunks; bits: of each path, those that may differ in its groups.
+
+    The lists of prefixes that are broadcast hold, of each path, the sets of at most budget bits out of d, where d grows
+    with the logarithm of the largest group.
+    """
+    d, most = 0, max(map(len, bits.values()))
+    while True:
+        d = min(d + 3, most)
+        masks = [(p, _signed(b[:d]), [_signed(c) for k in range(min(budget, d) + 1) for c in combinations(b[:d], k)]) for p, b in bits.items()]
+        lists = hot.sparkSession.createDataFrame(masks, "path bigint, prefix bigint, masks array<bigint>")
+        placed = hot.join(F.broadcast(lists), "path").withColumn("own", F.col("fp").bitwiseAND(F.col("prefix")))
+        if d == most or placed.groupBy("level", "path", "v", "own").count().where(F.col("count") > chunk).isEmpty():
+            break
+    met = placed.withColumn("mask", F.explode("masks")).withColumn("other", F.col("own").bitwiseXOR(F.col("mask")))
+    met = met.withColumns({"ci": F.least("own", "other"), "cj": F.greatest("own", "other"), "side": (F.col("own") > F.col("other")).cast("int")})
+    return met.drop("own", "other", "mask", "masks", "prefix")
+
+
+def deal(distinct: DataFrame, budget: int = BUDGET, chunk: int = CHUNK) -> DataFrame:
+    """The rows of distinct (fp) with the groups, GROUP and side, in which they meet all fingerprints near them."""
+    width = budget + 1
+    now, out = distinct.withColumn("path", F.lit(0).cast("bigint")), []
+    for level in range(LEVELS):
+        masks = F.array(*(F.lit(_signed(path_bits(level, p, width)[0])).cast("bigint") for p in range(width ** (level + 1))))
+        now = now.withColumn("path", F.explode(F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda b: F.col("path") * width + b)))
+        now = now.select("fp", F.lit(level).alias("level"), "path", F.col("fp").bitwiseAND(F.element_at(masks, (F.col("path") + 1).cast("int"))).alias("v"))
+        # stored: joins on it then have plain exchanges on both sides, and Spark splits a hot group
+        hot = cut(now.groupBy("path", "v").count().where(F.col("count") > chunk).select("path", "v"))
+        if hot.isEmpty():
+            return reduce(DataFrame.unionByName, [*out, whole(now)])
+        out.append(whole(now.join(hot, ["path", "v"], "left_anti")))
+        now = now.join(hot, ["path", "v"], "left_semi").drop("level", "v") if level < LEVELS - 1 else now.join(hot, ["path", "v"], "left_semi")
+    free = {p: path_bits(LEVELS - 1, p, width)[1] for p in range(width**LEVELS)}
+    columns = ["fp", *GROUP, "side"]
+    return reduce(DataFrame.unionByName, [*(x.select(columns) for x in out), by_prefix(cut(now), free, budget, chunk).select(columns)])
+
+
+def links(distinct: DataFrame, budget: int = BUDGET, chunk: int = CHUNK) -> DataFrame:
+    """Edges u > v between the distinct fingerprints of column fp that span the same components as all links."""
+    return by_groups(deal(distinct, budget, chunk), lambda pdf: _traverse(pdf, budget), "u bigint, v bigint").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:

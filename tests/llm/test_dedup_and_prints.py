@@ -68,6 +68,14 @@ def test_links_with_hot_groups(spark, chunk):
     assert len(set(zip(got, want))) == len(set(got)) == len(set(want))
 
 
+def test_dealt_rows_stay_flat(spark):
+    """At a fixed size of groups each fingerprint is dealt out a bounded number of times, however many there are."""
+    rng = random.Random(9)
+    for n in (1000, 4000, 16_000):
+        df = spark.createDataFrame([(rng.getrandbits(64) - (1 << 63),) for _ in range(n)], "fp bigint")
+        assert 5 * n <= simhash.deal(df, chunk=1).count() <= 25 * n
+
+
 def test_long_chain_is_one_component(spark):
     edges = spark.createDataFrame([(i + 1, i) for i in range(150)], "u bigint, v bigint")
     assert {r["v"] for r in simhash.components(edges).collect()} == {0}

@@ -31,10 +31,10 @@ def brute_force(rows):
     return sorted(min(g) for g in groups.values())
 
 
-@pytest.mark.parametrize("sample", [1, 8192])
-def test_near_copies_equal_brute_force(spark, monkeypatch, sample):
+@pytest.mark.parametrize("chunk", [3, 1024])
+def test_near_copies_equal_brute_force(spark, monkeypatch, chunk):
     """Random edits around the similarity of 0.8, short texts, case and white space, a dense group, a shared passage."""
-    monkeypatch.setattr(near_copies, "SAMPLE", sample)
+    monkeypatch.setattr(near_copies.labels, "__defaults__", (chunk,))
     rng = random.Random(4)
     words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
     stock, texts = words(40), []
