@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .audit import MUST_BE_ZERO
+
 SUMS = (
     "nano_entries", "matched", "unmatched", "agree", "disagree", "nAddBJets_ge3", "expanded_sub_in_set",
     "viol_ext_but_lt3", "viol_ge3_not_ext", "viol_prefix_changed", "viol_le2_changed",
 )
 VIOLATIONS = SUMS[-4:]
-#: Job states by bucket; others go to "others" (fixed values).
-STATES = {
-    "finished": ("finished",), "running": ("running",), "idle": ("idle", "unsubmitted", "cooloff"), "transferring": ("transferring", "transferred"), "failed": ("failed", "held", "killed"),
-}
+#: Job states with a column of their own, and those known to go to "others" (fixed values).
+STATES = ("finished", "running", "idle", "transferring", "failed")
+OTHER_STATES = ("unsubmitted", "cooloff", "held", "killed", "killing", "toRetry", "on hold", "resubmitting")
 MOST_JOBS = 10_000
 
 
@@ -88,10 +92,13 @@ def id_gaps(jobs: DataFrame, n: int, job: str = "job") -> DataFrame:
 
 
 def job_states(jobs: DataFrame, by: str = "task", state: str = "state") -> DataFrame:
-    """Jobs by bucket of their state, with a TOTAL row."""
-    known = [s for names in STATES.values() for s in names]
-    buckets = [F.count_if(F.col(state).isin(*names)).alias(k) for k, names in STATES.items()]
-    out = jobs.rollup(by).agg(*buckets, F.count_if(~F.col(state).isin(*known)).alias("others"), F.count("*").alias("total"))
+    """Jobs by state, with a TOTAL row; others counts all states without a column, unknown lists those nobody has heard of."""
+    own = lambda *names: F.coalesce(F.col(state).isin(*names), F.lit(False))
+    strange = F.when(~own(*STATES, *OTHER_STATES), F.coalesce(F.col(state), F.lit("")))
+    out = jobs.rollup(by).agg(
+        *(F.count_if(own(s)).alias(s) for s in STATES), F.count_if(~own(*STATES)).alias("others"), F.count("*").alias("total"),
+        F.array_sort(F.collect_set(strange)).alias("unknown"),
+    )
     return out.withColumn(by, F.coalesce(F.col(by), F.lit("TOTAL")))
 
 
@@ -106,24 +113,40 @@ def name_clashes(names: DataFrame, name: str, member: str) -> DataFrame:
 
 
 def reconcile(catalogue: DataFrame, lineage: DataFrame) -> DataFrame:
-    """child, catalogue parent against the recorded ones: MATCH, MISMATCH, EMPTY, ABSENT, NOT CHECKED."""
+    """child, catalogue parent against the recorded ones: NOT CHECKED unless one parent is recorded, then ABSENT, EMPTY, MATCH or MISMATCH."""
     by = lineage.groupBy("child").agg(F.count("parent").alias("parents"), F.min("parent").alias("found"))
     both = catalogue.join(by, "child", "full_outer")
     status = (
-        F.when(F.col("entry").isNull(), "ABSENT").when(F.coalesce("parents", F.lit(0)) != 1, "NOT CHECKED").when(F.coalesce("parent", F.lit("")) == "", "EMPTY")
+        F.when(F.coalesce("parents", F.lit(0)) != 1, "NOT CHECKED").when(F.col("entry").isNull(), "ABSENT").when(F.coalesce("parent", F.lit("")) == "", "EMPTY")
         .when(F.col("parent") == F.col("found"), "MATCH").otherwise("MISMATCH")
     )
     return both.select("child", "parent", "found", status.alias("status"))
 
 
-def update_parents(reconciled: DataFrame, catalogue: DataFrame) -> tuple[DataFrame, bool]:
-    """The catalogue with empty parents filled in, if every one of them has exactly one recorded parent; else as it was."""
-    filled = catalogue.alias("c").join(reconciled.where("status = 'EMPTY'").select("child", "found"), "child", "left")
-    gate = catalogue.where(F.coalesce("parent", F.lit("")) == "").join(reconciled.where("status = 'EMPTY'"), "child", "left_anti").limit(1).count() == 0
-    if not gate:
+def fillable(reconciled: DataFrame, prefix: str = "") -> DataFrame:
+    """The catalogue's entries without a parent, and whether one can be written: one is recorded, of the child's primary part and with the campaign's prefix."""
+    part = lambda c, k: F.split_part(c, F.lit("/"), F.lit(k))
+    ok = (F.col("status") == "EMPTY") & (part("found", 2) == part("child", 2)) & part("found", 3).startswith(prefix)
+    empty = reconciled.where((F.col("status") == "EMPTY") | ((F.col("status") == "NOT CHECKED") & (F.col("parent") == "")))
+    return empty.select("child", "found", F.coalesce(ok, F.lit(False)).alias("ok"))
+
+
+def update_parents(reconciled: DataFrame, catalogue: DataFrame, prefix: str = "") -> tuple[DataFrame, bool]:
+    """The catalogue with empty parents filled in, if every one of them can be; else as it was.
+
+    The new catalogue is checked before it is returned: only empty parents have changed, and each now holds the one recorded.
+    """
+    empty = F.coalesce("parent", F.lit("")) == ""
+    todo = fillable(reconciled, prefix)
+    row = todo.agg(F.count("*").alias("n"), F.count_if("ok").alias("ok")).first()
+    if not row["n"] or row["ok"] != row["n"] or catalogue.where(empty).join(todo, "child", "left_anti").limit(1).count():
         return catalogue, False
-    new = F.when(F.coalesce("parent", F.lit("")) == "", F.col("found")).otherwise(F.col("parent"))
-    return filled.withColumn("parent", new).select(*catalogue.columns), True
+    filled = catalogue.join(todo.select("child", "found"), "child", "left").withColumn("parent", F.when(empty, F.col("found")).otherwise(F.col("parent"))).select(*catalogue.columns)
+    old, new = (df.select("child", F.coalesce("parent", F.lit("")).alias(name)) for df, name in ((catalogue, "old"), (filled, "new")))
+    bad = old.join(new, "child", "full_outer").join(todo.select("child", "found"), "child", "left").where(
+        ~F.coalesce(F.when(F.col("old") == "", F.col("new") == F.col("found")).otherwise(F.col("new") == F.col("old")), F.lit(False))
+    )
+    return (catalogue, False) if bad.limit(1).count() else (filled, True)
 
 
 def apply_matches(reconciled: DataFrame, catalogue: DataFrame) -> tuple[DataFrame, bool]:
@@ -134,15 +157,21 @@ def apply_matches(reconciled: DataFrame, catalogue: DataFrame) -> tuple[DataFram
 
 #: Data tier version in a dataset's name.
 VERSION = r"(NanoAOD[A-Za-z]*v[0-9]+)"
+#: Parts of campaigns that mark a special reprocessing (fixed values).
+FLAVOUR = r"JMENano|BTVNano|PFNano|MuonNano|TauNano|EGMNano|HIGNano|PUFor|PU35For|FSUL|BPH_"
 
 
-def latest_version(children: DataFrame, by: str = "parent", name: str = "child") -> DataFrame:
-    """The child with the highest -vN among plain flavours, where there are any, else among all."""
-    flavour = F.regexp_extract(name, VERSION, 1)
-    rows = children.select(
-        by, name, (F.regexp_extract(flavour, r"^NanoAODv[0-9]+$", 0) != "").alias("plain"), F.coalesce(F.expr(f"try_cast(regexp_extract({name}, '-v([0-9]+)', 1) AS int)"), F.lit(0)).alias("v")
-    )
-    return rows.groupBy(by).agg(F.max_by(name, F.struct("plain", "v", name)).alias(name), F.max_by("v", F.struct("plain", "v", name)).alias("version"))
+def latest_version(children: DataFrame, want: str, by: str = "parent", name: str = "child", pos: str | None = None) -> DataFrame:
+    """Of the children of version want (v9: NanoAODv9 or NanoAODAPVv9): the plain one with the highest -vN at the end of its
+    campaign, the first of these by pos (default: name); without a plain one the first of all, with version -1."""
+    campaign = F.split_part(name, F.lit("/"), F.lit(3))
+    token = F.regexp_extract(campaign, VERSION, 1)
+    v = F.coalesce(F.expr("try_cast(regexp_extract(_campaign, '-v([0-9]+)$', 1) AS int)"), F.lit(0))
+    rows = children.withColumn("_campaign", campaign).where(token.isin(f"NanoAOD{want}", f"NanoAODAPV{want}"))
+    rows = rows.select(by, name, F.col(pos or name).alias("_pos"), F.when(F.col("_campaign").rlike(FLAVOUR), F.lit(-1)).otherwise(v).alias("_v"))
+    best = rows.groupBy(by).agg(F.max("_v").alias("version"), F.collect_list(F.struct("_v", "_pos", name)).alias("c"))
+    least = F.array_min(F.transform(F.filter("c", lambda x: x["_v"] == F.col("version")), lambda x: F.struct(x["_pos"].alias("p"), x[name].alias(name))))
+    return best.select(by, least[name].alias(name), "version")
 
 
 def child_lineage(entries: DataFrame, children: DataFrame) -> DataFrame:
@@ -172,22 +201,37 @@ def one_timestamp(files: DataFrame, by: str = "sample", path: str = "path") -> D
     return files.groupBy(by).agg(F.count_distinct(F.when(stamp != "", stamp)).alias("stamps")).withColumn("ok", F.col("stamps") == 1)
 
 
-def production_check(tasks: DataFrame, files: DataFrame, counts: DataFrame) -> DataFrame:
-    """task, status DONE or CHECK FAILED: one timestamp, ids exactly 1..n_jobs once each, rows as expected."""
+def production_check(tasks: DataFrame, files: DataFrame, samples: DataFrame) -> DataFrame:
+    """task, status DONE or CHECK FAILED: one timestamp, ids exactly 1..n_jobs once each, rows as expected, and the invariants.
+
+    samples: task, entries and passed, from the check of the task's files (sample_checks); a task without one fails.
+    """
     ids = files.withColumn("job", F.regexp_extract("path", r"_(\d+)\.[a-z]+$", 1).cast("int"))
     by = ids.groupBy("task").agg(
         F.count_distinct(F.regexp_extract("path", r"/(\d{6}_\d{6})/", 1)).alias("stamps"), F.count("job").alias("n"), F.count_distinct("job").alias("d"), F.min("job").alias("lo"), F.max("job").alias("hi")
     )
-    ok = (F.col("stamps") == 1) & (F.col("n") == F.col("n_jobs")) & (F.col("d") == F.col("n_jobs")) & (F.col("lo") == 1) & (F.col("hi") == F.col("n_jobs")) & (F.col("rows") == F.col("n_events"))
-    return tasks.join(by, "task", "left").join(counts, "task", "left").select("task", F.when(F.coalesce(ok, F.lit(False)), "DONE").otherwise("CHECK FAILED").alias("status"))
+    ok = (F.col("stamps") == 1) & (F.col("n") == F.col("n_jobs")) & (F.col("d") == F.col("n_jobs")) & (F.col("lo") == 1) & (F.col("hi") == F.col("n_jobs"))
+    ok = ok & F.col("passed") & (F.col("entries") == F.col("n_events"))
+    return tasks.join(by, "task", "left").join(samples, "task", "left").select("task", F.when(F.coalesce(ok, F.lit(False)), "DONE").otherwise("CHECK FAILED").alias("status"))
+
 
+def sample_checks(by_file: DataFrame, by: str = "task") -> DataFrame:
+    """by, entries and passed (no invariant broken, no file unreadable) of audit.by_file's rows."""
+    broken = reduce(or_, (F.col(c) > 0 for c in MUST_BE_ZERO))
+    bad = F.count_if(broken | F.col("unreadable")) if "unreadable" in by_file.columns else F.count_if(broken)
+    return by_file.groupBy(by).agg(F.sum("entries").alias("entries"), (bad == 0).alias("passed"))
 
-def throughput(snapshots: DataFrame, by: str = "task", most: int = 12) -> DataFrame:
-    """Rate over the last 12 snapshots (t seconds, done, total), what is left at that rate, and stalled where nothing moved."""
+
+def throughput(snapshots: DataFrame, by: str = "task", most: int = 12, stall: float = 8 * 3600.0) -> DataFrame:
+    """Rate over the last 12 snapshots (t seconds, done, total), what is left at that rate (null unless something moved), and
+    stalled where done hasn't grown for stall seconds and isn't total."""
     w = Window.partitionBy(by).orderBy("t").rowsBetween(1 - most, 0)
-    span, moved = F.col("t") - F.first("t").over(w), F.col("done") - F.first("done").over(w)
-    out = snapshots.withColumns({"rate": F.try_divide(moved, span), "stalled": (F.count("*").over(w) == most) & (moved == 0)})
-    return out.withColumn("eta", F.try_divide(F.col("total") - F.col("done"), F.col("rate")))
+    upto = Window.partitionBy(by).orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
+    span, moved = F.greatest(F.col("t") - F.first("t").over(w), F.lit(1)), F.col("done") - F.first("done").over(w)
+    out = snapshots.withColumn("_best", F.max("done").over(Window.partitionBy(by).orderBy("t").rowsBetween(Window.unboundedPreceding, -1)))
+    out = out.withColumn("_progress", F.max(F.when(F.col("_best").isNull() | (F.col("done") > F.col("_best")), F.col("t"))).over(upto))
+    out = out.withColumns({"rate": F.when(moved > 0, moved / span), "stalled": (F.col("done") < F.col("total")) & (F.col("t") - F.col("_progress") >= stall)})
+    return out.withColumn("eta", (F.col("total") - F.col("done")) / F.col("rate")).drop("_best", "_progress")
 
 
 def chunk_files(manifest: DataFrame, per_chunk: int, sample: str = "sample", path: str = "path") -> DataFrame:
@@ -204,9 +248,32 @@ def select_entries(catalogue: DataFrame, era: str | None = None, process: str |
 
 
 def campaign_match(datasets: DataFrame, prefixes: DataFrame) -> DataFrame:
-    """datasets (era, version, dataset) whose processed part starts with the prefix of their era and version."""
-    p = prefixes.select(F.col("era").alias("pe"), F.col("version").alias("pv"), "prefix")
-    return datasets.join(p, (F.col("era") == F.col("pe")) & (F.col("version") == F.col("pv")) & F.split_part("dataset", F.lit("/"), F.lit(3)).startswith(F.col("prefix")), "left_semi")
+    """datasets (era, version, dataset, nano_child) with matches: both campaigns start with the prefixes of the era.
+
+    prefixes: era, version (null: any), mini, nano.  For an era that isn't in it, both campaigns must contain the era; an era
+    that is, but not with this version, does not match.
+    """
+    p = prefixes.select(F.col("era").alias("pe"), F.col("version").alias("pv"), "mini", "nano")
+    known = prefixes.groupBy(F.col("era").alias("ke")).agg(F.lit(True).alias("known"))
+    mini, nano = (F.coalesce(F.split_part(c, F.lit("/"), F.lit(3)), F.lit("")) for c in ("dataset", "nano_child"))
+    both = datasets.join(known, F.col("era") == F.col("ke"), "left")
+    both = both.join(p, (F.col("era") == F.col("pe")) & (F.col("pv").isNull() | (F.col("pv") == F.trim(F.coalesce("version", F.lit(""))))), "left")
+    listed = mini.startswith(F.col("mini")) & nano.startswith(F.col("nano"))
+    matches = F.when(F.col("known").isNull(), mini.contains(F.col("era")) & nano.contains(F.col("era"))).otherwise(F.coalesce(listed, F.lit(False)))
+    return both.select(*datasets.columns, matches.alias("matches"))
+
+
+def catalogue_keys(shorts: DataFrame, names: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """shorts (short) with the catalogue's keys (era, name) of the datasets it stands for."""
+    primary = catalogue.select("era", "name", F.split_part("dataset", F.lit("/"), F.lit(2)).alias("primary"))
+    return shorts.join(names, "short").join(primary, "primary").select("short", "era", "name")
+
+
+def request_name(name: str = "name", era: str = "era", suffix: str = "", tag: str = ""):
+    """name_era[_label]_extend[_suffix][_tag]; the label is v3 for entries of that version, else the role of those that have a version."""
+    label = F.when(_entry("miniaod_version") == "v3", "v3").when(_entry("miniaod_version") != "", _entry("nano_role"))
+    some = lambda c: F.when(c != "", c)
+    return F.concat_ws("_", F.col(name), F.col(era), some(label), F.lit("extend"), some(F.lit(suffix)), some(F.lit(tag)))
 
 
 def short_names(datasets: DataFrame, names: DataFrame) -> DataFrame:
@@ -214,30 +281,85 @@ def short_names(datasets: DataFrame, names: DataFrame) -> DataFrame:
     return datasets.withColumn("primary", F.split_part("dataset", F.lit("/"), F.lit(2))).join(names, "primary", "left")
 
 
-def entry_problems(catalogue: DataFrame) -> DataFrame:
-    """Entries with rules they break: version with role, mask with its checksum, extension names, enabled but not verified."""
-    main = F.coalesce("nano_role", F.lit("main")) == "main"
+#: Eras whose entries name a version and a role; versions and roles there are (fixed values).
+VERSIONED_ERAS = ("2022", "2022EE", "2023", "2023BPix")
+VERSIONS = ("v3", "v4")
+ROLES = ("main", "ext1")
+
+
+def expected_mask():
+    """The name an entry's mask must have."""
+    return F.concat(F.lit("crab_lumimask_"), F.col("era"), F.lit("_"), F.coalesce("name", F.lit("?")), F.lit("_v3.json"))
+
+
+def _entry(c: str):
+    return F.trim(F.coalesce(F.col(c), F.lit("")))
+
+
+def entry_problems(catalogue: DataFrame, masks: DataFrame | None = None) -> DataFrame:
+    """Entries with the rules they break, in this order; masks: mask_identity's rows, by era and name, for what their files break.
+
+    An entry of a versioned era, or one with a version or role, needs a known version and role; v3 goes with main only; main
+    bars _ext from both datasets, another role wants _role- in both.  v3 needs a mask, others have none; no checksum without
+    mask; a mask has a bare name, the entry's own, and a checksum.
+    """
+    version, role, mask, md5 = (_entry(c) for c in ("miniaod_version", "nano_role", "lumi_mask", "lumi_mask_md5"))
+    mini, nano = (F.coalesce(F.split_part(c, F.lit("/"), F.lit(3)), F.lit("")) for c in ("dataset", "nano_child"))
+    ruled = F.col("era").isin(*VERSIONED_ERAS) | (version != "") | (role != "")
+    known = role.isin(*ROLES)
+    marked = F.concat(F.lit("_"), role, F.lit("-"))
+    bare = ~mask.contains("/") & ~mask.isin(".", "..")
     rule = lambda bad, text: F.when(F.coalesce(bad, F.lit(False)), text)
     problems = F.array_compact(F.array(
-        rule(~F.coalesce("miniaod_version", F.lit("v4")).isin("v3", "v4"), "unknown version"),
-        rule(~F.coalesce("nano_role", F.lit("main")).rlike("^(main|ext[0-9]+)$"), "unknown role"),
-        rule(F.col("lumi_mask").isNotNull() & F.col("lumi_mask_md5").isNull(), "mask without checksum"),
-        rule(F.col("lumi_mask").contains("/"), "mask is not a bare name"),
-        rule(~main & ~F.col("dataset").contains("ext"), "extension role for a dataset that is none"),
-        rule(main & F.col("dataset").rlike("_ext[0-9]"), "main role for an extension"),
-        rule(F.col("enabled") & ~F.col("verified"), "enabled but not verified"),
+        rule(ruled & ~version.isin(*VERSIONS), "unknown version"),
+        rule(ruled & ~known, "unknown role"),
+        rule(ruled & known & (version == "v3") & (role != "main"), "v3 with another role than main"),
+        rule(ruled & (role == "main") & (mini.contains("_ext") | nano.contains("_ext")), "main role for an extension"),
+        rule(ruled & known & (role != "main") & ~(mini.contains(marked) & nano.contains(marked)), "extension role for a dataset that is none"),
+        rule((version == "v3") & (mask == ""), "v3 without mask"),
+        rule((version != "v3") & (mask != ""), "mask on another version than v3"),
+        rule((md5 != "") & (mask == ""), "checksum without mask"),
+        rule((mask != "") & ~bare, "mask is not a bare name"),
+        rule((mask != "") & bare & (mask != expected_mask()), "mask of another entry"),
+        rule((mask != "") & bare & (mask == expected_mask()) & (md5 == ""), "mask without checksum"),
     ))
-    return catalogue.select("name", problems.alias("problems")).where(F.size("problems") > 0)
+    out = catalogue.select("era", "name", problems.alias("problems"))
+    if masks is not None:
+        bad = masks.where(F.col("problem").isNotNull()).select(F.col("era").alias("_era"), F.col("name").alias("_name"), "problem")
+        out = out.join(bad, F.col("era").eqNullSafe(F.col("_era")) & F.col("name").eqNullSafe(F.col("_name")), "left")
+        out = out.select("era", "name", F.array_union("problems", F.array_compact(F.array("problem"))).alias("problems"))
+    return out.where(F.size("problems") > 0)
+
+
+def mask_identity(files: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """Entries that name a mask, against files (path, content of a binaryFile scan): era, name, lumi_mask and the first problem.
+
+    A bare name, the entry's own, a checksum, a file, the checksum in lower case, a mask, at least one lumi; null if all hold.
+    """
+    mask, md5 = _entry("lumi_mask"), F.lower(_entry("lumi_mask_md5"))
+    have = files.select(F.element_at(F.split("path", "/"), -1).alias("file"), F.md5("content").alias("found"), F.decode("content", "UTF-8").alias("text"))
+    both = catalogue.where(mask != "").withColumns({"mask": mask, "wanted": md5}).join(have, F.col("mask") == F.col("file"), "left")
+    runs = F.from_json("text", "map<string, array<array<bigint>>>")
+    lumis = F.aggregate(F.flatten(F.map_values(runs)), F.lit(0).cast("bigint"), lambda n, p: n + F.get(p, F.lit(1)) - F.get(p, F.lit(0)) + 1)
+    problem = (
+        F.when(F.col("mask").contains("/") | F.col("mask").isin(".", ".."), "mask is not a bare name").when(F.col("mask") != expected_mask(), "mask of another entry")
+        .when(F.col("wanted") == "", "mask without checksum").when(F.col("found").isNull(), "mask file missing").when(F.col("found") != F.col("wanted"), "mask with another checksum")
+        .when(lumis.isNull(), "not a mask").when(lumis == 0, "mask without lumis")
+    )
+    return both.select("era", "name", "lumi_mask", problem.alias("problem"))
 
 
-def mask_identity(files: DataFrame, wanted: DataFrame) -> DataFrame:
-    """wanted (name, md5) against files (path, content of a binaryFile scan): ok if the name is there with that checksum."""
-    have = files.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.md5("content").alias("found"))
-    return wanted.join(have, "name", "left").withColumn("ok", F.coalesce(F.col("md5") == F.col("found"), F.lit(False)))
+#: What replies to a resubmission say (fixed values).
+NOTHING = ("found no jobs to resubmit", "no jobs to resubmit")
+REFUSED = ("will not proceed with the resubmission", "status information is unavailable", "has not been submitted to the grid scheduler yet")
+SENT = ("resubmit request sent to the server",)
 
 
-def classify_answers(answers: DataFrame, text: str = "text") -> DataFrame:
-    """Replies of a resubmission: nothing, refused, sent, error, unclear, in this order of precedence."""
-    t = F.lower(text)
-    status = F.when(t.contains("no jobs") | t.contains("nothing"), "nothing").when(t.contains("refused") | t.contains("not allowed"), "refused").when(t.contains("sent") | t.contains("submitted"), "sent").when(t.contains("error") | t.contains("failed"), "error").otherwise("unclear")
+def classify_answers(answers: DataFrame, text: str = "text", error: str = "error") -> DataFrame:
+    """Replies of a resubmission: nothing or refused by what the reply or the exception says, sent by the reply alone, else error if
+    there was an exception, else unclear."""
+    low = F.lower(F.coalesce(F.col(text), F.lit("")))
+    both = F.concat(low, F.lit(" "), F.lower(F.coalesce(F.col(error), F.lit(""))))
+    says = lambda where, phrases: reduce(or_, (where.contains(p) for p in phrases))
+    status = F.when(says(both, NOTHING), "nothing").when(says(both, REFUSED), "refused").when(says(low, SENT), "sent").when(F.col(error).isNotNull(), "error").otherwise("unclear")
     return answers.withColumn("status", status)

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import codec
+from ..functions.store import stored
 from ..plans.verdict import Refused
 
 KEY = ("run", "luminosityBlock", "event")
@@ -44,6 +45,11 @@ def valid_dataset(name: str) -> bool:
     return GRAMMAR.fullmatch(name) is not None
 
 
+def valid(name: Column) -> Column:
+    """valid_dataset for columns."""
+    return F.coalesce(name.rlike(f"^{GRAMMAR.pattern}$"), F.lit(False))
+
+
 def parse_spec(text: str) -> Spec:
     """``DATASET=MANIFEST[:PRIORITY]``; a last part of one to six digits is the priority, other uses of a colon are refused."""
     name, found, rest = text.partition("=")
@@ -151,16 +157,16 @@ def multi_event_keys(rank: DataFrame) -> DataFrame:
 def too_close(rank: DataFrame) -> DataFrame:
     """Pairs of distinct events that share a key, one of them with extra jets, and whose fingerprints are nearly the same.
 
-    Events of a key are few by nature; the join is on the key, with the rest as residual condition.
+    Such events have equal ids, so they meet by key and ids; in order of the first fraction each one looks at those that
+    follow it, and only pairs that are close become rows.
     """
-    cols = [*KEY, "datasetIdx", "Expanded_genTtbarId", *FINGERPRINT, "x1_bits", "x2_bits"]
-    first = rank.where("rank = 1").select(*cols).withColumn("fp", F.struct(*BITS))
-    several = first.groupBy("datasetIdx", *KEY).agg(F.collect_list(F.struct("fp", "Expanded_genTtbarId", *FINGERPRINT)).alias("e")).where(F.size("e") > 1)
-    one = several.select("datasetIdx", *KEY, F.posexplode(F.array_sort("e")).alias("i", "a"), "e")
-    two = one.select("datasetIdx", *KEY, "i", "a", F.explode(F.slice(F.array_sort("e"), F.col("i") + 2, F.size("e"))).alias("b"))
-    close: Column = (F.col("a.Generator_id1") == F.col("b.Generator_id1")) & (F.col("a.Generator_id2") == F.col("b.Generator_id2"))
-    close = close & codec.near("a.Generator_x1", "b.Generator_x1") & codec.near("a.Generator_x2", "b.Generator_x2")
-    return two.where((codec.is_ttnb("a.Expanded_genTtbarId") | codec.is_ttnb("b.Expanded_genTtbarId")) & close)
+    first = rank.where("rank = 1").select("datasetIdx", *KEY, F.struct("Generator_x1", "Generator_x2", "x1_bits", "x2_bits", "Generator_id1", "Generator_id2", "Expanded_genTtbarId").alias("e"))
+    several = first.groupBy("datasetIdx", *KEY, F.col("e.Generator_id1").alias("_id1"), F.col("e.Generator_id2").alias("_id2")).agg(F.sort_array(F.collect_list("e")).alias("all")).where(F.size("all") > 1)
+    wanted = lambda a, b: codec.is_ttnb(a["Expanded_genTtbarId"]) | codec.is_ttnb(b["Expanded_genTtbarId"])
+    close = lambda a, b: codec.near(a["Generator_x1"], b["Generator_x1"]) & codec.near(a["Generator_x2"], b["Generator_x2"]) & wanted(a, b)
+    near = lambda a, i: F.transform(F.filter(F.slice("all", i + 2, F.size("all")), lambda b: close(a, b)), lambda b: F.struct(a.alias("a"), b.alias("b")))
+    pairs = several.select("datasetIdx", *KEY, F.explode(F.flatten(F.transform("all", near))).alias("p"))
+    return pairs.select("datasetIdx", *KEY, "p.a", "p.b")
 
 
 def summary(lookup_rows: DataFrame) -> DataFrame:
@@ -183,7 +189,8 @@ def run(parts: list[tuple[str, int, DataFrame]], fmt: int, expect: dict[str, int
     for name in expect or {}:
         if name not in names:
             raise Refused(2, f"expectation for unknown dataset {name}")
-    rank = ranked(rows, fmt)
+    # stored: the counters, the pairs and the output all read it
+    rank = stored(ranked(rows, fmt))
     # one pass for all counters, a row per input
     small = lambda c: F.col(c).between(-(2**15), 2**15 - 1)
     odd = codec.is_ttnb("Expanded_genTtbarId") != (F.col("nAddBJets") >= 3)

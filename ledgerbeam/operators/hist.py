@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from ..functions import codec
 
 #: Histograms of one table: name -> (bins, low, high) (fixed values).
-BOOKED = {"id": (60_000, 0, 60_000), "sub": (100, 0, 100), "nadd": (16, 0, 16)}
+BOOKED = {
+    "genTtbarId": (60_000, 0, 60_000), "genTtbarId_sub": (100, 0, 100), "Expanded": (60_000, 0, 60_000), "Expanded_sub": (100, 0, 100),
+    "nAddBJets": (16, 0, 16), "nAddBJetsMulti": (16, 0, 16),
+}
 
 
 def histogram(df: DataFrame, value, bins: int, low: float, high: float, weight=None, by: tuple[str, ...] = ()) -> DataFrame:
@@ -20,19 +23,22 @@ def histogram(df: DataFrame, value, bins: int, low: float, high: float, weight=N
 
 
 def booked(df: DataFrame) -> DataFrame:
-    """The three histograms in one pass: hist, bin, n."""
-    values = {"id": F.col("Expanded_genTtbarId"), "sub": codec.raw_sub_code("Expanded_genTtbarId"), "nadd": F.col("nAddBJets")}
+    """The histograms of a sidecar table in one pass, of one without its columns the first two: hist, bin, n, sumw2 (weights are 1)."""
+    values = {"genTtbarId": F.col("genTtbarId"), "genTtbarId_sub": codec.raw_sub_code("genTtbarId")}
+    if "Expanded_genTtbarId" in df.columns:
+        values |= {"Expanded": F.col("Expanded_genTtbarId"), "Expanded_sub": codec.raw_sub_code("Expanded_genTtbarId"), "nAddBJets": F.col("nAddBJets"), "nAddBJetsMulti": F.col("nAddBJetsMulti")}
     entries = F.array(*(
-        F.struct(F.lit(h).alias("hist"), F.when(values[h] < lo, 0).when(values[h] >= hi, n + 1).otherwise(F.floor((values[h] - lo) * n / (hi - lo)) + 1).cast("int").alias("bin"))
-        for h, (n, lo, hi) in BOOKED.items()
+        F.struct(F.lit(h).alias("hist"), F.when(x < lo, 0).when(x >= hi, n + 1).otherwise(F.floor((x - lo) * n / (hi - lo)) + 1).cast("int").alias("bin"))
+        for h, x in values.items() for n, lo, hi in (BOOKED[h],)
     ))
-    return df.select(F.explode(entries).alias("e")).groupBy("e.hist", "e.bin").agg(F.count("*").alias("n"))
+    return df.select(F.explode(entries).alias("e")).groupBy("e.hist", "e.bin").agg(F.count("*").alias("n"), F.count("*").cast("double").alias("sumw2"))
 
 
-def merge(histograms: DataFrame) -> DataFrame:
-    """Bin-wise sums by process: the name without a last part of digits."""
-    process = F.regexp_replace("name", r"_[0-9]+$", "")
-    return histograms.groupBy(process.alias("process"), "bin").agg(F.sum("n").alias("n"))
+def merge(histograms: DataFrame, prefix: str = "") -> DataFrame:
+    """Bin-wise sums by process: the name without its prefix and a last part of digits; names with another prefix are left out."""
+    head = f"{prefix}_" if prefix else ""
+    process = F.regexp_replace(F.substr("name", F.lit(len(head) + 1)), r"_[0-9]+$", "")
+    return histograms.where(F.col("name").startswith(head)).groupBy(process.alias("process"), "bin").agg(F.sum("n").alias("n"))
 
 
 def ratio(left: DataFrame, right: DataFrame, normalise: bool = False) -> DataFrame:

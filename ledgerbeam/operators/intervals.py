@@ -23,17 +23,37 @@ def checked_mask(mask: DataFrame) -> DataFrame:
     return mask.drop("parts")
 
 
-def _inside(rows: DataFrame, mask: DataFrame, how: str) -> DataFrame:
-    m = mask.select(F.col("run").alias("_run"), F.col("lo").alias("_lo"), F.col("hi").alias("_hi"))
-    return rows.join(m, (F.col("run") == F.col("_run")) & F.col("luminosityBlock").between(F.col("_lo"), F.col("_hi")), how)
+#: Blocks of a stretch are numbered within 2**BITS.
+BITS = 10
+
+
+def stretches(mask: DataFrame) -> DataFrame:
+    """run, stretch (of 2**BITS blocks) and its intervals, cut to the stretch and sorted: at most 2**BITS different ones a row."""
+    size = 1 << BITS
+    cut = mask.select("run", "lo", "hi", F.explode(F.sequence(F.shiftright("lo", BITS), F.shiftright("hi", BITS))).alias("stretch"))
+    first = F.col("stretch") * size
+    part = F.struct(F.greatest("lo", first).alias("lo"), F.least("hi", first + (size - 1)).alias("hi"))
+    return cut.groupBy("run", "stretch").agg(F.sort_array(F.collect_set(part)).alias("intervals"))
+
+
+def _marked(rows: DataFrame, mask: DataFrame) -> DataFrame:
+    """rows with _in; the join is on run and stretch, so rows of one run are spread."""
+    m = stretches(mask).select(F.col("run").alias("_run"), F.col("stretch").alias("_stretch"), "intervals")
+    both = rows.join(m, (F.col("run") == F.col("_run")) & (F.shiftright(F.col("luminosityBlock").cast("bigint"), BITS) == F.col("_stretch")), "left")
+    inside_ = F.exists("intervals", lambda i: F.col("luminosityBlock").between(i["lo"], i["hi"]))
+    return both.select(*rows.columns, F.coalesce(inside_, F.lit(False)).alias("_in"))
+
+
+def _inside(rows: DataFrame, mask: DataFrame, want: bool) -> DataFrame:
+    return _marked(rows, mask).where(F.col("_in") if want else ~F.col("_in")).drop("_in")
 
 
 def inside(rows: DataFrame, mask: DataFrame) -> DataFrame:
-    return _inside(rows, mask, "left_semi")
+    return _inside(rows, mask, True)
 
 
 def outside(rows: DataFrame, mask: DataFrame) -> DataFrame:
-    return _inside(rows, mask, "left_anti")
+    return _inside(rows, mask, False)
 
 
 def blocks(rows: DataFrame, file: str | None = None, file_index: str | None = None) -> DataFrame:
@@ -43,16 +63,19 @@ def blocks(rows: DataFrame, file: str | None = None, file_index: str | None = No
 
 
 def coverage(seen: DataFrame, mask: DataFrame) -> DataFrame:
-    """One row: mask_lumis (overlapping intervals count twice), seen, inside and outside distinct blocks, and unseen ones."""
-    lumis = mask.select(F.lit("mask_lumis").alias("what"), (F.col("hi") - F.col("lo") + 1).alias("n"))
-    s = seen.select("run", "luminosityBlock").distinct()
-    ins = inside(s, mask).select(F.lit("inside").alias("what"), F.lit(1).cast("bigint").alias("n"))
-    total = s.select(F.lit("seen").alias("what"), F.lit(1).cast("bigint").alias("n"))
-    whole = mask.select("run", F.explode(F.sequence("lo", "hi")).alias("luminosityBlock")).distinct()
-    rest = whole.join(s, ["run", "luminosityBlock"], "left_anti").select(F.lit("unseen").alias("what"), F.lit(1).cast("bigint").alias("n"))
-    every = lumis.unionByName(total).unionByName(ins).unionByName(rest)
-    sums = {k: F.coalesce(F.sum(F.when(F.col("what") == k, F.col("n"))), F.lit(0)) for k in ("mask_lumis", "seen", "inside", "unseen")}
-    return every.agg(sums["mask_lumis"].alias("mask_lumis"), sums["seen"].alias("seen"), sums["inside"].alias("inside"), (sums["seen"] - sums["inside"]).alias("outside"), sums["unseen"].alias("unseen"))
+    """One row: mask_lumis (overlapping intervals count twice), seen, inside and outside distinct blocks, and unseen ones.
+
+    The mask's different blocks are counted by the lengths of its intervals, so none of them becomes a row.
+    """
+    start = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(-1).cast("bigint").alias("at"))
+    step = lambda a, i: F.struct((a["n"] + F.greatest(F.lit(0), i["hi"] - F.greatest(i["lo"] - 1, a["at"]))).alias("n"), F.greatest(a["at"], i["hi"]).alias("at"))
+    blocks_ = stretches(mask).agg(F.coalesce(F.sum(F.aggregate("intervals", start, step, lambda a: a["n"])), F.lit(0)).alias("distinct"))
+    lumis = mask.agg(F.coalesce(F.sum(F.col("hi") - F.col("lo") + 1), F.lit(0)).alias("mask_lumis"))
+    s = _marked(seen.select("run", "luminosityBlock").distinct(), mask).agg(F.count("*").alias("seen"), F.count_if("_in").alias("inside"))
+    # one row each
+    one = lambda df: df.withColumn("_k", F.lit(1))
+    all_ = one(lumis).join(one(blocks_), "_k").join(one(s), "_k")
+    return all_.select("mask_lumis", "seen", "inside", (F.col("seen") - F.col("inside")).alias("outside"), (F.col("distinct") - F.col("inside")).alias("unseen"))
 
 
 def containment(rows: DataFrame, mask: DataFrame, full: bool = False) -> Verdict:

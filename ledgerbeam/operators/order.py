@@ -5,23 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.store import stored
+
 KEY = ("run", "luminosityBlock", "event")
 
 
 def row_index(df: DataFrame, *order: str, name: str = "row_index") -> DataFrame:
     """df sorted by order with each row's number from 0, without a window over one partition.
 
-    A range exchange sorts; the partitions' sizes, one small row each, give the offsets.  The ranged rows are cached, as
+    A range exchange sorts; the partitions' sizes, one small row each, give the offsets.  The ranged rows are stored, as
     both readers must see the same partitions.
     """
     place = F.monotonically_increasing_id()
     shards = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(shards, *order).sortWithinPartitions(*order).select("*", F.shiftright(place, 33).alias("_shard"), place.bitwiseAND(F.lit((1 << 33) - 1)).alias("_k")).persist()
+    ranged = df.repartitionByRange(shards, *order).sortWithinPartitions(*order).select("*", F.shiftright(place, 33).alias("_shard"), place.bitwiseAND(F.lit((1 << 33) - 1)).alias("_k"))
+    ranged = stored(ranged)
     starts = ranged.groupBy("_shard").agg(F.count("*").alias("_n"))
     starts = starts.withColumn("_start", F.sum("_n").over(Window.orderBy("_shard")) - F.col("_n")).drop("_n")
     return ranged.join(F.broadcast(starts), "_shard").withColumn(name, F.col("_start") + F.col("_k")).drop("_shard", "_k", "_start")
 
 
+def first_rows(df: DataFrame, n: int, key=KEY) -> DataFrame:
+    """The first n rows in order of key."""
+    return df.orderBy(*key).limit(n)
+
+
 def shards(df: DataFrame, rows: int, key=KEY) -> DataFrame:
     """df with part: exactly rows to each part, but for the last."""
     return row_index(df, *key).withColumn("part", F.call_function("div", F.col("row_index"), F.lit(rows).cast("bigint")))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import re
+import time
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,6 +83,47 @@ def row_counts(spark: SparkSession, files: list[str]) -> DataFrame:
     return spark.read.parquet(*files).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("rows"))
 
 
+class Opened(NamedTuple):
+    """What opening all files beforehand gave."""
+
+    counts: DataFrame  # file, rows
+    total: int
+    bad: list[str]
+
+    @property
+    def indicative(self) -> bool:
+        """Files are missing, so nothing that is counted stands for the whole sample."""
+        return bool(self.bad)
+
+
+def open_check(spark: SparkSession, files: list[str], attempts: int = 3, wait: float = 10.0, longest: float = 300.0, budget: float = 1800.0, allow_missing: bool = False) -> Opened:
+    """Rows of each file.  Where files can't be opened, they are tried again, attempts times with doubled waits up to longest and
+    budget seconds in all; the rest is refused (4), naming ten, or left out with allow_missing, which makes the result indicative.
+    """
+    began, bad = time.monotonic(), list(files)
+    for k in range(max(1, attempts)):
+        try:
+            counts = row_counts(spark, files)
+            return Opened(counts, counts.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n")).first()["n"], [])
+        except Exception:
+            pause = min(wait * 2**k, longest)
+            if k + 1 >= attempts or time.monotonic() - began + pause > budget:
+                break
+            time.sleep(pause)
+    bad = [f for f in files if not _opens(spark, f)]
+    if not allow_missing or len(bad) == len(files):
+        raise Refused(4, f"can't open {', '.join(bad[:10])}" + (f" … and {len(bad) - 10} more" if len(bad) > 10 else ""))
+    counts = row_counts(spark, [f for f in files if f not in set(bad)])
+    return Opened(counts, counts.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n")).first()["n"], bad)
+
+
+def _opens(spark: SparkSession, file: str) -> bool:
+    try:
+        return spark.read.parquet(file).limit(1).count() >= 0
+    except Exception:
+        return False
+
+
 def check_complete(looped: int, counted: int) -> None:
     if looped != counted:
         raise Refused(4, f"{looped} rows read, {counted} counted before")
@@ -109,12 +152,12 @@ def read_rows(spark: SparkSession, path: str, fingerprint: bool = False) -> Data
     return spark.read.csv(path, sep=" ", schema=schema, mode="FAILFAST")
 
 
-def read_chunks(spark: SparkSession, paths) -> DataFrame:
-    """Chunk counters, one JSON document a file; unreadable ones keep their text in corrupt."""
+def read_chunks(spark: SparkSession, paths, lines: bool = False) -> DataFrame:
+    """Chunk counters, one JSON document a file, or a line; unreadable ones keep their text in corrupt."""
     fields = "label string, sample string, chunk int, exit_code int, job_failed boolean, expanded_sub_counts map<string,bigint>, orig_sub_of_reclassified map<string,bigint>, disagree_by_nano_sub map<string,bigint>, corrupt string"
     for c in ("nano_entries", "nano_entries_postloop", "nano_entries_opencheck", "matched", "unmatched", "agree", "disagree", "nAddBJets_ge3", "expanded_sub_in_set", "viol_ext_but_lt3", "viol_ge3_not_ext", "viol_prefix_changed", "viol_le2_changed"):
         fields += f", {c} bigint"
-    return spark.read.schema(fields).option("multiLine", "true").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "corrupt").json(paths)
+    return spark.read.schema(fields).option("multiLine", str(not lines).lower()).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "corrupt").json(paths)
 
 
 def catalogue(spark: SparkSession, text: str) -> DataFrame:

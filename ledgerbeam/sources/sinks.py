@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import order
@@ -53,7 +53,7 @@ def write_sidecar(df: DataFrame, out: str) -> None:
 
 
 def write_shards(df: DataFrame, out: str, rows: int) -> DataFrame:
-    """df in parts of exactly rows rows (the last may have fewer) below out/part=N, and their index, which is returned."""
+    """df in parts of exactly rows rows (the last may have fewer) below out/part=N, and their index in out_index, which is returned."""
     parts = order.shards(df, rows)
     before = df.count()
     # a part may lie on two of the range partitions' borders; dealing by part makes it one sorted file
@@ -61,14 +61,15 @@ def write_shards(df: DataFrame, out: str, rows: int) -> DataFrame:
     back = df.sparkSession.read.parquet(out)
     if back.count() != before:
         raise Refused(4, "rows were lost in sharding")
-    return order.shard_index(back)
+    order.shard_index(back).orderBy("part").coalesce(1).write.mode("errorifexists").parquet(f"{out.rstrip('/')}_index")
+    return df.sparkSession.read.parquet(f"{out.rstrip('/')}_index")
 
 
 def lookup_metadata(spark: SparkSession, fmt: int, datasets: list[str], sources: DataFrame) -> dict[str, DataFrame]:
     """Tables to be written beside a lookup table; datasets without a row are listed too."""
     names = [(k, n) for k, n in enumerate(sorted(set(datasets)))]
     return {
-        "lookup_format": spark.createDataFrame([(fmt,)], "lookup_format int"), "nano_datasets": spark.createDataFrame(names, "datasetIdx int, dataset string"), "sources": sources,
+        "lookup_format": spark.createDataFrame([(f"tthh-ttnb/{fmt}",)], "lookup_format string"), "nano_datasets": spark.createDataFrame(names, "datasetIdx int, dataset string"), "sources": sources,
     }
 
 
@@ -82,14 +83,44 @@ def order_csv(report: DataFrame, out: str) -> None:
 
 
 def task_tsv(rows: DataFrame) -> DataFrame:
-    """Rows as tab-separated lines under a # header; cells with tabs or line ends fail the job."""
+    """Rows as tab-separated lines under a # header, in the order they come in; cells with tabs or line ends fail the job.
+
+    A plan or record has a row per task, so one task numbers the lines.
+    """
     cells = []
     for c in rows.columns:
         text = F.coalesce(F.col(c).cast("string"), F.lit(""))
         cells.append(F.when(text.rlike("[\t\r\n]"), F.raise_error(F.lit(f"bad cell in {c}"))).otherwise(text))
-    head = rows.sparkSession.createDataFrame([(0, "#" + "\t".join(rows.columns))], "k int, value string")
-    body = rows.select(F.lit(1).alias("k"), F.concat_ws("\t", *cells).alias("value"))
-    return head.unionByName(body).orderBy("k", "value").select("value")
+    head = rows.sparkSession.createDataFrame([(0, "#" + "\t".join(rows.columns))], "k bigint, value string")
+    body = rows.coalesce(1).select((F.monotonically_increasing_id() + 1).alias("k"), F.concat_ws("\t", *cells).alias("value"))
+    return head.unionByName(body).orderBy("k").select("value")
+
+
+def write_tsv(rows: DataFrame, out: str) -> None:
+    """task_tsv's lines in the one file out, which appears whole or not at all; an existing out is refused (4)."""
+    spark = rows.sparkSession
+    fs, path, make = _store(spark, out)
+    if fs.exists(path):
+        raise Refused(4, f"{out} exists")
+    staging = make(f"{out}.tmp.{uuid.uuid4().hex}")
+    try:
+        task_tsv(rows).coalesce(1).write.text(staging.toString())
+        part = next(f.getPath() for f in fs.listStatus(staging) if f.getPath().getName().startswith("part-"))
+        if not fs.rename(part, path):
+            raise Refused(4, f"can't write {out}")
+    finally:
+        fs.delete(staging, True)
+
+
+def thousands(n) -> Column:
+    """Whole numbers with commas, for reports."""
+    return F.format_number(n, 0)
+
+
+def stamp(seconds) -> Column:
+    """Seconds since 1970 as a UTC time for reports, whatever the session's zone."""
+    s = (F.col(seconds) if isinstance(seconds, str) else seconds).cast("bigint")
+    return F.date_format(F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.timestamp_seconds(s).cast("timestamp_ntz")), "yyyy-MM-dd HH:mm:ss 'UTC'")
 
 
 def dump(df: DataFrame, metadata: dict[str, str] | None = None) -> list[str]:

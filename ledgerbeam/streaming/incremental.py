@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import codec
+from ..functions.store import stored
 from ..operators import audit
 
 
@@ -16,23 +18,45 @@ def stream(spark: SparkSession, path: str, schema, files_per_batch: int = 100) -
 
 
 def incremental_counters(rows: DataFrame, reference: DataFrame, out: str, checkpoint: str):
-    """A query that writes, for every batch of new rows, the counters of their match with reference to out/batch=N.
+    """A query that writes, for every batch of new rows, below out: the keys it brings (seen), the counters of the reference's
+    rows that match them (counters), their census by sub-code (census), and the rows that repeat a key (repeats).
 
-    A batch that runs again overwrites its own folder, so sums over the folders count each row once.
+    A key counts once, in the batch that brings it first; later rows with it are repeats.  What no batch matches is counted
+    by totals, once, at the end.  A batch that runs again overwrites its own folders, so sums over them count each row once.
     """
 
     def one(batch: DataFrame, number: int) -> None:
-        counted = audit.counters(audit.match(reference.join(batch.select(*audit.KEY).distinct(), list(audit.KEY), "left_semi"), batch))
-        counted.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        spark = batch.sparkSession
+        at = lambda name: f"{out}/{name}/batch={number}"
+        keys = list(audit.KEY)
+        fresh = batch
+        if number:
+            before = spark.read.schema(batch.select(*keys).schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ")).parquet(*(f"{out}/seen/batch={k}" for k in range(number)))
+            fresh = batch.join(before, keys, "left_anti")
+        fresh = stored(fresh)
+        fresh.select(*keys).distinct().write.mode("overwrite").parquet(at("seen"))
+        matched = audit.match(reference, fresh).where(F.col("side").isNotNull())
+        audit.counters(matched).write.mode("overwrite").parquet(at("counters"))
+        first = fresh.groupBy(*keys).agg(F.min("Expanded_genTtbarId").alias("code"))
+        first.groupBy(codec.sub_code("code").alias("sub")).agg(F.count("*").alias("n")).write.mode("overwrite").parquet(at("census"))
+        repeats = batch.agg((F.count("*") - F.lit(first.count())).alias("n_dup"))
+        repeats.write.mode("overwrite").parquet(at("repeats"))
 
     return rows.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def totals(spark: SparkSession, out: str) -> DataFrame:
-    df = spark.read.parquet(out)
-    return df.agg(*(F.sum(c).alias(c) for c in df.columns if c != "batch"))
+def totals(spark: SparkSession, out: str, reference: DataFrame) -> DataFrame:
+    """One row: the counters of all batches together, as the batch audit of the whole gives them, and n_dup."""
+    df = spark.read.parquet(f"{out}/counters")
+    sums = df.agg(*(F.sum(c).alias(c) for c in df.columns if c not in ("batch", "nano_entries", "unmatched", "run_not_1", "not_conserved")))
+    whole = reference.agg(F.count("*").alias("nano_entries"), F.count_if(F.col("run") != 1).alias("run_not_1"))
+    n_dup = spark.read.parquet(f"{out}/repeats").agg(F.sum("n_dup").alias("n_dup"))
+    # one row each
+    one = lambda x: x.withColumn("_k", F.lit(1))
+    all_ = one(sums).join(one(whole), "_k").join(one(n_dup), "_k").drop("_k")
+    return all_.withColumns({"unmatched": F.col("nano_entries") - F.col("matched"), "not_conserved": F.abs(F.col("nAddBJets_ge3") - F.col("expanded_sub_in_set"))})
 
 
-def census_stream(rows: DataFrame) -> DataFrame:
-    """Running census by sub-code over rows seen once by key."""
-    return rows.dropDuplicates(list(audit.KEY)).groupBy(F.pmod("Expanded_genTtbarId", F.lit(100)).alias("sub")).agg(F.count("*").alias("n"))
+def census(spark: SparkSession, out: str) -> DataFrame:
+    """Keys seen so far by sub-code."""
+    return spark.read.parquet(f"{out}/census").groupBy("sub").agg(F.sum("n").alias("n"))

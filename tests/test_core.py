@@ -198,7 +198,8 @@ def test_resolution(spark):
     got = {r["event"]: (r["hit"], r["resolved"], r["mismatch"]) for r in resolve.resolve(spark.createDataFrame([r[:4] for r in GOOD[:3]] + [(1, 1, 9, 5)], NANO), lookup).collect()}
     assert got == {1: (True, 61, False), 2: (True, 72, False), 3: (False, 0, False), 9: (False, 5, False)}
     resolve.check_lookup(lookup)
-    for bad, code in ((lookup.limit(0), 41), (lookup.unionByName(lookup.withColumn("Expanded_genTtbarId", F.lit(62))), 43)):
+    # an empty table is 42; 41 is one that can't be opened
+    for bad, code in ((lookup.limit(0), 42), (lookup.unionByName(lookup.withColumn("Expanded_genTtbarId", F.lit(62))), 43)):
         with pytest.raises(Refused) as e:
             resolve.check_lookup(bad)
         assert e.value.code == code
@@ -232,11 +233,13 @@ def test_missing_expectations_fail_and_lost_chunks_show(spark):
 
 
 def test_catalogue_updates_are_all_or_nothing(spark):
-    cat = spark.createDataFrame([("a", "", True, False, False), ("b", "pb", True, False, False)], "child string, parent string, entry boolean, enabled boolean, verified boolean")
-    good = spark.createDataFrame([("a", "pa"), ("b", "pb")], "child string, parent string")
-    new, done = campaign.update_parents(campaign.reconcile(cat, good), cat)
-    assert done and {r["child"]: r["parent"] for r in new.collect()} == {"a": "pa", "b": "pb"}
-    same, done = campaign.update_parents(campaign.reconcile(cat, good.where("child = 'b'")), cat)
-    assert not done and same.where("parent = ''").count() == 1
+    a, b, pa, pb = "/A/RunN-1/NANOAODSIM", "/B/RunN-1/NANOAODSIM", "/A/RunM-1/MINIAODSIM", "/B/RunM-1/MINIAODSIM"
+    cat = spark.createDataFrame([(a, "", True, False, False), (b, pb, True, False, False)], "child string, parent string, entry boolean, enabled boolean, verified boolean")
+    good = spark.createDataFrame([(a, pa), (b, pb)], "child string, parent string")
+    new, done = campaign.update_parents(campaign.reconcile(cat, good), cat, "RunM-")
+    assert done and {r["child"]: r["parent"] for r in new.collect()} == {a: pa, b: pb}
+    for lineage, prefix in ((good.where(F.col("child") == b), "RunM-"), (good, "RunO-"), (good.withColumn("parent", F.replace("parent", F.lit("/A/"), F.lit("/C/"))), "RunM-"), (good.unionByName(good.withColumn("parent", F.lit("/A/RunM-2/MINIAODSIM"))), "RunM-")):
+        same, done = campaign.update_parents(campaign.reconcile(cat, lineage), cat, prefix)
+        assert not done and same.where("parent = ''").count() == 1
     assert campaign.apply_matches(campaign.reconcile(new, good), new)[0].where("enabled and verified").count() == 2
     assert not campaign.apply_matches(campaign.reconcile(cat, good), cat)[1]

@@ -3,15 +3,119 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerbeam.functions import codec
 from ledgerbeam.operators import audit, campaign, resolve
+from ledgerbeam.plans.verdict import Refused
 
 
 def test_mask_identity(spark, tmp_path):
-    (tmp_path / "m.json").write_bytes(b"{}")
+    good, name = b'{"1": [[1, 4]], "3": [[7, 7]]}', "crab_lumimask_2022_{}_v3.json"
+    for entry, text in (("a", good), ("b", good), ("c", b'{"1": []}'), ("d", b"[1]")):
+        (tmp_path / name.format(entry)).write_bytes(text)
     files = spark.read.format("binaryFile").load(str(tmp_path))
-    wanted = spark.createDataFrame([("m.json", hashlib.md5(b"{}").hexdigest()), ("m.json", "x"), ("lost", "x")], "name string, md5 string")
-    got = [(r["name"], r["ok"]) for r in campaign.mask_identity(files, wanted).orderBy("name", F.desc("ok")).collect()]
-    assert got == [("lost", False), ("m.json", True), ("m.json", False)]
+    md5 = lambda x: hashlib.md5(x).hexdigest()
+    rows = [("2022", "a", name.format("a"), md5(good).upper()), ("2022", "b", name.format("b"), "0"), ("2022", "c", name.format("c"), md5(b'{"1": []}')), ("2022", "d", name.format("d"), md5(b"[1]"))]
+    rows += [("2022", "e", name.format("e"), "0"), ("2022", "f", name.format("a"), "0"), ("2022", "g", "x/y", "0"), ("2022", "h", name.format("h"), None), ("2022", "i", None, None)]
+    got = {r["name"]: r["problem"] for r in campaign.mask_identity(files, spark.createDataFrame(rows, "era string, name string, lumi_mask string, lumi_mask_md5 string")).collect()}
+    assert got == {
+        "a": None, "b": "mask with another checksum", "c": "mask without lumis", "d": "not a mask", "e": "mask file missing", "f": "mask of another entry", "g": "mask is not a bare name", "h": "mask without checksum",
+    }
+
+
+def test_job_states_keep_five_columns(spark):
+    states = ["finished", "running", "idle", "transferring", "failed", *campaign.OTHER_STATES, "new1", None]
+    jobs = spark.createDataFrame([("t", s) for s in states], "task string, state string")
+    for r in campaign.job_states(jobs).collect():
+        assert (r["finished"], r["idle"], r["failed"], r["others"], r["total"], r["unknown"]) == (1, 1, 1, 10, 15, ["", "new1"])
+
+
+def test_parents_that_are_not_one_come_first(spark):
+    cat = spark.createDataFrame([("a", "p", True), ("b", "", True), ("c", "q", True)], "child string, parent string, entry boolean")
+    lin = spark.createDataFrame([("a", "p"), ("b", "p"), ("b", "q"), ("c", None), ("x", "p"), ("y", "p"), ("y", "q"), ("z", None)], "child string, parent string")
+    got = {r["child"]: r["status"] for r in campaign.reconcile(cat, lin).collect()}
+    assert got == {"a": "MATCH", "b": "NOT CHECKED", "c": "NOT CHECKED", "x": "ABSENT", "y": "NOT CHECKED", "z": "NOT CHECKED"}
+
+
+@pytest.mark.parametrize(
+    ("names", "want", "best", "version"),
+    [
+        (["UL18NanoAODv15-150X_v1-v2", "UL18NanoAODv15-BTVNanoV15_150X_v1-v3", "UL18NanoAODv15-20UL18JMENano_150X_v1-v1"], "v15", 0, 2),
+        (["UL16NanoAODAPVv9-106X_v17-v1", "UL16NanoAODAPVv9-106X_v17-v2"], "v9", 1, 2),
+        (["UL18NanoAODv9-JMENano_v1-v4", "UL18NanoAODv9-PFNano_v1-v9"], "v9", 0, -1),
+        (["UL18NanoAODv9-106X_v16_L1v1-v1", "UL18NanoAODv12-106X-v9"], "v9", 0, 1),
+        (["UL18NanoAODv9-106X_v16", "UL18NanoAODv9-106X-v12"], "v9", 1, 12),
+    ],
+)
+def test_latest_versions(spark, names, want, best, version):
+    rows = [("p", f"/A/{n}/NANOAODSIM", k) for k, n in enumerate(names)]
+    r = campaign.latest_version(spark.createDataFrame(rows, "parent string, child string, k int"), want, pos="k").first()
+    assert r["child"] == rows[best][1] and r["version"] == version
+    assert campaign.latest_version(spark.createDataFrame(rows, "parent string, child string, k int"), "v99").count() == 0
+
+
+@pytest.mark.parametrize(
+    ("text", "error", "status"),
+    [
+        ("not sent", None, "unclear"), ("Resubmit request sent to the server.", None, "sent"), ("", "Found no jobs to resubmit", "nothing"), ("the task will not proceed with the resubmission", "x", "refused"),
+        ("", "boom", "error"), (None, None, "unclear"), ("error, failed", None, "unclear"), ("", "resubmit request sent to the server", "error"),
+    ],
+)
+def test_answers(spark, text, error, status):
+    df = spark.createDataFrame([(text, error)], "text string, error string")
+    assert campaign.classify_answers(df).first()["status"] == status
+
+
+ENTRY = dict(era="2022", name="a", miniaod_version="v4", nano_role="main", lumi_mask=None, lumi_mask_md5=None, dataset="/P/Run-v1/M", nano_child="/P/Run-v1/N")
+MASK = "crab_lumimask_2022_a_v3.json"
+
+
+@pytest.mark.parametrize(
+    ("change", "problems"),
+    [
+        ({}, 0), ({"era": "2018", "miniaod_version": None, "nano_role": None}, 0), ({"miniaod_version": None}, 1), ({"nano_role": "ext2"}, 1), ({"era": "2018", "nano_role": None}, 1),
+        ({"miniaod_version": "v3"}, 1), ({"miniaod_version": "v3", "lumi_mask": MASK, "lumi_mask_md5": "x"}, 0), ({"miniaod_version": "v3", "lumi_mask": MASK}, 1), ({"lumi_mask": MASK, "lumi_mask_md5": "x"}, 1),
+        ({"lumi_mask_md5": "x"}, 1), ({"miniaod_version": "v3", "lumi_mask": "m.json", "lumi_mask_md5": "x"}, 1), ({"dataset": "/P/Run_ext1-v1/M"}, 1),
+        ({"nano_role": "ext1", "dataset": "/P/Run_ext1-v1/M"}, 1), ({"nano_role": "ext1", "dataset": "/P/Run_ext1-v1/M", "nano_child": "/P/Run_ext1-v1/N"}, 0),
+        ({"miniaod_version": "v3", "nano_role": "ext1", "dataset": "/P/Run_ext1-v1/M", "nano_child": "/P/Run_ext1-v1/N", "lumi_mask": MASK, "lumi_mask_md5": "x"}, 1),
+    ],
+)
+def test_entry_rules(spark, change, problems):
+    df = spark.createDataFrame([ENTRY | change], ", ".join(f"{c} string" for c in ENTRY))
+    row = campaign.entry_problems(df).first()
+    assert (len(row["problems"]) if row else 0) == problems
+
+
+def test_short_names_and_keys(spark):
+    names = spark.createDataFrame([("P0", "4b")], "primary string, short string")
+    cat = spark.createDataFrame([("2017", "n0", "/P0/x/M"), ("2018", "n1", "/P0/y/M"), ("2018", "n2", "/P1/y/M")], "era string, name string, dataset string")
+    got = campaign.catalogue_keys(spark.createDataFrame([("4b",)], "short string"), names, cat)
+    assert sorted((r["era"], r["name"]) for r in got.collect()) == [("2017", "n0"), ("2018", "n1")]
+
+
+def test_checks_of_hits(spark):
+    counts = lambda n: spark.createDataFrame([(5, n)], "hits int, mismatches int")
+    assert resolve.check_hits(counts(0))["hits"] == 5 and resolve.check_hits(counts(2), stop=False)["mismatches"] == 2
+    with pytest.raises(Refused) as e:
+        resolve.check_hits(counts(1))
+    assert e.value.code == 44
+
+
+def test_lookup_fractions_are_rounded(spark):
+    """A lookup holds whole fractions, events those with 14 bits."""
+    from ledgerbeam.operators.extract import with_bits
+
+    schema = "run bigint, luminosityBlock bigint, event bigint, genTtbarId int, Expanded_genTtbarId int, Generator_x1 float, Generator_x2 float, Generator_id1 int, Generator_id2 int"
+    held = with_bits(spark.createDataFrame([(1, 1, 1, 53, 61, 0.123456789, 0.75, 1, 2)], schema))
+    bits = held.select(F.lit(7).alias("id"), *(c for c in held.columns if c != "x1_bits"), codec.round_mantissa("x1_bits").alias("x1_bits"))
+    assert held.first()["x1_bits"] != bits.first()["x1_bits"]
+    assert resolve.resolve_events(bits, held, "id").first()["status"] == "hit"
+
+
+def test_resolution_shuffles_rows_once(spark):
+    schema = "run bigint, luminosityBlock bigint, event bigint, genTtbarId int, Expanded_genTtbarId int, Generator_x1 float, Generator_x2 float, Generator_id1 int, Generator_id2 int, x1_bits bigint, x2_bits bigint"
+    df = spark.createDataFrame([], schema)
+    plan = resolve.resolve_events(df.withColumn("id", F.lit(1)), df, "id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 2
 
 
 def test_dataset_by_file(spark, tmp_path):

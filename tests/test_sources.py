@@ -57,6 +57,19 @@ def test_scans_fail_closed(spark, tmp_path):
     refused(lambda: manifest.columns_by_file(spark, [f"{tmp_path}/lost"]), 5)
 
 
+def test_files_are_opened_beforehand(spark, tmp_path):
+    spark.createDataFrame(ROWS, SIDE).coalesce(1).write.parquet(f"{tmp_path}/f")
+    lost = [f"{tmp_path}/lost{k}" for k in range(12)]
+    whole = manifest.open_check(spark, [f"{tmp_path}/f"])
+    assert whole.total == 10 and not whole.indicative
+    with pytest.raises(Refused, match="and 2 more") as e:
+        manifest.open_check(spark, [f"{tmp_path}/f", *lost], attempts=2, wait=0.01)
+    assert e.value.code == 4
+    part = manifest.open_check(spark, [f"{tmp_path}/f", *lost], attempts=1, allow_missing=True)
+    assert part.total == 10 and part.indicative and part.bad == lost
+    refused(lambda: manifest.open_check(spark, lost, attempts=1, allow_missing=True), 4)
+
+
 def test_large_events(spark):
     ok = spark.createDataFrame([(2**63 - 1,)], "event bigint").select(F.col("event").cast("decimal(20,0)"))
     assert manifest.checked_event(ok).first()["event"] == 2**63 - 1
@@ -90,11 +103,15 @@ def test_staged_output(spark, tmp_path):
 def test_shards_on_disk(spark, tmp_path):
     index = sinks.write_shards(spark.createDataFrame(ROWS, SIDE), f"{tmp_path}/s", 4)
     assert sorted((r["rows"], r["first_event"], r["last_event"]) for r in index.collect()) == [(2, 8, 9), (4, 0, 3), (4, 4, 7)]
+    assert spark.read.parquet(f"{tmp_path}/s_index").count() == 3
 
 
 def test_text_forms(spark, tmp_path):
     df = spark.createDataFrame([("a", 1), ("b", None)], "x string, y int")
     assert [r["value"] for r in sinks.task_tsv(df).collect()] == ["#x\ty", "a\t1", "b\t"]
+    sinks.write_tsv(df.orderBy(F.desc("x")), f"file://{tmp_path}/plan.tsv")
+    assert (tmp_path / "plan.tsv").read_text() == "#x\ty\nb\t\na\t1\n"
+    refused(lambda: sinks.write_tsv(df, f"file://{tmp_path}/plan.tsv"), 4)
     with pytest.raises(Exception, match="bad cell"):
         sinks.task_tsv(spark.createDataFrame([("a\tb",)], "x string")).collect()
     assert json.loads(sinks.counters_json(df.limit(1)).first()["value"]) == {"x": "a", "y": 1}
@@ -126,5 +143,12 @@ def test_incremental_counters(spark, tmp_path):
     reference = side.select(*audit.KEY, "genTtbarId")
     q = incremental.incremental_counters(incremental.stream(spark, f"{tmp_path}/in", side.schema, 1), reference, f"{tmp_path}/out", f"{tmp_path}/cp")
     q.awaitTermination(120)
-    row = incremental.totals(spark, f"{tmp_path}/out").first()
-    assert row["matched"] == row["agree"] == 10 and row["disagree"] == 0
+    row = incremental.totals(spark, f"{tmp_path}/out", reference).first()
+    assert row["matched"] == row["agree"] == 10 and row["disagree"] == row["unmatched"] == row["n_dup"] == 0
+    # the same files again, and a reference with a row that nothing matches
+    side.where(F.col("event") % 3 == 0).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    incremental.incremental_counters(incremental.stream(spark, f"{tmp_path}/in", side.schema, 1), reference, f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination(120)
+    more = reference.unionByName(reference.limit(1).withColumn("event", F.lit(10**6).cast("bigint")))
+    row = incremental.totals(spark, f"{tmp_path}/out", more).first()
+    assert (row["nano_entries"], row["matched"], row["unmatched"], row["n_dup"]) == (11, 10, 1, 4)
+    assert incremental.census(spark, f"{tmp_path}/out").agg(F.sum("n")).first()[0] == 10
