@@ -672,8 +672,8 @@ def latest_version(spark: SparkSession, d: str) -> DataFrame:
 SELECT entry, CASE WHEN k % 3 = 0 THEN 'VERSION_ABSENT' WHEN k % 4 = 0 THEN 'DIFFERENT_PARENT' ELSE 'SAME_PARENT' END AS status FROM e""")
 def child_lineage(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("s_suppkey")
-    entries = A.table(spark, d, "supplier").select(F.concat(F.lit("e"), k).alias("entry"), F.lit("P").alias("parent"), F.lit("NanoAODv9").alias("version"), k)
-    children = entries.select("entry", F.concat(F.lit("/A/"), F.when(k % 3 == 0, "NanoAODv8").otherwise("NanoAODv9"), F.lit("-v1/N")).alias("child"), F.when(k % 4 == 0, "Q").otherwise("P").alias("parent"))
+    entries = A.table(spark, d, "supplier").select(F.concat(F.lit("e"), k).alias("entry"), F.lit("P").alias("parent"), F.lit("v9").alias("version"), k)
+    children = entries.select("entry", F.concat(F.lit("/A/"), F.when(k % 3 == 0, "NanoAODv8").when(k % 5 == 0, "NanoAODAPVv9").otherwise("NanoAODv9"), F.lit("-v1/N")).alias("child"), F.when(k % 4 == 0, "Q").otherwise("P").alias("parent"))
     return campaign.child_lineage(entries.drop("s_suppkey"), children)
 
 
@@ -1022,3 +1022,41 @@ def incremental_audit(spark: SparkSession, d: str) -> DataFrame:
     reference = A.nano(spark, d)
     incremental.incremental_counters(incremental.stream(spark, f"{out}/in", side.schema, 1), reference, f"{out}/by_batch", f"{out}/checkpoint").awaitTermination()
     return incremental.totals(spark, f"{out}/by_batch", reference)
+
+
+@query("SELECT s.lumi AS \"luminosityBlock\", count(*) AS n FROM sidecar s WHERE (s.run, s.lumi) IN (SELECT run, lumi FROM sidecar WHERE exp % 100 IN (71, 72)) GROUP BY ALL")
+def prefiltered_rows(spark: SparkSession, d: str) -> DataFrame:
+    rows = A.sidecar(spark, d)
+    kept = extract.prefilter(rows, rows.where(codec.sub_code("Expanded_genTtbarId").isin(71, 72)))
+    return kept.groupBy("luminosityBlock").agg(F.count("*").alias("n"))
+
+
+_SPECS = ("/A/B/NANOAODSIM=list.txt", "/A/B/NANOAODSIM=list.txt:3", "/A/B/NANOAODSIM=list.txt:1234567", "/A/B/NANOAODSIM=a:b:3", "/A/B/NANOAODSIM=", "/A/B/MINIAODSIM=x", "A=x", "/A/B/NANOAODSIM", "/A/B/NANOAODSIM=x:", "/A/C/NANOAODSIM=y=z:07")
+
+
+@query(f"""
+, t AS (SELECT unnest({list(_SPECS)}) AS text), x AS (SELECT text, regexp_full_match(text, '/[^/]+/[^/]+/NANOAODSIM=[^:]+(:[0-9]{{1,6}})?') AS ok FROM t)
+SELECT text, CASE WHEN ok THEN regexp_extract(text, '^([^=]*)=', 1) END AS dataset, CASE WHEN ok THEN regexp_extract(text, '^[^=]*=([^:]*)', 1) END AS manifest, CASE WHEN ok THEN coalesce(try_cast(regexp_extract(text, ':([0-9]+)$', 1) AS INT), 0) END AS priority,
+  CASE WHEN ok THEN 0 ELSE 2 END AS code FROM x""")
+def input_specs(spark: SparkSession, d: str) -> DataFrame:
+    """Inputs as they are given on a command line; what can be read in two ways is refused."""
+    rows = []
+    for text in _SPECS:
+        try:
+            rows.append((text, *extract.parse_spec(text), 0))
+        except Refused as e:
+            rows.append((text, None, None, None, e.code))
+    return spark.createDataFrame(rows, "text string, dataset string, manifest string, priority int, code int")
+
+
+_FILES = ("root://door.example//store/a.root", "root://other.example//store//a.root?x=1", "file:///data/./b", "/data/c/../b", "/data/d", "https://h.example/store/e")
+
+
+@query(f"""
+, t AS (SELECT unnest({list(_FILES)}) AS path), d AS (SELECT regexp_replace(regexp_replace(path, '\\?.*', ''), '^[a-z]+://[^/]*', '') AS p FROM t),
+s AS (SELECT regexp_replace(replace(regexp_replace(p, '/+', '/', 'g'), '/./', '/'), '/[^/]+/[.][.]/', '/') AS file FROM d) SELECT file, count(*) AS times FROM s GROUP BY file HAVING count(*) > 1""")
+def repeated_files(spark: SparkSession, d: str) -> DataFrame:
+    """Files that are given more than once under different names."""
+    twice = manifest.repeated_files({"one": list(_FILES[:3]), "two": list(_FILES[3:])})
+    names = [manifest.normalise(f) for f in _FILES]
+    return spark.createDataFrame([(f, names.count(f)) for f in twice], "file string, times bigint")

@@ -184,8 +184,15 @@ def spot_verdict(reference: DataFrame, side: DataFrame, position: str, key: tupl
     return decide(row, [(Code.NOTHING, "matched", "positive"), (Code.DISAGREE, "disagree", "zero"), (7, "broken", "zero")])
 
 
-def files_verdict(files: DataFrame, unreadable: int = 0) -> Verdict:
-    """Of by_file's rows: unreadable files fail first (1), then invariants (2); empty files do not fail."""
+def files_verdict(files: DataFrame, statuses: DataFrame | None = None) -> Verdict:
+    """Of by_file's rows: unreadable files fail first (1), then invariants (2); empty files do not fail.
+
+    statuses: manifest.file_statuses' rows, which tell files that don't open, that are no tables, that lack columns and that
+    fail while they are read.
+    """
     row = files.agg(F.count("*").alias("files"), _n("empty").alias("empty_files"), *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("entries", *MUST_BE_ZERO))).first().asDict()
-    row["unreadable"] = unreadable
-    return decide(row, [(1, "unreadable", "zero"), *((2, c, "zero") for c in MUST_BE_ZERO)])
+    kinds = ("bad_open", "no_table", "bad_columns", "read_errors")
+    row |= dict.fromkeys(kinds, 0)
+    if statuses is not None:
+        row |= {r["status"]: r["count"] for r in statuses.where(F.col("status").isin(*kinds)).groupBy("status").count().collect()}
+    return decide(row, [*((1, k, "zero") for k in kinds), *((2, c, "zero") for c in MUST_BE_ZERO)])

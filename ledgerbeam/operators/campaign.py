@@ -175,8 +175,12 @@ def latest_version(children: DataFrame, want: str, by: str = "parent", name: str
 
 
 def child_lineage(entries: DataFrame, children: DataFrame) -> DataFrame:
-    """entries (entry, parent, version) against children (child, parent): SAME_PARENT, DIFFERENT_PARENT, VERSION_ABSENT."""
-    c = children.select(F.regexp_extract("child", VERSION, 1).alias("v"), F.col("child"), F.col("parent").alias("child_parent"), F.col("entry").alias("e"))
+    """entries (entry, parent, version such as v9) against children (entry, child, parent): SAME_PARENT, DIFFERENT_PARENT, VERSION_ABSENT.
+
+    A child counts if its campaign names that version, NanoAODv9 or NanoAODAPVv9.
+    """
+    v = F.regexp_replace(F.regexp_extract("child", VERSION, 1), "^NanoAOD(APV)?", "")
+    c = children.select(v.alias("v"), F.col("child"), F.col("parent").alias("child_parent"), F.col("entry").alias("e"))
     both = entries.join(c, (F.col("entry") == F.col("e")) & (F.col("version") == F.col("v")), "left")
     by = both.groupBy("entry").agg(F.count("child").alias("n"), F.count_if(F.col("parent") == F.col("child_parent")).alias("same"))
     return by.select("entry", F.when(F.col("n") == 0, "VERSION_ABSENT").when(F.col("same") > 0, "SAME_PARENT").otherwise("DIFFERENT_PARENT").alias("status"))

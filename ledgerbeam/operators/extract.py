@@ -92,6 +92,11 @@ def identity(fmt: int) -> list[str]:
     return ["datasetIdx", *KEY, *(BITS if fmt == 3 else ())]
 
 
+def prefilter(rows: DataFrame, wanted: DataFrame, key=("run", "luminosityBlock")) -> DataFrame:
+    """The rows whose block any wanted row has, before a join on the whole key; Spark broadcasts the blocks where they are few."""
+    return rows.join(wanted.select(*key).distinct(), list(key), "left_semi")
+
+
 def inconsistent(rows: DataFrame) -> DataFrame:
     """Rows where the sub-code and the number of jets tell different things."""
     return rows.where(codec.is_ttnb("Expanded_genTtbarId") != (F.col("nAddBJets") >= 3))

@@ -124,6 +124,34 @@ def _opens(spark: SparkSession, file: str) -> bool:
         return False
 
 
+def file_statuses(spark: SparkSession, files: list[str], wanted: list[str]) -> DataFrame:
+    """file and status: ok, empty, bad_open (not there), no_table (no Parquet), bad_columns (wanted ones are lacking), read_errors."""
+    rows = []
+    for f in files:
+        try:
+            df = spark.read.parquet(f)
+        except Exception as e:
+            rows.append((f, "bad_open" if "PATH_NOT_FOUND" in str(e) else "no_table"))
+            continue
+        if any(c not in df.columns for c in wanted):
+            rows.append((f, "bad_columns"))
+            continue
+        try:
+            n = df.select(*wanted).agg(F.count("*").alias("n"), *(F.max(c).cast("string").alias(f"_{c}") for c in wanted)).first()["n"]
+            rows.append((f, "ok" if n else "empty"))
+        except Exception:
+            rows.append((f, "read_errors"))
+    return spark.createDataFrame(rows, "file string, status string")
+
+
+def looped(df: DataFrame) -> int:
+    """The number of rows that a scan gives; one that fails in spite of Spark's retries is refused (10)."""
+    try:
+        return df.count()
+    except Exception as e:
+        raise Refused(10, f"read error: {str(e).splitlines()[0][:200]}") from e
+
+
 def check_complete(looped: int, counted: int) -> None:
     if looped != counted:
         raise Refused(4, f"{looped} rows read, {counted} counted before")

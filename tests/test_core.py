@@ -133,9 +133,10 @@ def test_other_verdicts(spark):
     newer = side.unionByName(side.where("event = 1").withColumns({"genTtbarId": F.lit(55), "pos": F.lit(99)}))
     assert spot(reference, newer).code == 6 and spot(reference, newer).counters["overwritten"] == 1
     files = audit.by_file(side.withColumn("file", F.lit("a")), spark.createDataFrame([("a",), ("b",)], "file string"))
-    assert audit.files_verdict(files).passed and audit.files_verdict(files).counters["empty_files"] == 1 and audit.files_verdict(files, 1).code == 1
+    lost = spark.createDataFrame([("f", "bad_columns"), ("g", "ok"), ("h", "empty")], "file string, status string")
+    assert audit.files_verdict(files).passed and audit.files_verdict(files).counters["empty_files"] == 1 and audit.files_verdict(files, lost).failed == "bad_columns"
     broken = audit.by_file(side.withColumns({"file": F.lit("a"), "run": F.lit(2)}), spark.createDataFrame([("a",)], "file string"))
-    assert audit.files_verdict(broken).code == 2 and audit.files_verdict(broken, 1).code == 1
+    assert audit.files_verdict(broken).code == 2 and audit.files_verdict(broken, lost).code == 1
 
 
 def test_missing_counters_fail():

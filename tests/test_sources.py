@@ -70,6 +70,21 @@ def test_files_are_opened_beforehand(spark, tmp_path):
     refused(lambda: manifest.open_check(spark, lost, attempts=1, allow_missing=True), 4)
 
 
+def test_statuses_of_files(spark, tmp_path):
+    spark.createDataFrame(ROWS, SIDE).coalesce(1).write.parquet(f"{tmp_path}/good")
+    spark.createDataFrame([], SIDE).write.parquet(f"{tmp_path}/empty")
+    spark.range(3).write.parquet(f"{tmp_path}/other")
+    (tmp_path / "text").write_text("x")
+    files = [f"{tmp_path}/{x}" for x in ("good", "empty", "other", "text", "lost")]
+    got = [r["status"] for r in manifest.file_statuses(spark, files, ["run", "event"]).orderBy("status").collect()]
+    assert got == ["bad_columns", "bad_open", "empty", "no_table", "ok"]
+    df = spark.read.parquet(f"{tmp_path}/good")
+    assert manifest.looped(df) == 10
+    for f in (tmp_path / "good").glob("part-*"):
+        f.write_bytes(f.read_bytes()[:-20])
+    refused(lambda: manifest.looped(df), 10)
+
+
 def test_large_events(spark):
     ok = spark.createDataFrame([(2**63 - 1,)], "event bigint").select(F.col("event").cast("decimal(20,0)"))
     assert manifest.checked_event(ok).first()["event"] == 2**63 - 1
