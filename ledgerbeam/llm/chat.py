@@ -1,13 +1,20 @@
 """Chat formatting in budgeted windows.
 
 A conversation's rows, ordered by turn, are written as
-``<|im_start|>role\\ntext<|im_end|>\\n`` each.  Prefix sums of the turns' tokens
-(words and four for the marks) choose the windows: a window closes with the
-first turn whose prefix sum passes the next multiple of ``budget``, so windows
-are aligned to turns and no turn is cut.  Later windows retain the system turn
-that opens the conversation and repeat the turns just before their first, as
-far as they fit in ``history`` tokens.  The loss mask holds the texts of
-assistant turns; repeated ones are masked out, so each is a target once.
+``<|im_start|>role\\ntext<|im_end|>\\n`` each.  A turn has a token for every
+``PIECE`` characters of a word, or part of them, and ``MARKS`` more.  What the
+budget leaves beside the system turn that opens the conversation and the history
+is the span.  Prefix sums of the turns' tokens cut the conversation at the
+multiples of the span: turns that start between two of them are a window, but if
+they pass the span together, the last one, which reaches over the multiple, is a
+window by itself.  So windows are aligned to turns, no turn is cut, and a window
+with its system turn and history keeps the budget; only a single turn that
+doesn't fit beside the system turn makes a window larger.
+
+Later windows retain the system turn and repeat the last turns of the window
+before, as far as they fit in ``history`` tokens and the budget.  The loss mask
+holds the texts of assistant turns; repeated ones are masked out, so each is a
+target once.  A window's number is that of its first turn in the conversation.
 
 Escaping: in texts and roles every ``<``, ``!`` repeated k >= 0 times, ``|``
 gets one more ``!``; so no ``<|`` remains and reading takes one ``!`` away.
@@ -24,11 +31,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import n_words
+from .common import WHITE
 
 BUDGET = 1024
 HISTORY = 128
 MARKS = 4  # tokens of a turn's marks and role
+PIECE = 8
 OPEN, CLOSE, NEW_LINE = "<|im_start|>", "<|im_end|>", "<|nl|>"
 
 
@@ -40,30 +48,39 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, r"<!(!*)\|", r"<$1|")
 
 
+def tokens(text: Column) -> Column:
+    return (F.regexp_count(text, F.lit(f"[^{WHITE}]{{1,{PIECE}}}")) + MARKS).cast("bigint")
+
+
 def windows(rows: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
     """conv_id, window, formatted, repeated (turns at its head that earlier windows hold), loss (start and length of each target)."""
     role, text = F.coalesce(F.col("role"), F.lit("")), F.coalesce(F.col("text"), F.lit(""))
     head = F.concat(F.lit(OPEN), F.replace(escape(role), F.lit("\n"), F.lit(NEW_LINE)), F.lit("\n"))
-    body = escape(text)
-    turn = rows.select(
-        "conv_id", "turn", role.alias("role"), text.alias("text"), head.alias("head"), body.alias("body"),
-        (n_words(text) + MARKS).alias("tokens"),
-    )
+    turn = rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), head.alias("head"), escape(text).alias("body"), tokens(text).alias("tokens"))
     order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
-    turn = turn.withColumn("end", F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))).withColumn("n", F.row_number().over(order))
-    # a turn belongs to the stretch of prefix sums it starts in
-    turn = turn.withColumn("window", F.floor((F.col("end") - F.col("tokens")) / budget))
-    # windows no turn starts in do not exist: the next window is that of the next turn of another window
-    turn = turn.withColumn("opens", F.when(F.col("window") > F.lag("window").over(order), F.col("window")))
-    ahead = order.rowsBetween(1, Window.unboundedFollowing)
-    turn = turn.withColumn("next", F.first("opens", ignorenulls=True).over(ahead)).withColumn(
-        "left", F.coalesce(F.first(F.when(F.col("opens").isNotNull(), F.col("end") - F.col("tokens")), ignorenulls=True).over(ahead) - F.col("end") + F.col("tokens"), F.lit(0))
-    )
-    lead = (F.col("n") == 1) & (F.col("role") == "system")
-    turn = turn.select("conv_id", "window", "n", "role", "head", "body", "next", "left", lead.alias("lead"))
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    turn = turn.withColumns({"n": F.row_number().over(order), "sum": F.sum("tokens").over(upto)})
+    opens = (F.first("role").over(upto) == "system").cast("bigint") * F.first("tokens").over(upto)
+    turn = turn.withColumn("system", opens).withColumn("lead", (F.col("n") == 1) & (F.col("system") > 0))
+    # places are counted behind the system turn, which the first window holds
+    turn = turn.withColumn("end", F.col("sum") - F.col("system")).withColumn("start", F.when(F.col("lead"), F.lit(0)).otherwise(F.col("end") - F.col("tokens")))
+    turn = turn.withColumn("span", F.greatest(F.lit(budget - history) - F.col("system"), F.lit(1))).withColumn("k", F.floor(F.col("start") / F.col("span")))
+    stretch = Window.partitionBy("conv_id", "k")
+    passes = F.max("end").over(stretch) - F.min("start").over(stretch) > F.col("span")
+    turn = turn.withColumn("last", passes & (F.col("end") > (F.col("k") + 1) * F.col("span")) & ~F.col("lead"))
+    whole = Window.partitionBy("conv_id", "k", "last")
+    turn = turn.withColumns({"window": F.min("n").over(whole), "until": F.max("n").over(whole), "stop": F.max("end").over(whole)})
+    turn = turn.withColumn("held", F.col("stop") - F.min("start").over(whole))
+    # what the next window holds, as the last turn of this one sees it
+    after = Window.partitionBy("conv_id").orderBy("n")
+    turn = turn.withColumn("ahead", F.lead("held").over(after))
+    turn = turn.withColumn("ahead", F.max(F.when(F.col("n") == F.col("until"), F.col("ahead"))).over(whole))
+    room = F.least(F.lit(history), F.lit(budget) - F.col("system") - F.col("ahead"))
+    repeat = ~F.col("lead") & F.col("ahead").isNotNull() & (F.col("stop") - F.col("start") <= room)
+    turn = turn.select("conv_id", "window", "n", "role", "head", "body", (F.col("until") + 1).alias("next"), "lead", repeat.alias("again"))
     own = turn.select("conv_id", "window", F.lit(False).alias("repeat"), "n", "role", "head", "body")
-    again = turn.where(~F.col("lead") & F.col("next").isNotNull() & (F.col("left") <= history)).select("conv_id", F.col("next").alias("window"), F.lit(True).alias("repeat"), "n", "role", "head", "body")
-    later = own.groupBy("conv_id", "window").agg(F.min("n").alias("first")).where("first > 1").select(F.col("conv_id").alias("c"), F.col("window").alias("w"))
+    again = turn.where("again").select("conv_id", F.col("next").alias("window"), F.lit(True).alias("repeat"), "n", "role", "head", "body")
+    later = own.where("n = window and n > 1").select(F.col("conv_id").alias("c"), F.col("window").alias("w"))
     first = turn.where("lead").select("conv_id", "n", "role", "head", "body")
     system = first.join(later, F.col("conv_id").eqNullSafe(F.col("c"))).select("conv_id", F.col("w").alias("window"), F.lit(True).alias("repeat"), "n", "role", "head", "body")
     parts = own.unionByName(again).unionByName(system).withColumn("part", F.concat("head", "body", F.lit(CLOSE + "\n")))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,10 +14,12 @@ BLANKS = " \t\n\x0b\x0c\r"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one of our own where that is unset."""
+    """The folder all executors share: spark.checkpoint.dir, or one of our own where that is unset and all runs in one process."""
     sc = spark.sparkContext
     have = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not have:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir is unset: set it to a folder that the driver and all executors share")
         have = "file://" + tempfile.mkdtemp(prefix="ledgerbeam-checkpoint-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(have)
@@ -41,6 +44,11 @@ def n_words(text: Column) -> Column:
     return F.when(t == "", F.lit(0)).otherwise(F.size(F.split(t, f"[{WHITE}]+"))).cast("bigint")
 
 
+def row_key() -> tuple:
+    """What tells rows of documents from each other, up to equal ones: whether the id is null, the id, the text's hash."""
+    return F.col("doc_id").isNull(), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)), F.xxhash64("text")
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """wanted, or a variant of it that no column of df bears (names compare without case)."""
     taken = {c.lower() for c in df.columns}

@@ -4,7 +4,8 @@ The posterior of a language is the product of
 
 * the text's likelihood: a model of hashed byte trigrams for each language,
   fitted on at most ``PER_LANGUAGE`` texts of each that is declared in the
-  labelled table, those with the smallest hash of their id.  Neighbouring
+  labelled table, those with the smallest hash of their id; languages may be
+  any number.  Neighbouring
   trigrams depend on each other, so log-likelihoods count ``TRUST`` times and a
   text of any length at most ``MOST`` against another language;
 * the likelihood of the declared markup language (``<html lang>``), of the
@@ -55,16 +56,17 @@ def trigrams(text: str | None) -> np.ndarray:
 
 def train(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> tuple[list[str], np.ndarray] | None:
     """Languages and their log probabilities of each slot.  labelled: doc_id, text, lang."""
-    known = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    langs = sorted(r["lang"] for r in known.select("lang").distinct().collect())
+    known = labelled.where(F.col("lang").isNotNull())
+    # Spark limits the rows of each language before the exchange
+    rank = F.row_number().over(Window.partitionBy("of").orderBy(F.xxhash64("i"), "i"))
+    picks = known.select(F.col("lang").alias("of"), F.col("doc_id").alias("i")).withColumn("rank", rank).where(F.col("rank") <= per_language)
+    picks = cut(picks.select("of", "i").distinct())
+    langs = sorted(r["of"] for r in picks.select("of").distinct().collect())
     if not langs:
         return None
-    # Spark limits the rows of each language before the exchange
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("i"), "i"))
-    picks = known.select("lang", F.col("doc_id").alias("i")).withColumn("rank", rank).where(F.col("rank") <= per_language)
-    some = picks.select("i", (F.array_position(F.lit(langs), F.col("lang")) - 1).cast("int").alias("k"))
-    # at most per_language rows of a language, 12 bytes each
-    rows = known.join(F.broadcast(some.distinct()), (F.col("doc_id") == F.col("i")))
+    some = picks.select("of", "i", (F.array_position(F.lit(langs), F.col("of")) - 1).cast("int").alias("k"))
+    # at most per_language rows of a language, some 30 bytes each
+    rows = known.join(F.broadcast(some), (F.col("doc_id") == F.col("i")) & (F.col("lang") == F.col("of")))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[int, np.ndarray] = {}
@@ -148,7 +150,8 @@ def identify(rows: DataFrame, model: tuple[list[str], np.ndarray] | None) -> Dat
     smooth = lambda sums, rows_of, base: F.zip_with(sums, base, lambda x, b: (x + PSEUDO * b) / (F.col(rows_of) + PSEUDO))
     by_domain = _means(rows, ["domain"], n, "d").select(F.col("domain").alias("dx"), smooth("sum_d", "n_d", base).alias("base_d"))
     hosts = _means(rows, ["host", "domain"], n, "h").join(by_domain, F.col("domain") == F.col("dx"))
-    hosts = hosts.select(F.col("host").alias("hx"), "sum_h", "n_h", "base_d")
+    # stored: both sides of the join are plain exchanges then, and Spark splits a host with very many rows
+    hosts = cut(hosts.select(F.col("host").alias("hx"), "sum_h", "n_h", "base_d"))
     out = rows.join(hosts, F.col("host").eqNullSafe(F.col("hx")))
     for key in ("declared_as", "path_as", "suffix"):
         out = out.join(evidence(key), key, "left")
@@ -163,8 +166,9 @@ def identify(rows: DataFrame, model: tuple[list[str], np.ndarray] | None) -> Dat
     return out.select(*passed, pick("post").alias("lang"), best.alias("probability"), pick("p").alias("text_lang"))
 
 
-#: Elements whose content is no text, comments, and all other tags.
-_SKIP = r"(?is)<(script|style)\b.*?</\1[^>]*>|<!--.*?-->|<[^>]*>"
+#: Elements whose content is no text, comments, and all other tags.  What isn't closed ends with the page or at the next
+#: tag, so the time is linear whatever the page.
+_SKIP = r"(?is)<(script|style)\b.*?(?:</\1[^<>]*>|\z)|<!--.*?(?:-->|\z)|<[^<>]*>"
 
 
 def of_pages(pages: DataFrame) -> DataFrame:

@@ -9,18 +9,24 @@ turns that into the score.
 
 Training lines take the label of their document.  The fit uses at most
 ``MAX_PER_CLASS`` labelled documents of either class, those with the smallest
-hash of doc_id; this bound is the only sampling here, every document is scored
-on its whole text.  Executors turn the sampled texts into features; only these
-come to the driver, of a document with more than ``SEGMENTS * SEGMENT`` lines
-those of ``SEGMENTS`` evenly spaced stretches.  Chains longer than ``SEGMENT``
-lines are cut for training alone.
+hash of doc_id, and of these the first that have ``MAX_LINES`` lines together;
+one that has more than an eighth of that by itself isn't taken.  These bounds on
+the sample of labelled rows are the only sampling here: a document in the sample
+is used with all its lines, in one chain, and every document is scored on its
+whole text.  Executors turn the sampled texts into features; only these come to
+the driver, at most ``2 * MAX_LINES`` lines of ``3 * OWN`` numbers.
+
+Chains are advanced together, line by line; one of more than ``SEGMENT`` lines is
+advanced as segments side by side, whose 2 x 2 transfers are then put together,
+which gives the same sums.
 
 Nulls: a null text counts as empty.  Texts without a visible line score
 ``EMPTY_SCORE``.  Label rows with a null id or quality are ignored, rows with an
 id that has several labels count with the smallest.  Without labelled rows of
 both classes every text with a visible line scores 0.5.  Repeated rows are
 scored one by one, empty tables give empty results; extra columns pass through,
-and those that bear an output's name are replaced.
+and those that bear an output's name are replaced.  A null doc_id is in no
+sample and not held out.
 """
 
 from __future__ import annotations
@@ -29,12 +35,13 @@ import operator
 from typing import NamedTuple
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_PER_CLASS = 3000
-SEGMENT, SEGMENTS = 64, 8
+MAX_LINES = 100_000
+SEGMENT = 512
 EMPTY_SCORE = 0.01
 #: Characters of text that are turned into features at once.
 CHUNK = 4_000_000
@@ -103,33 +110,68 @@ def line_features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.n
     return np.hstack([own, prev, after]), size, counts
 
 
+def forward(emit: np.ndarray, counts: np.ndarray, trans: np.ndarray) -> np.ndarray:
+    """Of chains laid end to end, by line and state: the log weight of all paths that end there."""
+    out = np.zeros((len(emit), 2))
+    if not len(emit):
+        return out
+    parts = -(-counts // SEGMENT)
+    size = np.full(int(parts.sum()), SEGMENT)
+    ends = np.cumsum(parts)[parts > 0] - 1
+    size[ends] = counts[counts > 0] - (parts[counts > 0] - 1) * SEGMENT
+    start = np.cumsum(size) - size
+
+    def run(which: np.ndarray, enter: np.ndarray) -> None:
+        """Fill out for some segments, entered with log weights by state; segments advance together, longest first."""
+        which = which[np.argsort(-size[which], kind="stable")]
+        at, n = start[which], size[which]
+        for t in range(int(n[0])):
+            k = int(np.searchsorted(-n, -t, "left"))  # segments longer than t
+            i = at[:k] + t
+            out[i] = emit[i] + (enter[which] if t == 0 else np.logaddexp(out[i - 1, :1] + trans[0], out[i - 1, 1:] + trans[1]))
+
+    enter = np.zeros((len(size), 2))
+    every, first = np.arange(len(size)), np.zeros(len(size), bool)
+    first[np.concatenate([[0], ends[:-1] + 1])] = True
+    later = every[~first]
+    if len(later):
+        last = start + size - 1
+        through = np.zeros((2, len(size), 2))  # from a state before the segment to one at its end
+        for state in (0, 1):
+            enter[later] = trans[state]
+            run(later, enter)
+            through[state] = out[last]
+        enter[:] = 0
+        run(every[first], enter)
+        for k in every:
+            if first[k]:
+                done = out[last[k]]
+            else:
+                enter[k] = np.logaddexp(done[0] + trans[0], done[1] + trans[1])
+                done = np.logaddexp(done[0] + through[0, k], done[1] + through[1, k])
+    run(every, enter)
+    return out
+
+
 def marginals(emit: np.ndarray, counts: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of chains laid end to end: P(good) by line, expected transitions (2 x 2), log normaliser by chain.
 
-    emit is the score of good against bad.  Chains advance together, longest first.
+    emit is the score of good against bad.
     """
-    order = np.argsort(-counts, kind="stable")
-    n, start = counts[order], (np.cumsum(counts) - counts)[order]
     e = np.zeros((len(emit), 2))
     e[:, 1] = emit
-    a, b = np.zeros((len(emit), 2)), np.zeros((len(emit), 2))
-    live = [int(np.searchsorted(-n, -t, "left")) for t in range(int(n[0]) if len(n) else 0)]  # chains longer than t
-    for t, k in enumerate(live):
-        i = start[:k] + t
-        a[i] = e[i] if t == 0 else e[i] + np.logaddexp(a[i - 1, :1] + trans[0], a[i - 1, 1:] + trans[1])
-    for t in range(len(live) - 2, -1, -1):
-        i = start[: live[t + 1]] + t
-        nxt = e[i + 1] + b[i + 1]
-        b[i] = np.logaddexp(nxt[:, :1] + trans[:, 0], nxt[:, 1:] + trans[:, 1])
+    a = forward(e, counts, trans)
+    b = forward(e[::-1], counts[::-1], trans.T)[::-1] - e  # what follows a line, read backwards
     score = a + b
     z = np.logaddexp(score[:, 0], score[:, 1])
     good = np.exp(score[:, 1] - z)
+    start = (np.cumsum(counts) - counts)[counts > 0]
     inner = np.ones(len(emit), bool)
-    inner[start[n > 0]] = False
+    inner[start] = False
     i = np.flatnonzero(inner)
     pair = a[i - 1][:, :, None] + trans[None] + (e[i] + b[i])[:, None, :] - z[i][:, None, None]
     norm = np.zeros(len(counts))
-    norm[order[n > 0]] = z[start[n > 0]]
+    norm[counts > 0] = z[start]
     return good, np.exp(pair).sum(0), norm
 
 
@@ -149,22 +191,16 @@ def fit(feats: np.ndarray, size: np.ndarray, counts: np.ndarray, labels: np.ndar
     """Maximum conditional likelihood by Adam over all chains at once."""
     mean, sd = feats.mean(0), feats.std(0) + 1e-3
     x = np.hstack([(feats - mean) / sd, np.ones((len(feats), 1))])
-    pieces, piece_labels = [], []
-    for c, label in zip(counts, labels, strict=True):
-        cut = [SEGMENT] * (int(c) // SEGMENT) + [int(c) % SEGMENT] * bool(c % SEGMENT)
-        pieces += cut
-        piece_labels += [label] * len(cut)
-    pieces, piece_labels = np.array(pieces, np.int64), np.array(piece_labels, np.float64)
-    y = np.repeat(piece_labels, pieces)
+    y = np.repeat(labels.astype(np.float64), counts)
     # a long document weighs as the root of its number of lines
     weight = np.repeat(1 / np.sqrt(np.maximum(counts, 1)), counts)
     weight = weight / weight.mean()
     theta, m, v = np.zeros(x.shape[1] + 4), np.zeros(x.shape[1] + 4), np.zeros(x.shape[1] + 4)
-    inner = np.maximum(pieces - 1, 0)
-    seen = np.array([[inner[piece_labels == 0].sum(), 0], [0, inner[piece_labels == 1].sum()]], np.float64)
+    inner = np.maximum(counts - 1, 0)
+    seen = np.array([[inner[labels == 0].sum(), 0], [0, inner[labels == 1].sum()]], np.float64)
     for step in range(1, steps + 1):
         w, trans = theta[:-4], theta[-4:].reshape(2, 2)
-        good, pairs, _ = marginals(x @ w, pieces, trans)
+        good, pairs, _ = marginals(x @ w, counts, trans)
         slope = np.concatenate([x.T @ ((good - y) * weight), (pairs - seen).ravel()]) / len(x) + penalty * theta
         m, v = 0.9 * m + 0.1 * slope, 0.99 * v + 0.01 * slope**2
         theta = theta - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
@@ -202,10 +238,10 @@ def scores(model: Model | None, texts: list[str | None]) -> np.ndarray:
 
 def held_out(doc_id):
     """Rows whose labels the fit never sees."""
-    return F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = MAX_PER_CLASS) -> Model | None:
+def train(docs: DataFrame, labels: DataFrame, per_class: int = MAX_PER_CLASS, lines: int = MAX_LINES) -> Model | None:
     """Fit on the labelled rows of docs that are not held out."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     known = known.where(~held_out(F.col("doc_id")))
@@ -213,15 +249,16 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = MAX_PER_CLASS) ->
     # at most 2 * per_class rows of 12 bytes
     some = F.broadcast(pick[0].unionByName(pick[1]))
     rows = docs.select("doc_id", "text").join(some, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("quality").alias("quality"))
+    count = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: x.rlike(r"\S")))
+    rows = rows.withColumn("lines", count).where(F.col("lines") <= lines // 8)
+    # at most per_class rows in a window
+    so_far = Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("sum", F.sum("lines").over(so_far)).where(F.col("sum") <= lines)
 
     def features(batches):
         for pdf in batches:
             for text, quality in zip(pdf["text"], pdf["quality"], strict=True):
                 x, size, _ = line_features([text])
-                if len(x) > SEGMENT * SEGMENTS:
-                    starts = np.linspace(0, len(x) - SEGMENT, SEGMENTS).astype(int)
-                    at = np.unique(np.concatenate([np.arange(k, k + SEGMENT) for k in starts]))
-                    x, size = x[at], size[at]
                 yield type(pdf)({"x": [x.astype(np.float32).tobytes()], "size": [size.astype(np.float32).tobytes()], "quality": [int(quality)]})
 
     got = rows.mapInPandas(features, "x binary, size binary, quality int").collect()

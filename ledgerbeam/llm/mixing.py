@@ -5,8 +5,8 @@ of all words.  A target stops at twice its source's size; the excess goes to
 the others by weight, which comes to the water level ``least(2 * size, level *
 weight)``, read off one sort of the sources.
 
-Within a source the documents queue in the order of a hash of their ids, and
-queue a second time after the last.  A copy's virtual finish time is the words
+Within a source the documents queue in the order of a hash (MD5) of their ids
+and texts, and queue a second time after the last.  A copy's virtual finish time is the words
 of its source up to its end, divided by the source's target.  All sources are
 served at once, each in proportion to its target, so at virtual time v the mix
 holds v times the total budget: it is cut at time 1, where the copies then in
@@ -17,8 +17,7 @@ spread: sums by (source, slice of the hash), their running totals, then sums
 within a slice.
 
 Nulls: a null text has size 0; null sources form one source, null ids count as
-ids.  Ties in the hash go by id, then by a hash of the text; rows equal in all
-three take turns.  Sources without words have target 0.  Empty tables give
+ids.  Rows that tie in the hash are equal in id and text and take turns.  Sources without words have target 0.  Empty tables give
 empty results.  Extra columns don't matter.
 """
 
@@ -29,7 +28,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WHITE, cut, n_words
+from .common import WHITE, cut, n_words, row_key
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -42,7 +41,7 @@ def sizes(docs: DataFrame) -> DataFrame:
     return cut(
         docs.select(
             "doc_id", "source", t.alias("text_hash"), n_words(F.col("text")).alias("size"),
-            F.shiftrightunsigned(F.xxhash64("doc_id", F.lit("mix")), 2).alias("queue"),
+            F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("|"), F.md5(F.coalesce("text", F.lit(""))))).alias("queue"),
         )
     )
 
@@ -55,8 +54,9 @@ def targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, copies: int
     by = by.withColumn("most", F.lit(float(copies)) * F.col("source_size")).withColumn("full_at", F.col("most") / F.col("weight"))
     everything = Window.partitionBy()
     order = Window.orderBy("full_at", F.col("source").asc_nulls_last())
-    before = F.coalesce(F.sum("most").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    weight_from = F.sum("weight").over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)  # whole numbers, so differences are exact
+    before = F.sum("most").over(running) - F.col("most")
+    weight_from = F.sum("weight").over(everything) - F.sum("weight").over(running) + F.col("weight")
     by = by.withColumn("level", (F.lit(share) * F.sum("source_size").over(everything) - before) / weight_from)
     # the level of the first source that stays below its most; later ones show lower levels
     level = F.max(F.when(F.col("full_at") > F.col("level"), F.col("level"))).over(everything)
@@ -66,8 +66,9 @@ def targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, copies: int
 def queue(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, copies: int = MOST_COPIES) -> DataFrame:
     """sized with source_size, target, before (words of its source ahead of it) and taken."""
     rows = sized.count()
-    slices = 1 << max(4, math.ceil(math.log2(max(1, min(rows / 500, 2 * math.sqrt(rows))))))
-    cut_in = sized.withColumn("slice", F.floor(F.col("queue") / F.lit(2.0**62) * slices).cast("int"))
+    bits = max(4, math.ceil(math.log2(max(1, min(rows / 500, 2 * math.sqrt(rows))))))
+    # the first bits of the hash, out of 48 that are read as a number
+    cut_in = sized.withColumn("slice", F.shiftright(F.conv(F.substr("queue", F.lit(1), F.lit(12)), 16, 10).cast("bigint"), 48 - bits).cast("int"))
     parts = cut_in.groupBy("source", "slice").agg(F.sum("size").alias("words"))
     ahead = Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.withColumn("offset", F.coalesce(F.sum("words").over(ahead), F.lit(0)))
@@ -76,7 +77,7 @@ def queue(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, copies: int =
         F.col("source").alias("s"), F.col("slice").alias("k"), "offset", "source_size", "target"
     )
     out = cut_in.join(parts, F.col("source").eqNullSafe(F.col("s")) & (F.col("slice") == F.col("k")))
-    own = Window.partitionBy("source", "slice").orderBy("queue", "doc_id", "text_hash").rowsBetween(Window.unboundedPreceding, -1)
+    own = Window.partitionBy("source", "slice").orderBy("queue").rowsBetween(Window.unboundedPreceding, -1)
     out = out.withColumn("before", F.col("offset") + F.coalesce(F.sum("size").over(own), F.lit(0)))
     served = [
         F.greatest(F.lit(0), F.least(F.col("size"), F.floor("target") - F.col("source_size") * c - F.col("before")))
@@ -103,13 +104,15 @@ def mix(docs: DataFrame, copies: int = MOST_COPIES) -> DataFrame:
     """
     q = queue(sizes(docs), copies=copies)
     served = F.array(*(F.struct(F.col(f"taken_{c}").alias("n"), ((F.col("before") + F.col("source_size") * c + F.col(f"taken_{c}")) / F.col("target")).alias("finish")) for c in range(copies)))
-    by = Window.partitionBy("i", "h")
-    q = q.where("taken_0 > 0").select(F.col("doc_id").alias("i"), F.col("text_hash").alias("h"), "source", "size", served.alias("served"))
-    q = q.withColumn("turn", F.row_number().over(by.orderBy(F.col("source").asc_nulls_last(), F.get("served", F.lit(0))["finish"]))).drop("source")
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
-    rows = rows.withColumn("j", F.col("row.doc_id")).withColumn("g", F.xxhash64("row.text"))
-    rows = rows.withColumn("again", F.row_number().over(Window.partitionBy("j", "g").orderBy(F.col("row.source").asc_nulls_last())))
-    both = rows.join(q, F.col("i").eqNullSafe(F.col("j")) & (F.col("g") == F.col("h")) & (F.col("turn") == F.col("again")))
+    # rows that are equal in id and text take turns, on either side
+    place = Window.partitionBy("null", "num", "hash")
+    q = q.where("taken_0 > 0").select(F.col("doc_id").isNull().alias("null"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)).alias("num"), F.col("text_hash").alias("hash"), "source", "size", served.alias("served"))
+    q = q.withColumn("turn", F.row_number().over(place.orderBy(F.col("source").asc_nulls_last(), F.get("served", F.lit(0))["finish"]))).drop("source")
+    rows = docs.select(*(c.alias(name) for c, name in zip(row_key(), ("null", "num", "hash"), strict=True)), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    rows = rows.withColumn("again", F.row_number().over(place.orderBy(F.col("row.source").asc_nulls_last())))
+    # the last condition is no key, so the exchange of the window serves the join as well
+    keys = [F.col(f"r.{k}") == F.col(f"q.{k}") for k in ("null", "num", "hash")]
+    both = rows.alias("r").join(q.alias("q"), keys + [F.col("q.turn") - F.col("r.again") == 0])
     both = both.select("row", "size", F.explode(F.filter("served", lambda x: x["n"] > 0)).alias("part"))
     text = F.when(F.col("part.n") >= F.col("size"), F.col("row.text")).otherwise(
         F.array_join(F.slice(F.regexp_extract_all(F.col("row.text"), F.lit(f"[{WHITE}]*[^{WHITE}]+"), F.lit(0)), F.lit(1), F.col("part.n").cast("int")), "")

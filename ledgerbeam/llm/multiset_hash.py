@@ -1,13 +1,22 @@
 """Document fingerprints: homomorphic multiset hashes over paragraphs.
 
-A fingerprint is a list of 64-bit numbers, each four 16-bit lanes that count
-modulo 2**14.  The first ``EXACT`` numbers add, for every paragraph (the text
-between line ends), a wide vector hashed from the whole paragraph: equal
-multisets of paragraphs, in any order, give equal sums, different ones do so
-with negligible chance.  The next ``2 * 16`` numbers add, for every stretch of
-``STRETCH`` code points of a paragraph, a vector of zeros and ones hashed from
-it; as deviations from one half these make a sketch whose cosine estimates how
-much two texts share.  The last number counts the stretches, modulo 2**32.
+A fingerprint is a list of 64-bit numbers.  The first is the number of
+paragraphs (the texts between line ends).  The next ``EXACT`` numbers add, for
+every paragraph, a wide vector of that many independent 62-bit hashes of the
+whole paragraph, each modulo 2**62: equal multisets of paragraphs, in any order,
+give equal sums; different ones do so with a chance of 2**-(62 * EXACT).  The
+other ``CELLS`` numbers are a sketch of what the paragraphs hold: every stretch
+of a paragraph adds 1 to a cell, by its hash.  The cosine of two sketches, less
+what even cells would hold, estimates that of the texts' counts of stretches with
+a standard error of 1 / sqrt(CELLS).  A stretch ends behind a character of
+``BEFORE`` that one of ``BEHIND`` follows, some 20 characters on average, so the
+text itself sets the cuts: an insertion changes the stretches it falls in, and
+the others stay whatever their place.  Counts are plain numbers of 64 bits and
+never wrap.
+
+Cells are counted natively: each stretch's hash names a letter, the letters of a
+text are joined to a string, and a cell's count is what the string loses when
+its letter is removed.
 
 ``insert`` and ``delete`` add and take away the fingerprints of paragraphs
 without reading the rest of the text.
@@ -27,87 +36,81 @@ from pyspark.sql import functions as F
 
 from .common import cut
 
-STRETCH = 16
-EXACT = 8
-HALF = 16  # numbers of the sketch from one 64-bit hash
-LANES = 0x3FFF3FFF3FFF3FFF
-ONES = 0x0001000100010001
-FULL = 0x4000400040004000
-COUNT = 0xFFFFFFFF
+EXACT = 4
+#: Cells of the sketch; the letters U+0001 and on stand for them.
+CELLS = 120
+MASK = (1 << 62) - 1
+#: A stretch ends between two such characters: of each class, a share of the letters, digits and frequent signs of other
+#: scripts (fixed values).  One without such a place ends after ``LONGEST`` characters.
+BEFORE = r"[ \t(08HPXhpx\u3001\u3002\u306E\u306F\u4E00\u4E0D\u662F\u7684]"
+BEHIND = r"[0369CFILORUXcfiloruxa\u0080-\x{10FFFF}]"
+LONGEST = 256
+STRETCH = f"[^\\n]{{0,{LONGEST - 1}}}?{BEFORE}(?={BEHIND})|[^\\n]{{1,{LONGEST}}}"
 
 
 def _long(x: int) -> Column:
     return F.lit(x).cast("bigint")
 
 
-def _zeros(n: int) -> Column:
-    return F.array_repeat(_long(0), n)
+def _masked(x: Column) -> Column:
+    return x.bitwiseAND(_long(MASK))
+
+
+def _once(x: Column, use) -> Column:
+    """use of x, which is computed once however often use has it."""
+    return F.get(F.transform(F.array(x), lambda y: use(y)), F.lit(0))
 
 
 def fingerprint(text: Column) -> Column:
     """The numbers of one text."""
     t = F.coalesce(text, F.lit(""))
-    paragraphs = F.transform(F.split(t, "\n"), lambda p: F.xxhash64(p))
-    exact = F.aggregate(
-        paragraphs, _zeros(EXACT),
-        lambda acc, h: F.transform(acc, lambda a, j: (a + F.xxhash64(h, j).bitwiseAND(_long(LANES))).bitwiseAND(_long(LANES))),
-    )
-    stretches = F.transform(F.regexp_extract_all(t, F.lit("[^\\n]{1,%d}" % STRETCH), F.lit(0)), lambda s: F.xxhash64(s))
 
-    def sketch(hash_of) -> Column:
-        def add(acc: Column, h: Column) -> Column:
-            bits = lambda j: F.call_function("shiftrightunsigned", hash_of(h), j).bitwiseAND(_long(ONES))
-            return F.transform(acc, lambda a, j: (a + bits(j)).bitwiseAND(_long(LANES)))
+    def lane(paragraphs: Column, seed: int) -> Column:
+        # the seed comes first, so each hash reads the paragraph anew
+        return F.aggregate(paragraphs, _long(0), lambda acc, p: _masked(acc + _masked(F.xxhash64(F.lit(seed), p))))
+
+    def cells(letters: Column) -> Column:
+        size = F.char_length(letters)
+        return F.array(*((size - F.char_length(F.replace(letters, F.lit(chr(k + 1)), F.lit("")))).cast("bigint") for k in range(CELLS)))
 
-        return F.aggregate(stretches, _zeros(HALF), add)
+    exact = _once(F.split(t, "\n"), lambda p: F.array(F.size(p).cast("bigint"), *(lane(p, j) for j in range(EXACT))))
+    stretches = F.regexp_extract_all(t, F.lit(STRETCH), F.lit(0))
+    letters = F.array_join(F.transform(stretches, lambda x: F.char(F.pmod(F.xxhash64(x), F.lit(CELLS)) + 1)), "")
+    sketch = _once(letters, cells)
+    return F.concat(exact, sketch)
 
-    again = F.aggregate(
-        F.transform(stretches, lambda h: F.xxhash64(h, F.lit(1))), _zeros(HALF),
-        lambda acc, h: F.transform(acc, lambda a, j: (a + F.call_function("shiftrightunsigned", h, j).bitwiseAND(_long(ONES))).bitwiseAND(_long(LANES))),
-    )
-    return F.concat(exact, sketch(lambda h: h), again, F.array(F.size(stretches).cast("bigint")))
+
+def _joined(whole: Column, part: Column, sign: int) -> Column:
+    exact = F.zip_with(F.slice(whole, 2, EXACT), F.slice(part, 2, EXACT), lambda a, b: _masked(a + b) if sign > 0 else _masked(a - b))
+    plain = lambda at, n: F.zip_with(F.slice(whole, at, n), F.slice(part, at, n), lambda a, b: a + sign * b)
+    return F.concat(plain(1, 1), exact, plain(EXACT + 2, CELLS))
 
 
 def insert(whole: Column, part: Column) -> Column:
     """The fingerprint of whole with the paragraphs of part added."""
-    last = EXACT + 2 * HALF
-    return F.zip_with(
-        F.arrays_zip(whole.alias("x"), F.sequence(F.lit(0), F.lit(last)).alias("i")), part,
-        lambda a, b: F.when(a["i"] == last, (a["x"] + b).bitwiseAND(_long(COUNT))).otherwise((a["x"] + b).bitwiseAND(_long(LANES))),
-    )
+    return _joined(whole, part, 1)
 
 
 def delete(whole: Column, part: Column) -> Column:
     """The fingerprint of whole with the paragraphs of part taken away."""
-    last = EXACT + 2 * HALF
-    return F.zip_with(
-        F.arrays_zip(whole.alias("x"), F.sequence(F.lit(0), F.lit(last)).alias("i")), part,
-        lambda a, b: F.when(a["i"] == last, (a["x"] + _long(COUNT + 1) - b).bitwiseAND(_long(COUNT))).otherwise(
-            (a["x"] + (_long(FULL) - b)).bitwiseAND(_long(LANES))
-        ),
-    )
+    return _joined(whole, part, -1)
 
 
 def as_hex(numbers: Column) -> Column:
     return F.lower(F.array_join(F.transform(numbers, lambda x: F.lpad(F.hex(x), 16, "0")), ""))
 
 
-def _lanes(numbers: Column) -> Column:
-    """Deviations of the sketch's counts from one half of the stretches, doubled, each between -2**14 and 2**14."""
-    count = F.element_at(numbers, EXACT + 2 * HALF + 1)
-    raw = F.flatten(
-        F.transform(
-            F.slice(numbers, EXACT + 1, 2 * HALF),
-            lambda x: F.array(*(F.shiftright(x, s).bitwiseAND(_long(0x3FFF)) for s in (0, 16, 32, 48))),
-        )
-    )
-    return F.transform(raw, lambda x: ((x * 2 - count + (1 << 14)).bitwiseAND(_long(0x7FFF)) - (1 << 14)).cast("double"))
+def _cells(numbers: Column) -> Column:
+    """The sketch's counts less their mean."""
+    counts = F.slice(numbers, EXACT + 2, CELLS)
+    mean = F.aggregate(counts, F.lit(0).cast("bigint"), lambda a, x: a + x) / CELLS
+    return _once(mean, lambda m: F.transform(counts, lambda x: x - m))
 
 
 def likeness(a: Column, b: Column) -> Column:
     """0 to 1: the cosine of two sketches, 1 for equal fingerprints."""
     sums = F.aggregate(
-        F.zip_with(_lanes(a), _lanes(b), lambda x, y: F.struct(x.alias("x"), y.alias("y"))),
+        F.zip_with(_cells(a), _cells(b), lambda x, y: F.struct(x.alias("x"), y.alias("y"))),
         F.struct(F.lit(0.0).alias("xy"), F.lit(0.0).alias("xx"), F.lit(0.0).alias("yy")),
         lambda acc, v: F.struct((acc["xy"] + v["x"] * v["y"]).alias("xy"), (acc["xx"] + v["x"] * v["x"]).alias("xx"), (acc["yy"] + v["y"] * v["y"]).alias("yy")),
         lambda acc: F.when((acc["xx"] > 0) & (acc["yy"] > 0), acc["xy"] / F.sqrt(acc["xx"] * acc["yy"])).otherwise(F.lit(0.0)),

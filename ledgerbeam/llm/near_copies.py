@@ -15,105 +15,155 @@ shares none with a chance of (1 - 0.8 ** ROWS) ** BANDS, again under one in a
 million.  Within a group the tries of the fingerprints are traversed against
 each other as in the module ``simhash``.
 
-Large groups.  Each node is first checked against one member of its groups, the
-node with the least key among them; the components found so far are labelled.
-Then the tries of all groups that hold several labels are joined, for pairs of
-different labels only.  So a dense group of near copies costs about its size,
-and no link between components is lost.  A group of more than ``CHUNK`` nodes is
-dealt out by trie prefix.
+Large groups.  Each node is first checked against ``HEADS`` members of its
+groups, those whose groups are largest, which are the likeliest sources of the
+others; the components found so far are labelled.  Then the tries of all groups
+that hold several labels are joined, for pairs of different labels only.  A pair
+is passed on if a sketch of both sets (of each of ``BINS`` ranges of hashes,
+four bits of the least hash there) doesn't tell by five standard deviations that
+the similarity is below 0.8.  So a dense group of near copies costs about its
+size, and no link between components is lost.
+
+A group of more than ``CHUNK`` nodes is dealt out as pairs of chunks: those of
+its commonest label and those of other ones.  Chunks of the commonest label
+never meet, so a group that the first step has joined costs its size times that
+of the rest.
 
 Nulls: a null text has no words; all texts without words are one node.  Ids play
-no part in the links.  Empty tables give empty results.
+no part in the links.  Shingles are compared by their 64-bit hashes.  Empty tables give empty results.
 """
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BLANKS, WHITE, cut, free_name
-from .simhash import CHUNK, GROUP, _ranges, by_groups, by_prefix, components, lead, trie_links, whole
+from .common import cut, row_key
+from .simhash import CHUNK, GROUP, _ranges, by_groups, components, joined, lead, trie_links, whole
 
 SEED = 42
 SHINGLE = 5
 BUDGET = 24
 BANDS, ROWS = 20, 3
+BITS = 9
+BINS = 1 << BITS
+HEADS = 3
 #: Shingles that are hashed on at once.
 BLOCK = 8192
+#: Shingles of texts that a checking task holds.
+HELD = 8_000_000
 #: Odd factors, one for each least hash.
 FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
+#: Odd factors, one for each place in a shingle.
+PLACES = np.random.default_rng(SEED + 1).integers(0, 1 << 63, SHINGLE, np.uint64) * np.uint64(2) + np.uint64(1)
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
 
-def plain(text: Column) -> Column:
+def plain(text: str | None) -> bytes:
     """The text in lower case (A-Z), its words one space apart."""
-    low = F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.btrim(F.regexp_replace(low, f"[{WHITE}]+", " "), F.lit(BLANKS))
+    return b" ".join((text or "").encode("utf-8", "replace").lower().split())
 
 
-def shingles(text: str) -> list[bytes]:
-    """The shingles of a plain text, repeats included."""
-    joined = text.encode("utf-8", "replace")
-    if not joined:
-        return []
-    ends = [k for k, c in enumerate(joined) if c == 32] if len(joined) < 64 else np.flatnonzero(np.frombuffer(joined, np.uint8) == 32).tolist()
-    starts = [0, *(k + 1 for k in ends)]
-    ends.append(len(joined))
-    return [joined[a:b] for a, b in zip(starts, ends[SHINGLE - 1 :])] or [joined]
-
-
-def features(text: str) -> tuple[int, int, list[int]]:
-    """The number of distinct shingles of a plain text, its fingerprint as a signed number, and its group keys."""
+def shingles(joined: bytes) -> np.ndarray:
+    """The hashes of a plain text's shingles, repeats included: sums of the words' hashes, each times the factor of its place, mixed."""
     from xxhash import xxh64_digest
 
-    raw = b"".join([xxh64_digest(s, SEED) for s in shingles(text)])
-    if not raw:
-        return 0, 0, []
-    n = len(raw) // 8
-    hashes = np.frombuffer(raw, ">u8").astype(np.uint64)
+    if not joined:
+        return np.zeros(0, np.uint64)
+    w = np.frombuffer(b"".join([xxh64_digest(x, SEED) for x in joined.split(b" ")]), ">u8").astype(np.uint64)
+    k = min(len(w), SHINGLE)
+    n = len(w) - k + 1
+    out = np.zeros(n, np.uint64)
+    for place in range(k):
+        out += w[place : place + n] * PLACES[place]
+    out ^= out >> np.uint64(31)
+    out *= MIX[0]
+    return out ^ (out >> np.uint64(32))
+
+
+def sketch(h: np.ndarray) -> bytes:
+    """Of each range of hashes, half a byte: 1 to 15 by the least of h there, which is sorted, or 0 if there is none."""
+    at = (h >> np.uint64(64 - BITS)).astype(np.int64)
+    first = np.flatnonzero(np.diff(at, prepend=-1))
+    out = np.zeros(BINS, np.uint8)
+    out[at[first]] = (h[first] & np.uint64(0xFFFFFFFF)) % np.uint64(15) + np.uint64(1)
+    return (out[0::2] << 4 | out[1::2]).astype(np.uint8).tobytes()
+
+
+def possible(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Whether pairs of sketches, rows of 64-bit numbers, leave a similarity of 0.8 possible; n: sizes of both sets together."""
+
+    def used(x: np.ndarray) -> np.ndarray:  # a bit for each half byte that isn't 0
+        x = x | x >> np.uint64(2)
+        return (x | x >> np.uint64(1)) & np.uint64(0x1111111111111111)
+
+    count = lambda x: np.bitwise_count(x).sum(1, dtype=np.int64)
+    in_a, in_b = used(a), used(b)
+    both = in_a & in_b
+    some, shared = count(in_a | in_b), count(both)
+    # two different least hashes have equal values once in 15
+    equal = (15 * count(both & ~used(a ^ b)) - shared) / 14
+    seen = np.maximum(some, 1)
+    spread = 0.16 / seen * np.maximum(0, 1 - some * 1.8 / np.maximum(n, 1)) + np.maximum(shared - equal, 0) / 14 / seen**2
+    return equal / seen + 5 * np.sqrt(spread) + 0.01 >= 0.8
+
+
+def features(joined: bytes) -> tuple[int, int, list[int], bytes]:
+    """The number of distinct shingles of a plain text, its fingerprint as a signed number, its group keys and its sketch."""
+    hashes = shingles(joined)
+    n = len(hashes)
+    if not n:
+        return 0, 0, [], sketch(hashes)
     counts, least = np.zeros(64, np.int64), np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, n, BLOCK):
-        counts += np.unpackbits(np.frombuffer(raw[8 * at : 8 * (at + BLOCK)], np.uint8)).reshape(-1, 64).sum(0, dtype=np.int64)
-        least = np.minimum(least, (hashes[at : at + BLOCK, None] * FACTORS).min(0))
+        part = hashes[at : at + BLOCK]
+        counts += np.unpackbits(part.view(np.uint8)).reshape(-1, 64).sum(0, dtype=np.uint16)
+        least = np.minimum(least, np.multiply.outer(FACTORS, part).min(1))
     bits = np.packbits(2 * counts > n)
     rows = least.reshape(BANDS, ROWS)
     keys = np.arange(BANDS, dtype=np.uint64)
     for k in range(ROWS):
         keys = (keys ^ rows[:, k]) * MIX[k]
         keys ^= keys >> np.uint64(29)
-    return len(np.unique(hashes)), int.from_bytes(bits.tobytes(), "big", signed=True), keys.view(np.int64).tolist()
+    whole_ = np.unique(hashes)
+    return len(whole_), int.from_bytes(bits.tobytes(), "big", signed=True), keys.view(np.int64).tolist(), sketch(whole_)
+
 
+def distinct(text: str | None) -> np.ndarray:
+    """The distinct shingles' hashes of a text, sorted."""
+    return np.unique(shingles(plain(text)))
 
-@lru_cache(64)
-def _set(text: str) -> frozenset:
-    return frozenset(shingles(text))
 
+def similar(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sets of shingles have Jaccard similarity 0.8 or more."""
+    if 5 * min(len(x), len(y)) < 4 * max(len(x), len(y)):
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both > 0 and 5 * both >= 4 * (len(x) + len(y) - both)
 
-def similar(a: str, b: str) -> bool:
-    """Whether two plain texts have Jaccard similarity 0.8 or more."""
-    x, y = _set(a), _set(b)
-    both = len(x & y)
-    return bool(both) and 5 * both >= 4 * (len(x) + len(y) - both)
 
+ROWS_SCHEMA = "null boolean, num bigint, text bigint, node bigint, n bigint, fp bigint, keys array<bigint>, sketch binary"
 
-def _members(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """key, node, n and fp of the groups of two nodes or more, and key and the least node of each."""
+
+def rows_of(docs: DataFrame) -> DataFrame:
+    """A row for each of docs, stored: what tells it (see common.row_key), its node and the node's features."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from xxhash import xxh64_intdigest
+
         for pdf in batches:
-            n, fp, keys = zip(*map(features, pdf["plain"]), strict=True) if len(pdf) else ((), (), ())
-            yield pd.DataFrame({"node": pdf["node"], "n": n, "fp": fp, "keys": list(keys)})
+            joined = [plain(x if isinstance(x, str) else None) for x in pdf["whole"]]
+            n, fp, keys, sketches = zip(*map(features, joined), strict=True) if len(pdf) else ((), (), (), ())
+            node = np.array([xxh64_intdigest(x, SEED) for x in joined], np.uint64).view(np.int64)
+            yield pd.DataFrame({"null": pdf["null"], "num": pdf["num"], "text": pdf["text"], "node": node, "n": n, "fp": fp, "keys": list(keys), "sketch": sketches})
 
-    sets = cut(nodes.mapInPandas(run, "node bigint, n bigint, fp bigint, keys array<bigint>").dropDuplicates(["node"]))
-    spread = sets.select("node", "n", "fp", F.explode("keys").alias("key"))
-    heads = spread.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most").select("key", "least")
-    heads = cut(heads)
-    return cut(spread.join(heads.select("key"), "key")), heads
+    key = [c.alias(name) for c, name in zip(row_key(), ("null", "num", "text"), strict=True)]
+    return cut(docs.select(*key, F.col("text").alias("whole")).mapInPandas(run, ROWS_SCHEMA))
 
 
 def _near(a: str, b: str) -> Column:
@@ -126,54 +176,102 @@ def _checked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs u > v whose texts are similar."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept: OrderedDict[int, np.ndarray] = OrderedDict()
+        held = 0
+
+        def of(node: int, text: str) -> np.ndarray:
+            nonlocal held
+            if node in kept:
+                kept.move_to_end(node)
+                return kept[node]
+            kept[node] = out = distinct(text)
+            held += len(out)
+            while held > HELD and len(kept) > 1:
+                held -= len(kept.popitem(last=False)[1])
+            return out
+
         for pdf in batches:
-            yield pdf.loc[[similar(a, b) for a, b in zip(pdf["a"], pdf["b"], strict=True)], ["u", "v"]]
+            ok = [similar(of(u, a), of(v, b)) for u, v, a, b in zip(pdf["u"], pdf["v"], pdf["a"], pdf["b"], strict=True)]
+            yield pdf.loc[ok, ["u", "v"]]
 
-    full = pairs.join(texts.select(F.col("node").alias("u"), F.col("plain").alias("a")), "u")
-    full = full.join(texts.select(F.col("node").alias("v"), F.col("plain").alias("b")), "v").select("u", "v", "a", "b")
+    full = pairs.join(texts.select(F.col("node").alias("u"), F.col("whole").alias("a")), "u")
+    full = full.join(texts.select(F.col("node").alias("v"), F.col("whole").alias("b")), "v").select("u", "v", "a", "b")
     return cut(full.mapInPandas(run, "u bigint, v bigint"))
 
 
-def _across(labelled: DataFrame, chunk: int) -> DataFrame:
-    """Pairs u > v of nodes of one group that have different labels and can be similar."""
+def _dealt(labelled: DataFrame, chunk: int) -> DataFrame:
+    """Rows of labelled (key, node, label) with GROUP and side, in which all nodes of a key with different labels meet."""
+    zero = F.lit(0).cast("bigint")
+    rows = labelled.select(F.lit(0).alias("level"), zero.alias("path"), F.col("key").alias("v"), "node", "label")
+    sizes = rows.groupBy("v", "label").agg(F.count("*").alias("size"))
+    # chunks 0 to major - 1 hold the commonest label, the minor ones the others
+    by = sizes.groupBy("v").agg(F.max(F.struct("size", "label")).alias("most"), F.sum("size").alias("all")).where(F.col("all") > chunk)
+    pieces = lambda n: F.greatest(F.ceil(n / chunk), F.lit(1)).cast("bigint")
+    by = cut(by.select("v", F.col("most.label").alias("common"), pieces(F.col("most.size")).alias("major"), pieces(F.col("all") - F.col("most.size")).alias("minor")))
+    if by.isEmpty():
+        return whole(rows)
+    large = rows.join(by, "v")
+    is_major = F.col("label") == F.col("common")
+    place = F.xxhash64("node")
+    own = F.when(is_major, F.pmod(place, F.col("major"))).otherwise(F.col("major") + F.pmod(place, F.col("minor")))
+    last = F.col("major") + F.col("minor") - 1
+    others = F.sequence(F.when(is_major, F.col("major")).otherwise(zero), last)
+    large = large.withColumn("own", own).withColumn("other", F.explode(others))
+    large = large.withColumns({"ci": F.least("own", "other"), "cj": F.greatest("own", "other"), "side": (F.col("own") > F.col("other")).cast("int")})
+    columns = [*rows.columns, "ci", "cj", "side"]
+    return whole(rows.join(by, "v", "left_anti")).select(columns).unionByName(large.select(columns))
+
+
+def _across(labelled: DataFrame, nodes: DataFrame, chunk: int) -> DataFrame:
+    """Pairs u > v of nodes of one group that have different labels and can be similar; nodes: node, n, fp and sketch."""
 
     def traverse(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
         order, fp, roots = _ranges(pdf)
         node, n, label = (pdf[c].to_numpy(np.int64)[order] for c in ("node", "n", "label"))
-        for i, j in trie_links(fp, roots, BUDGET, label):
-            ok = 5 * np.minimum(n[i], n[j]) >= 4 * np.maximum(n[i], n[j])
+        words = np.frombuffer(b"".join(pdf["sketch"]), np.uint64).reshape(len(pdf), -1)[order]
+        for i, j in joined(trie_links(fp, roots, BUDGET, label)):
+            i, j = (x[5 * np.minimum(n[i], n[j]) >= 4 * np.maximum(n[i], n[j])] for x in (i, j))
+            ok = [possible(words[i[k : k + BLOCK]], words[j[k : k + BLOCK]], n[i[k : k + BLOCK]] + n[j[k : k + BLOCK]]) for k in range(0, len(i), BLOCK)]
+            ok = np.concatenate(ok) if ok else np.zeros(0, bool)
             a, b = node[i[ok]], node[j[ok]]
             yield pd.DataFrame({"u": np.maximum(a, b), "v": np.minimum(a, b)}).drop_duplicates()
 
-    zero = F.lit(0).cast("bigint")
-    groups = labelled.select("node", "n", "fp", "label", F.lit(0).alias("level"), zero.alias("path"), F.col("key").alias("v"))
-    hot = cut(groups.groupBy("v").count().where(F.col("count") > chunk).select("v"))
-    dealt = whole(groups)
-    if not hot.isEmpty():
-        large = by_prefix(cut(groups.join(hot, "v", "left_semi")), {0: list(range(63, -1, -1))}, BUDGET, chunk)
-        dealt = whole(groups.join(hot, "v", "left_anti")).unionByName(large)
-    return by_groups(dealt.select("node", "n", "label", "fp", *GROUP, "side"), traverse, "u bigint, v bigint").distinct()
-
-
-def labels(nodes: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """u and the smallest node v of its component, for every u that isn't that smallest; nodes has node and plain, repeats allowed."""
-    members, heads = _members(nodes)
-    # each node against one member of its groups
-    one = members.join(heads, "key").groupBy("node").agg(F.min("least").alias("least"), F.first("n").alias("n"), F.first("fp").alias("fp"))
-    one = cut(one)
-    star = one.where("node > least").alias("a").join(one.alias("b"), F.col("a.least") == F.col("b.node")).where(_near("a", "b"))
-    texts = cut(nodes.join(one.select("node"), "node", "left_semi").dropDuplicates(["node"]))
-    edges = _checked(cut(star.select(F.col("a.node").alias("u"), F.col("b.node").alias("v"))), texts)
+    dealt = _dealt(labelled, chunk).join(nodes, "node").select("node", "n", "label", "fp", "sketch", *GROUP, "side")
+    return by_groups(dealt, traverse, "u bigint, v bigint").distinct()
+
+
+def labels(rows: DataFrame, docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """u and the smallest node v of its component, for every u that isn't that smallest; rows: rows_of(docs)."""
+    row = F.struct("null", "num", "text")
+    sets = cut(rows.groupBy("node").agg(F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch"), F.min(row).alias("row")))
+    spread = sets.select("node", F.explode("keys").alias("key"))
+    sizes = cut(spread.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"))
+    members = cut(spread.join(sizes, "key"))
+    # each node against some members of its groups
+    score = cut(members.groupBy("node").agg(F.sum("size").alias("score")))
+    rank = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("score"), F.desc("node")))
+    heads = members.select("key", "node").join(score, "node").withColumn("rank", rank).where(F.col("rank") <= HEADS)
+    heads = cut(heads.select("key", "rank", F.struct("score", "node").alias("head")))
+    best = members.select("key", "node").join(heads, "key").where(F.col("node") != F.col("head.node")).groupBy("node", "rank").agg(F.max("head").alias("head"))
+    one = cut(score.join(sets, "node").select("node", "n", "fp", "sketch", "row"))
+    star = best.select("node", F.col("head.node").alias("head")).distinct()
+    star = star.join(one.select(F.col("node"), "n", "fp"), "node").alias("a").join(one.select("node", "n", "fp").alias("b"), F.col("a.head") == F.col("b.node")).where(_near("a", "b"))
+    star = cut(star.select(F.greatest("a.node", "b.node").alias("u"), F.least("a.node", "b.node").alias("v")).distinct())
+    # the text of one row of each node that any other can be near to
+    wanted = one.select(F.col("row.null").alias("null"), F.col("row.num").alias("num"), F.col("row.text").alias("hash"), "node")
+    whole_texts = docs.select(*(c.alias(name) for c, name in zip(row_key(), ("null", "num", "hash"), strict=True)), F.col("text").alias("whole"))
+    texts = cut(whole_texts.join(wanted, ["null", "num", "hash"]).select("node", "whole").dropDuplicates(["node"]))
+    edges = _checked(star, texts)
     found = components(edges).select(F.col("u").alias("node"), F.col("v").alias("label"))
     # all pairs of a group that the stars leave apart
-    labelled = cut(members.join(found, "node", "left").withColumn("label", F.coalesce("label", "node")))
+    one = cut(one.join(found, "node", "left").select("node", "n", "fp", "sketch", F.coalesce("label", "node").alias("label")))
+    labelled = cut(members.select("key", "node").join(one.select("node", "label"), "node"))
     mixed = cut(labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key"))
-    apart = cut(_across(labelled.join(mixed, "key"), chunk))
+    apart = cut(_across(cut(labelled.join(mixed, "key")), one.drop("label"), chunk))
     return components(edges.unionByName(_checked(apart, texts)))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """One row of each component: the smallest doc_id, nulls last, then the smallest hash of the text."""
-    node = free_name(docs, "_node")
-    found = labels(docs.select(plain(F.col("text")).alias("plain")).select(F.xxhash64("plain").alias("node"), "plain"))
-    return lead(docs.withColumn(node, F.xxhash64(plain(F.col("text")))), node, found).drop(node)
+    rows = rows_of(docs)
+    return lead(docs, rows, labels(rows, docs, chunk))

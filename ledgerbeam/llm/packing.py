@@ -11,9 +11,10 @@ a window exceeds its capacity.  A task holds one block, never a whole table,
 and nothing is shuffled.  Sequence ids join the partition's number and a count,
 so a task that runs again gives the same ids.
 
-Ids equal those of the ``tokenizers`` library for the given file; encoding goes
-through ``tiktoken`` with the ranks of that file's vocabulary, which is four
-times as fast, and falls back to ``tokenizers`` for texts it can't take.
+Ids equal those of the ``tokenizers`` library for the given file, the file's
+added tokens in a text included; encoding goes through ``tiktoken`` with the
+ranks of that file's vocabulary, which is four times as fast, and falls back to
+``tokenizers`` for texts it can't take.
 
 Nulls: a null text is empty, so its document is the closing id alone.  Null ids
 are kept.  Repeated rows are packed one by one.  An empty table gives an empty
@@ -58,20 +59,23 @@ def encoder(path: str):
     if path not in loaded:
         with open(path, encoding="utf-8") as f:
             model = json.load(f)
-        special = {x["content"] for x in model.get("added_tokens", ())}
+        added = model.get("added_tokens", ())
+        special = {x["content"]: x["id"] for x in added}
         byte = _byte_values()
         ranks = {bytes(byte[c] for c in token): i for token, i in model["model"]["vocab"].items() if token not in special}
-        fast = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        fast = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
         exact = Tokenizer.from_file(path)
-        exact.encode_special_tokens = True
+        # added tokens that take in white space or only stand alone are left to the library
+        plain = not any(x[k] for x in added for k in ("single_word", "lstrip", "rstrip"))
 
         def encode(text: str) -> list[int]:
             try:
-                return fast.encode_ordinary(text)
+                if plain or not any(x in text for x in special):
+                    return fast.encode(text, allowed_special="all")
             except BaseException as e:  # the library panics on some extreme texts
                 if isinstance(e, KeyboardInterrupt | SystemExit | MemoryError):
                     raise
-                return exact.encode(text, add_special_tokens=False).ids
+            return exact.encode(text, add_special_tokens=False).ids
 
         loaded[path] = encode
     return loaded[path]

@@ -11,6 +11,11 @@ repeated window, nearly all, stop after one distinct-count of these hashes; the
 others sort (hash, position) pairs, mark windows that equal a neighbour, and
 add up the stretches these windows cover.
 
+The stop words are those of four languages, whose short ones most languages in
+Latin letters share; texts with fewer Latin letters than characters beyond ASCII
+are no case for them and have the ratio 1.  The share of distinct words falls as any
+text grows, so beyond ``VOCABULARY`` words it is taken of that number.
+
 Nulls: a null text counts as empty.  Empty and blank texts have no words and
 fail the base rule.  Repeated rows are measured one by one.  An empty table
 gives an empty result.  Columns of the input that bear the name of an output
@@ -27,6 +32,7 @@ from pyspark.sql import functions as F
 from .common import WHITE, free_name, words
 
 WINDOW = 5
+VOCABULARY = 10_000
 
 #: Stop words of the four languages (fixed values).
 STOP_WORDS = (
@@ -95,7 +101,7 @@ def measure(df: DataFrame, text: str = "text") -> DataFrame:
     hs, ls = F.col(h), F.col(lines)
     chars = F.char_length(F.array_join(c, ""))
     symbols = F.char_length(F.regexp_replace(t, r"[^#*$%&|<>]+", ""))
-    upper = F.char_length(F.regexp_replace(t, r"[^A-Z]+", ""))
+    upper, latin, beyond = (F.char_length(F.regexp_replace(t, f"[{others}]+", "")) for others in ("^A-Z", "^A-Za-z", "\\x00-\\x7F"))
     dup_lines = F.size(ls) - F.size(F.array_distinct(ls))
     ratio = lambda a, b: F.when(b > 0, a / b).otherwise(F.lit(0.0))
     values = {
@@ -105,10 +111,10 @@ def measure(df: DataFrame, text: str = "text") -> DataFrame:
         "n_dup_lines": dup_lines.cast("bigint"),
         "n_repeat_words": F.when(F.size(F.array_distinct(hs)) == F.size(hs), F.lit(0)).otherwise(repeat_words(hs)).cast("bigint"),
         "mean_word_chars": ratio(chars, n),
-        "stop_word_ratio": ratio(F.size(F.filter(c, lambda x: x.isin(*STOP_WORDS))), n),
+        "stop_word_ratio": F.when(beyond > latin, F.lit(1.0)).otherwise(ratio(F.size(F.filter(c, lambda x: x.isin(*STOP_WORDS))), n)),
         "upper_letter_ratio": ratio(upper, chars),
         "bullet_line_ratio": ratio(F.size(F.filter(ls, lambda x: x.rlike(f"^[{WHITE}]*[-*•]"))), F.size(ls)),
-        "distinct_word_ratio": ratio(F.size(F.array_distinct(c)), n),
+        "distinct_word_ratio": ratio(F.size(F.array_distinct(c)), F.least(n, F.lit(VOCABULARY))),
         "dup_line_ratio": ratio(dup_lines, F.size(ls)),
         "symbols_per_word": ratio(symbols, n),
     }

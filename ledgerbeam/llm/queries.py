@@ -125,24 +125,34 @@ win AS (SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT doc
 twice AS (SELECT doc_id, i FROM win QUALIFY count(*) OVER (PARTITION BY doc_id, s) > 1),
 rep AS (SELECT doc_id, count(DISTINCT i + k) AS r FROM twice, range(5) t(k) GROUP BY doc_id),
 m AS (SELECT doc_id, len(w)::BIGINT AS n, length(array_to_string(w, ''))::BIGINT AS wc, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS sy, (len(lines) - len(list_distinct(lines)))::BIGINT AS dl, coalesce(r, 0) AS r,
-  len(lines) AS nl, len(list_filter(w, lambda x: x IN ({_STOPS}))) AS st, length(regexp_replace(text, '[^A-Z]', '', 'g')) AS up, len(list_filter(lines, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*[-*•]'))) AS bu, len(list_distinct(w)) AS dw
+  len(lines) AS nl, len(list_filter(w, lambda x: x IN ({_STOPS}))) AS st, length(regexp_replace(text, '[^A-Z]', '', 'g')) AS up, length(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS lat, length(regexp_replace(text, '[\x00-\x7F]', '', 'g')) AS beyond, len(list_filter(lines, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*[-*•]'))) AS bu, len(list_distinct(w)) AS dw
   FROM d LEFT JOIN rep USING (doc_id)),
 b AS (SELECT *, n < 10 OR 100 * r > 20 * n AS base_failed FROM m)
 SELECT doc_id, n AS n_words, wc AS word_chars, sy AS n_symbols, dl AS n_dup_lines, r AS n_repeat_words, base_failed,
-  NOT base_failed AND wc / n BETWEEN 1 AND 40 AND sy / n <= 0.3 AND (n < 100 OR st / n >= 0.01) AND (n < 100 OR dl / nl <= 0.6) AND (n < 20 OR up / wc <= 0.7) AND (n < 50 OR bu / nl <= 0.9) AND dw / n >= 0.05 AS kept
+  NOT base_failed AND wc / n BETWEEN 1 AND 40 AND sy / n <= 0.3 AND (n < 100 OR beyond > lat OR st / n >= 0.01) AND (n < 100 OR dl / nl <= 0.6) AND (n < 20 OR up / wc <= 0.7) AND (n < 50 OR bu / nl <= 0.9) AND dw / least(n, 10000) >= 0.05 AS kept
 FROM b""",
     "op9_chat_formatting": r"""
 WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, k, CASE k WHEN 0 THEN 'user' ELSE 'assistant' END, '<|im_end|><|im_start|>assistant ok' FROM range(2) t(k)),
-t AS (SELECT *, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) + 4 AS tok, length('<|im_start|>' || role || '<|im_end|>') + 2 + length(regexp_replace(text, '<(!*)\|', '<!\1|', 'g')) AS chars,
+t AS (SELECT *, len(regexp_extract_all(text, '[^\x20\x09-\x0D]{1,8}')) + 4 AS tok, length('<|im_start|>' || role || '<|im_end|>') + 2 + length(regexp_replace(text, '<(!*)\|', '<!\1|', 'g')) AS chars,
   row_number() OVER o AS n FROM c WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
-p AS (SELECT *, sum(tok) OVER (PARTITION BY conv_id ORDER BY n) - tok AS start FROM t),
-w AS (SELECT *, start // 1024 AS win FROM p),
-f AS (SELECT conv_id, win, min(start) AS opens, row_number() OVER (PARTITION BY conv_id ORDER BY win) AS k FROM w GROUP BY conv_id, win),
-again AS (SELECT a.conv_id, sum(a.chars) AS chars FROM w a JOIN f x ON x.conv_id = a.conv_id AND x.win = a.win JOIN f y ON y.conv_id = a.conv_id AND y.k = x.k + 1
-  WHERE NOT (a.n = 1 AND a.role = 'system') AND y.opens - a.start <= 128 GROUP BY a.conv_id),
-sys AS (SELECT a.conv_id, a.chars * (SELECT count(*) - 1 FROM f WHERE f.conv_id = a.conv_id) AS chars FROM w a WHERE a.n = 1 AND a.role = 'system')
-SELECT w.conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256, coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
-  sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256, (sum(w.chars) + coalesce(max(again.chars), 0) + coalesce(max(sys.chars), 0))::BIGINT AS formatted_chars
-FROM w LEFT JOIN again ON again.conv_id = w.conv_id LEFT JOIN sys ON sys.conv_id = w.conv_id GROUP BY w.conv_id""",
+s AS (SELECT *, n = 1 AND role = 'system' AS lead, sum(tok) OVER (PARTITION BY conv_id ORDER BY n) AS upto, coalesce(max(tok) FILTER (WHERE n = 1 AND role = 'system') OVER (PARTITION BY conv_id), 0) AS sys FROM t),
+p AS (SELECT *, upto - sys AS e, CASE WHEN lead THEN 0 ELSE upto - sys - tok END AS b, greatest(1024 - 128 - sys, 1) AS span FROM s),
+k AS (SELECT *, b // span AS k FROM p),
+l AS (SELECT *, max(e) OVER x - min(b) OVER x > span AND e > (k + 1) * span AND NOT lead AS last FROM k WINDOW x AS (PARTITION BY conv_id, k)),
+w AS (SELECT *, min(n) OVER x AS win, max(n) OVER x AS til, max(e) OVER x AS stop, max(e) OVER x - min(b) OVER x AS held FROM l WINDOW x AS (PARTITION BY conv_id, k, last)),
+f AS (SELECT w.*, v.held AS ahead FROM w LEFT JOIN w v ON v.conv_id = w.conv_id AND v.n = w.til + 1)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256, coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  (sum(chars) + coalesce(sum(chars) FILTER (WHERE NOT lead AND ahead IS NOT NULL AND stop - b <= least(128, 1024 - sys - ahead)), 0) + coalesce(max(chars) FILTER (WHERE lead), 0) * (count(DISTINCT win) - 1))::BIGINT AS formatted_chars
+FROM f GROUP BY conv_id""",
+    "op5_mixing": rf"""
+WITH d AS (SELECT doc_id, source, len({_W})::BIGINT AS size, md5(coalesce(doc_id::VARCHAR, '') || '|' || md5(coalesce(text, ''))) AS queue FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, list_extract([5.0, 2.0, 1.0]::DOUBLE[], (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1) AS weight FROM d GROUP BY source),
+f AS (SELECT *, 2.0::DOUBLE * source_size AS most, 2.0::DOUBLE * source_size / weight AS full_at FROM s),
+r AS (SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - (sum(most) OVER o - most)) / (sum(weight) OVER () - sum(weight) OVER o + weight) AS level FROM f WINDOW o AS (ORDER BY full_at, source NULLS LAST ROWS UNBOUNDED PRECEDING)),
+g AS (SELECT source, source_size, least(most, coalesce(max(level) FILTER (WHERE full_at > level) OVER () * weight, most)) AS target FROM r),
+q AS (SELECT d.*, source_size, target, sum(size) OVER (PARTITION BY d.source ORDER BY queue ROWS UNBOUNDED PRECEDING) - size AS before FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source)
+SELECT doc_id, size, source_size, target, (greatest(0, least(size, floor(target) - before)) + greatest(0, least(size, floor(target) - source_size - before)))::BIGINT AS taken,
+  CASE WHEN target > 0 THEN (before + size) / target END AS virtual_finish FROM q""",
 }

@@ -42,7 +42,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, free_name
+from .common import cut, free_name, row_key
 
 SEED = 42
 SHINGLE = 4
@@ -155,6 +155,19 @@ def trie_links(keys: np.ndarray, roots: np.ndarray, budget: int = BUDGET, label:
         stack.append((bit - 1, np.concatenate(parts, 1)))
 
 
+def joined(links: Iterable[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The same links in fewer batches."""
+    parts, held = [], 0
+    for link in links:
+        parts.append(link)
+        held += len(link[0])
+        if held >= PAIRS or len(parts) >= PAIRS:
+            yield tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+            parts, held = [], 0
+    if parts:
+        yield tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
 def forest(n: int, links: Iterable[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """A spanning forest of the graph on 0..n-1: each position that isn't the first of its component, and that first.
 
@@ -226,7 +239,9 @@ def by_groups(dealt: DataFrame, traverse, schema: str) -> DataFrame:
         if rest is not None and len(rest):
             yield from traverse(rest)
 
-    return dealt.repartition(*GROUP).sortWithinPartitions(*GROUP).mapInPandas(run, schema)
+    # by a stated number, which Spark doesn't lower for small rows that are much work
+    tasks = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return dealt.repartition(tasks, *GROUP).sortWithinPartitions(*GROUP).mapInPandas(run, schema)
 
 
 def path_bits(level: int, path: int, width: int) -> tuple[list[int], list[int]]:
@@ -325,32 +340,32 @@ def near_duplicates(docs: DataFrame, budget: int = BUDGET, shingle: int = SHINGL
     return fps.join(of_fp, "fp", "left").select("doc_id", "fp", "component_id")
 
 
-def lead(docs: DataFrame, node: str, found: DataFrame) -> DataFrame:
-    """One row of docs for each component of the nodes in column node: the smallest doc_id, nulls last, then the smallest hash of the text.
+def lead(docs: DataFrame, rows: DataFrame, found: DataFrame) -> DataFrame:
+    """One row of docs for each component of nodes: the smallest doc_id, nulls last, then the smallest hash of the text.
 
-    found: u and the label v of its component, for nodes that don't label their own.
+    rows: null, num, text (row_key) and node of every row of docs.  found: u and the label v of its component, for nodes
+    that don't label their own.
     """
-    null, num, text, rank = (free_name(docs, x) for x in ("_null", "_num", "_text", "_rank"))
-    row = docs.withColumns({null: F.col("doc_id").isNull(), num: F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)), text: F.xxhash64("text")})
-    keys = [null, num, text, node]
-    best = row.groupBy(F.col(node).alias("u")).agg(F.min(F.struct(*keys)).alias("best")).join(found, "u", "left")
+    keys = [free_name(docs, x) for x in ("_null", "_num", "_text")]
+    rank = free_name(docs, "_rank")
+    key = F.struct(*(F.col(c).alias(k) for c, k in zip(("null", "num", "text"), keys, strict=True)))
+    best = rows.groupBy(F.col("node").alias("u")).agg(F.min(key).alias("best")).join(found, "u", "left")
     best = cut(best.groupBy(F.coalesce("v", "u").alias("label")).agg(F.min("best").alias("best")).select("best.*"))
+    row = docs.withColumns(dict(zip(keys, row_key(), strict=True)))
     # rows that repeat both id and text are the only ones left to choose from
-    out = row.join(best, keys, "left_semi").withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(text)))
+    out = row.join(best, keys, "left_semi").withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(keys[2])))
     return out.where(F.col(rank) == 1).select(*docs.columns)
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of docs that lead their components (see lead)."""
-    node = free_name(docs, "_node")
 
     @F.pandas_udf("bigint")
     def fp(text: pd.Series) -> pd.Series:
         return pd.Series(np.array([fingerprint(x if isinstance(x, str) else None) for x in text], np.uint64).view(np.int64))
 
-    rows = docs.withColumn(node, fp("text"))
-    nodes = cut(rows.select(F.col(node).alias("fp")).distinct())
-    return lead(rows, node, components(links(nodes))).drop(node)
+    rows = cut(docs.select(*(c.alias(name) for c, name in zip(row_key(), ("null", "num", "text"), strict=True)), fp("text").alias("node")))
+    return lead(docs, rows, components(links(cut(rows.select(F.col("node").alias("fp")).distinct()))))
 
 
 def as_hex(fp):

@@ -1,8 +1,8 @@
 """Main text of web pages by site style trees.
 
 The pages of a host are merged to one tree: a node stands for all elements that
-share the chain of tags, ids and classes from the root.  For every node, with m
-pages that have it, grouped sums give
+share the chain of tags, ids and classes from the root, digits in names aside.
+For every node, with m pages that have it, grouped sums give
 
 * the entropy of its presentation styles (the tags below it, in order), base m;
 * for its own text, one minus the mean over distinct texts of log_m(pages with
@@ -10,22 +10,29 @@ pages that have it, grouped sums give
 
 Bottom-up these make a node's importance: presentation and the mean of the
 nodes below it, or the text's share where it has text of its own.  Branches
-below ``LEAST`` importance, seen on ``PAGES`` pages or more, are noise and are
-cut from each page.
-
-Importance alone can't tell changing menus, adverts and footers from content,
-so marked branches (navigation, header, footer, aside, form, advert, notice and
-comment markup, hidden elements) have importance 0 from the start.  What a page
-marks as its article or main part has importance 1, but the branches in it are
+below ``LEAST`` importance are noise and are cut from each page; that list is
+all that decides what a page loses.
+
+Marks are priors of the importance.  Entropy can't tell changing menus, adverts
+and footers from content, so what marks noise (navigation, header, footer, aside,
+form, advert, notice and comment markup, hidden elements) multiplies a branch's
+importance by ``NOISE_PRIOR``; such branches are one node of the host for each
+kind of mark, whatever is above them.  What a page marks as its article or main
+part has ``CONTENT_PRIOR`` importance at least, but the branches in it are
 judged like all others, so boilerplate repeated in every article goes; only a
 part without any important branch, an article repeated all over a host, is kept
 as it is.  A page yields its main part alone unless more words are left outside
 it, as with a teaser card beside an unmarked body; then it yields both.
 
-The tree's counts are summed in the tasks before they are shuffled, 40 bytes a
-distinct text at most; the tree of a host, not its pages, is what one task
-handles.  The list of noise is stored, and Spark joins it by broadcast only
-below its own size threshold.
+Size.  Counts are summed in the tasks before they are shuffled, 40 bytes a
+distinct text at most.  Entropy over fewer than ``PAGES`` pages says nothing, so
+unmarked nodes that fewer pages have are never noise; they are important if they
+hold text, and are summed into the node above them before the tree of a host
+comes to one task.  That tree so grows with the host's templates, not with its
+pages or their ids.  The list of noise is stored, and Spark joins it by
+broadcast only below its own size threshold.  A page is read in time that is
+linear in its length: after ``BROKEN`` tags with a quote that is never closed,
+quotes count for nothing in the rest of the page.
 
 Nulls: a null html is an empty page with empty text; pages with a null url, or
 none with a host, count as one host.  Null ids are kept, repeated rows are
@@ -36,20 +43,23 @@ not returned.
 from __future__ import annotations
 
 import html as markup
-import math
 import re
 import uuid
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared_dir
+from .common import cut, shared_dir
 
 LEAST = 0.25
 PAGES = 4
+NOISE_PRIOR = 0.2
+CONTENT_PRIOR = 0.8
+BROKEN = 16
 #: Weight of a node's own presentation against the nodes below it.
 PRESENTATION = 0.1
 #: Distinct counts that a task holds before it passes them on.
@@ -81,8 +91,11 @@ FRAMES = frozenset("html body main".split())
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 SCOPE = frozenset("ul ol dl table body html article section main div td th nav aside footer header form blockquote".split())
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[a-zA-Z/][^>]*>", re.S)
-ATTRIBUTE = re.compile(r"([a-zA-Z_:-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))")
+#: A tag; with an unclosed quote only the second form matches, where quotes count for nothing.
+TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)")
+LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)")
+ATTRIBUTE = re.compile(r"(?<![a-zA-Z_:-])([a-zA-Z_:-]++)\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))")
+DIGITS = re.compile("[0-9]+")
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
@@ -91,26 +104,50 @@ def host_of(url):
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1))
 
 
-def _named_noise(names: list[str], inside: bool) -> bool:
+def _named_noise(names: list[str], inside: bool) -> str:
+    """The first part of a name that marks noise, or nothing."""
     wanted = NOISE_NAMES if inside else NOISE_NAMES | OUTER_NAMES
     for name in names:
         parts = [p.lower() for p in NAME_PART.findall(name)]
-        if parts and parts[0] not in STATES and not wanted.isdisjoint(parts):
-            return True
-    return False
+        if parts and parts[0] not in STATES:
+            for p in parts:
+                if p in wanted:
+                    return p
+    return ""
 
 
-def _marks(tag: str, attrs: str, inside: bool) -> tuple[str, bool, bool]:
-    """The style (ids and classes) of an opening tag, and whether it is marked as noise or as content; inside: within a main part."""
+def _marks(tag: str, attrs: str, inside: bool) -> tuple[str, str, bool]:
+    """The style (ids and classes) of an opening tag, the kind of noise it is marked as, if any, and whether it is marked as content; inside: within a main part."""
+    kind = tag if tag in NOISE_TAGS else ""
     if not attrs or "=" not in attrs and "hidden" not in attrs:
-        return "", tag in NOISE_TAGS, tag in CONTENT_TAGS
+        return "", kind, tag in CONTENT_TAGS
     found = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(attrs)}
     names = f"{found.get('class', '')} {found.get('id', '')}".split()
-    noise = tag in NOISE_TAGS or tag not in FRAMES and _named_noise(names, inside)
-    noise |= found.get("role", "").lower() in NOISE_ROLES or found.get("aria-hidden") == "true"
-    noise |= "display:none" in found.get("style", "").replace(" ", "").lower() or bool(re.search(r"(?:^|\s)hidden(?:\s|$|/)", attrs))
-    content = tag in CONTENT_TAGS or found.get("role", "").lower() == "main" or found.get("itemprop", "").lower() == "articlebody"
-    return " ".join(sorted(names)), noise, content
+    role = found.get("role", "").lower()
+    if not kind and tag not in FRAMES:
+        kind = _named_noise(names, inside)
+    if not kind and role in NOISE_ROLES:
+        kind = role
+    if not kind and (
+        found.get("aria-hidden") == "true"
+        or "display:none" in found.get("style", "").replace(" ", "").lower()
+        or re.search(r"(?:^|\s)hidden(?:\s|$|/)", attrs)
+    ):
+        kind = "hidden"
+    content = tag in CONTENT_TAGS or role == "main" or found.get("itemprop", "").lower() == "articlebody"
+    return DIGITS.sub("#", " ".join(sorted(names))), kind, content
+
+
+class _Open(NamedTuple):
+    """An open element."""
+
+    tag: str
+    node: int
+    noise: bool  # in a branch marked as noise
+    content: bool  # in a main part
+    block: int  # the node that its text belongs to
+    buffer: list  # its block's text so far; branches of noise have their own
+    p: int  # place of the paragraph that the next block closes, if any
 
 
 class Page:
@@ -120,95 +157,128 @@ class Page:
         from xxhash import xxh64_intdigest
 
         self.key = lambda parent, style: xxh64_intdigest(f"{host}\n{parent}\n{style}") >> 1
-        #: node -> (parent, importance fixed by marks or None)
-        self.nodes: dict[int, tuple[int, float | None]] = {}
+        #: node -> (parent, mark: -1 noise, 1 content, 0 none); a node comes after its parent
+        self.nodes: dict[int, tuple[int, int]] = {}
         self.styles: dict[int, list[str]] = {}
-        #: (text, innermost node, nodes above and itself, in content); text in noise is never kept
-        self.blocks: list[tuple[str, int, tuple[int, ...], bool]] = []
+        #: (text, node, in content)
+        self.blocks: list[tuple[str, int, bool]] = []
         self.has_content = False
         self._parse(text)
 
     def _parse(self, text: str) -> None:
-        # of each open element: tag, node, all nodes from the root, in noise, in content
-        stack = [("", 0, (), False, False)]
-        buffer: list[str] = []
-        at = 0
-
-        def flush() -> None:
-            if buffer:
-                words = " ".join(markup.unescape("".join(buffer)).split())
-                buffer.clear()
+        stack = [_Open("", 0, False, False, 0, [], 0)]
+        count: Counter = Counter()
+        at = pos = broken = 0
+
+        def flush(e: _Open) -> None:
+            if e.buffer:
+                words = " ".join(markup.unescape("".join(e.buffer)).split())
+                e.buffer.clear()
                 if words:
-                    k = len(stack) - 1
-                    while k and (stack[k][0] not in BLOCKS or stack[k][3]):
-                        k -= 1
-                    _, node, above, _, content = stack[k]
-                    self.blocks.append((words, node, above, content))
-
-        def close(tags, until=SCOPE) -> None:
+                    self.blocks.append((words, e.block, e.content))
+
+        def pop(k: int) -> None:
+            while len(stack) > k:
+                e = stack.pop()
+                count[e.tag] -= 1
+                if e.noise and not stack[-1].noise:
+                    flush(e)
+
+        def close(tags, until) -> None:
+            if not any(count[t] for t in tags):
+                return
             for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] in tags:
-                    flush()
-                    del stack[k:]
+                if stack[k].tag in tags:
+                    flush(stack[-1])
+                    pop(k)
                     return
-                if stack[k][0] in until:
+                if stack[k].tag in until:
                     return
 
-        for m in TOKEN.finditer(text):
-            if m.start() < at:  # inside an element whose content is no markup
+        while (lt := text.find("<", pos)) >= 0:
+            c, m = text[lt + 1 : lt + 2], None
+            if "a" <= c.lower() <= "z" or c == "/" and text[lt + 2 : lt + 3].isalpha():
+                m = TAG.match(text, lt) if broken <= BROKEN else None
+                if not m:
+                    broken += 1
+                    m = LOOSE.match(text, lt)
+                if not m:
+                    pos = lt + 1
+                    continue
+                end = m.end()
+            elif text.startswith("<!--", lt):
+                end = text.find("-->", lt + 4) + 3
+                end = end if end > 2 else len(text)
+            elif c and c in "!?/":
+                end = text.find(">", lt) + 1 or len(text)
+            else:
+                pos = lt + 1
                 continue
-            if m.start() > at and not stack[-1][3]:
-                buffer.append(text[at : m.start()])
-            at = m.end()
-            tag = m[2]
-            if tag is None:
+            if lt > at:
+                stack[-1].buffer.append(text[at:lt])
+            at = pos = end
+            if not m:
                 continue
-            tag = tag.lower()
+            tag = m[2].lower()
             if m[1]:
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] == tag:
-                        if tag in BLOCKS:
-                            flush()
-                        del stack[k:]
-                        break
+                if count[tag] > 0:
+                    k = len(stack) - 1
+                    while stack[k].tag != tag:
+                        k -= 1
+                    if tag in BLOCKS:
+                        flush(stack[-1])
+                    pop(k)
                 if tag == "br":
-                    buffer.append(" ")
+                    stack[-1].buffer.append(" ")
                 continue
             if tag in BLOCKS:
-                flush()
-                close(("p",))
+                flush(stack[-1])
+                if stack[-1].p:
+                    pop(stack[-1].p)
+                    flush(stack[-1])
             if tag in SIBLINGS:
                 close(SIBLINGS[tag], SCOPE - {"td", "th"} if tag == "tr" else SCOPE)
             if tag in VOID:
                 if tag == "br":
-                    buffer.append(" ")
+                    stack[-1].buffer.append(" ")
                 continue
-            _, parent, above, noise, content = stack[-1]
-            style, marked, is_content = _marks(tag, m[3], content)
-            if tag == "header" and not content and not noise:
-                marked = True
-            if is_content and not marked and not noise:
-                content = self.has_content = True
-            inside = stack[-1][4]
-            if not noise and (marked or is_content or tag in BLOCKS):
-                node = self.key(parent, f"{tag} {style}")
-                self.nodes.setdefault(node, (parent, 0.0 if marked else 1.0 if is_content and not inside else None))
-                self.styles.setdefault(parent, []).append(tag)
-                above = (*above, node)
-            else:
-                node = parent
             if tag in RAW:
-                end = re.compile(f"</{re.escape(tag)}[^>]*(?:>|$)", re.I).search(text, at)
-                at = end.end() if end else len(text)
+                ended = re.compile(f"</{re.escape(tag)}[^>]*(?:>|$)", re.I).search(text, at)
+                at = pos = ended.end() if ended else len(text)
                 continue
-            stack.append((tag, node, above, noise or marked, content))
-        if at < len(text) and not stack[-1][3]:
-            buffer.append(text[at:])
-        flush()
-
-    def text(self, noise: frozenset | set = frozenset()) -> str:
-        """The blocks that are neither marked nor below a node of noise, one line each."""
-        left = [(t, content) for t, _, above, content in self.blocks if not noise.intersection(above)]
+            above = stack[-1]
+            style, kind, is_content = _marks(tag, m[3], above.content)
+            if tag == "header" and not above.content:
+                kind = kind or tag
+            node, content, block, buffer = above.node, above.content, above.block, above.buffer
+            if not above.noise:
+                if kind:  # one node for all such branches of the host
+                    node = block = self.key(0, f"!{tag} {kind}")
+                    self.nodes.setdefault(node, (0, -1))
+                    buffer = []
+                elif is_content or tag in BLOCKS:
+                    node = self.key(above.node, f"{tag} {style}")
+                    self.nodes.setdefault(node, (above.node, 1 if is_content and not content else 0))
+                    block = node if tag in BLOCKS else block
+                if kind or is_content or tag in BLOCKS:
+                    self.styles.setdefault(above.node, []).append(tag)
+                if is_content and not kind:
+                    content = self.has_content = True
+            p = len(stack) if tag == "p" else 0 if tag in SCOPE else above.p
+            count[tag] += 1
+            stack.append(_Open(tag, node, above.noise or bool(kind), content, block, buffer, p))
+        if at < len(text):
+            stack[-1].buffer.append(text[at:])
+        while stack[-1].noise:
+            pop(len(stack) - 1)
+        flush(stack[-1])
+
+    def text(self, noise: frozenset | set | None = None) -> str:
+        """The blocks that aren't below a node of noise, one line each; noise None: the marks alone decide."""
+        low: dict[int, bool] = {0: False}
+        for node, (parent, mark) in self.nodes.items():
+            low[node] = low[parent] or (mark < 0 if noise is None else node in noise)
+        left = [(t, content) for t, node, content in self.blocks if not low[node]]
         if self.has_content:
             inside, outside = (sum(t.count(" ") + 1 for t, content in left if content == side) for side in (True, False))
             if outside <= inside:
@@ -220,7 +290,7 @@ NODE, STYLE, TEXT = 0, 1, 2
 
 
 def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Of each node, style and text of a node: the number of pages that have it."""
+    """Of each node, style and text of a node: the number of pages that have it; nodes by whether they hold text."""
     from xxhash import xxh64_intdigest
 
     held: Counter = Counter()
@@ -228,46 +298,59 @@ def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     def frame() -> pd.DataFrame:
         rows = [(*k, v) for k, v in held.items()]
         held.clear()
-        return pd.DataFrame(rows, columns=["host", "node", "parent", "fixed", "kind", "feature", "pages"])
+        return pd.DataFrame(rows, columns=["host", "node", "parent", "mark", "kind", "feature", "pages"])
 
     for pdf in batches:
         for text, host in zip(pdf["html"], pdf["host"], strict=True):
             page = Page(text if isinstance(text, str) else "", host)
             texts: dict[int, list[str]] = {}
-            for words, node, _, _ in page.blocks:
+            for words, node, _ in page.blocks:
                 if node:
                     texts.setdefault(node, []).append(words)
-            for node, (parent, fixed) in page.nodes.items():
-                held[(host, node, parent, fixed, NODE, 0)] += 1
-                if fixed != 0:
-                    held[(None, node, -1, None, STYLE, xxh64_intdigest(" ".join(page.styles.get(node, ()))) >> 1)] += 1
-                    if node in texts:
-                        held[(None, node, -1, None, TEXT, xxh64_intdigest("\n".join(texts[node])) >> 1)] += 1
+            full = set(texts)
+            for node, (parent, _) in reversed(page.nodes.items()):
+                if node in full:
+                    full.add(parent)
+            for node, (parent, mark) in page.nodes.items():
+                held[(host, node, parent, mark, NODE, int(node in full))] += 1
+                held[(None, node, -1, -2, STYLE, xxh64_intdigest(" ".join(page.styles.get(node, ()))) >> 1)] += 1
+                if node in texts:
+                    held[(None, node, -1, -2, TEXT, xxh64_intdigest("\n".join(texts[node])) >> 1)] += 1
             if len(held) > HELD:
                 yield frame()
     if held:
         yield frame()
 
 
-COUNTS = "host string, node bigint, parent bigint, fixed double, kind int, feature bigint, pages bigint"
+COUNTS = "host string, node bigint, parent bigint, mark int, kind int, feature bigint, pages bigint"
 
 
 def tree(pages: DataFrame) -> DataFrame:
-    """The merged trees: host, node, parent, pages, fixed, presentation (entropy) and content (importance of its own text, null without any)."""
+    """The merged trees: host, node, parent, mark, pages, presentation (entropy), content (importance of its own text, null without any).
+
+    Unmarked nodes on fewer than PAGES pages are summed into those above them: rare (their pages), rare_sum (of pages
+    times importance) and rare_max.
+    """
     counts = pages.select("html", "host").mapInPandas(_counts, COUNTS)
-    counts = counts.groupBy("node", "kind", "feature").agg(F.sum("pages").alias("c"), F.max("host").alias("host"), F.max("parent").alias("parent"), F.max("fixed").alias("fixed"))
+    counts = counts.groupBy("node", "kind", "feature").agg(F.sum("pages").alias("c"), F.max("host").alias("host"), F.max("parent").alias("parent"), F.max("mark").alias("mark"))
     of = lambda kind, x: F.sum(F.when(F.col("kind") == kind, x))
     log = F.log(F.col("c").cast("double"))
     by = counts.groupBy("node").agg(
-        F.max("host").alias("host"), F.max("parent").alias("parent"), F.max("fixed").alias("fixed"), of(NODE, F.col("c")).alias("pages"),
+        F.max("host").alias("host"), F.max("parent").alias("parent"), F.max("mark").alias("mark"), of(NODE, F.col("c")).alias("pages"),
+        F.max(F.when(F.col("kind") == NODE, F.col("feature"))).alias("full"),
         of(STYLE, F.col("c") * log).alias("styles"), of(TEXT, log).alias("logs"), of(TEXT, F.lit(1)).alias("texts"),
     )
     base = F.log(F.greatest(F.lit(2.0), F.col("pages").cast("double")))
-    return by.select(
-        "host", "node", "parent", "pages", "fixed",
+    by = cut(by.select(
+        "host", "node", "parent", "mark", "pages", F.when(F.col("full") == 1, 1.0).otherwise(PRESENTATION).alias("alone"),
         F.when(F.col("pages") > 1, (base - F.col("styles") / F.col("pages")) / base).otherwise(F.lit(1.0)).alias("presentation"),
         F.when(F.col("texts") > 0, F.when(F.col("pages") > 1, 1 - F.col("logs") / F.col("texts") / base).otherwise(F.lit(1.0))).alias("content"),
+    ))
+    rare = (F.col("pages") < PAGES) & (F.col("mark") == 0)
+    sums = by.where(rare).groupBy(F.col("parent").alias("of")).agg(
+        F.sum("pages").alias("rare"), F.sum(F.col("pages") * F.col("alone")).alias("rare_sum"), F.max("alone").alias("rare_max")
     )
+    return by.where(~rare).join(sums, F.col("node") == F.col("of"), "left").drop("of", "alone").na.fill(0, ["rare", "rare_sum", "rare_max"])
 
 
 def importance(nodes: pd.DataFrame) -> dict[int, float]:
@@ -285,51 +368,55 @@ def importance(nodes: pd.DataFrame) -> dict[int, float]:
         todo += below.get(n, [])
     for n in reversed(order):
         r = rows[n]
-        if r.fixed == 0:
-            out[n] = 0.0
-            continue
         parts = [(rows[k].pages, out[k]) for k in below.get(n, ())]
         if r.content == r.content and r.content is not None:
             parts.append((r.pages, float(r.content)))
-        inner = sum(p * x for p, x in parts) / sum(p for p, _ in parts) if parts else 0.0
+        total, best = r.rare + sum(p for p, _ in parts), max((x for _, x in parts), default=0.0)
+        inner = (r.rare_sum + sum(p * x for p, x in parts)) / total if total else 0.0
         # a node stays if it has any important branch
-        out[n] = max(PRESENTATION * float(r.presentation) + (1 - PRESENTATION) * inner, max((x for _, x in parts), default=0.0))
-        if r.fixed == 1:
+        out[n] = max(PRESENTATION * float(r.presentation) + (1 - PRESENTATION) * inner, best, r.rare_max)
+        if r.mark < 0:
+            out[n] *= NOISE_PRIOR
+        if r.mark > 0:
             if out[n] < LEAST:  # wholly repeated: nothing in it tells the article from the rest, so the mark decides
                 todo = list(below.get(n, ()))
                 while todo:
                     k = todo.pop()
-                    if rows[k].fixed != 0:
-                        out[k] = 1.0
-                        todo += below.get(k, ())
-            out[n] = 1.0
+                    out[k] = 1.0
+                    todo += below.get(k, ())
+            out[n] = max(out[n], CONTENT_PRIOR)
     return out
 
 
 def noise(nodes: DataFrame) -> DataFrame:
-    """host and its noise: the topmost nodes of little importance that enough pages have."""
+    """host and its noise: the nodes of little importance whose parents are important."""
 
     def of_host(pdf: pd.DataFrame) -> pd.DataFrame:
-        pages = dict(zip(pdf["node"], pdf["pages"], strict=True))
-        low = [n for n, x in importance(pdf).items() if x < LEAST and pages[n] >= PAGES and not math.isnan(x)]
-        return pd.DataFrame({"host": [pdf["host"].iloc[0]], "noise": [low]})
+        parent = dict(zip(pdf["node"], pdf["parent"], strict=True))
+        found = importance(pdf)
+        low = {n for n, x in found.items() if not x >= LEAST}
+        return pd.DataFrame({"host": [pdf["host"].iloc[0]], "noise": [[n for n in low if parent[n] not in low]]})
 
     return nodes.groupBy("host").applyInPandas(of_host, "host string, noise array<bigint>")
 
 
-def extract(pages: DataFrame) -> DataFrame:
-    """page_id, url, text, n_chars."""
+def extract(pages: DataFrame, hook=None) -> DataFrame:
+    """page_id, url, text, n_chars; hook, if given, changes the list of noise (host, noise) before it is used."""
     rows = pages.select(F.col("page_id").cast("string").alias("page_id"), F.col("url").cast("string").alias("url"), host_of(F.col("url")).alias("host"), "html")
     where = f"{shared_dir(pages.sparkSession)}/style-tree-{uuid.uuid4().hex}"
-    noise(tree(rows)).write.parquet(where)
+    low = noise(tree(rows))
+    (low if hook is None else hook(low)).write.parquet(where)
     low = pages.sparkSession.read.parquet(where)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: dict[str, frozenset] = {}  # of the hosts of one batch
         for pdf in batches:
-            texts = [
-                Page(text if isinstance(text, str) else "", host).text(set() if low is None else set(low))
-                for text, host, low in zip(pdf["html"], pdf["host"], pdf["noise"], strict=True)
-            ]
+            known.clear()
+            texts = []
+            for text, host, low in zip(pdf["html"], pdf["host"], pdf["noise"], strict=True):
+                if host not in known:
+                    known[host] = frozenset(() if low is None else low.tolist())
+                texts.append(Page(text if isinstance(text, str) else "", host).text(known[host]))
             yield pd.DataFrame({"page_id": pdf["page_id"], "url": pdf["url"], "text": texts})
 
     joined = rows.join(low, "host", "left").select("page_id", "url", "host", "html", "noise")

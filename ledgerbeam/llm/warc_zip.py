@@ -5,8 +5,8 @@ members are stored, not deflated: ``archive/data.warc.gz``, one gzip member per
 record, and ``indexes/index.cdxj``, a line per record with its offset and
 length within the data.  A reader opens the file, finds the end record and, if
 there, the ZIP64 end record, walks the central directory, locates both members
-and their data, and range-reads the records it wants.  Nothing is unpacked to
-disk and no member is read whole.
+and their data, and range-reads the records it wants and their part of the
+index.  Nothing is unpacked to disk and no member is read whole.
 
 Records with equal payloads of at least ``least`` bytes: the one with the
 largest page_id is the response, the others are revisits that refer to it.
@@ -34,6 +34,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -215,10 +216,11 @@ def from_record(raw: bytes) -> dict:
 
 
 def write(pages: DataFrame, folder: str, least: int = 0) -> DataFrame:
-    """Write the archives and return their manifest: archive, records, bytes."""
+    """Write the archives and return their manifest: archive, records, bytes and marks (where in the index each READ_RECORDS records start, and its end)."""
     rows = pages.select(F.col("page_id").cast("bigint"), "url", F.coalesce("html", F.lit("")).cast("binary").alias("payload"))
     rows = rows.withColumn("sha", F.sha1("payload")).withColumn("size", F.length("payload"))
-    first = rows.groupBy("sha", "size").agg(F.max("page_id").alias("response"))
+    # stored: the join then has plain exchanges on both sides, and Spark splits a payload that very many pages share
+    first = cut(rows.groupBy("sha", "size").agg(F.max("page_id").alias("response")))
     rows = rows.join(first, ["sha", "size"])
     revisit = (F.col("size") >= least) & ~F.col("page_id").eqNullSafe(F.col("response"))
     rows = rows.select("page_id", "url", F.when(~revisit, F.col("payload")).alias("body"), F.when(revisit, F.col("payload")).alias("same"), "response", revisit.alias("revisit"))
@@ -243,12 +245,15 @@ def write(pages: DataFrame, folder: str, least: int = 0) -> DataFrame:
             z = s["zip"]
             z.end()
             z.begin(INDEX)
-            z.data("".join(s["index"]).encode())
+            lines = [x.encode() for x in s["index"]]
+            z.data(b"".join(lines))
             z.end()
+            ends = np.cumsum([0, *map(len, lines)])
+            marks = [*ends[:-1:READ_RECORDS].tolist(), int(ends[-1])]
             z.close()
             s["out"].close()
             store.move(f"{s['name']}.open", f"{s['name']}.wacz")
-            return pd.DataFrame({"archive": [f"{s['name']}.wacz"], "records": [len(s["index"])], "bytes": [z.at]})
+            return pd.DataFrame({"archive": [f"{s['name']}.wacz"], "records": [len(s["index"])], "bytes": [z.at], "marks": [marks]})
 
         for pdf in batches:
             for page, url, body, same, response, again in zip(pdf["page_id"], pdf["url"], pdf["body"], pdf["same"], pdf["response"], pdf["revisit"], strict=True):
@@ -264,23 +269,23 @@ def write(pages: DataFrame, folder: str, least: int = 0) -> DataFrame:
         if state:
             yield finish(state)
 
-    return cut(rows.mapInPandas(run, "archive string, records bigint, bytes bigint"))
+    return cut(rows.mapInPandas(run, "archive string, records bigint, bytes bigint, marks array<bigint>"))
 
 
-def index_of(file, size: int) -> tuple[int, list[dict]]:
-    """Where the data member starts and the entries of the index member."""
+def index_of(file, size: int, begin: int = 0, end: int | None = None) -> tuple[int, list[dict]]:
+    """Where the data member starts, and the entries in bytes begin to end of the index member."""
     members = directory(file, size)
     at, length = members[INDEX]
-    file.seek(at)
-    return members[DATA][0], [json.loads(x) for x in bytes(file.read(length)).decode().splitlines()]
+    file.seek(at + begin)
+    return members[DATA][0], [json.loads(x) for x in bytes(file.read((length if end is None else end) - begin)).decode().splitlines()]
 
 
-def read_range(archive, first: int, last: int) -> Iterator[dict]:
-    """Records number first to last - 1 of an archive: (store, path)."""
+def read_range(archive, begin: int, end: int) -> Iterator[dict]:
+    """Records of an archive, (store, path), whose entries lie in bytes begin to end of the index."""
     store, path = archive
     with store.open_input_file(path) as file:
-        start, entries = index_of(file, file.size())
-        entries, at = entries[first:last], 0
+        start, entries = index_of(file, file.size(), begin, end)
+        at = 0
         while at < len(entries):
             end = at + 1
             while end < len(entries) and entries[end]["offset"] + entries[end]["length"] - entries[at]["offset"] <= RANGE:
@@ -295,10 +300,8 @@ def read_range(archive, first: int, last: int) -> Iterator[dict]:
 
 def read(manifest: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
     """A row per record of the manifest's archives; revisits have a null payload."""
-    parts = manifest.select(
-        "archive", "records", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("records") - 1) / READ_RECORDS))).alias("k")
-    )
-    parts = parts.select("archive", (F.col("k") * READ_RECORDS).alias("first"), F.least("records", (F.col("k") + 1) * READ_RECORDS).alias("last"))
+    parts = manifest.select("archive", "marks", F.explode(F.sequence(F.lit(1), F.size("marks") - 1)).alias("k"))
+    parts = cut(parts.select("archive", F.element_at("marks", F.col("k")).alias("begin"), F.element_at("marks", F.col("k") + 1).alias("end")))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, _ = open_store(folder)
@@ -308,9 +311,9 @@ def read(manifest: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
             return pd.DataFrame({c: pd.array([r[c] for r in rows], "Int64") if c in ("page_id", "refers_to") else [r[c] for r in rows] for c in names})
 
         for pdf in batches:
-            for archive, first, last in zip(pdf["archive"], pdf["first"], pdf["last"], strict=True):
+            for archive, begin, end in zip(pdf["archive"], pdf["begin"], pdf["end"], strict=True):
                 rows, held = [], 0
-                for r in read_range((store, archive), int(first), int(last)):
+                for r in read_range((store, archive), int(begin), int(end)):
                     if not payloads:
                         r["payload"] = None
                     rows.append(r | {"archive": archive})
@@ -321,4 +324,5 @@ def read(manifest: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
                 if rows:
                     yield frame(rows)
 
-    return parts.repartition("archive", "first").mapInPandas(run, RECORD_SCHEMA)
+    # a task for each part: by a stated number, which Spark doesn't lower for such small rows
+    return parts.repartition(max(1, parts.count())).mapInPandas(run, RECORD_SCHEMA)

@@ -142,6 +142,64 @@ def test_multiset_laws(spark):
     assert r["x"] == r["y"] == r["i"] and r["d"] == r["z"] and r["x"] != r["z"]
 
 
+def plain_numbers(text):
+    """Paragraph count, exact lanes and sketch of a text, by loops; Spark's xxhash64 chains its arguments as seeds."""
+    chain = lambda h, raw: xxhash.xxh64_intdigest(raw, h)
+    signed = lambda h: h - (1 << 64) if h >> 63 else h
+    seeds = [chain(42, j.to_bytes(4, "little")) for j in range(multiset_hash.EXACT)]
+    paragraphs = text.split("\n")
+    lanes = [sum(chain(s, p.encode()) & multiset_hash.MASK for p in paragraphs) & multiset_hash.MASK for s in seeds]
+    before, behind = (re.compile(re.sub(r"\\x\{10FFFF\}", "\U0010ffff", x)) for x in (multiset_hash.BEFORE, multiset_hash.BEHIND))
+    cells = [0] * multiset_hash.CELLS
+    for p in paragraphs:
+        at = 0
+        while at < len(p):
+            end = at
+            while end < len(p) and end - at < multiset_hash.LONGEST and not (end > at and before.match(p[end - 1]) and behind.match(p[end])):
+                end += 1
+            h = signed(chain(42, p[at:end].encode()))
+            cells[h % multiset_hash.CELLS] += 1
+            at = end
+    return [len(paragraphs), *lanes, *cells]
+
+
+def likeness(spark, a, b):
+    r = spark.createDataFrame([(a, b)], "a string, b string").select(*(multiset_hash.fingerprint(F.col(c)).alias(c) for c in "ab"))
+    return r.select("a", "b", multiset_hash.likeness(F.col("a"), F.col("b")).alias("x")).first()
+
+
+def test_fingerprints_by_loops(spark, odd):
+    texts = [r["text"] for r in odd.collect()] + [r["text"] for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+    texts += ["héllo wörld ça va où ça ira", "x" * 1000 + " r", "的是" * 40]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string").select("t", multiset_hash.fingerprint(F.col("t")).alias("fp"))
+    for r in frame.collect():
+        assert r["fp"] == plain_numbers(r["t"] or "")
+
+
+def test_likeness_by_loops(spark):
+    texts = [r["text"] or "" for r in spark.read.parquet(f"{SMALL}/documents.parquet").limit(12).collect()]
+    pairs = [(t, t[: len(t) // 2] + u[len(u) // 2 :]) for t, u in zip(texts, texts[1:] + texts[:1])]
+    fp = multiset_hash.fingerprint
+    got = spark.createDataFrame(pairs, "a string, b string").select("a", "b", multiset_hash.likeness(fp(F.col("a")), fp(F.col("b"))).alias("x")).collect()
+    for a, b, likeness_ in got:
+        x, y = (v - v.mean() for v in (np.array(plain_numbers(t)[1 + multiset_hash.EXACT :], float) for t in (a, b)))
+        want = 1.0 if a == b else max(0.0, min(1.0, x @ y / np.sqrt((x @ x) * (y @ y)))) if x.any() and y.any() else 0.0
+        assert np.isclose(likeness_, want)
+
+
+def test_repeats_never_wrap_and_shifts_are_borne(spark):
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abcdefghijklmnoprstuvw") for _ in range(rng.randrange(2, 9))) for _ in range(4000)]
+    r = likeness(spark, "a", "a" + "\n" * 16_384)
+    assert r["a"] != r["b"]
+    r = likeness(spark, "aaaa\n" * 16_384, "bbbb\n" * 16_384)
+    assert r["a"] != r["b"] and r["x"] < 0.9
+    text = " ".join(words[:450])
+    assert likeness(spark, text, "x" + text)["x"] > 0.8 and likeness(spark, text, text[:1000] + "y" + text[1000:])["x"] > 0.8
+    same, other = " ".join(words[:2000] * 10), " ".join(words[2000:2900] * 10)
+    assert 0.5 < likeness(spark, same + " " + other, same + " " + " ".join(words[3000:3900] * 10))["x"] < 0.9
+
+
 def test_empty_tables(spark, empty):
     assert multiset_hash.edited(empty).count() == 0
 

@@ -2,6 +2,7 @@ import random
 import re
 from itertools import combinations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -32,9 +33,8 @@ def brute_force(rows):
 
 
 @pytest.mark.parametrize("chunk", [3, 1024])
-def test_near_copies_equal_brute_force(spark, monkeypatch, chunk):
+def test_near_copies_equal_brute_force(spark, chunk):
     """Random edits around the similarity of 0.8, short texts, case and white space, a dense group, a shared passage."""
-    monkeypatch.setattr(near_copies.labels, "__defaults__", (chunk,))
     rng = random.Random(4)
     words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
     stock, texts = words(40), []
@@ -50,10 +50,25 @@ def test_near_copies_equal_brute_force(spark, monkeypatch, chunk):
     rows = [(k, " ".join(t)) for k, t in enumerate(texts)]
     rows += [(1000 + k, t.upper().replace(" ", " \n") + "\t") for k, t in rows[:40:3]] + [(2000, None), (2001, " \n"), (2002, "")]
     rng.shuffle(rows)
-    kept = near_copies.keep_one(spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS)).collect()
+    kept = near_copies.keep_one(spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS), chunk).collect()
     assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept) == brute_force(rows)
 
 
+def test_sketches_never_lose_a_similar_pair():
+    """Sets of all sizes at a similarity of 0.8 and above pass; far ones don't."""
+    rng = np.random.default_rng(4)
+    lost = far = 0
+    for n in (1, 2, 5, 9, 30, 100, 450, 2000, 20_000):
+        for _ in range(40):
+            x = np.unique(rng.integers(0, 1 << 63, n, np.uint64) * np.uint64(2) + rng.integers(0, 2, n).astype(np.uint64))
+            changed = lambda k: np.unique(np.concatenate([x[k:], rng.integers(0, 1 << 63, k, np.uint64)]))  # noqa: B023, E731
+            y, z = changed(len(x) // 9), changed(len(x) * 2 // 3)
+            words = [np.frombuffer(near_copies.sketch(v), np.uint64)[None] for v in (x, y, z)]
+            lost += near_copies.similar(x, y) and not near_copies.possible(words[0], words[1], np.array([len(x) + len(y)]))[0]
+            far += n >= 100 and bool(near_copies.possible(words[0], words[2], np.array([len(x) + len(z)]))[0])
+    assert lost == 0 and far < 5
+
+
 def test_pipeline_stage_drops_copies_beyond_four_bits(spark):
     rng = random.Random(8)
     base = [f"w{k}" for k in range(120)]

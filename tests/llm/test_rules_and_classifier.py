@@ -3,9 +3,11 @@ import re
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from ledgerbeam.llm import line_crf, quality_rules
+from ledgerbeam.functions import store
+from ledgerbeam.llm import common, line_crf, quality_rules
 from tests.conftest import SMALL
 
 
@@ -37,6 +39,16 @@ def test_overlapping_windows_and_filters(spark):
     assert df.where("kept or n_words > 3").count() == 1
 
 
+def test_clean_texts_of_other_scripts_and_great_length_stay(spark):
+    russian = " ".join(f"слово{k} и" for k in range(200))
+    rng = np.random.default_rng(2)
+    long = " ".join(f"the w{k}" for k in rng.integers(0, 9000, 200_000))
+    poor = " ".join(f"the w{k}" for k in rng.integers(0, 300, 20_000))
+    odd = " ".join(f"qx{k} 123" for k in range(200))
+    df = spark.createDataFrame([(1, russian), (2, long), (3, poor), (4, odd)], "doc_id int, text string")
+    assert {r["doc_id"]: r["kept"] for r in quality_rules.judge(df).collect()} == {1: True, 2: True, 3: False, 4: False}
+
+
 def test_no_python_runs(spark, odd):
     plan = quality_rules.judge(odd)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Exchange" not in plan
@@ -49,6 +61,24 @@ def test_clashing_and_extra_columns(spark, odd, empty):
     assert quality_rules.judge(empty).count() == 0
 
 
+class FarSession:
+    """As much of a session on a cluster as shared_dir sees, with spark.checkpoint.dir unset."""
+
+    class conf:
+        get = staticmethod(lambda key, default=None: default)
+
+    class sparkContext:
+        master, getCheckpointDir = "spark://host:7077", staticmethod(lambda: None)
+
+
+@pytest.mark.parametrize("shared_dir", [common.shared_dir, store.shared_dir])
+@pytest.mark.parametrize("master", ["spark://host:7077", "yarn", "local-cluster[3,2,1000]"])
+def test_no_local_folder_on_a_cluster(monkeypatch, shared_dir, master):
+    monkeypatch.setattr(FarSession.sparkContext, "master", master)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(FarSession)
+
+
 def test_rules_table():
     rules = (quality_rules.Rule("a", 1, 2, 0), quality_rules.Rule("b", None, 5, 10))
     assert "n_words" in str(quality_rules.compile_rules(rules))
@@ -77,6 +107,68 @@ def test_forward_backward_equals_enumeration():
     assert np.isclose(pairs.sum(), sum(max(n - 1, 0) for n in counts))
 
 
+def test_long_chains_equal_a_plain_loop():
+    """Chains of several segments give what one pass from line to line gives."""
+    rng = np.random.default_rng(5)
+    counts, trans = np.array([1500, 2, 0, line_crf.SEGMENT, line_crf.SEGMENT + 1, 1]), rng.normal(size=(2, 2))
+    emit = rng.normal(size=counts.sum())
+    good, _, norm = line_crf.marginals(emit, counts, trans)
+    at = 0
+    for k, n in enumerate(counts):
+        e = np.stack([np.zeros(n), emit[at : at + n]], 1)
+        a, b = np.zeros((n, 2)), np.zeros((n, 2))
+        for t in range(n):
+            a[t] = e[t] + (np.logaddexp(a[t - 1, 0] + trans[0], a[t - 1, 1] + trans[1]) if t else 0)
+        for t in range(n - 2, -1, -1):
+            b[t] = [np.logaddexp(*(trans[s] + e[t + 1] + b[t + 1])) for s in (0, 1)]
+        if n:
+            z = np.logaddexp(*a[-1])
+            assert np.allclose(good[at : at + n], np.exp(a[:, 1] + b[:, 1] - z)) and np.isclose(norm[k], z)
+        at += n
+
+
+def plain_features(line, seen, lines):
+    """The features of one line by loops."""
+    w, raw = line.split(), line.encode()
+    n = len(w)
+    hits = lambda chars: sum(c in chars.encode() for c in raw)
+    low = min(1, n / 30)
+    return [
+        hits("#*$%&<>@^~=_{}[]\\/") / n, hits("ABCDEFGHIJKLMNOPQRSTUVWXYZ") / len(raw), hits("0123456789") / len(raw), hits("!") / n, hits("|") / n, len(set(w)) / n * low + 1 - low,
+        sum(x == y for x, y in zip(w, w[1:])) / n, float(line in seen), len(set(zip(w, w[1:]))) / max(1, n - 1), np.log1p(len(raw)), np.log1p(lines), min(len(raw) / n, 40),
+    ]
+
+
+def test_scores_by_loops():
+    """Features, neighbours, marginals by enumeration, weights by length: the whole score of a text."""
+    rng = np.random.default_rng(8)
+    wide = 3 * line_crf.OWN
+    model = line_crf.Model(rng.normal(size=wide), rng.uniform(1, 3, wide), rng.normal(size=wide + 1), rng.normal(size=(2, 2)), 1.7, -0.3)
+    texts = ["One line of text!", "a b c\n\n  \na b c\nÜber 99 | x x", "#!$ %%\nWORDS and words\nwords", None, " \n"]
+    for text, got in zip(texts, line_crf.scores(model, texts)):
+        lines, seen, own = [x for x in (text or "").split("\n") if x.strip()], set(), []
+        for x in lines:
+            own.append(plain_features(x, seen, len(lines)))
+            seen.add(x)
+        if not lines:
+            assert got == line_crf.EMPTY_SCORE
+            continue
+        rows = [own[k] + own[max(0, k - 1)] + own[min(len(own) - 1, k + 1)] for k in range(len(own))]
+        emit = ((np.array(rows) - model.mean) / model.sd) @ model.weights[:-1] + model.weights[-1]
+        good, _ = brute_marginals(emit, model.trans)
+        raw = np.average(good, weights=[len(x.encode()) for x in lines])
+        raw = min(max(raw, 1e-4), 1 - 1e-4)
+        assert np.isclose(got, 1 / (1 + np.exp(-(model.slope * np.log(raw / (1 - raw)) + model.offset))))
+
+
+def test_sample_is_bounded_by_lines(spark):
+    """Documents come whole or not at all; a null id is in no sample and not held out."""
+    docs = spark.createDataFrame([(k, "good words here\n" * (1 + 400 * (k == 3))) for k in range(40)] + [(None, "x")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id bigint, quality int")
+    assert line_crf.train(docs, labels, lines=80) is not None and line_crf.train(docs, labels, lines=4) is None
+    assert docs.select(line_crf.held_out(F.col("doc_id")).alias("h")).where("h is null").count() == 0
+
+
 def test_held_out_accuracy(spark):
     d = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")

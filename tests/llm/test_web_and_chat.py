@@ -2,10 +2,13 @@ import base64
 import hashlib
 import html as markup
 import io
+import random
 import re
 import struct
+import time
 import zipfile
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -43,6 +46,17 @@ def test_archives_round_trip(spark, pages, tmp_path):
             assert z.testzip() is None and {i.compress_type for i in z.infolist()} == {zipfile.ZIP_STORED}
 
 
+def test_payload_of_very_many_pages(spark, tmp_path):
+    """One payload in most rows, many archives' parts: each record is read once, and by more than one task."""
+    rows = spark.range(12_000).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.when(F.col("id") % 10 == 0, F.col("id").cast("string")).otherwise("same").alias("html"))
+    manifest = warc_zip.write(rows.coalesce(1), f"file://{tmp_path}/many")
+    assert all(m["marks"] == sorted(set(m["marks"])) and len(m["marks"]) == -(-m["records"] // warc_zip.READ_RECORDS) + 1 for m in manifest.collect())
+    read = warc_zip.read(manifest, f"file://{tmp_path}/many", payloads=False)
+    assert read.rdd.getNumPartitions() > 1
+    got = read.groupBy("record_type", "refers_to").count().orderBy("count").collect()
+    assert read.select("page_id").distinct().count() == 12_000 and got[-1]["refers_to"] == 11_999 and got[-1]["count"] == 10_799 and got[-2]["count"] == 1201
+
+
 def test_least_and_empty(spark, pages, tmp_path):
     folder = f"file://{tmp_path}/b"
     rows = warc_zip.read(warc_zip.write(pages, folder, least=3), folder).collect()
@@ -136,6 +150,34 @@ def test_extraction_query_by_a_plain_version(spark):
         assert got[p["page_id"]]["text"] == want and got[p["page_id"]]["n_chars"] == len(want)
 
 
+def test_the_tree_decides_on_the_table(spark):
+    """Without the list of noise, menus, adverts and footers come into the texts of pages whose article is the lesser part."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").withColumn("html", F.regexp_replace("html", "</?article>", ""))
+    empty = lambda low: low.withColumn("noise", F.array().cast("array<bigint>"))
+    with_list = {r["page_id"]: r["text"] for r in style_tree.extract(pages).collect()}
+    without = {r["page_id"]: r["text"] for r in style_tree.extract(pages, empty).collect()}
+    assert all(without[p] != t and len(without[p]) > len(t) for p, t in with_list.items())
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    assert with_list == {r["page_id"]: r["text"] for r in style_tree.extract(pages).collect()}
+
+
+@pytest.mark.parametrize("piece", ['<a "x', "<a 'x", "<div>", "<b>", "</x><b>", "<p><b>", "<script>", "<!--", "<", "</", "<a b=", "<li><b>", "<span class=ad>", "<div a" + "a" * 200, "&amp"])
+def test_long_broken_pages_take_linear_time(piece):
+    began = time.process_time()
+    page = style_tree.Page(piece * (1_000_000 // len(piece)), "h")
+    page.text(), page.text(set())
+    assert time.process_time() - began < 30
+
+
+def test_ids_of_pages_do_not_grow_the_tree(spark):
+    """Ids that only one page has, by number or by name, leave a tree of the templates; the text in them stays."""
+    page = "<body><div id=post-{0}><div class={1}><p>own text {0}</p></div></div><div class=top>Welcome</div></body>"
+    rows = [(k, "http://a.example.com/", page.format(k, "n" + chr(97 + k % 26) * (k // 26 + 1))) for k in range(60)]
+    df = spark.createDataFrame(rows, PAGES)
+    assert style_tree.tree(df.withColumn("host", style_tree.host_of(F.col("url")))).count() < 6
+    assert {r["text"] for r in style_tree.extract(df).collect()} == {f"own text {k}" for k in range(60)}
+
+
 def test_extraction_edges(spark, pages):
     out = style_tree.extract(pages.withColumns({"host": F.lit(1), "text": F.lit(2), "noise": F.lit(3)})).collect()
     assert len(out) == len(ODD) and all(r["text"] is not None for r in out)
@@ -166,8 +208,41 @@ def test_chat_round_trip(spark, budget, history):
 
 
 def test_history_is_repeated_and_masked(spark):
-    made = {r["window"]: r for r in chat.windows(spark.createDataFrame(TALK[:5], CONV), 40, 40).collect()}
-    assert len(made) == 2 and made[1]["repeated"] >= 2 and len(made[1]["loss"]) == 1
+    made = {r["window"]: r for r in chat.windows(spark.createDataFrame(TALK[:5], CONV), 65, 45).collect()}
+    last = made[max(made)]
+    assert len(made) > 1 and last["repeated"] >= 2 and len(last["loss"]) == 1
+
+
+def plain_tokens(text):
+    return len(re.findall("[^ \t-\r]{1,8}", text)) + 4
+
+
+@pytest.mark.parametrize("system", [0, 300, 950, 2000])
+def test_windows_keep_the_budget(spark, system):
+    """Only windows of a single turn that doesn't fit beside the system turn are larger than the budget."""
+    rng = random.Random(system)
+    rows = [(1, 0, "system", "s " * system)] if system else []
+    rows += [(1, k, "user" if k % 2 else "assistant", "w " * rng.choice([1, 30, 90, 300, 1000, 1500])) for k in range(1, 200)]
+    made = chat.windows(spark.createDataFrame(rows, CONV)).collect()
+    over = 0
+    for r in made:
+        turns = [t[1] for t in re.findall(r"<\|im_start\|>(.*?)\n(.*?)<\|im_end\|>", r["formatted"], re.S)]
+        size = sum(map(plain_tokens, turns))
+        opened = plain_tokens(rows[0][3]) if system else 0
+        own = len(turns) - r["repeated"]
+        assert size <= 1024 or own == 1 and size - opened + (opened > 1024) * 4 > 1024 - opened or own <= 2 and r["window"] == 1
+        over += size > 1024
+    assert (over < len(made) or system > 1024) and (system or over == sum(len(t[3]) > 2000 for t in rows if plain_tokens(t[3]) > 1024))
+
+
+def test_long_conversations_take_linear_time(spark):
+    took = []
+    for n in (20_000, 80_000):
+        df = spark.range(n).selectExpr("1 AS conv_id", "id AS turn", "'user' AS role", "'a b c' AS text")
+        began = time.monotonic()
+        assert chat.windows(df).count() > n * 7 / 1100
+        took.append(time.monotonic() - began)
+    assert took[1] < 8 * took[0] + 10
 
 
 def test_chat_of_nothing(spark):
@@ -208,6 +283,60 @@ def test_evidence_decides_without_text(spark):
     assert language_id.identify(df.limit(0), model).count() == 0 and language_id.identify(df, None).where("lang is null").count() == 43
 
 
+def fused(rows, langs, logs):
+    """The posteriors of rows (text, declared, host, suffix, path_lang), by loops."""
+    n, soft = len(langs), lambda x: np.exp(x - np.max(x)) / np.exp(x - np.max(x)).sum()
+    like = []
+    for text, *_ in rows:
+        total = sum((logs[:, s].astype(float) for s in language_id.trigrams(text)), np.zeros(n))
+        like.append(np.maximum(language_id.TRUST * (total - total.max()), -language_id.MOST))
+    p = [soft(x) for x in like]
+    code = lambda c: c if c is None or c in langs else "other"
+    values = [(code(r[1]), code(r[4]), r[3]) for r in rows]
+    domain = lambda h: ".".join((h or "").split(".")[-3:])
+    base = (sum(p) + 1 / n) / (len(rows) + 1)
+    out = []
+    for k, r in enumerate(rows):
+        near = [x for x, q in zip(p, rows) if domain(q[2]) == domain(r[2])]
+        own = [x for x, q in zip(p, rows) if q[2] == r[2]]
+        up = (sum(near) + language_id.PSEUDO * base) / (len(near) + language_id.PSEUDO)
+        score = like[k] + np.log((np.maximum(0, sum(own) - p[k]) + language_id.PSEUDO * up) / (len(own) - 1 + language_id.PSEUDO))
+        for j in range(3):
+            if values[k][j] is not None:
+                by = {}
+                for x, v in zip(p, values):
+                    if v[j] is not None:
+                        by[v[j]] = by.get(v[j], 0) + x
+                score = score + np.log((by[values[k][j]] + 0.5) / (sum(by.values()) + 0.5 * len(by)))
+        out.append(soft(score))
+    return out
+
+
+def test_fusion_by_loops(spark):
+    rng = random.Random(3)
+    speech = {"de": "der die und das nicht mit".split(), "en": "the and of with not is".split(), "fr": "le la et les des une".split()}
+    langs, logs = language_id.train(spark.createDataFrame([(k, " ".join(rng.choices(speech[x], k=9)), x) for k, x in enumerate(list(speech) * 6)], "doc_id int, text string, lang string"))
+    rows = []
+    for _ in range(60):
+        x = rng.choice(langs)
+        pick = lambda *values: rng.choice(values)
+        host = pick(None, f"{x}.a.example.com", f"w.{x}.b.example.org", "mixed.example.net")
+        rows.append((pick("", " ".join(rng.choices(speech[x], k=rng.randrange(1, 9)))), pick(None, x, "xx"), host, host and host[-3:], pick(None, None, x)))
+    df = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "page_id int, text string, declared string, host string, suffix string, path_lang string")
+    wanted = fused(rows, langs, logs)
+    for r in language_id.identify(df, (langs, logs)).collect():
+        want = wanted[r["page_id"]]
+        assert r["lang"] == langs[int(want.argmax())] and np.isclose(r["probability"], want.max())
+
+
+def test_unclosed_markup_takes_linear_time(spark):
+    for piece in ("<script", "<!-- ", "<a ", "<style>x"):
+        df = spark.createDataFrame([(1, None, piece * 100_000)], PAGES)
+        began = time.monotonic()
+        language_id.of_pages(df).collect()
+        assert time.monotonic() - began < 20
+
+
 def test_pages_evidence(spark):
     rows = [(1, "https://m.x.example.de/fr/1?a", '<html class=a lang="FR"><script>x</script><p>Bonjour</p>'), (2, None, None)]
     got = {r["page_id"]: r for r in language_id.of_pages(spark.createDataFrame(rows, PAGES)).collect()}
