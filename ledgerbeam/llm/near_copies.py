@@ -21,7 +21,7 @@ others; the components found so far are labelled.  Then the tries of all groups
 that hold several labels are joined, for pairs of different labels only.  A pair
 is passed on if a sketch of both sets (of each of ``BINS`` ranges of hashes,
 four bits of the least hash there) doesn't tell by five standard deviations that
-the similarity is below 0.8.  So a dense group of near copies costs about its
+the similarity is below 0.8, and only from the first group that both are in.  So a dense group of near copies costs about its
 size, and no link between components is lost.
 
 A group of more than ``CHUNK`` nodes is dealt out as pairs of chunks: those of
@@ -223,21 +223,30 @@ def _dealt(labelled: DataFrame, chunk: int) -> DataFrame:
 
 
 def _across(labelled: DataFrame, nodes: DataFrame, chunk: int) -> DataFrame:
-    """Pairs u > v of nodes of one group that have different labels and can be similar; nodes: node, n, fp and sketch."""
+    """Pairs u > v of nodes of one group that have different labels and can be similar; nodes: node, n, fp, keys and sketch.
+
+    A pair that meets in several groups shows in that of the first key both have, so no pair comes twice.
+    """
 
     def traverse(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
         order, fp, roots = _ranges(pdf)
-        node, n, label = (pdf[c].to_numpy(np.int64)[order] for c in ("node", "n", "label"))
+        node, n, label, group = (pdf[c].to_numpy(np.int64)[order] for c in ("node", "n", "label", "v"))
+        keys = np.stack(pdf["keys"].to_numpy())[order]
         words = np.frombuffer(b"".join(pdf["sketch"]), np.uint64).reshape(len(pdf), -1)[order]
         for i, j in joined(trie_links(fp, roots, BUDGET, label)):
-            i, j = (x[5 * np.minimum(n[i], n[j]) >= 4 * np.maximum(n[i], n[j])] for x in (i, j))
-            ok = [possible(words[i[k : k + BLOCK]], words[j[k : k + BLOCK]], n[i[k : k + BLOCK]] + n[j[k : k + BLOCK]]) for k in range(0, len(i), BLOCK)]
-            ok = np.concatenate(ok) if ok else np.zeros(0, bool)
-            a, b = node[i[ok]], node[j[ok]]
-            yield pd.DataFrame({"u": np.maximum(a, b), "v": np.minimum(a, b)}).drop_duplicates()
+            near = 5 * np.minimum(n[i], n[j]) >= 4 * np.maximum(n[i], n[j])
+            i, j = i[near], j[near]
+            for k in range(0, len(i), BLOCK):
+                x, y = i[k : k + BLOCK], j[k : k + BLOCK]
+                shared = keys[x] == keys[y]
+                first = keys[x, shared.argmax(1)] == group[x]
+                x, y = x[first], y[first]
+                ok = possible(words[x], words[y], n[x] + n[y])
+                a, b = node[x[ok]], node[y[ok]]
+                yield pd.DataFrame({"u": np.maximum(a, b), "v": np.minimum(a, b)})
 
-    dealt = _dealt(labelled, chunk).join(nodes, "node").select("node", "n", "label", "fp", "sketch", *GROUP, "side")
-    return by_groups(dealt, traverse, "u bigint, v bigint").distinct()
+    dealt = _dealt(labelled, chunk).join(nodes, "node").select("node", "n", "label", "fp", "keys", "sketch", *GROUP, "side")
+    return by_groups(dealt, traverse, "u bigint, v bigint")
 
 
 def labels(rows: DataFrame, docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
@@ -253,7 +262,7 @@ def labels(rows: DataFrame, docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     heads = members.select("key", "node").join(score, "node").withColumn("rank", rank).where(F.col("rank") <= HEADS)
     heads = cut(heads.select("key", "rank", F.struct("score", "node").alias("head")))
     best = members.select("key", "node").join(heads, "key").where(F.col("node") != F.col("head.node")).groupBy("node", "rank").agg(F.max("head").alias("head"))
-    one = cut(score.join(sets, "node").select("node", "n", "fp", "sketch", "row"))
+    one = cut(score.join(sets, "node").select("node", "n", "fp", "keys", "sketch", "row"))
     star = best.select("node", F.col("head.node").alias("head")).distinct()
     star = star.join(one.select(F.col("node"), "n", "fp"), "node").alias("a").join(one.select("node", "n", "fp").alias("b"), F.col("a.head") == F.col("b.node")).where(_near("a", "b"))
     star = cut(star.select(F.greatest("a.node", "b.node").alias("u"), F.least("a.node", "b.node").alias("v")).distinct())
@@ -264,7 +273,7 @@ def labels(rows: DataFrame, docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     edges = _checked(star, texts)
     found = components(edges).select(F.col("u").alias("node"), F.col("v").alias("label"))
     # all pairs of a group that the stars leave apart
-    one = cut(one.join(found, "node", "left").select("node", "n", "fp", "sketch", F.coalesce("label", "node").alias("label")))
+    one = cut(one.join(found, "node", "left").select("node", "n", "fp", "keys", "sketch", F.coalesce("label", "node").alias("label")))
     labelled = cut(members.select("key", "node").join(one.select("node", "label"), "node"))
     mixed = cut(labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key"))
     apart = cut(_across(cut(labelled.join(mixed, "key")), one.drop("label"), chunk))

@@ -54,6 +54,25 @@ def test_near_copies_equal_brute_force(spark, chunk):
     assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept) == brute_force(rows)
 
 
+def test_no_pair_is_checked_twice(spark, monkeypatch):
+    """Texts that share most groups, a similarity of 0.7 to 0.8 apart: each pair comes out of one group."""
+    rng = random.Random(3)
+    base = [f"w{k}" for k in range(200)]
+    rows = []
+    for k in range(60):
+        new = list(base)
+        for at in rng.sample(range(200), 3):
+            new[at] = f"x{k}y{at}"
+        rows.append((k, " ".join(new)))
+    seen, plain_check = [], near_copies._checked
+    monkeypatch.setattr(near_copies, "_checked", lambda pairs, texts: (seen.append(pairs), plain_check(pairs, texts))[1])
+    for chunk in (5, 1024):
+        kept = near_copies.keep_one(spark.createDataFrame([(*r, "en", "s", 0) for r in rows], DOCS), chunk).collect()
+        assert sorted((False, r["doc_id"]) for r in kept) == brute_force(rows)
+        across = [(r["u"], r["v"]) for r in seen[-1].collect()]
+        assert len(across) > 100 and len(set(across)) == len(across)
+
+
 def test_sketches_never_lose_a_similar_pair():
     """Sets of all sizes at a similarity of 0.8 and above pass; far ones don't."""
     rng = np.random.default_rng(4)
