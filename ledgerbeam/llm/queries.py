@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, language_id, line_crf, mixing, multiset_hash, packing, quality_rules, simhash, style_tree, warc_zip
+from . import chat, language_id, line_crf, merkle_manifest, mixing, multiset_hash, packing, quality_rules, simhash, style_tree, warc_zip
 from .common import shared_dir, table
 
 
@@ -96,6 +96,15 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_crf.score(docs, model).select("doc_id", line_crf.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = merkle_manifest.of_documents(table(spark, sf_dir, "documents"))
+    found = rows.withColumn("folded_root", merkle_manifest.folded(F.col("tampered"), F.col("proof")))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", merkle_manifest.siblings_digest(F.col("proof")).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_warc": op2_warc,
@@ -107,6 +116,7 @@ QUERIES = {
     "op9_chat_formatting": op9_chat_formatting,
     "op8_packing": op8_packing,
     "op10_quality_classifier": op10_quality_classifier,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 #: SQL for words, and for texts of documents (null: none).
@@ -155,4 +165,26 @@ g AS (SELECT source, source_size, least(most, coalesce(max(level) FILTER (WHERE
 q AS (SELECT d.*, source_size, target, sum(size) OVER (PARTITION BY d.source ORDER BY queue ROWS UNBOUNDED PRECEDING) - size AS before FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source)
 SELECT doc_id, size, source_size, target, (greatest(0, least(size, floor(target) - before)) + greatest(0, least(size, floor(target) - source_size - before)))::BIGINT AS taken,
   CASE WHEN target > 0 THEN (before + size) / target END AS virtual_finish FROM q""",
+    # the tree of sources is the one whose name starts with T; crc32 runs bit by bit over the digits
+    "op13_merkle_manifest": r"""
+WITH RECURSIVE f AS (SELECT doc_id, source, [doc_id::VARCHAR, source, lang, n_chars::VARCHAR] AS v, text, CASE WHEN list_reduce(list_concat([4294967295::BIGINT], flatten([[(ascii(c) >> b) & 1 FOR b IN range(8)] FOR c IN string_split(doc_id::VARCHAR, '')])),
+    lambda s, b: xor(s >> 1, CASE WHEN xor(s, b) & 1 = 1 THEN 3988292384 ELSE 0 END)) & 1 = 1 THEN replace(text, chr(10), '') ELSE text END AS other FROM documents),
+h AS (SELECT doc_id, source, array_to_string([CASE WHEN x IS NULL THEN '-' ELSE strlen(x) || ':' || x END FOR x IN v], '') AS head,
+    coalesce(strlen(text) || ':' || text, '-') AS t, coalesce(strlen(other) || ':' || other, '-') AS o FROM f),
+l AS (SELECT doc_id, coalesce('S' || source, 'N') AS g, sha256(head || t) AS leaf, sha256(head || o) AS tampered FROM h),
+d AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY g) AS n FROM l),
+up AS (SELECT 0 AS level, g, idx, n, leaf AS node FROM d
+  UNION ALL SELECT level + 1, g, idx // 3, (n + 2) // 3, sha256(string_agg(node, '' ORDER BY idx)) FROM up WHERE n > 1 GROUP BY level, g, idx // 3, n),
+sub AS (SELECT g AS tree, node, row_number() OVER (ORDER BY g) - 1 AS idx, count(*) OVER () AS n FROM up WHERE n = 1),
+top AS (SELECT 0 AS level, idx, n, node FROM sub
+  UNION ALL SELECT level + 1, idx // 3, (n + 2) // 3, sha256(string_agg(node, '' ORDER BY idx)) FROM top WHERE n > 1 GROUP BY level, idx // 3, n),
+a AS (SELECT level, g, idx, n, node FROM up UNION ALL SELECT level, 'T', idx, n, node FROM top),
+side AS (SELECT level, g, idx, coalesce(string_agg(node, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS lft, coalesce(string_agg(node, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS rgt
+  FROM a WHERE n > 1 WINDOW w AS (PARTITION BY level, g, idx // 3 ORDER BY idx)),
+walk AS (SELECT doc_id, leaf, g, g AS at, 0 AS level, idx, n, '' AS proof, tampered AS h FROM d
+  UNION ALL SELECT w.doc_id, w.leaf, w.g, CASE WHEN s.level IS NULL THEN 'T' ELSE w.at END, CASE WHEN s.level IS NULL THEN 0 ELSE w.level + 1 END, CASE WHEN s.level IS NULL THEN sub.idx ELSE w.idx // 3 END,
+    CASE WHEN s.level IS NULL THEN sub.n ELSE (w.n + 2) // 3 END, w.proof || coalesce(s.lft || s.rgt, ''), CASE WHEN s.level IS NULL THEN w.h ELSE sha256(s.lft || w.h || s.rgt) END
+  FROM walk w JOIN sub ON sub.tree = w.g LEFT JOIN side s ON s.g = w.at AND s.level = w.level AND s.idx = w.idx WHERE w.at <> 'T' OR w.n > 1)
+SELECT doc_id, leaf, sub.node AS subroot, r.node AS root, sha256(proof) AS proof_sha256, h AS folded_root, h = r.node AS verified
+FROM walk JOIN sub ON sub.tree = walk.g, (SELECT node FROM top WHERE n = 1) r WHERE walk.at = 'T' AND walk.n = 1""",
 }
