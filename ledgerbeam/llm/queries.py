@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, language_id, line_crf, merkle_manifest, mixing, multiset_hash, packing, quality_rules, simhash, style_tree, warc_zip
+from . import byte_bpe, chat, language_id, line_crf, merkle_manifest, mixing, multiset_hash, packing, quality_rules, simhash, style_tree, warc_zip
 from .common import shared_dir, table
 
 
@@ -96,6 +96,16 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_crf.score(docs, model).select("doc_id", line_crf.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = byte_bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path, public_tokenizers.PATTERN)
+    return byte_bpe.decode(encoded, path).select(
+        "row.doc_id", byte_bpe.n_tokens(F.col("ids")).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = merkle_manifest.of_documents(table(spark, sf_dir, "documents"))
     found = rows.withColumn("folded_root", merkle_manifest.folded(F.col("tampered"), F.col("proof")))
@@ -116,6 +126,7 @@ QUERIES = {
     "op9_chat_formatting": op9_chat_formatting,
     "op8_packing": op8_packing,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_byte_bpe": op11_byte_bpe,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
