@@ -25,10 +25,10 @@ from __future__ import annotations
 import hashlib
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, numbered
 
 FANOUT = 3
 LEVELS = 6
@@ -52,26 +52,6 @@ def group_key(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("1"), source.cast("string")), F.lit("0"))
 
 
-def numbered(rows: DataFrame, order: list[str]) -> DataFrame:
-    """rows, which have a column g, with idx, the number from 0 in order within g, and n, the number of rows of g.
-
-    A range exchange sorts by g and order; the sizes of each g's stretch in each partition give the offsets, so a large g
-    lies in many partitions.  What is equal in all columns is told apart by where it was read.
-    """
-    place = F.monotonically_increasing_id()
-    count = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = rows.withColumn("_at", place)
-    ranged = keyed.repartitionByRange(count, "g", *order, "_at").sortWithinPartitions("g", *order, "_at")
-    # stored, as the offsets and the rows must come from the same partitions
-    ranged = cut(ranged.drop("_at").withColumns({"_shard": F.shiftright(place, 33), "_k": place.bitwiseAND(F.lit((1 << 33) - 1))}))
-    by = ranged.groupBy("g", "_shard").agg(F.count("*").alias("_n"), F.min("_k").alias("_first"))
-    # a row for each partition that a g lies in
-    upto, whole = Window.partitionBy("g").orderBy("_shard").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy("g")
-    by = by.withColumns({"_before": F.coalesce(F.sum("_n").over(upto), F.lit(0)), "n": F.sum("_n").over(whole)})
-    both = ranged.join(by.select("g", "_shard", "_first", "_before", "n"), ["g", "_shard"])
-    return both.withColumn("idx", F.col("_before") + F.col("_k") - F.col("_first")).drop("_shard", "_k", "_first", "_before")
-
-
 def digest(parts) -> str:
     return hashlib.sha256("".join(parts).encode()).hexdigest()
 

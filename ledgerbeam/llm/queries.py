@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, language_id, line_crf, merkle_manifest, mixing, multiset_hash, packing, quality_rules, simhash, style_tree, warc_zip
+from . import byte_bpe, chat, hard_negatives, language_id, line_crf, merkle_manifest, mixing, multiset_hash, packing, quality_rules, simhash, style_tree, warc_zip
 from .common import shared_dir, table
 
 
@@ -106,6 +106,13 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.usable(vectors.select("vec_id", "embedding", moved.alias("label")))
+    return hard_negatives.mine(rows, F.col("id") % 100 == 0)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = merkle_manifest.of_documents(table(spark, sf_dir, "documents"))
     found = rows.withColumn("folded_root", merkle_manifest.folded(F.col("tampered"), F.col("proof")))
@@ -127,6 +134,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op10_quality_classifier": op10_quality_classifier,
     "op11_byte_bpe": op11_byte_bpe,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
@@ -176,6 +184,13 @@ g AS (SELECT source, source_size, least(most, coalesce(max(level) FILTER (WHERE
 q AS (SELECT d.*, source_size, target, sum(size) OVER (PARTITION BY d.source ORDER BY queue ROWS UNBOUNDED PRECEDING) - size AS before FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source)
 SELECT doc_id, size, source_size, target, (greatest(0, least(size, floor(target) - before)) + greatest(0, least(size, floor(target) - source_size - before)))::BIGINT AS taken,
   CASE WHEN target > 0 THEN (before + size) / target END AS virtual_finish FROM q""",
+    "op12_hard_negatives": """
+WITH e AS (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.id AS anchor_id, b.id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score FROM e a JOIN e b ON a.id % 100 = 0 AND b.id <> a.id),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id))::INT AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 100 * score BETWEEN 30 * positive_score AND 90 * positive_score QUALIFY rank <= 10""",
     # the tree of sources is the one whose name starts with T; crc32 runs bit by bit over the digits
     "op13_merkle_manifest": r"""
 WITH RECURSIVE f AS (SELECT doc_id, source, [doc_id::VARCHAR, source, lang, n_chars::VARCHAR] AS v, text, CASE WHEN list_reduce(list_concat([4294967295::BIGINT], flatten([[(ascii(c) >> b) & 1 FOR b IN range(8)] FOR c IN string_split(doc_id::VARCHAR, '')])),
