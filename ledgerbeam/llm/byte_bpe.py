@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Words of a block, and how many of them may differ.
-BLOCK, WORDS = 2**22, 2**19
+BLOCK, WORDS = 2**21, 2**18
 #: Texts whose places are packed together.
 GROUP = 256
 
@@ -88,13 +88,19 @@ def splitter(pattern: str) -> Callable[[str], list[str]]:
     fast = regex.compile(pattern)
     if not odd:
         return fast.findall
-    strict, differs = regex.compile(exact, regex.V1), regex.compile(f"[{_ranges([ord(c) for c in odd])}]")
-    return lambda text: (strict if not text.isascii() and differs.search(text) else fast).findall(text)
+    strict, differs, least = regex.compile(exact, regex.V1), np.zeros(0x110000, bool), min(odd)
+    differs[[ord(c) for c in odd]] = True
 
+    def words(text: str) -> list[str]:
+        seen_differently = not text.isascii() and max(text) >= least and differs[np.frombuffer(text.encode("utf-32-le"), "<u4")].any()
+        return (strict if seen_differently else fast).findall(text)
 
-def _packed(numbers: list[int]) -> bytes:
+    return words
+
+
+def _packed(numbers: np.ndarray) -> bytes:
     """Numbers in four planes of bytes, compressed."""
-    planes = np.array(numbers, "<u4").view(np.uint8).reshape(-1, 4).T
+    planes = numbers.view(np.uint8).reshape(-1, 4).T
     return pa.compress(np.ascontiguousarray(planes).tobytes(), codec="zstd", asbytes=True)
 
 
@@ -103,40 +109,44 @@ def _unpacked(data: bytes, n: int) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, n).T).view("<u4").ravel()
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], pattern: str) -> Iterator[tuple[int, list[str], list[tuple[int, pa.Array, list[int], list[int]]]]]:
-    """Block number, its different words, and its texts in groups; the same for a task that runs again.
+def _blocks(batches: Iterator[pa.RecordBatch], pattern: str, with_places: bool) -> Iterator[tuple[int, dict[str, int], list[tuple[int, pa.Array, list[int], np.ndarray]]]]:
+    """Block number, its different words in order of their first places, and its texts in groups (if with_places).
 
-    A group has the number of words seen before it, its rows, their numbers of places, and the places: 0 for a word's first
-    place in the block, else 1 + the word's number.
+    The same for a task that runs again.  A group has the number of words seen before it, its rows, their numbers of places,
+    and the places: 0 for a word's first place in the block, else 1 + the word's number.
     """
     split, number = splitter(pattern), TaskContext.get().partitionId() << 33
     words: dict[str, int] = {}
     groups, size = [], 0
     for batch in batches:
-        start, before, lengths, codes = 0, len(words), [], []
+        start, before, lengths, places_ = 0, len(words), [], []
 
         def closed(end: int) -> tuple:
-            return before, batch.column("row").slice(start, end - start), lengths, codes
+            k = np.concatenate(places_) if places_ else np.zeros(0, np.uint32)
+            # numbers rise with first places, so a number above all before it is new
+            seen = np.maximum.accumulate(np.concatenate([[before], k.astype(np.int64) + 1]))[:-1]
+            return before, batch.column("row").slice(start, end - start), lengths, np.where(k >= seen, 0, k + 1).astype("<u4")
 
         for i, text in enumerate(batch.column("text")):
             found = split(text.as_py() or "")
-            for w in found:
-                seen = len(words)
-                k = words.setdefault(w, seen)
-                codes.append(k + 1 if k < seen else 0)
+            if with_places:
+                add = words.setdefault
+                places_.append(np.fromiter((add(w, len(words)) for w in found), np.uint32, len(found)))
+            else:
+                words.update(dict.fromkeys(found, 0))
             lengths.append(len(found))
             size += len(found) + 1
             full = size >= BLOCK or len(words) >= WORDS
-            if full or len(lengths) >= GROUP or len(codes) >= GROUP << 12:
+            if with_places and (full or len(lengths) >= GROUP or sum(map(len, places_[-1:])) >= GROUP << 12):
                 groups.append(closed(i + 1))
-                if full:
-                    yield number, list(words), groups
-                    number, words, groups, size = number + 1, {}, [], 0
-                start, before, lengths, codes = i + 1, len(words), [], []
-        if lengths:
+                start, before, lengths, places_ = i + 1, len(words), [], []
+            if full:
+                yield number, words, groups
+                number, words, groups, size, before = number + 1, {}, [], 0, 0
+        if lengths and with_places:
             groups.append(closed(batch.num_rows))
-    if groups:
-        yield number, list(words), groups
+    if words or size:
+        yield number, words, groups
 
 
 def _pieces(n: int, size: int = 50_000) -> Iterator[slice]:
@@ -147,9 +157,10 @@ def dictionary(docs: DataFrame, pattern: str) -> DataFrame:
     """block, k, word: the different words of each block, numbered.  docs has row and text."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, words, _ in _blocks(batches, pattern):
-            for at in _pieces(len(words)):
-                part = pa.array(words[at], pa.string())
+        for number, words, _ in _blocks(batches, pattern, False):
+            items = list(words)
+            for at in _pieces(len(items)):
+                part = pa.array(items[at], pa.string())
                 yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(number, pa.int64()), len(part)), pa.array(range(at.start, at.start + len(part)), pa.int32()), part], ["block", "k", "word"])
 
     return docs.mapInArrow(of, "block bigint, k int, word string")
@@ -159,7 +170,7 @@ def places(docs: DataFrame, pattern: str) -> DataFrame:
     """block and groups of its texts: rows, the numbers of their places, and the places as _blocks has them."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, _, groups in _blocks(batches, pattern):
+        for number, _, groups in _blocks(batches, pattern, True):
             for before, rows, lengths, codes in groups:
                 columns = [pa.array([number], pa.int64()), pa.array([before], pa.int32()), pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows), pa.array([lengths], pa.list_(pa.int32())), pa.array([_packed(codes)], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["block", "before", "rows", "n", "places"])
