@@ -10,19 +10,25 @@ from ..functions.store import stored
 KEY = ("run", "luminosityBlock", "event")
 
 
-def row_index(df: DataFrame, *order: str, name: str = "row_index") -> DataFrame:
-    """df sorted by order with each row's number from 0, without a window over one partition.
+def ranged(df: DataFrame, *order: str) -> tuple[DataFrame, DataFrame]:
+    """df sorted by order with _shard and _k, a row's partition and its number there; and for each partition _shard, _n, _start,
+    the rows in it and before it.
 
-    A range exchange sorts; the partitions' sizes, one small row each, give the offsets.  The ranged rows are stored, as
-    both readers must see the same partitions.
+    A range exchange sorts.  The ranged rows are stored, as both readers must see the same partitions.
     """
     place = F.monotonically_increasing_id()
-    shards = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(shards, *order).sortWithinPartitions(*order).select("*", F.shiftright(place, 33).alias("_shard"), place.bitwiseAND(F.lit((1 << 33) - 1)).alias("_k"))
-    ranged = stored(ranged)
-    starts = ranged.groupBy("_shard").agg(F.count("*").alias("_n"))
-    starts = starts.withColumn("_start", F.sum("_n").over(Window.orderBy("_shard")) - F.col("_n")).drop("_n")
-    return ranged.join(F.broadcast(starts), "_shard").withColumn(name, F.col("_start") + F.col("_k")).drop("_shard", "_k", "_start")
+    count = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.repartitionByRange(count, *order).sortWithinPartitions(*order).select("*", F.shiftright(place, 33).alias("_shard"), place.bitwiseAND(F.lit((1 << 33) - 1)).alias("_k"))
+    rows = stored(rows)
+    starts = rows.groupBy("_shard").agg(F.count("*").alias("_n"))
+    # a row for each partition
+    return rows, starts.withColumn("_start", F.sum("_n").over(Window.orderBy("_shard")) - F.col("_n"))
+
+
+def row_index(df: DataFrame, *order: str, name: str = "row_index") -> DataFrame:
+    """df sorted by order with each row's number from 0, without a window over one partition."""
+    rows, starts = ranged(df, *order)
+    return rows.join(F.broadcast(starts.drop("_n")), "_shard").withColumn(name, F.col("_start") + F.col("_k")).drop("_shard", "_k", "_start")
 
 
 def first_rows(df: DataFrame, n: int, key=KEY) -> DataFrame:

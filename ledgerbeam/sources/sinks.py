@@ -8,8 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import order
 from ..plans.verdict import Refused
+from .parts import write_parts as write_shards  # noqa: F401
 
 
 def _store(spark: SparkSession, path: str):
@@ -52,19 +52,6 @@ def write_sidecar(df: DataFrame, out: str) -> None:
     df.sortWithinPartitions("run", "luminosityBlock", "event").write.mode("errorifexists").parquet(out)
 
 
-def write_shards(df: DataFrame, out: str, rows: int) -> DataFrame:
-    """df in parts of exactly rows rows (the last may have fewer) below out/part=N, and their index in out_index, which is returned."""
-    parts = order.shards(df, rows)
-    before = df.count()
-    # a part may lie on two of the range partitions' borders; dealing by part makes it one sorted file
-    parts.repartition("part").sortWithinPartitions("part", "row_index").drop("row_index").write.mode("errorifexists").partitionBy("part").parquet(out)
-    back = df.sparkSession.read.parquet(out)
-    if back.count() != before:
-        raise Refused(4, "rows were lost in sharding")
-    order.shard_index(back).orderBy("part").coalesce(1).write.mode("errorifexists").parquet(f"{out.rstrip('/')}_index")
-    return df.sparkSession.read.parquet(f"{out.rstrip('/')}_index")
-
-
 def lookup_metadata(spark: SparkSession, fmt: int, datasets: list[str], sources: DataFrame) -> dict[str, DataFrame]:
     """Tables to be written beside a lookup table; datasets without a row are listed too."""
     names = [(k, n) for k, n in enumerate(sorted(set(datasets)))]
