@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import os
 import re
-import time
-from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.verdict import Refused
+from . import probe
+from .probe import Opened
 
 
 def read_manifest(spark: SparkSession, path: str) -> list[str]:
@@ -62,14 +62,11 @@ def scan(spark: SparkSession, files: list[str], schema=None, max_files: int | No
 
 
 def columns_by_file(spark: SparkSession, files: list[str]) -> dict[str, list[str]]:
-    """Each file's own columns, for checks that merged schemas would hide."""
-    out = {}
-    for f in files:
-        try:
-            out[f] = spark.read.parquet(f).columns
-        except Exception as e:
-            raise Refused(5, f"can't read {f}") from e
-    return out
+    """Each file's own columns, for checks that merged schemas would hide; tasks open the files."""
+    states = probe.probe_once(probe.table_of(spark, files)).collect()
+    if bad := [r["file"] for r in states if r["columns"] is None]:
+        raise Refused(5, f"can't read {', '.join(bad[:10])}")
+    return {r["file"]: r["columns"] for r in states}
 
 
 def require_columns(found: dict[str, list[str]], wanted: list[str]) -> None:
@@ -83,65 +80,22 @@ def row_counts(spark: SparkSession, files: list[str]) -> DataFrame:
     return spark.read.parquet(*files).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("rows"))
 
 
-class Opened(NamedTuple):
-    """What opening all files beforehand gave."""
-
-    counts: DataFrame  # file, rows
-    total: int
-    bad: list[str]
-
-    @property
-    def indicative(self) -> bool:
-        """Files are missing, so nothing that is counted stands for the whole sample."""
-        return bool(self.bad)
-
-
 def open_check(spark: SparkSession, files: list[str], attempts: int = 3, wait: float = 10.0, longest: float = 300.0, budget: float = 1800.0, allow_missing: bool = False) -> Opened:
-    """Rows of each file.  Where files can't be opened, they are tried again, attempts times with doubled waits up to longest and
-    budget seconds in all; the rest is refused (4), naming ten, or left out with allow_missing, which makes the result indicative.
+    """Rows of each file.  One job counts them all; where that fails, tasks open each file, and the lost ones alone are tried
+    again, attempts times with doubled waits up to longest and budget seconds in all.  The rest is refused (4), naming ten, or
+    left out with allow_missing, which makes the result indicative.
     """
-    began, bad = time.monotonic(), list(files)
-    for k in range(max(1, attempts)):
-        try:
-            counts = row_counts(spark, files)
-            return Opened(counts, counts.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n")).first()["n"], [])
-        except Exception:
-            pause = min(wait * 2**k, longest)
-            if k + 1 >= attempts or time.monotonic() - began + pause > budget:
-                break
-            time.sleep(pause)
-    bad = [f for f in files if not _opens(spark, f)]
-    if not allow_missing or len(bad) == len(files):
-        raise Refused(4, f"can't open {', '.join(bad[:10])}" + (f" … and {len(bad) - 10} more" if len(bad) > 10 else ""))
-    counts = row_counts(spark, [f for f in files if f not in set(bad)])
-    return Opened(counts, counts.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n")).first()["n"], bad)
-
-
-def _opens(spark: SparkSession, file: str) -> bool:
     try:
-        return spark.read.parquet(file).limit(1).count() >= 0
+        counts = row_counts(spark, files)
+        return Opened(counts, counts.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n")).first()["n"], [])
     except Exception:
-        return False
+        states = probe.probe(probe.table_of(spark, files), (), attempts, wait, longest, budget)
+        return probe.opened(states, files, allow_missing)
 
 
 def file_statuses(spark: SparkSession, files: list[str], wanted: list[str]) -> DataFrame:
     """file and status: ok, empty, bad_open (not there), no_table (no Parquet), bad_columns (wanted ones are lacking), read_errors."""
-    rows = []
-    for f in files:
-        try:
-            df = spark.read.parquet(f)
-        except Exception as e:
-            rows.append((f, "bad_open" if "PATH_NOT_FOUND" in str(e) else "no_table"))
-            continue
-        if any(c not in df.columns for c in wanted):
-            rows.append((f, "bad_columns"))
-            continue
-        try:
-            n = df.select(*wanted).agg(F.count("*").alias("n"), *(F.max(c).cast("string").alias(f"_{c}") for c in wanted)).first()["n"]
-            rows.append((f, "ok" if n else "empty"))
-        except Exception:
-            rows.append((f, "read_errors"))
-    return spark.createDataFrame(rows, "file string, status string")
+    return probe.statuses(probe.probe_once(probe.table_of(spark, files), wanted), wanted)
 
 
 def looped(df: DataFrame) -> int:

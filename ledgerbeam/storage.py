@@ -9,7 +9,7 @@ from . import adapters as A
 from .catalog import COUNTERS, query
 from .functions.store import scratch
 from .operators import audit
-from .sources import parts
+from .sources import manifest, parts, probe
 
 
 @query(f"SELECT {COUNTERS} FROM matched")
@@ -40,3 +40,45 @@ def audit_bucketed(spark: SparkSession, d: str) -> DataFrame:
     path = scratch(spark, "buckets")
     table = parts.write_bucketed(A.sidecar(spark, d).select(*audit.KEY, *audit.PAYLOAD), path, f"sidecar_{path.rsplit('-', 1)[1]}", 16)
     return audit.counters(audit.match(A.nano(spark, d), parts.open_bucketed(spark, table)))
+
+
+def _split(spark: SparkSession, d: str, n: int) -> tuple[str, list[str]]:
+    """orders in n folders of files by key, in the shared folder."""
+    out = scratch(spark, "files")
+    A.table(spark, d, "orders").withColumn("k", F.col("o_orderkey") % n).repartition("k").write.partitionBy("k").parquet(out)
+    return out, [f"{out}/k={k}" for k in range(n)]
+
+
+@query("""
+SELECT 'k=' || (o_orderkey % 6) AS file, 'ok' AS status, count(*) AS rows, 0 AS round FROM orders GROUP BY ALL
+UNION ALL SELECT 'k=6', 'bad_open', NULL, 1 UNION ALL SELECT 'k=7', 'no_table', NULL, 0 UNION ALL SELECT 'k=8', 'bad_columns', (SELECT count(*) FROM supplier), 0 UNION ALL SELECT 'k=9', 'empty', 0, 0""")
+def probed_files(spark: SparkSession, d: str) -> DataFrame:
+    """States of files that are there, lost, no tables, without a column, or empty; the lost one is tried twice."""
+    out, files = _split(spark, d, 6)
+    A.table(spark, d, "orders").limit(3).write.json(f"{out}/k=7")
+    A.table(spark, d, "supplier").write.parquet(f"{out}/k=8")
+    A.table(spark, d, "orders").where("false").coalesce(1).write.parquet(f"{out}/k=9")
+    states = probe.probe(probe.table_of(spark, [*files, *(f"{out}/k={k}" for k in range(6, 10))]), ["o_orderkey"], attempts=2, wait=0.01)
+    return states.select(F.regexp_extract("file", "k=[0-9]+$", 0).alias("file"), "status", "rows", "round")
+
+
+@query("""
+, f AS (SELECT unnest(range(13)) AS k) SELECT * FROM (SELECT 'k=' || k AS file, CASE WHEN k % 2 = 1 THEN 'bad_open' ELSE 'bad_columns' END AS status, (SELECT count(DISTINCT o_orderkey % 13) FROM orders)::BIGINT AS bad_files FROM f) ORDER BY file LIMIT 10""")
+def first_bad_files(spark: SparkSession, d: str) -> DataFrame:
+    """The first ten by name of the files that can't be used, and how many there are: every other one is lost, the rest lack a column."""
+    _, files = _split(spark, d, 13)
+    states = probe.probe(probe.table_of(spark, [f + ("" if k % 2 == 0 else "/lost") for k, f in enumerate(files)]), ["l_orderkey"], attempts=1)
+    named = states.withColumn("file", F.regexp_extract("file", "k=[0-9]+", 0))
+    return probe.bad_files(named).select("file", "status", "bad_files")
+
+
+@query("SELECT count(*) AS rows, sum(o_orderkey)::BIGINT AS keys, 7 AS files, 0 AS lost FROM orders")
+def resumed_read(spark: SparkSession, d: str) -> DataFrame:
+    """A table read by row groups with a ledger of what was counted, checked against the footers."""
+    _, files = _split(spark, d, 7)
+    states = probe.probe(probe.table_of(spark, files), ["o_orderkey"], attempts=1)
+    rows, ledger = probe.read(states, A.table(spark, d, "orders").select("o_orderkey").schema)
+    done = ledger.agg(F.sum("read").alias("n"), F.countDistinct("file").cast("int").alias("files"), F.count_if(F.col("read").isNull()).cast("int").alias("lost"))
+    manifest.check_complete(done.first()["n"], probe.opened(states, files).total)
+    sums = rows.agg(F.count("*").alias("rows"), F.sum("o_orderkey").alias("keys"))
+    return sums.withColumn("_k", F.lit(1)).join(done.withColumn("_k", F.lit(1)), "_k").select("rows", "keys", "files", "lost")

@@ -2,10 +2,13 @@
 
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from ledgerbeam.operators import audit
-from ledgerbeam.sources import parts
+from ledgerbeam.plans.verdict import Refused
+from ledgerbeam.sources import parts, probe
 
 SIDE = "run bigint, luminosityBlock bigint, event bigint, genTtbarId int, Expanded_genTtbarId int, nAddBJets int, nAddBJetsMulti int"
 
@@ -87,3 +90,95 @@ def test_a_bucketed_side_is_not_exchanged(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_a_thousand_files_are_probed_in_one_job(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    for k in range(1000):
+        pq.write_table(pa.table({"run": list(range(k % 5)), "event": list(range(k % 5))}), tmp_path / f"{k:04d}.parquet")
+    broken, lost, other = (f"{tmp_path}/{k:04d}.parquet" for k in (11, 12, 13))
+    open(broken, "wb").write(b"PAR1 not a table PAR1")
+    os.unlink(lost)
+    pq.write_table(pa.table({"run": [1]}), other)
+    files = [f"{tmp_path}/{k:04d}.parquet" for k in range(1000)]
+    states = {r["file"]: r for r in probe.probe(probe.table_of(spark, files), ["run", "event"], attempts=2, wait=0.01).collect()}
+    assert len(states) == 1000
+    assert (states[broken]["status"], states[lost]["status"], states[other]["status"]) == ("no_table", "bad_open", "bad_columns")
+    assert states[lost]["round"] == 1 and states[broken]["round"] == 0
+    assert sum(r["status"] == "empty" for r in states.values()) == 200 and states[files[4]]["rows"] == 4
+    one = probe.probe_once(probe.table_of(spark, files), ["run"])
+    assert one._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
+def test_a_file_that_comes_late_is_found_by_a_later_round(spark, tmp_path):
+    import threading
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    late = f"{tmp_path}/late.parquet"
+    threading.Timer(2.0, lambda: pq.write_table(pa.table({"run": [1, 2]}), late)).start()
+    row = probe.probe(probe.table_of(spark, [late]), attempts=4, wait=2.0).first()
+    assert row["status"] == "ok" and row["rows"] == 2 and row["round"] > 0
+
+
+def flaky(folder, always=()):
+    """Opens each file only at the second attempt, and those in always never."""
+
+    def opener(path):
+        mark = f"{folder}/{os.path.basename(path)}.seen"
+        if path in always or not os.path.exists(mark):
+            open(mark, "w").close()
+            raise OSError("connection lost")
+        return pa.OSFile(path), os.path.getsize(path)
+
+    import pyarrow as pa
+
+    return opener
+
+
+def test_reading_takes_up_what_was_lost(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    for k in range(4):
+        pq.write_table(pa.table({"run": list(range(10)), "x": [k] * 10}), tmp_path / f"{k}.parquet", row_group_size=5)
+    marks = tmp_path / "marks"
+    marks.mkdir()
+    for k in (1, 2):
+        (marks / f"{k}.parquet.seen").touch()
+    files = [f"{tmp_path}/{k}.parquet" for k in range(4)]
+    states = probe.probe(probe.table_of(spark, files), ["run"])
+    schema = spark.createDataFrame([], "run bigint").schema
+    rows, ledger = probe.read(states, schema, wait=0.01, per_task=2, reader=flaky(marks))
+    assert rows.count() == 40 and rows.agg(F.sum("run")).first()[0] == 4 * 45
+    rounds = {(os.path.basename(r["path"]), r["round"]): r for r in ledger.groupBy("path", "round").agg(F.count("read").alias("read"), F.count("error").alias("failed")).collect()}
+    assert rounds["1.parquet", 0]["failed"] == 0 and ("1.parquet", 1) not in rounds
+    assert rounds["0.parquet", 0]["failed"] >= 1 and rounds["0.parquet", 1]["read"] == rounds["0.parquet", 0]["failed"]
+    assert ledger.where("read is not null").dropDuplicates(["path", "group"]).count() == 8 == ledger.where("read is not null").count()
+    with pytest.raises(Refused) as e:
+        probe.read(states, schema, wait=0.01, reader=flaky(marks, always=(files[3],)))
+    assert e.value.code == 10 and files[3] in e.value.why and files[2] not in e.value.why
+
+
+def test_a_file_that_changed_since_the_probe_is_no_ok(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    path = f"{tmp_path}/a.parquet"
+    pq.write_table(pa.table({"run": list(range(10))}), path)
+    states = probe.probe(probe.table_of(spark, [path]), ["run"])
+    assert [r["status"] for r in probe.statuses(states, ["run"]).collect()] == ["ok"]
+    pq.write_table(pa.table({"run": list(range(500))}), path)
+    assert [r["status"] for r in probe.statuses(states, ["run"]).collect()] == ["read_errors"]
+    with pytest.raises(Refused, match="exit 10"):
+        probe.read(states, spark.createDataFrame([], "run bigint").schema, wait=0.01)
+
+
+def test_nothing_to_probe(spark):
+    states = probe.probe(probe.table_of(spark, []))
+    assert states.count() == 0 and probe.statuses(states, ["x"]).count() == 0
+    rows, ledger = probe.read(states, spark.createDataFrame([], "run bigint").schema)
+    assert rows.count() == 0 and ledger.count() == 0
