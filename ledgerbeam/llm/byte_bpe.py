@@ -1,12 +1,13 @@
 """Byte-level BPE: encoding by a global shuffle of distinct words, decoding by the table of token bytes.
 
 Texts are gathered to blocks of about ``BLOCK`` words.  In a block each
-pre-token has a place, and each distinct word becomes one row, whatever the
-number of its places, so a word in every text is one row a block.  These rows
-are dealt by word; where a word's rows meet it is encoded, once in the whole
-table.  Its ids go back to the blocks, and each text is put together from the
-ids by place.  What is shuffled: the distinct words of each block, their ids,
-and the places (about one and a half bytes for each pre-token); texts stay.
+pre-token has a place, and each distinct word counts once, whatever the number
+of its places.  The distinct words are dealt by their checksums, a packed row
+for each block and bucket; the task of a bucket encodes each of its words once
+in the whole table.  The ids go back to the blocks, and each text is put
+together from the ids by place.  What is shuffled: the distinct words of each
+block, their ids, and the places (about one and a half bytes for each
+pre-token); texts stay.  A word of every text is as light as any other.
 
 Words are cut as ``tiktoken`` cuts them: what its pattern engine takes for
 letters or numbers is asked from itself, since tables of characters differ
@@ -27,6 +28,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -37,6 +39,8 @@ from pyspark.sql import functions as F
 
 #: Words of a block, and how many of them may differ.
 BLOCK, WORDS = 2**21, 2**18
+#: Buckets of words, at least; as many as there are shuffle partitions where these are more.
+BUCKETS = 128
 #: Texts whose places are packed together.
 GROUP = 256
 
@@ -98,9 +102,9 @@ def splitter(pattern: str) -> Callable[[str], list[str]]:
     return words
 
 
-def _packed(numbers: np.ndarray) -> bytes:
-    """Numbers in four planes of bytes, compressed."""
-    planes = numbers.view(np.uint8).reshape(-1, 4).T
+def _packed(numbers) -> bytes:
+    """Numbers below 2**32 in four planes of bytes, compressed."""
+    planes = np.asarray(numbers).astype("<u4").view(np.uint8).reshape(-1, 4).T
     return pa.compress(np.ascontiguousarray(planes).tobytes(), codec="zstd", asbytes=True)
 
 
@@ -149,21 +153,28 @@ def _blocks(batches: Iterator[pa.RecordBatch], pattern: str, with_places: bool)
         yield number, words, groups
 
 
-def _pieces(n: int, size: int = 50_000) -> Iterator[slice]:
-    return (slice(k, k + size) for k in range(0, n, size))
+def _bucket(word: str, buckets: int) -> int:
+    return zlib.crc32(word.encode()) % buckets
 
 
-def dictionary(docs: DataFrame, pattern: str) -> DataFrame:
-    """block, k, word: the different words of each block, numbered.  docs has row and text."""
+def dictionary(docs: DataFrame, pattern: str, buckets: int) -> DataFrame:
+    """bucket, block, n, k, sizes, words: the different words of each block whose checksums fall in a bucket, and their numbers in
+    the block; packed, a row for each block and bucket.  docs has row and text."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, words, _ in _blocks(batches, pattern, False):
             items = list(words)
-            for at in _pieces(len(items)):
-                part = pa.array(items[at], pa.string())
-                yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(number, pa.int64()), len(part)), pa.array(range(at.start, at.start + len(part)), pa.int32()), part], ["block", "k", "word"])
+            bucket = np.fromiter((_bucket(w, buckets) for w in items), np.uint32, len(items))
+            order = np.argsort(bucket, kind="stable")
+            ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            out = []
+            for i in range(buckets):
+                if k := order[ends[i] : ends[i + 1]].tolist():
+                    part = [items[j] for j in k]
+                    out.append((i, number, len(k), _packed(np.diff(k, prepend=0)), _packed([len(w) for w in part]), pa.compress(data := "".join(part).encode(), codec="zstd", asbytes=True), len(data)))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*out)) or [()] * 7, (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int64()))], ["bucket", "block", "n", "k", "sizes", "words", "bytes"])
 
-    return docs.mapInArrow(of, "block bigint, k int, word string")
+    return docs.mapInArrow(of, "bucket int, block bigint, n int, k binary, sizes binary, words binary, bytes bigint")
 
 
 def places(docs: DataFrame, pattern: str) -> DataFrame:
@@ -194,11 +205,14 @@ def _gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, at: np.ndar
 
 def _assembled(found: pa.Table, texts: pa.Table) -> pa.Table:
     """row and ids of a block's texts."""
-    flat, ends = _ends(found.column("ids").combine_chunks()) if found.num_rows else _ends(pa.array([], pa.binary()))
-    flat = flat[: len(flat) // 4 * 4].view("<u4")
-    starts, sizes = np.zeros(len(ends) - 1, np.int64), np.zeros(len(ends) - 1, np.int64)
-    k = found.column("k").to_numpy()
-    starts[k], sizes[k] = ends[:-1] // 4, np.diff(ends) // 4
+    k, sizes, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, "<u4")]
+    for row in found.to_pylist():
+        k.append(np.cumsum(_unpacked(row["k"], row["n"]).astype(np.int64)))
+        sizes.append(_unpacked(row["sizes"], row["n"]).astype(np.int64))
+        ids.append(_unpacked(row["ids"], int(sizes[-1].sum())))
+    flat, k, long = np.concatenate(ids), np.concatenate(k), np.concatenate(sizes)
+    starts, sizes = np.zeros(len(k), np.int64), np.zeros(len(k), np.int64)
+    starts[k], sizes[k] = np.cumsum(long) - long, long
     out = []
     for before, n, packed in zip(*(texts.column(c).to_pylist() for c in ("before", "n", "places"))):
         code = _unpacked(packed, sum(n)).astype(np.int64)
@@ -212,19 +226,29 @@ def _assembled(found: pa.Table, texts: pa.Table) -> pa.Table:
 
 
 def encoded_words(words: DataFrame, path: str) -> DataFrame:
-    """block, k, ids (as unsigned 32-bit little-endian numbers): each distinct word is encoded once, where its rows meet."""
+    """block, n, k, sizes, ids: dictionary's words by their ids.
+
+    A bucket's rows meet in one task, which encodes each of the bucket's different words once and holds these alone.
+    """
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merge, last, ids = merger(path), None, b""
+        merge, bucket, known = merger(path), None, {}
         for batch in batches:
             out = []
-            for word in batch.column("word").to_pylist():
-                if word != last:
-                    last, ids = word, np.array(merge(word), "<u4").tobytes()
-                out.append(ids)
-            yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("k"), pa.array(out, pa.binary())], ["block", "k", "ids"])
-
-    return words.repartition("word").sortWithinPartitions("word").mapInArrow(of, "block bigint, k int, ids binary")
+            for row in batch.to_pylist():
+                if row["bucket"] != bucket:
+                    bucket, known = row["bucket"], {}
+                text, at, ids = pa.decompress(row["words"], decompressed_size=row["bytes"], codec="zstd", asbytes=True).decode(), 0, []
+                for size in _unpacked(row["sizes"], row["n"]).tolist():
+                    word = text[at : at + size]
+                    at += size
+                    if (found := known.get(word)) is None:
+                        found = known[word] = merge(word)
+                    ids.append(found)
+                out.append((row["block"], row["n"], row["k"], _packed([len(x) for x in ids]), _packed(np.concatenate(ids))))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*out)) or [()] * 5, (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))], ["block", "n", "k", "sizes", "ids"])
+
+    return words.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(of, "block bigint, n int, k binary, sizes binary, ids binary")
 
 
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
@@ -233,7 +257,8 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Data
     path: a file of token bytes and ranks that all tasks can read.
     """
     rows = docs.select(F.struct(*(c for c in docs.columns if c != text)).alias("row"), F.col(text).alias("text"))
-    words, where = encoded_words(dictionary(rows, pattern), path), places(rows, pattern)
+    buckets = max(BUCKETS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    words, where = encoded_words(dictionary(rows, pattern, buckets), path), places(rows, pattern)
     return words.groupBy("block").cogroup(where.groupBy("block")).applyInArrow(_assembled, f"row {rows.schema['row'].dataType.simpleString()}, ids binary")
 
 
