@@ -159,19 +159,39 @@ def multi_event_keys(rank: DataFrame) -> DataFrame:
     return keys.groupBy("dataset").agg(F.count_if(F.col("events") >= 2).alias("multi_event_keys"), F.count_if(F.col("selected") >= 2).alias("multi_selected_keys"))
 
 
+#: Cells of fractions, in powers of two; wider than the distance of near ones, so these lie in one cell or in adjacent ones.
+CELL = 0.0015
+_EVENT = ("Generator_x1", "Generator_x2", "x1_bits", "x2_bits", "Generator_id1", "Generator_id2", "Expanded_genTtbarId")
+
+
+def _cell(x: Column) -> Column:
+    """The cell of a fraction by sign and logarithm; 0 and what isn't finite have cells far from all others."""
+    v, far = x.cast("double"), 4 * 10**6
+    log = F.floor(F.log2(F.abs(v)) / CELL).cast("bigint") + 10**6
+    return F.when(v == 0, F.lit(0)).when(F.isnan(v), F.lit(2 * far)).when(F.abs(v) == float("inf"), F.signum(v).cast("bigint") * far).otherwise(F.signum(v).cast("bigint") * log)
+
+
+def meeting(rank: DataFrame) -> DataFrame:
+    """Pairs that too_close looks at: an event with extra jets (e) and another one (f) of its key and ids whose fractions lie
+    within a cell of its own.  A key's events are spread over their cells, however many there are."""
+    first = rank.where("rank = 1").select("datasetIdx", *KEY, F.struct(*_EVENT).alias("e"))
+    first = first.withColumns({"_id1": F.col("e.Generator_id1"), "_id2": F.col("e.Generator_id2"), "_c1": _cell(F.col("e.Generator_x1")), "_c2": _cell(F.col("e.Generator_x2"))})
+    around = lambda c: F.explode(F.sequence(F.col(c) - 1, F.col(c) + 1))
+    wanted = first.where(codec.is_ttnb("e.Expanded_genTtbarId")).withColumn("_c1", around("_c1")).withColumn("_c2", around("_c2"))
+    return wanted.join(first.withColumnRenamed("e", "f"), ["datasetIdx", *KEY, "_id1", "_id2", "_c1", "_c2"]).select("datasetIdx", *KEY, "e", "f")
+
+
 def too_close(rank: DataFrame) -> DataFrame:
-    """Pairs of distinct events that share a key, one of them with extra jets, and whose fingerprints are nearly the same.
+    """Pairs of distinct events that share a key and ids, one of them with extra jets, and whose fingerprints are nearly the same.
 
-    Such events have equal ids, so they meet by key and ids; in order of the first fraction each one looks at those that
-    follow it, and only pairs that are close become rows.
+    Each pair comes once, in order.  An event meets its neighbours in both fractions only, so the work is linear in a key's
+    events unless they are close.
     """
-    first = rank.where("rank = 1").select("datasetIdx", *KEY, F.struct("Generator_x1", "Generator_x2", "x1_bits", "x2_bits", "Generator_id1", "Generator_id2", "Expanded_genTtbarId").alias("e"))
-    several = first.groupBy("datasetIdx", *KEY, F.col("e.Generator_id1").alias("_id1"), F.col("e.Generator_id2").alias("_id2")).agg(F.sort_array(F.collect_list("e")).alias("all")).where(F.size("all") > 1)
-    wanted = lambda a, b: codec.is_ttnb(a["Expanded_genTtbarId"]) | codec.is_ttnb(b["Expanded_genTtbarId"])
-    close = lambda a, b: codec.near(a["Generator_x1"], b["Generator_x1"]) & codec.near(a["Generator_x2"], b["Generator_x2"]) & wanted(a, b)
-    near = lambda a, i: F.transform(F.filter(F.slice("all", i + 2, F.size("all")), lambda b: close(a, b)), lambda b: F.struct(a.alias("a"), b.alias("b")))
-    pairs = several.select("datasetIdx", *KEY, F.explode(F.flatten(F.transform("all", near))).alias("p"))
-    return pairs.select("datasetIdx", *KEY, "p.a", "p.b")
+    e, f = F.col("e"), F.col("f")
+    # of two events with extra jets the lesser one brings the pair
+    once = (e < f) | ~codec.is_ttnb("f.Expanded_genTtbarId") & (e != f)
+    near = codec.near(e["Generator_x1"], f["Generator_x1"]) & codec.near(e["Generator_x2"], f["Generator_x2"])
+    return meeting(rank).where(once & near).select("datasetIdx", *KEY, F.least(e, f).alias("a"), F.greatest(e, f).alias("b"))
 
 
 def summary(lookup_rows: DataFrame) -> DataFrame:

@@ -27,11 +27,13 @@ def booked(df: DataFrame) -> DataFrame:
     values = {"genTtbarId": F.col("genTtbarId"), "genTtbarId_sub": codec.raw_sub_code("genTtbarId")}
     if "Expanded_genTtbarId" in df.columns:
         values |= {"Expanded": F.col("Expanded_genTtbarId"), "Expanded_sub": codec.raw_sub_code("Expanded_genTtbarId"), "nAddBJets": F.col("nAddBJets"), "nAddBJetsMulti": F.col("nAddBJetsMulti")}
+    # the joint count first: its rows are as many as there are different codes and counts, not as events
+    joint = df.groupBy(*(x.alias(h) for h, x in values.items())).agg(F.count("*").alias("n"))
     entries = F.array(*(
-        F.struct(F.lit(h).alias("hist"), F.when(x < lo, 0).when(x >= hi, n + 1).otherwise(F.floor((x - lo) * n / (hi - lo)) + 1).cast("int").alias("bin"))
-        for h, x in values.items() for n, lo, hi in (BOOKED[h],)
+        F.struct(F.lit(h).alias("hist"), F.when(F.col(h) < lo, 0).when(F.col(h) >= hi, n + 1).otherwise(F.floor((F.col(h) - lo) * n / (hi - lo)) + 1).cast("int").alias("bin"))
+        for h in values for n, lo, hi in (BOOKED[h],)
     ))
-    return df.select(F.explode(entries).alias("e")).groupBy("e.hist", "e.bin").agg(F.count("*").alias("n"), F.count("*").cast("double").alias("sumw2"))
+    return joint.select(F.explode(entries).alias("e"), "n").groupBy("e.hist", "e.bin").agg(F.sum("n").alias("n"), F.sum("n").cast("double").alias("sumw2"))
 
 
 def merge(histograms: DataFrame, prefix: str = "") -> DataFrame:
@@ -60,8 +62,3 @@ def crosstab(df: DataFrame, most: int = 6) -> DataFrame:
     """gen_sub and one column per number of additional jets, the last for most and more."""
     k = F.least("nAddBJets", F.lit(most))
     return df.groupBy((F.col("genTtbarId") % 100).alias("gen_sub")).agg(*(F.count_if(k == i).alias(f"n{i}") for i in range(most + 1)))
-
-
-def running_share(by: DataFrame, key: str, n: str) -> DataFrame:
-    """A census with percent and running total, in order of key; one row a key."""
-    return by.withColumn("running", F.sum(n).over(Window.orderBy(key)))

@@ -25,23 +25,37 @@ def checked_mask(mask: DataFrame) -> DataFrame:
 
 #: Blocks of a stretch are numbered within 2**BITS.
 BITS = 10
+#: Blocks of a word of bits.
+WORD = 6
 
 
-def stretches(mask: DataFrame) -> DataFrame:
-    """run, stretch (of 2**BITS blocks) and its intervals, cut to the stretch and sorted: at most 2**BITS different ones a row."""
-    size = 1 << BITS
-    cut = mask.select("run", "lo", "hi", F.explode(F.sequence(F.shiftright("lo", BITS), F.shiftright("hi", BITS))).alias("stretch"))
-    first = F.col("stretch") * size
-    part = F.struct(F.greatest("lo", first).alias("lo"), F.least("hi", first + (size - 1)).alias("hi"))
-    return cut.groupBy("run", "stretch").agg(F.sort_array(F.collect_set(part)).alias("intervals"))
+def words(mask: DataFrame) -> DataFrame:
+    """run, word (of 64 blocks) and bits, one for each block that the mask has there.
+
+    Bits come from the ends of intervals, so no block becomes a row.
+    """
+    valid = mask.where("lo <= hi").select("run", "lo", "hi", F.explode(F.sequence(F.shiftright("lo", WORD), F.shiftright("hi", WORD))).alias("word"))
+    start = F.when(F.shiftright("lo", WORD) == F.col("word"), F.col("lo").bitwiseAND(F.lit(63))).otherwise(0).cast("int")
+    end = F.when(F.shiftright("hi", WORD) == F.col("word"), F.col("hi").bitwiseAND(F.lit(63))).otherwise(63).cast("int")
+    ones = F.lit(-1).cast("bigint")
+    bits = F.call_function("shiftleft", ones, start).bitwiseAND(F.call_function("shiftrightunsigned", ones, F.lit(63) - end))
+    return valid.groupBy("run", "word").agg(F.bit_or(bits).alias("bits"))
+
+
+def seen_words(rows: DataFrame) -> DataFrame:
+    """run, word and bits of the blocks that rows have."""
+    block = F.col("luminosityBlock").cast("bigint")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), block.bitwiseAND(F.lit(63)).cast("int"))
+    return rows.groupBy("run", F.shiftright(block, WORD).alias("word")).agg(F.bit_or(bit).alias("bits"))
 
 
 def _marked(rows: DataFrame, mask: DataFrame) -> DataFrame:
-    """rows with _in; the join is on run and stretch, so rows of one run are spread."""
-    m = stretches(mask).select(F.col("run").alias("_run"), F.col("stretch").alias("_stretch"), "intervals")
-    both = rows.join(m, (F.col("run") == F.col("_run")) & (F.shiftright(F.col("luminosityBlock").cast("bigint"), BITS) == F.col("_stretch")), "left")
-    inside_ = F.exists("intervals", lambda i: F.col("luminosityBlock").between(i["lo"], i["hi"]))
-    return both.select(*rows.columns, F.coalesce(inside_, F.lit(False)).alias("_in"))
+    """rows with _in, by one bit; the join is on run and word, so rows of one run are spread."""
+    m = words(mask).select(F.col("run").alias("_run"), F.col("word").alias("_word"), F.col("bits").alias("_bits"))
+    block = F.col("luminosityBlock").cast("bigint")
+    both = rows.join(m, (F.col("run") == F.col("_run")) & (F.shiftright(block, WORD) == F.col("_word")), "left")
+    bit = F.getbit(F.col("_bits"), block.bitwiseAND(F.lit(63)).cast("int")) == 1
+    return both.select(*rows.columns, F.coalesce(bit, F.lit(False)).alias("_in"))
 
 
 def _inside(rows: DataFrame, mask: DataFrame, want: bool) -> DataFrame:
@@ -65,17 +79,16 @@ def blocks(rows: DataFrame, file: str | None = None, file_index: str | None = No
 def coverage(seen: DataFrame, mask: DataFrame) -> DataFrame:
     """One row: mask_lumis (overlapping intervals count twice), seen, inside and outside distinct blocks, and unseen ones.
 
-    The mask's different blocks are counted by the lengths of its intervals, so none of them becomes a row.
+    Both sides are words of bits, a row for 64 blocks; what they share and don't share is counted in bits.
     """
-    start = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(-1).cast("bigint").alias("at"))
-    step = lambda a, i: F.struct((a["n"] + F.greatest(F.lit(0), i["hi"] - F.greatest(i["lo"] - 1, a["at"]))).alias("n"), F.greatest(a["at"], i["hi"]).alias("at"))
-    blocks_ = stretches(mask).agg(F.coalesce(F.sum(F.aggregate("intervals", start, step, lambda a: a["n"])), F.lit(0)).alias("distinct"))
+    both = seen_words(seen).withColumnRenamed("bits", "s").join(words(mask).withColumnRenamed("bits", "m"), ["run", "word"], "full_outer")
+    s, m = (F.coalesce(c, F.lit(0).cast("bigint")) for c in ("s", "m"))
+    total = lambda bits: F.coalesce(F.sum(F.bit_count(bits)), F.lit(0)).cast("bigint")
+    counts = both.agg(total(s).alias("seen"), total(s.bitwiseAND(m)).alias("inside"), total(s.bitwiseAND(F.bitwise_not(m))).alias("outside"), total(m.bitwiseAND(F.bitwise_not(s))).alias("unseen"))
     lumis = mask.agg(F.coalesce(F.sum(F.col("hi") - F.col("lo") + 1), F.lit(0)).alias("mask_lumis"))
-    s = _marked(seen.select("run", "luminosityBlock").distinct(), mask).agg(F.count("*").alias("seen"), F.count_if("_in").alias("inside"))
     # one row each
     one = lambda df: df.withColumn("_k", F.lit(1))
-    all_ = one(lumis).join(one(blocks_), "_k").join(one(s), "_k")
-    return all_.select("mask_lumis", "seen", "inside", (F.col("seen") - F.col("inside")).alias("outside"), (F.col("distinct") - F.col("inside")).alias("unseen"))
+    return one(lumis).join(one(counts), "_k").select("mask_lumis", "seen", "inside", "outside", "unseen")
 
 
 def containment(rows: DataFrame, mask: DataFrame, full: bool = False) -> Verdict:
