@@ -60,15 +60,21 @@ def merger(path: str) -> Callable[[str], list[int]]:
     return tiktoken.Encoding("words", pat_str=r"(?s:.+)", mergeable_ranks=ranks_of(path), special_tokens={}).encode_ordinary
 
 
-def _ranges(points: list[int]) -> str:
+def _ranges(points: np.ndarray) -> str:
     """Code points as the inside of a class."""
-    if not points:
+    if not len(points):
         return ""
-    x = np.array(sorted(points))
-    parts = np.split(x, np.flatnonzero(np.diff(x) != 1) + 1)
+    parts = np.split(points, np.flatnonzero(np.diff(points) != 1) + 1)
     return "".join(f"\\U{int(p[0]):08x}-\\U{int(p[-1]):08x}" for p in parts)
 
 
+def _points(text: str) -> np.ndarray:
+    """Which of all code points are in text."""
+    found = np.zeros(0x110000, bool)
+    found[np.frombuffer(text.encode("utf-32-le"), "<u4")] = True
+    return found
+
+
 @functools.lru_cache(maxsize=4)
 def splitter(pattern: str) -> Callable[[str], list[str]]:
     """The words of a text, as tiktoken's engine finds them.
@@ -79,24 +85,25 @@ def splitter(pattern: str) -> Callable[[str], list[str]]:
     import regex
     import tiktoken
 
-    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
-    exact, odd = pattern, set()
+    every = np.r_[0:0xD800, 0xE000:0x110000].astype("<u4").tobytes().decode("utf-32-le")
+    exact, odd = pattern, np.zeros(0x110000, bool)
     for name in sorted(set(regex.findall(r"\\p\{\w+\}", pattern))):
         probe = tiktoken.Encoding("probe", pat_str=f"{name}+", mergeable_ranks={bytes([b]): b for b in range(256)}, special_tokens={})
-        theirs = set(probe.decode_bytes(probe.encode_ordinary(every)).decode())
-        ours = set(regex.findall(name, every))
-        if ours != theirs:
-            odd |= ours ^ theirs
-            more, less = (_ranges([ord(c) for c in x]) for x in (theirs - ours, ours - theirs))
-            exact = exact.replace(name, f"[[{name}{more}]--[{less}]]" if less else f"[{name}{more}]")
+        theirs = _points(probe.decode_bytes(probe.encode_ordinary(every)).decode())
+        ours = _points("".join(regex.findall(f"{name}+", every)))
+        odd |= ours != theirs
+        more, less = _ranges(np.flatnonzero(theirs & ~ours)), _ranges(np.flatnonzero(ours & ~theirs))
+        if less:
+            exact = exact.replace(name, f"[[{name}{more}]--[{less}]]")
+        elif more:
+            exact = exact.replace(name, f"[{name}{more}]")
     fast = regex.compile(pattern)
-    if not odd:
+    if not odd.any():
         return fast.findall
-    strict, differs, least = regex.compile(exact, regex.V1), np.zeros(0x110000, bool), min(odd)
-    differs[[ord(c) for c in odd]] = True
+    strict, least = regex.compile(exact, regex.V1), chr(int(odd.argmax()))
 
     def words(text: str) -> list[str]:
-        seen_differently = not text.isascii() and max(text) >= least and differs[np.frombuffer(text.encode("utf-32-le"), "<u4")].any()
+        seen_differently = not text.isascii() and max(text) >= least and odd[np.frombuffer(text.encode("utf-32-le"), "<u4")].any()
         return (strict if seen_differently else fast).findall(text)
 
     return words
