@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,33 +22,63 @@ def schema_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     return a.join(b, "name", "full_outer").withColumn("status", status)
 
 
-def _mismatch(kind: T.DataType, a, b):
+#: What a pair of values is: equal, different, both NaN.
+SAME, DIFFERENT, BOTH_NAN = 0, 1, 2
+
+
+def _floating(kind: T.DataType) -> bool:
+    return isinstance(kind, T.FloatType | T.DoubleType)
+
+
+def _state(kind: T.DataType, a: Column, b: Column) -> Column:
+    """SAME, DIFFERENT or BOTH_NAN for two values of one type."""
     both_null = a.isNull() & b.isNull()
-    if isinstance(kind, T.FloatType | T.DoubleType):
-        return ~F.coalesce(codec.agrees(a, b), both_null)
-    if isinstance(kind, T.ArrayType):
-        inner = kind.elementType
-        if isinstance(inner, T.FloatType | T.DoubleType):
-            bad = (F.size(a) != F.size(b)) | F.exists(F.arrays_zip(a.alias("x"), b.alias("y")), lambda p: ~F.coalesce(codec.agrees(p["x"], p["y"]), p["x"].isNull() & p["y"].isNull()))
-            return F.coalesce(bad, ~both_null)
-    return ~a.eqNullSafe(b)
+    if _floating(kind):
+        return F.when(F.isnan(a) & F.isnan(b), F.lit(BOTH_NAN)).when(F.coalesce(codec.agrees(a, b), both_null), F.lit(SAME)).otherwise(F.lit(DIFFERENT))
+    if isinstance(kind, T.ArrayType) and _floating(kind.elementType):
+        inner = F.zip_with(a, b, lambda x, y: ~F.coalesce(codec.agrees(x, y), x.isNull() & y.isNull()))
+        bad = (F.size(a) != F.size(b)) | F.exists(inner, lambda x: x)
+        return F.when(F.coalesce(bad, ~both_null), F.lit(DIFFERENT)).otherwise(F.lit(SAME))
+    return F.when(a.eqNullSafe(b), F.lit(SAME)).otherwise(F.lit(DIFFERENT))
+
+
+def _states(kind: T.DataType, a: str, b: str) -> Column:
+    return F.zip_with(a, b, lambda x, y: _state(kind, x, y))
 
 
 def value_mismatches(left: DataFrame, right: DataFrame, key: list[str], columns: list[str] | None = None) -> DataFrame:
-    """name, compared, mismatches, nan_agree for every common column, in one join and one aggregate."""
-    kinds = {f.name: f.dataType for f in left.schema}
-    names = [c for c in columns or left.columns if c in right.columns and c not in key]
+    """name, compared, mismatches, nan_agree for every common column, in one join.
+
+    The columns of one type are one array, compared position by position, so the plan grows with the types and not with the
+    columns.  What is counted are the positions that aren't the same, and one more for each row; columns whose types differ
+    are compared as texts.
+    """
+    spark, kinds, others = left.sparkSession, {f.name: f.dataType for f in left.schema}, {f.name: f.dataType for f in right.schema}
+    names = [c for c in columns or left.columns if c in others and c not in key]
     if not names:
-        return left.sparkSession.createDataFrame([], "name string, compared bigint, mismatches bigint, nan_agree bigint")
-    a, b = left.select(*key, F.struct(*names).alias("a")), right.select(*key, F.struct(*names).alias("b"))
-    aggs = []
+        return spark.createDataFrame([], "name string, compared bigint, mismatches bigint, nan_agree bigint")
+    packs: dict[str, list[int]] = {}
     for k, c in enumerate(names):
-        x, y = F.col(f"a.{c}"), F.col(f"b.{c}")
-        nan = F.isnan(x) & F.isnan(y) if isinstance(kinds[c], T.FloatType | T.DoubleType) else F.lit(False)
-        aggs += [F.count_if(_mismatch(kinds[c], x, y)).alias(f"m{k}"), F.count_if(nan).alias(f"n{k}")]
-    one = a.join(b, key).agg(F.count("*").alias("compared"), *aggs)
-    rows = F.array(*(F.struct(F.lit(c).alias("name"), F.col("compared"), F.col(f"m{k}").alias("mismatches"), F.col(f"n{k}").alias("nan_agree")) for k, c in enumerate(names)))
-    return one.select(F.explode(rows).alias("r")).select("r.*")
+        packs.setdefault(kinds[c].simpleString() if kinds[c] == others[c] else "", []).append(k)
+
+    def packed(df: DataFrame, side: str) -> DataFrame:
+        value = lambda c, kind: F.col(f"`{c}`") if kind else F.col(f"`{c}`").cast("string")
+        return df.select(*key, *(F.array(*(value(names[k], kind) for k in at)).alias(f"{side}{n}") for n, (kind, at) in enumerate(packs.items())))
+
+    both, states = packed(left, "_a").join(packed(right, "_b"), key), []
+    for n, (kind, at) in enumerate(packs.items()):
+        one = kinds[names[at[0]]] if kind else T.StringType()
+        flags = _states(one, f"_a{n}", f"_b{n}")
+        place = F.array(*(F.lit(k) for k in at))
+        found = F.zip_with(place, flags, lambda k, f: F.struct(k.alias("k"), f.alias("state")))
+        states.append(F.filter(found, lambda x: x["state"] != SAME))
+    row = F.array(F.struct(F.lit(-1).alias("k"), F.lit(SAME).alias("state")))
+    counts = both.select(F.explode(F.concat(row, *states)).alias("s")).groupBy("s.k").agg(F.count("*").alias("n"), F.count_if(F.col("s.state") == DIFFERENT).alias("mismatches"), F.count_if(F.col("s.state") == BOTH_NAN).alias("nan_agree"))
+    # from here on a row for each column
+    every = spark.createDataFrame([(-1, "")] + list(enumerate(names)), "k int, name string")
+    filled = every.join(counts, "k", "left").withColumn("compared", F.coalesce(F.max(F.when(F.col("k") == -1, F.col("n"))).over(Window.partitionBy()), F.lit(0)))
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    return filled.where("k >= 0").select("name", "compared", zero("mismatches"), zero("nan_agree"))
 
 
 def worst(mismatches: DataFrame, most: int = 20) -> DataFrame:

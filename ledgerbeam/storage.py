@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from . import adapters as A
 from .catalog import COUNTERS, query
 from .functions.store import scratch
-from .operators import audit
+from .operators import audit, wide
 from .sources import manifest, parts, probe
 
 
@@ -82,3 +82,35 @@ def resumed_read(spark: SparkSession, d: str) -> DataFrame:
     manifest.check_complete(done.first()["n"], probe.opened(states, files).total)
     sums = rows.agg(F.count("*").alias("rows"), F.sum("o_orderkey").alias("keys"))
     return sums.withColumn("_k", F.lit(1)).join(done.withColumn("_k", F.lit(1)), "_k").select("rows", "keys", "files", "lost")
+
+
+@query("""
+, n AS (SELECT o_custkey, count(*) AS n, count(*) FILTER (WHERE o_orderkey % 40 = 3) AS changed, count(*) FILTER (WHERE o_orderkey % 40 = 7) AS dropped FROM orders GROUP BY o_custkey)
+SELECT * FROM (SELECT 'prices' AS name, count(*) AS compared, count(*) FILTER (WHERE changed + dropped > 0) AS mismatches FROM n
+  UNION ALL SELECT 'keys', count(*), count(*) FILTER (WHERE dropped > 0) FROM n UNION ALL SELECT 'n', count(*), count(*) FILTER (WHERE dropped > 0) FROM n)""")
+def wide_arrays(spark: SparkSession, d: str) -> DataFrame:
+    """Columns that are arrays: values that are off by more than the tolerance, and arrays of another length."""
+    o = A.table(spark, d, "orders").select("o_orderkey", "o_custkey", F.col("o_totalprice").alias("p"))
+    k = F.col("o_orderkey")
+    by = lambda df: df.groupBy("o_custkey").agg(F.sort_array(F.collect_list(F.struct("o_orderkey", "p"))).alias("a")).select(
+        "o_custkey", F.transform("a", lambda x: x["p"]).alias("prices"), F.transform("a", lambda x: x["o_orderkey"]).alias("keys"), F.size("a").alias("n")
+    )
+    right = o.where(k % 40 != 7).withColumn("p", F.when(k % 40 == 3, F.col("p") * 1.001).when(k % 40 == 4, F.col("p") * 1.0001).otherwise(F.col("p")))
+    # customers whose orders are all dropped stay, with empty arrays
+    rest = by(o).join(right.select("o_custkey").distinct(), "o_custkey", "left_anti")
+    empty = rest.select("o_custkey", F.slice("prices", 1, 0).alias("prices"), F.slice("keys", 1, 0).alias("keys"), F.lit(0).alias("n"))
+    return wide.value_mismatches(by(o), by(right).unionByName(empty), ["o_custkey"]).select("name", "compared", "mismatches")
+
+
+@query("""
+SELECT 'c' || c AS name, (SELECT count(*) FROM part) AS compared, (SELECT count(*) FROM part WHERE p_partkey % 1000 = c)::BIGINT AS mismatches FROM range(1666) t(c)""")
+def wide_many_columns(spark: SparkSession, d: str) -> DataFrame:
+    """1,666 columns of four types, arrays among them; column c differs where the key's remainder by 1,000 is c."""
+    value = lambda c, x: (f"{x} + {c}", f"double({x} + {c})", f"concat('v', {x})", f"array(float({x} % 7), float({c}))")[c % 4] + f" AS c{c}"
+    rows = A.table(spark, d, "part").select(F.col("p_partkey").alias("k"))
+    left = rows.selectExpr("k", *(value(c, "k") for c in range(1666)))
+    right = rows.selectExpr("k", *(value(c, f"if(k % 1000 = {c}, k + 100000, k)") for c in range(1666)))
+    out = scratch(spark, "wide")
+    left.write.parquet(f"{out}/left")
+    right.write.parquet(f"{out}/right")
+    return wide.value_mismatches(spark.read.parquet(f"{out}/left"), spark.read.parquet(f"{out}/right"), ["k"]).select("name", "compared", "mismatches")
