@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import json
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,11 +76,11 @@ def value_mismatches(left: DataFrame, right: DataFrame, key: list[str], columns:
         states.append(F.filter(found, lambda x: x["state"] != SAME))
     row = F.array(F.struct(F.lit(-1).alias("k"), F.lit(SAME).alias("state")))
     counts = both.select(F.explode(F.concat(row, *states)).alias("s")).groupBy("s.k").agg(F.count("*").alias("n"), F.count_if(F.col("s.state") == DIFFERENT).alias("mismatches"), F.count_if(F.col("s.state") == BOTH_NAN).alias("nan_agree"))
-    # from here on a row for each column
-    every = spark.createDataFrame([(-1, "")] + list(enumerate(names)), "k int, name string")
-    filled = every.join(counts, "k", "left").withColumn("compared", F.coalesce(F.max(F.when(F.col("k") == -1, F.col("n"))).over(Window.partitionBy()), F.lit(0)))
-    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
-    return filled.where("k >= 0").select("name", "compared", zero("mismatches"), zero("nan_agree"))
+    # one row from here on, with an entry for each column that has any, and one for the rows
+    one = counts.agg(F.collect_list(F.struct("k", F.struct("n", "mismatches", "nan_agree"))).alias("c")).select(F.map_from_entries("c").alias("c"))
+    entry = lambda k, name: F.coalesce(F.try_element_at("c", k)[name], F.lit(0))
+    listed = one.select("c", F.posexplode(F.from_json(F.lit(json.dumps(names)), "array<string>")).alias("k", "name"))
+    return listed.select("name", entry(F.lit(-1), "n").alias("compared"), entry(F.col("k"), "mismatches").alias("mismatches"), entry(F.col("k"), "nan_agree").alias("nan_agree"))
 
 
 def worst(mismatches: DataFrame, most: int = 20) -> DataFrame:

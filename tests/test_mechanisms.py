@@ -1,10 +1,12 @@
 """Plans and sizes of operators whose work has to stay linear."""
 
+import os
+
 import numpy as np
 from pyspark.sql import functions as F
 
 from ledgerbeam.functions import codec
-from ledgerbeam.operators import extract, hist, intervals, wide
+from ledgerbeam.operators import extract, hist, intervals, order, wide
 
 RANKED = "rank int, datasetIdx int, run bigint, luminosityBlock bigint, event bigint, Generator_x1 float, Generator_x2 float, x1_bits bigint, x2_bits bigint, Generator_id1 int, Generator_id2 int, Expanded_genTtbarId int"
 
@@ -112,3 +114,42 @@ def test_wide_plans_do_not_grow_by_aggregates(spark):
 
 def test_near_is_what_the_pairs_use(spark):
     assert spark.range(1).select(codec.near(F.lit(1.0), F.lit(1.0009)), codec.near(F.lit(1.0), F.lit(1.002))).first()[:] == (True, False)
+
+
+# Order of files ---------------------------------------------------------------------------------------------------------
+
+
+def both_ways(rows):
+    a, b = (sorted(map(tuple, x.select("file", "n", "first_run", "first_luminosityBlock", "first_event", "last_run", "last_luminosityBlock", "last_event", "min_lumi", "max_lumi", "sorted").collect())) for x in (order.file_order(rows), order._by_position(rows)))
+    assert a == b
+    return {r[0].rsplit("/", 1)[-1]: r for r in a}
+
+
+def test_stored_files_are_summed_up_without_sorting(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from ledgerbeam.sources import manifest
+
+    n = 25_000
+    for name, change in {"up": None, "one_down": 12_345, "down_at_a_batch": 10_000, "last_down": n - 1}.items():
+        event = np.arange(n)
+        if change:
+            event[change] = event[change - 1] - 1
+        pq.write_table(pa.table({"run": np.ones(n, int), "luminosityBlock": np.arange(n) // 100 % 7 if name == "blocks" else np.zeros(n, int), "event": event}), tmp_path / f"{name}.parquet", row_group_size=3000)
+    scanned = manifest.scan(spark, [f"{tmp_path}/{f}" for f in os.listdir(tmp_path)])
+    got = both_ways(scanned)
+    assert {k: r[-1] for k, r in got.items()} == {"up.parquet": True, "one_down.parquet": False, "down_at_a_batch.parquet": False, "last_down.parquet": False}
+    steps = plan(order.stretches(scanned))
+    assert "Sort" not in steps and "Exchange" not in steps and "Window" not in steps
+    assert order.stretches(scanned).count() < 40
+
+
+def test_rows_out_of_position_are_put_in_order(spark):
+    rows = spark.range(9000).select(
+        F.concat(F.lit("f"), F.col("id") % 3).alias("file"), F.pmod(F.col("id") * 7919, F.lit(9000)).alias("pos"), F.lit(1).cast("bigint").alias("run"),
+        F.call_function("div", F.pmod(F.col("id") * 7919, F.lit(9000)), F.lit(100)).alias("luminosityBlock"), (F.pmod(F.col("id") * 7919, F.lit(9000)) + F.when(F.col("id") == 1, -900).otherwise(0)).alias("event"),
+    ).repartition(5)
+    got = both_ways(rows)
+    assert [r[-1] for r in got.values()].count(False) == 1
+    assert order.file_order(rows.limit(0)).count() == 0
