@@ -31,11 +31,21 @@ def merge_maps(chunks: DataFrame, column: str, by: str = "sample") -> DataFrame:
     return chunks.select(by, F.explode(column).alias("key", "n")).groupBy(by, "key").agg(F.sum("n").alias("n"))
 
 
-def sample_verdict(chunks: DataFrame, expected: DataFrame) -> DataFrame:
+def sample_verdict(chunks: DataFrame, expected: DataFrame, plan: DataFrame | None = None) -> DataFrame:
     """A row per sample with a column per criterion and passed.
 
     expected: sample, n_chunks, n_events, skip.  A missing expectation fails; only an explicit skip passes.
+    plan: sample, chunk, the chunks that are expected.  A chunk that isn't in it counts for nothing, one that is must be there,
+    and a sample without any fails.  n_chunks is for callers who know the number of chunks only.
     """
+    if plan is not None:
+        known = plan.select("sample", "chunk").distinct()
+        lost = missing_chunks(known, chunks.select("sample", "chunk").distinct()).groupBy("sample").agg(F.count("*").alias("_lost"))
+        wanted = known.groupBy("sample").agg(F.count("*").alias("_wanted")).join(lost, "sample", "left")
+        # without a loss the chunks found are those wanted
+        wanted = wanted.select("sample", F.when(F.col("_lost").isNull(), F.col("_wanted")).alias("n_chunks"))
+        expected = expected.drop("n_chunks").join(wanted, "sample", "full_outer")
+        chunks = chunks.join(known, ["sample", "chunk"], "left_semi")
     bad = F.count_if(F.col("exit_code") != 0)
     anomalies = F.count_if(
         F.coalesce(F.col("nano_entries") != F.col("nano_entries_opencheck"), F.lit(True)) | F.coalesce(F.col("nano_entries_postloop") != F.col("nano_entries"), F.lit(True)) | F.col("job_failed")
@@ -174,16 +184,40 @@ def latest_version(children: DataFrame, want: str, by: str = "parent", name: str
     return best.select(by, least[name].alias(name), "version")
 
 
-def child_lineage(entries: DataFrame, children: DataFrame) -> DataFrame:
-    """entries (entry, parent, version such as v9) against children (entry, child, parent): SAME_PARENT, DIFFERENT_PARENT, VERSION_ABSENT.
+def lineage_verdicts(entries: DataFrame, children: DataFrame) -> DataFrame:
+    """entries (entry, parent, version such as v9, maybe recorded) against children (entry, child, parent): entry, status, child, recorded.
 
-    A child counts if its campaign names that version, NanoAODv9 or NanoAODAPVv9.
+    SAME_PARENT where a child of the entry's own parent names that version, NanoAODv9 or NanoAODAPVv9.  Else DIFFERENT_PARENT
+    where the parent's primary has such a dataset of the same era, the part of the parent's campaign before MiniAOD; NanoAODAPV
+    is looked for where there is no plain one.  Else VERSION_ABSENT.  child stands for what was found: of the entry's own
+    children by the rule of latest_version.  recorded tells whether the recorded child is one of the parent's.
     """
-    v = F.regexp_replace(F.regexp_extract("child", VERSION, 1), "^NanoAOD(APV)?", "")
-    c = children.select(v.alias("v"), F.col("child"), F.col("parent").alias("child_parent"), F.col("entry").alias("e"))
-    both = entries.join(c, (F.col("entry") == F.col("e")) & (F.col("version") == F.col("v")), "left")
-    by = both.groupBy("entry").agg(F.count("child").alias("n"), F.count_if(F.col("parent") == F.col("child_parent")).alias("same"))
-    return by.select("entry", F.when(F.col("n") == 0, "VERSION_ABSENT").when(F.col("same") > 0, "SAME_PARENT").otherwise("DIFFERENT_PARENT").alias("status"))
+    part = lambda c, k: F.split_part(F.col(c), F.lit("/"), F.lit(k))
+    recorded = F.col("recorded") if "recorded" in entries.columns else F.lit(None).cast("string")
+    asked = entries.select("entry", "parent", "version", recorded.alias("_recorded"), part("parent", 2).alias("_primary"), F.split(part("parent", 3), "MiniAOD")[0].alias("_era"))
+    found = children.select(F.col("entry").alias("_e"), "child", F.col("parent").alias("_of"), part("child", 2).alias("_p"), part("child", 3).alias("_c"))
+    both = asked.join(found, F.col("entry") == F.col("_e"), "left")
+    own = F.coalesce(F.col("parent") == F.col("_of"), F.lit(False))
+    token, version = F.regexp_extract("_c", VERSION, 1), F.col("version")
+    same = own & ((token == F.concat(F.lit("NanoAOD"), version)) | (token == F.concat(F.lit("NanoAODAPV"), version)))
+    special, v = F.col("_c").rlike(FLAVOUR), F.coalesce(F.expr("try_cast(regexp_extract(_c, '-v([0-9]+)$', 1) AS int)"), F.lit(0))
+    # an entry whose parent is no dataset's path has no primary and no era to go by
+    primary = (F.col("_primary") == "") | (F.col("_primary") == F.col("_p"))
+    of_era = lambda tier: primary & F.col("_c").startswith(F.concat("_era", F.lit(tier), version))
+    by = both.groupBy("entry").agg(
+        F.min(F.when(same, F.struct(special.alias("s"), F.when(special, 0).otherwise(-v).alias("v"), F.col("child").alias("child")))).alias("best"),
+        F.min(F.when(of_era("NanoAOD"), F.col("child"))).alias("plain"), F.min(F.when(of_era("NanoAODAPV"), F.col("child"))).alias("apv"),
+        F.max(F.col("_recorded")).alias("_recorded"), F.count_if(own & (F.col("child") == F.col("_recorded"))).alias("_listed"),
+    )
+    other = F.coalesce("plain", "apv")
+    status = F.when(F.col("best").isNotNull(), "SAME_PARENT").when(other.isNotNull(), "DIFFERENT_PARENT").otherwise("VERSION_ABSENT")
+    listed = F.when(F.col("_recorded").isNotNull(), F.when(F.col("_listed") > 0, "IN_CHILD_LIST").otherwise("NOT_IN_CHILD_LIST"))
+    return by.select("entry", status.alias("status"), F.coalesce(F.col("best.child"), other).alias("child"), listed.alias("recorded"))
+
+
+def child_lineage(entries: DataFrame, children: DataFrame) -> DataFrame:
+    """lineage_verdicts' entry and status."""
+    return lineage_verdicts(entries, children).select("entry", "status")
 
 
 def lineage_fanout(files: DataFrame, answers: DataFrame) -> DataFrame:

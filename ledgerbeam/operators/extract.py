@@ -63,6 +63,15 @@ def parse_spec(text: str) -> Spec:
     return Spec(name, manifest, int(last))
 
 
+def specs(texts: DataFrame) -> DataFrame:
+    """parse_spec for a table of inputs (text): text, dataset, manifest, priority, and code, 2 for what can't be read or can be read in two ways."""
+    whole = r"^(/[^/=]+/[^/=]+/NANOAODSIM)=([^:]+)(:([0-9]{1,6}))?$"
+    part = lambda k: F.regexp_extract("text", whole, k)
+    ok = F.coalesce(F.col("text").rlike(whole), F.lit(False))
+    priority = F.when(part(4) == "", F.lit(0)).otherwise(F.expr("try_cast(regexp_extract(text, ':([0-9]+)$', 1) AS int)"))
+    return texts.select("text", F.when(ok, part(1)).alias("dataset"), F.when(ok, part(2)).alias("manifest"), F.when(ok, priority).alias("priority"), F.when(ok, 0).otherwise(2).alias("code"))
+
+
 def detect_format(columns_by_file: dict[str, list[str]]) -> int:
     """3 if every file has all fingerprint columns, 2 if none has any; mixtures are refused rather than filled with nulls."""
     have = {sum(c in columns for c in FINGERPRINT) for columns in columns_by_file.values()}

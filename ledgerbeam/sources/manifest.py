@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.verdict import Refused
@@ -45,6 +45,19 @@ def repeated_files(manifests: dict[str, list[str]]) -> list[str]:
     return sorted(p for p, n in seen.items() if n > 1)
 
 
+def normal(path: Column) -> Column:
+    """normalise for columns; links are not followed."""
+    bare = F.regexp_replace(F.regexp_replace(F.regexp_replace(path, r"\?.*$", ""), r"^file:(//)?(?=/)", ""), r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/]*(?=/)", "")
+    none = F.array().cast("array<string>")
+    walked = F.aggregate(F.split(bare, "/"), none, lambda a, p: F.when((p == "") | (p == "."), a).when(p == "..", F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(0)))).otherwise(F.concat(a, F.array(p))))
+    return F.concat(F.lit("/"), F.array_join(walked, "/"))
+
+
+def repeated(listed: DataFrame) -> DataFrame:
+    """Files that a table of lists (path) has twice or more under any of their names, and how often."""
+    return listed.groupBy(normal(F.col("path")).alias("file")).agg(F.count("*").alias("times")).where("times > 1")
+
+
 def check_unique(manifests: dict[str, list[str]]) -> None:
     if twice := repeated_files(manifests):
         raise Refused(2, f"given more than once: {', '.join(twice[:10])}" + (f" … and {len(twice) - 10} more" if len(twice) > 10 else ""))

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.order import row_index
 from ..plans.verdict import Refused
 from .parts import write_parts as write_shards  # noqa: F401
 
@@ -110,11 +111,23 @@ def stamp(seconds) -> Column:
     return F.date_format(F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.timestamp_seconds(s).cast("timestamp_ntz")), "yyyy-MM-dd HH:mm:ss 'UTC'")
 
 
-def dump(df: DataFrame, metadata: dict[str, str] | None = None) -> list[str]:
-    """A small table as text: names, columns, rows in order."""
-    out = [f"NAMED {k} {v}" for k, v in sorted((metadata or {}).items())]
-    out += [f"LEAF {f.name} {f.dataType.simpleString()}" for f in df.schema]
-    return out + ["ROW " + " ".join(map(str, r)) for r in df.orderBy(*df.columns).collect()]
+def _head(df: DataFrame, metadata: dict[str, str] | None) -> list[str]:
+    return [f"NAMED {k} {v}" for k, v in sorted((metadata or {}).items())] + [f"LEAF {f.name} {f.dataType.simpleString()}" for f in df.schema]
+
+
+def dump(df: DataFrame, metadata: dict[str, str] | None = None, most: int = 100_000) -> list[str]:
+    """A small table as text: names, columns, rows in order; one with more than most rows is refused (2), dump_lines takes it."""
+    rows = df.orderBy(*df.columns).limit(most + 1).collect()
+    if len(rows) > most:
+        raise Refused(2, f"more than {most} rows")
+    return _head(df, metadata) + ["ROW " + " ".join(map(str, r)) for r in rows]
+
+
+def dump_lines(df: DataFrame, metadata: dict[str, str] | None = None) -> DataFrame:
+    """The same of a table of any size: at, the line's number, and line; nothing comes to the driver."""
+    head = _head(df, metadata)
+    body = row_index(df, *df.columns).select((F.col("row_index") + len(head)).alias("at"), F.concat(F.lit("ROW "), F.concat_ws(" ", *(F.coalesce(F.col(c).cast("string"), F.lit("None")) for c in df.columns))).alias("line"))
+    return df.sparkSession.createDataFrame(list(enumerate(head)), "at bigint, line string").unionByName(body)
 
 
 def maps_json(maps: dict[str, dict[int, int]]) -> str:

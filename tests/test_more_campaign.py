@@ -151,3 +151,64 @@ def test_entry_filters(spark):
 def test_census_of_nothing(spark):
     empty = spark.createDataFrame([], "genTtbarId int, Expanded_genTtbarId int")
     assert audit.census(empty, "genTtbarId").count() == 0 and all(r["left_n"] == r["right_n"] == 0 for r in audit.conservation(empty, empty).collect())
+
+
+def test_a_wrong_chunk_is_no_substitute(spark):
+    counters = {c: 0 for c in campaign.SUMS} | {"matched": 5, "nano_entries": 5, "exit_code": 0, "job_failed": False, "nano_entries_opencheck": 5, "nano_entries_postloop": 5}
+    chunks = spark.createDataFrame([{"sample": s, "chunk": c} | counters for s, ids in (("a", (0, 1, 7)), ("b", (0, 1, 2)), ("c", (0, 1, 2, 3))) for c in ids])
+    plan = spark.createDataFrame([(s, c) for s in "abcd" for c in range(3)], "sample string, chunk int")
+    expected = spark.createDataFrame([(s, 15, False) for s in "abc"], "sample string, n_events bigint, skip boolean")
+    got = {r["sample"]: r for r in campaign.sample_verdict(chunks, expected, plan).collect()}
+    assert {s: r["passed"] for s, r in got.items()} == {"a": False, "b": True, "c": True, "d": False}
+    assert not got["a"]["chunks_present"] and not got["a"]["events_expected"] and not got["d"]["chunks_present"]
+    # nothing planned: fails
+    assert not any(r["passed"] for r in campaign.sample_verdict(chunks, expected, plan.limit(0)).collect())
+
+
+def test_lineage_keeps_to_the_era_and_the_primary(spark):
+    mini = "/TT/RunIISummer20UL18MiniAODv2-x-v2/MINIAODSIM"
+    entries = spark.createDataFrame([(e, mini, "v9", r) for e, r in (("a", None), ("b", "/TT/x/N"), ("c", None), ("d", "/TT/RunIISummer20UL18NanoAODv9-b-v1/NANOAODSIM"), ("e", None), ("f", None), ("g", None))], "entry string, parent string, version string, recorded string")
+    other = "/TT/RunIISummer20UL18MiniAODv1-x-v1/MINIAODSIM"
+    rows = [
+        ("a", "/TT/RunIISummer20UL16NanoAODv9-a-v1/NANOAODSIM", other),  # of another era only
+        ("b", "/TT/RunIISummer20UL18NanoAODv9-a-v1/NANOAODSIM", other),
+        ("c", "/ZZ/RunIISummer20UL18NanoAODv9-a-v1/NANOAODSIM", other),  # another primary
+        ("d", "/TT/RunIISummer20UL18NanoAODv9-JMENano_a-v9/NANOAODSIM", mini), ("d", "/TT/RunIISummer20UL18NanoAODv9-b-v1/NANOAODSIM", mini), ("d", "/TT/RunIISummer20UL18NanoAODv9-c-v3/NANOAODSIM", mini),
+        ("e", "/TT/RunIISummer20UL18NanoAODv2-mc_v9-v1/NANOAODSIM", mini),  # v9 in another place
+        ("f", "/TT/RunIISummer20UL18NanoAODAPVv9-a-v1/NANOAODSIM", other),
+    ]
+    got = {r["entry"]: tuple(r)[1:] for r in campaign.lineage_verdicts(entries, spark.createDataFrame(rows, "entry string, child string, parent string")).collect()}
+    assert {e: r[0] for e, r in got.items()} == {"a": "VERSION_ABSENT", "b": "DIFFERENT_PARENT", "c": "VERSION_ABSENT", "d": "SAME_PARENT", "e": "VERSION_ABSENT", "f": "DIFFERENT_PARENT", "g": "VERSION_ABSENT"}
+    assert got["d"][1:] == ("/TT/RunIISummer20UL18NanoAODv9-c-v3/NANOAODSIM", "IN_CHILD_LIST") and got["b"][2] == "NOT_IN_CHILD_LIST" and got["a"][2] is None
+
+
+def test_specs_of_a_table_are_those_of_texts(spark):
+    from ledgerbeam.operators import extract
+
+    texts = [f"{n}{m}" for n in ("/A/B/NANOAODSIM", "/A=/B/NANOAODSIM", "/A/B/C/NANOAODSIM", "A/B/NANOAODSIM", "") for m in ("", "=", "=x", "=x:", "=x:1", "=x:1234567", "=a:b", "=a:b:1", "=:3", "=x=y:09", "= ", "=x:-1")]
+    rows = extract.specs(spark.createDataFrame([(t,) for t in [*texts, None]], "text string")).collect()
+    for r in rows[:-1]:
+        try:
+            assert (*extract.parse_spec(r["text"]), 0) == (r["dataset"], r["manifest"], r["priority"], r["code"]), r
+        except Refused:
+            assert (r["dataset"], r["code"]) == (None, 2), r
+    assert rows[-1]["code"] == 2
+
+
+def test_names_of_one_file(spark):
+    from ledgerbeam.sources import manifest
+
+    paths = ["root://a//s/x", "/s//x", "/s/./x?y=1", "file:///s/x", "file:/s/x", "/s/t/../x", "/../s/x", "https://h/s/x/", "/s/y", "/"]
+    df = spark.createDataFrame([(p,) for p in paths], "path string")
+    got = {r["path"]: r["n"] for r in df.select("path", manifest.normal(F.col("path")).alias("n")).collect()}
+    assert set(got.values()) == {"/s/x", "/s/y", "/"} and all(got[p] == manifest.normalise(p) for p in paths if not p.endswith("x/"))
+    assert [tuple(r) for r in manifest.repeated(df).collect()] == [("/s/x", 8)]
+
+
+def test_dumps_are_bounded_or_spread(spark):
+    from ledgerbeam.sources import sinks
+
+    df = spark.range(30).select(F.col("id"), F.when(F.col("id") % 2 == 0, F.col("id")).alias("x"))
+    with pytest.raises(Refused):
+        sinks.dump(df, most=29)
+    assert [r["line"] for r in sinks.dump_lines(df, {"a": "b"}).orderBy("at").collect()] == sinks.dump(df, {"a": "b"}, most=30)
