@@ -1,48 +1,81 @@
 """Incremental audit: a file stream of sidecar rows, counters kept up to date batch by batch.
 
-An addition to the batch operators, which need none of it.
+An addition to the batch operators, which need none of it.  Which keys came
+before is keyed state of the stream, kept in RocksDB: one bit for each event,
+in rows of ``STRETCH`` bits by run, block and stretch of events.  A batch reads
+and writes the bits of its own keys only, whatever came before it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions import codec
 from ..functions.store import stored
 from ..operators import audit
+from ..sources import parts
+
+#: Where Spark keeps the state, and bits of a row of it: 2 KB.
+PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+BITS = 14
+STRETCH = 1 << BITS
 
 
 def stream(spark: SparkSession, path: str, schema, files_per_batch: int = 100) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
-def incremental_counters(rows: DataFrame, reference: DataFrame, out: str, checkpoint: str):
-    """A query that writes, for every batch of new rows, below out: the keys it brings (seen), the counters of the reference's
-    rows that match them (counters), their census by sub-code (census), and the rows that repeat a key (repeats).
+def _mark(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """The rows of a stretch with repeat: whether their event was there before, in this batch or in an earlier one."""
+    bits = np.unpackbits(np.frombuffer(state.get[0], np.uint8)).astype(bool) if state.exists else np.zeros(STRETCH, bool)
+    for rows in chunks:
+        # of equal keys in a chunk the least row is the first
+        rows = rows.sort_values(list(rows.columns), kind="stable")
+        at = (rows[audit.KEY[2]].to_numpy() & (STRETCH - 1)).astype(np.int64)
+        repeat = bits[at] | rows.duplicated(audit.KEY[2]).to_numpy()
+        bits[at] = True
+        yield rows.drop(columns="_stretch").assign(repeat=repeat)
+    state.update((np.packbits(bits).tobytes(),))
+
+
+def marked(rows: DataFrame) -> DataFrame:
+    """The stream's rows with repeat."""
+    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", repeat boolean"
+    placed = rows.withColumn("_stretch", F.shiftright(F.col(audit.KEY[2]).cast("bigint"), BITS))
+    return placed.groupBy(*audit.KEY[:2], "_stretch").applyInPandasWithState(_mark, out, "bits binary", "append", GroupStateTimeout.NoTimeout)
+
+
+def incremental_counters(rows: DataFrame, reference: DataFrame | str, out: str, checkpoint: str):
+    """A query that writes, for every batch of new rows, below out: the counters of the reference's rows that match its new keys
+    (counters), their census by sub-code (census), and the number of rows that repeat a key (repeats).
 
     A key counts once, in the batch that brings it first; later rows with it are repeats.  What no batch matches is counted
     by totals, once, at the end.  A batch that runs again overwrites its own folders, so sums over them count each row once.
+    reference: a table, which every batch joins, or the folder of a table of parts, of which a batch reads the parts that its
+    keys fall in.  The session is set to keep the state of streams in RocksDB.
     """
 
     def one(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
         at = lambda name: f"{out}/{name}/batch={number}"
-        keys = list(audit.KEY)
-        fresh = batch
-        if number:
-            before = spark.read.schema(batch.select(*keys).schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ")).parquet(*(f"{out}/seen/batch={k}" for k in range(number)))
-            fresh = batch.join(before, keys, "left_anti")
-        fresh = stored(fresh)
-        fresh.select(*keys).distinct().write.mode("overwrite").parquet(at("seen"))
-        matched = audit.match(reference, fresh).where(F.col("side").isNotNull())
+        # once: reading the batch advances the state
+        batch = stored(batch)
+        fresh = batch.where(~F.col("repeat")).drop("repeat")
+        known = reference
+        if isinstance(reference, str):
+            known = parts.read_parts(batch.sparkSession, reference, parts.parts_hit(fresh, reference)).drop("part")
+        matched = audit.match(known, fresh).where(F.col("side").isNotNull())
         audit.counters(matched).write.mode("overwrite").parquet(at("counters"))
-        first = fresh.groupBy(*keys).agg(F.min("Expanded_genTtbarId").alias("code"))
-        first.groupBy(codec.sub_code("code").alias("sub")).agg(F.count("*").alias("n")).write.mode("overwrite").parquet(at("census"))
-        repeats = batch.agg((F.count("*") - F.lit(first.count())).alias("n_dup"))
-        repeats.write.mode("overwrite").parquet(at("repeats"))
+        fresh.groupBy(codec.sub_code("Expanded_genTtbarId").alias("sub")).agg(F.count("*").alias("n")).write.mode("overwrite").parquet(at("census"))
+        batch.agg(F.count_if("repeat").alias("n_dup")).write.mode("overwrite").parquet(at("repeats"))
 
-    return rows.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    rows.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
+    return marked(rows).writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def totals(spark: SparkSession, out: str, reference: DataFrame) -> DataFrame:

@@ -153,3 +153,31 @@ def test_rows_out_of_position_are_put_in_order(spark):
     got = both_ways(rows)
     assert [r[-1] for r in got.values()].count(False) == 1
     assert order.file_order(rows.limit(0)).count() == 0
+
+
+# Streams ----------------------------------------------------------------------------------------------------------------
+
+
+def test_a_batch_reads_the_state_of_its_own_keys(spark, tmp_path):
+    from ledgerbeam.operators import audit
+    from ledgerbeam.sources import parts
+    from ledgerbeam.streaming import incremental
+
+    k = F.col("id")
+    side = spark.range(6000).select(
+        F.lit(1).cast("bigint").alias("run"), F.call_function("div", k, F.lit(500)).alias("luminosityBlock"), (k % 500 * 40).alias("event"), F.lit(0).alias("genTtbarId"), F.lit(0).alias("Expanded_genTtbarId"),
+        F.lit(0).alias("nAddBJets"), F.lit(0).alias("nAddBJetsMulti"),
+    )
+    for b in range(12):
+        side.where(F.col("luminosityBlock") == b).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    # blocks 2 and 3 again, and a row three times in one file
+    side.where("luminosityBlock in (2, 3)").unionByName(side.where("luminosityBlock = 5 and event = 0")).unionByName(side.where("luminosityBlock = 5 and event = 0")).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    reference = side.select(*audit.KEY, "genTtbarId")
+    parts.write_parts(reference, f"{tmp_path}/reference", 700)
+    query = incremental.incremental_counters(incremental.stream(spark, f"{tmp_path}/in", side.schema, 1), f"{tmp_path}/reference", f"{tmp_path}/out", f"{tmp_path}/cp")
+    query.awaitTermination(300)
+    row = incremental.totals(spark, f"{tmp_path}/out", reference).first()
+    assert (row["matched"], row["unmatched"], row["agree"], row["n_dup"]) == (6000, 0, 6000, 1002)
+    states = [p["stateOperators"][0] for p in query.recentProgress if p["numInputRows"]]
+    assert len(states) == 13 and states[-1]["numRowsTotal"] == 24
+    assert all(s["numRowsUpdated"] <= 6 for s in states)
