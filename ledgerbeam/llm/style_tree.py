@@ -6,33 +6,49 @@ For every node, with m pages that have it, grouped sums give
 
 * the entropy of its presentation styles (the tags below it, in order), base m;
 * for its own text, one minus the mean over distinct texts of log_m(pages with
-  that text): 0 if all pages say the same, 1 if every page says something else.
-
-Bottom-up these make a node's importance: presentation and the mean of the
-nodes below it, or the text's share where it has text of its own.  Branches
-below ``LEAST`` importance are noise and are cut from each page; that list is
-all that decides what a page loses.
-
-Marks are priors of the importance.  Entropy can't tell changing menus, adverts
-and footers from content, so what marks noise (navigation, header, footer, aside,
-form, advert, notice and comment markup, hidden elements) multiplies a branch's
-importance by ``NOISE_PRIOR``; such branches are one node of the host for each
-kind of mark, whatever is above them.  What a page marks as its article or main
-part has ``CONTENT_PRIOR`` importance at least, but the branches in it are
-judged like all others, so boilerplate repeated in every article goes; only a
-part without any important branch, an article repeated all over a host, is kept
-as it is.  A page yields its main part alone unless more words are left outside
-it, as with a teaser card beside an unmarked body; then it yields both.
+  that text), times the share of pages whose text no other page has: 0 if all
+  pages say the same or take turns with a few texts, 1 if every page says
+  something else.  Few pages tell little, so this is drawn to 1 with the weight
+  of ``PRIOR`` pages: two pages that are alike leave it above ``LEAST``, three
+  don't;
+* its words, those in links, and those of the pages that have it.
+
+Bottom-up the first two make a node's importance: presentation and the mean of
+the nodes below it, or the text's share where it has text of its own, less the
+share of its words that are links.  Branches below ``LEAST`` are noise and are
+cut from each page; that list is all that decides what a page loses.
+
+Evidence other than entropy weighs this importance, and importance can overrule
+each kind of it:
+
+* Clear marks of noise (navigation, header, footer, aside, form, advert, notice
+  and comment markup, hidden elements) multiply it by ``NOISE`` and the branch's
+  share of the words of pages without a main part; such a branch stays where a
+  page's words are nearly all in it.  Branches with one kind of clear mark are
+  one node of the host, whatever is above them.
+* Names that hold a word of noise among others (share-price, comment-on-trade)
+  multiply it by ``DOUBT``, outside main parts also by place; inside one such a
+  branch stays if its texts differ from page to page.
+* Place: where most words of a branch are in one of the containers in it, the
+  main one is looked for there; what lies beside it and has no headings is
+  multiplied by ``BESIDE`` times its share of the page's words, at most 1.
+* What a page marks as its article or main part has ``CONTENT`` importance at
+  least, but the branches in it are judged like all others, so boilerplate
+  repeated in every article goes; only a part without any important branch, an
+  article repeated all over a host, is kept as it is.  The same holds for a
+  host in which nothing is important.
+
+A page yields its main part alone unless more words are left outside it, as
+with a teaser card beside an unmarked body; then it yields both.
 
 Size.  Counts are summed in the tasks before they are shuffled, 40 bytes a
-distinct text at most.  Entropy over fewer than ``PAGES`` pages says nothing, so
-unmarked nodes that fewer pages have are never noise; they are important if they
-hold text, and are summed into the node above them before the tree of a host
-comes to one task.  That tree so grows with the host's templates, not with its
-pages or their ids.  The list of noise is stored, and Spark joins it by
-broadcast only below its own size threshold.  A page is read in time that is
-linear in its length: after ``BROKEN`` tags with a quote that is never closed,
-quotes count for nothing in the rest of the page.
+distinct text at most.  Unmarked nodes on fewer than ``FEW`` pages can't come
+below ``LEAST`` by their own texts; they are summed into the node above them
+before the tree of a host comes to one task.  That tree so grows with the host's
+templates, not with its pages or their ids.  The list of noise is stored, and
+Spark joins it by broadcast only below its own size threshold.  A page is read
+in time that is linear in its length; in a tag with a quote that is never closed
+quotes count for nothing.
 
 Nulls: a null html is an empty page with empty text; pages with a null url, or
 none with a host, count as one host.  Null ids are kept, repeated rows are
@@ -56,10 +72,13 @@ from pyspark.sql import functions as F
 from .common import cut, shared_dir
 
 LEAST = 0.25
-PAGES = 4
-NOISE_PRIOR = 0.2
-CONTENT_PRIOR = 0.8
-BROKEN = 16
+PRIOR, FEW = 0.9, 3
+NOISE = 0.3
+DOUBT = 0.5
+BESIDE = 3.0
+CONTENT = 0.8
+#: A container with this share of a branch's words is its main one.
+MOST = 0.6
 #: Weight of a node's own presentation against the nodes below it.
 PRESENTATION = 0.1
 #: Distinct counts that a task holds before it passes them on.
@@ -81,6 +100,13 @@ NOISE_NAMES = frozenset(
     "popup modal overlay newsletter subscribe subscription signup login nav navbar navigation menu breadcrumb breadcrumbs sidebar "
     "footer comments comment disqus respond share sharing social related recommended pagination pager".split()
 )
+#: Parts of names that say where or in what something stands; after a part that marks noise they leave the mark clear.
+PLACES = frozenset(
+    "area bar block body bottom box button card cell center close col column container content count counter desktop end entry feed field fixed foot form frame full grid group "
+    "head heading header hidden holder home icon image img inner input item label layer left link list logo main menu meta mid middle mobile module nav news outer page pane panel "
+    "part place post reply right row section short side slot small space static sticky story strip tab tablet text this thread tile title toggle tool top unit url view wide widget wrap wrapper zone "
+    "article author avatar form large".split()
+)
 #: Parts of names that mark noise outside main parts only; in an article they may hold its title.
 OUTER_NAMES = frozenset("header masthead banner toolbar widget".split())
 #: First parts of names that tell of a page's state, not of what an element holds.
@@ -94,6 +120,7 @@ SCOPE = frozenset("ul ol dl table body html article section main div td th nav a
 #: A tag; with an unclosed quote only the second form matches, where quotes count for nothing.
 TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)")
 LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)")
+STOP = re.compile("[>\"']")
 ATTRIBUTE = re.compile(r"(?<![a-zA-Z_:-])([a-zA-Z_:-]++)\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))")
 DIGITS = re.compile("[0-9]+")
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -104,38 +131,86 @@ def host_of(url):
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1))
 
 
-def _named_noise(names: list[str], inside: bool) -> str:
-    """The first part of a name that marks noise, or nothing."""
-    wanted = NOISE_NAMES if inside else NOISE_NAMES | OUTER_NAMES
+CLEAR, DOUBTFUL = -1, -2
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+
+
+def _named_noise(names: list[str], inside: bool) -> tuple[str, int]:
+    """The first part of a name that marks noise, or nothing, and whether the mark is clear: it ends the name, or is followed by
+    places alone."""
+    wanted, doubt = NOISE_NAMES if inside else NOISE_NAMES | OUTER_NAMES, ""
     for name in names:
         parts = [p.lower() for p in NAME_PART.findall(name)]
         if parts and parts[0] not in STATES:
-            for p in parts:
+            for k, p in enumerate(parts):
                 if p in wanted:
-                    return p
-    return ""
+                    if all(len(x) < 2 or x in wanted or x in PLACES or x.removesuffix("s") in PLACES or x.endswith("ies") and x[:-3] + "y" in PLACES for x in parts[k + 1 :]):
+                        return p, CLEAR
+                    doubt = doubt or p
+    return doubt, DOUBTFUL if doubt else 0
 
 
-def _marks(tag: str, attrs: str, inside: bool) -> tuple[str, str, bool]:
-    """The style (ids and classes) of an opening tag, the kind of noise it is marked as, if any, and whether it is marked as content; inside: within a main part."""
-    kind = tag if tag in NOISE_TAGS else ""
+def _marks(tag: str, attrs: str, inside: bool) -> tuple[str, str, int]:
+    """The style (ids and classes) of an opening tag, the kind of noise it is marked as, if any, and its mark: CLEAR, DOUBTFUL, 1 for
+    content, 2 for headings, 0; inside: within a main part."""
+    kind, mark = (tag, CLEAR) if tag in NOISE_TAGS else ("", 1 if tag in CONTENT_TAGS else 2 if tag in HEADINGS else 0)
     if not attrs or "=" not in attrs and "hidden" not in attrs:
-        return "", kind, tag in CONTENT_TAGS
+        return "", kind, mark
     found = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(attrs)}
     names = f"{found.get('class', '')} {found.get('id', '')}".split()
     role = found.get("role", "").lower()
-    if not kind and tag not in FRAMES:
-        kind = _named_noise(names, inside)
-    if not kind and role in NOISE_ROLES:
-        kind = role
-    if not kind and (
+    style = DIGITS.sub("#", " ".join(sorted(names)))
+    if kind:
+        return style, kind, mark
+    if tag not in FRAMES:
+        kind, named = _named_noise(names, inside)
+        if named == CLEAR:
+            return style, kind, named
+    if role in NOISE_ROLES:
+        return style, role, CLEAR
+    if (
         found.get("aria-hidden") == "true"
         or "display:none" in found.get("style", "").replace(" ", "").lower()
         or re.search(r"(?:^|\s)hidden(?:\s|$|/)", attrs)
     ):
-        kind = "hidden"
-    content = tag in CONTENT_TAGS or role == "main" or found.get("itemprop", "").lower() == "articlebody"
-    return DIGITS.sub("#", " ".join(sorted(names))), kind, content
+        return style, "hidden", CLEAR
+    if tag in CONTENT_TAGS or role == "main" or found.get("itemprop", "").lower() == "articlebody":
+        return style, "", 1
+    return style, "", DOUBTFUL if kind else mark
+
+
+class _Tags:
+    """Tags of a text.  A walk over quotes that comes to one that is never closed is remembered, so no stretch is walked twice."""
+
+    def __init__(self, text: str):
+        self.text, self.dead, self.last = text, set(), {q: text.rfind(q) for q in "\"'"}
+
+    def _closed(self, at: int) -> bool:
+        """Whether the tag whose attributes begin at at ends with all quotes closed."""
+        seen = []
+        while m := STOP.search(self.text, at):
+            if m[0] == ">":
+                return True
+            if m.start() >= self.last[m[0]]:
+                break
+            at = self.text.find(m[0], m.end()) + 1
+            if at in self.dead:
+                break
+            seen.append(at)
+        else:
+            return True
+        self.dead.update(seen)
+        return False
+
+    def match(self, at: int):
+        """The tag at at; where a quote in it is never closed, quotes count for nothing."""
+        if not self.dead and (m := TAG.match(self.text, at)):
+            return m
+        m = LOOSE.match(self.text, at)
+        if not m or not self._closed(m.start(3)):
+            self.dead.add(-1)
+            return m
+        return TAG.match(self.text, at)
 
 
 class _Open(NamedTuple):
@@ -157,9 +232,11 @@ class Page:
         from xxhash import xxh64_intdigest
 
         self.key = lambda parent, style: xxh64_intdigest(f"{host}\n{parent}\n{style}") >> 1
-        #: node -> (parent, mark: -1 noise, 1 content, 0 none); a node comes after its parent
+        #: node -> (parent, mark); a node comes after its parent
         self.nodes: dict[int, tuple[int, int]] = {}
         self.styles: dict[int, list[str]] = {}
+        #: node -> words in links
+        self.links: Counter = Counter()
         #: (text, node, in content)
         self.blocks: list[tuple[str, int, bool]] = []
         self.has_content = False
@@ -168,7 +245,7 @@ class Page:
     def _parse(self, text: str) -> None:
         stack = [_Open("", 0, False, False, 0, [], 0)]
         count: Counter = Counter()
-        at = pos = broken = 0
+        tags, at, pos = _Tags(text), 0, 0
 
         def flush(e: _Open) -> None:
             if e.buffer:
@@ -198,11 +275,7 @@ class Page:
         while (lt := text.find("<", pos)) >= 0:
             c, m = text[lt + 1 : lt + 2], None
             if "a" <= c.lower() <= "z" or c == "/" and text[lt + 2 : lt + 3].isalpha():
-                m = TAG.match(text, lt) if broken <= BROKEN else None
-                if not m:
-                    broken += 1
-                    m = LOOSE.match(text, lt)
-                if not m:
+                if not (m := tags.match(lt)):
                     pos = lt + 1
                     continue
                 end = m.end()
@@ -216,6 +289,8 @@ class Page:
                 continue
             if lt > at:
                 stack[-1].buffer.append(text[at:lt])
+                if count["a"]:
+                    self.links[stack[-1].block] += len(text[at:lt].split())
             at = pos = end
             if not m:
                 continue
@@ -247,18 +322,21 @@ class Page:
                 at = pos = ended.end() if ended else len(text)
                 continue
             above = stack[-1]
-            style, kind, is_content = _marks(tag, m[3], above.content)
-            if tag == "header" and not above.content:
-                kind = kind or tag
+            style, kind, mark = _marks(tag, m[3], above.content)
+            if tag == "header" and not above.content and not kind:
+                kind, mark = tag, CLEAR
+            is_content = mark == 1
             node, content, block, buffer = above.node, above.content, above.block, above.buffer
             if not above.noise:
                 if kind:  # one node for all such branches of the host
                     node = block = self.key(0, f"!{tag} {kind}")
-                    self.nodes.setdefault(node, (0, -1))
+                    self.nodes.setdefault(node, (0, CLEAR))
                     buffer = []
                 elif is_content or tag in BLOCKS:
                     node = self.key(above.node, f"{tag} {style}")
-                    self.nodes.setdefault(node, (above.node, 1 if is_content and not content else 0))
+                    # a doubtful mark inside a main part is told from one outside
+                    mark = 0 if is_content and content else DOUBTFUL - 1 if mark == DOUBTFUL and content else mark
+                    self.nodes.setdefault(node, (above.node, mark))
                     block = node if tag in BLOCKS else block
                 if kind or is_content or tag in BLOCKS:
                     self.styles.setdefault(above.node, []).append(tag)
@@ -277,7 +355,7 @@ class Page:
         """The blocks that aren't below a node of noise, one line each; noise None: the marks alone decide."""
         low: dict[int, bool] = {0: False}
         for node, (parent, mark) in self.nodes.items():
-            low[node] = low[parent] or (mark < 0 if noise is None else node in noise)
+            low[node] = low[parent] or (mark == CLEAR if noise is None else node in noise)
         left = [(t, content) for t, node, content in self.blocks if not low[node]]
         if self.has_content:
             inside, outside = (sum(t.count(" ") + 1 for t, content in left if content == side) for side in (True, False))
@@ -286,7 +364,9 @@ class Page:
         return "\n".join(t for t, _ in left)
 
 
-NODE, STYLE, TEXT = 0, 1, 2
+NODE, STYLE, TEXT, WORDS = 0, 1, 2, 3
+#: Features of WORDS: a node's own, those in links, and those that can overrule a clear mark; words of the pages that have it.
+OWN, LINKED, FREE, AROUND = 0, 1, 2, 3
 
 
 def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -304,57 +384,87 @@ def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for text, host in zip(pdf["html"], pdf["host"], strict=True):
             page = Page(text if isinstance(text, str) else "", host)
             texts: dict[int, list[str]] = {}
+            size: Counter = Counter()
             for words, node, _ in page.blocks:
+                size[node] += words.count(" ") + 1
                 if node:
                     texts.setdefault(node, []).append(words)
+            around = size.total()
             full = set(texts)
             for node, (parent, _) in reversed(page.nodes.items()):
                 if node in full:
                     full.add(parent)
             for node, (parent, mark) in page.nodes.items():
                 held[(host, node, parent, mark, NODE, int(node in full))] += 1
-                held[(None, node, -1, -2, STYLE, xxh64_intdigest(" ".join(page.styles.get(node, ()))) >> 1)] += 1
+                for feature, n in ((OWN, size[node]), (LINKED, min(page.links[node], size[node])), (FREE, 0 if page.has_content else size[node]), (AROUND, around)):
+                    if n:
+                        held[(None, node, -1, NO_MARK, WORDS, feature)] += n
+                held[(None, node, -1, NO_MARK, STYLE, xxh64_intdigest(" ".join(page.styles.get(node, ()))) >> 1)] += 1
                 if node in texts:
-                    held[(None, node, -1, -2, TEXT, xxh64_intdigest("\n".join(texts[node])) >> 1)] += 1
+                    held[(None, node, -1, NO_MARK, TEXT, xxh64_intdigest("\n".join(texts[node])) >> 1)] += 1
             if len(held) > HELD:
                 yield frame()
     if held:
         yield frame()
 
 
+#: Less than any mark.
+NO_MARK = -9
 COUNTS = "host string, node bigint, parent bigint, mark int, kind int, feature bigint, pages bigint"
 
 
 def tree(pages: DataFrame) -> DataFrame:
-    """The merged trees: host, node, parent, mark, pages, presentation (entropy), content (importance of its own text, null without any).
+    """The merged trees: host, node, parent, mark, pages, presentation (entropy), content (importance of its own text, null without any),
+    and words: own, linked, free and around, as OWN to AROUND.
 
-    Unmarked nodes on fewer than PAGES pages are summed into those above them: rare (their pages), rare_sum (of pages
+    Unmarked nodes on fewer than FEW pages are summed into those above them: rare (their pages), rare_sum (of pages
     times importance) and rare_max.
     """
     counts = pages.select("html", "host").mapInPandas(_counts, COUNTS)
     counts = counts.groupBy("node", "kind", "feature").agg(F.sum("pages").alias("c"), F.max("host").alias("host"), F.max("parent").alias("parent"), F.max("mark").alias("mark"))
     of = lambda kind, x: F.sum(F.when(F.col("kind") == kind, x))
     log = F.log(F.col("c").cast("double"))
+    words = lambda feature: F.coalesce(F.sum(F.when((F.col("kind") == WORDS) & (F.col("feature") == feature), F.col("c"))), F.lit(0))
     by = counts.groupBy("node").agg(
         F.max("host").alias("host"), F.max("parent").alias("parent"), F.max("mark").alias("mark"), of(NODE, F.col("c")).alias("pages"),
         F.max(F.when(F.col("kind") == NODE, F.col("feature"))).alias("full"),
         of(STYLE, F.col("c") * log).alias("styles"), of(TEXT, log).alias("logs"), of(TEXT, F.lit(1)).alias("texts"),
+        of(TEXT, (F.col("c") == 1).cast("int")).alias("single"), of(TEXT, F.col("c")).alias("with_text"),
+        words(OWN).alias("own"), words(LINKED).alias("linked"), words(FREE).alias("free"), words(AROUND).alias("around"),
     )
-    base = F.log(F.greatest(F.lit(2.0), F.col("pages").cast("double")))
+    m = F.col("with_text").cast("double")
+    base, entropy_base = F.log(F.greatest(F.lit(2.0), F.col("pages").cast("double"))), F.log(F.greatest(F.lit(2.0), m))
+    differ = F.when(m > 1, (1 - F.col("logs") / F.col("texts") / entropy_base) * F.col("single") / m).otherwise(F.lit(1.0))
     by = cut(by.select(
         "host", "node", "parent", "mark", "pages", F.when(F.col("full") == 1, 1.0).otherwise(PRESENTATION).alias("alone"),
         F.when(F.col("pages") > 1, (base - F.col("styles") / F.col("pages")) / base).otherwise(F.lit(1.0)).alias("presentation"),
-        F.when(F.col("texts") > 0, F.when(F.col("pages") > 1, 1 - F.col("logs") / F.col("texts") / base).otherwise(F.lit(1.0))).alias("content"),
+        F.when(F.col("texts") > 0, (m * differ + PRIOR) / (m + PRIOR)).alias("content"), "own", "linked", "free", "around",
     ))
-    rare = (F.col("pages") < PAGES) & (F.col("mark") == 0)
+    rare = (F.col("pages") < FEW) & F.col("mark").isin(0, 2)
     sums = by.where(rare).groupBy(F.col("parent").alias("of")).agg(
         F.sum("pages").alias("rare"), F.sum(F.col("pages") * F.col("alone")).alias("rare_sum"), F.max("alone").alias("rare_max")
     )
     return by.where(~rare).join(sums, F.col("node") == F.col("of"), "left").drop("of", "alone").na.fill(0, ["rare", "rare_sum", "rare_max"])
 
 
+def _beside(rows: dict, below: dict[int, list[int]], words: dict[int, int], headed: dict[int, bool]) -> dict[int, float]:
+    """The weight by place of branches that lie beside the main one: BESIDE times their share of their pages' words."""
+    out: dict[int, float] = {}
+    here = [n for n, r in rows.items() if r.parent not in rows and r.mark != CLEAR]
+    while here:
+        total = sum(words[n] for n in here)
+        main = max(here, key=lambda n: words[n])
+        if words[main] < MOST * total or not any(words[n] for n in below.get(main, ())):
+            break
+        for n in here:
+            if n != main and not headed[n]:
+                out[n] = min(1.0, BESIDE * words[n] / max(rows[n].around, 1))
+        here = [n for n in below[main] if rows[n].mark != CLEAR]
+    return out
+
+
 def importance(nodes: pd.DataFrame) -> dict[int, float]:
-    """Importance of every node of one host's tree, from the leaves up."""
+    """Importance of every node of one host's tree, from the leaves up, weighed by marks and place."""
     rows = {r.node: r for r in nodes.itertuples()}
     below: dict[int, list[int]] = {}
     for r in rows.values():
@@ -366,25 +476,44 @@ def importance(nodes: pd.DataFrame) -> dict[int, float]:
         n = todo.pop()
         order.append(n)
         todo += below.get(n, [])
+    words: dict[int, int] = {}
+    headed: dict[int, bool] = {}
+    for n in reversed(order):
+        words[n] = int(rows[n].own - rows[n].linked) + sum(words[k] for k in below.get(n, ()))
+        headed[n] = rows[n].mark == 2 or any(headed[k] for k in below.get(n, ()))
+    # main parts that are marked say where the text is
+    place = {} if any(r.mark == 1 for r in rows.values()) else _beside(rows, below, words, headed)
+
+    def all_important(n: int) -> None:
+        todo = [n]
+        while todo:
+            k = todo.pop()
+            if rows[k].mark != CLEAR:
+                out[k] = 1.0
+                todo += below.get(k, ())
+
     for n in reversed(order):
         r = rows[n]
         parts = [(rows[k].pages, out[k]) for k in below.get(n, ())]
         if r.content == r.content and r.content is not None:
-            parts.append((r.pages, float(r.content)))
+            parts.append((r.pages, float(r.content) * (1 - r.linked / max(r.own, 1))))
         total, best = r.rare + sum(p for p, _ in parts), max((x for _, x in parts), default=0.0)
         inner = (r.rare_sum + sum(p * x for p, x in parts)) / total if total else 0.0
         # a node stays if it has any important branch
-        out[n] = max(PRESENTATION * float(r.presentation) + (1 - PRESENTATION) * inner, best, r.rare_max)
-        if r.mark < 0:
-            out[n] *= NOISE_PRIOR
-        if r.mark > 0:
+        x = max(PRESENTATION * float(r.presentation) + (1 - PRESENTATION) * inner, best, r.rare_max)
+        if r.mark == CLEAR:
+            x *= NOISE * r.free / max(r.around, 1)
+        elif r.mark <= DOUBTFUL:
+            x *= DOUBT * (1.0 if r.mark < DOUBTFUL else min(1.0, BESIDE * words[n] / max(r.around, 1)))
+        out[n] = x * place.get(n, 1.0)
+        if r.mark == 1:
             if out[n] < LEAST:  # wholly repeated: nothing in it tells the article from the rest, so the mark decides
-                todo = list(below.get(n, ()))
-                while todo:
-                    k = todo.pop()
-                    out[k] = 1.0
-                    todo += below.get(k, ())
-            out[n] = max(out[n], CONTENT_PRIOR)
+                all_important(n)
+            out[n] = max(out[n], CONTENT)
+    tops = [n for n in order if rows[n].parent not in rows]
+    if all(out[n] < LEAST for n in tops):  # wholly repeated, without a main part
+        for n in tops:
+            all_important(n)
     return out
 
 
