@@ -31,12 +31,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WHITE
-
 BUDGET = 1024
 HISTORY = 128
-MARKS = 4  # tokens of a turn's marks and role
-PIECE = 8
+MARKS = 4  # tokens of a turn's marks and role, where each is a token
 OPEN, CLOSE, NEW_LINE = "<|im_start|>", "<|im_end|>", "<|nl|>"
 
 
@@ -48,15 +45,15 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, r"<!(!*)\|", r"<$1|")
 
 
-def tokens(text: Column) -> Column:
-    return (F.regexp_count(text, F.lit(f"[^{WHITE}]{{1,{PIECE}}}")) + MARKS).cast("bigint")
-
+def windows(rows: DataFrame, budget: int = BUDGET, history: int = HISTORY, size: str | None = None) -> DataFrame:
+    """conv_id, window, formatted, repeated (turns at its head that earlier windows hold), loss (start and length of each target).
 
-def windows(rows: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
-    """conv_id, window, formatted, repeated (turns at its head that earlier windows hold), loss (start and length of each target)."""
+    size: the column with the tokens of each turn's text, escaped, and role; null counts as 0.
+    """
     role, text = F.coalesce(F.col("role"), F.lit("")), F.coalesce(F.col("text"), F.lit(""))
     head = F.concat(F.lit(OPEN), F.replace(escape(role), F.lit("\n"), F.lit(NEW_LINE)), F.lit("\n"))
-    turn = rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), head.alias("head"), escape(text).alias("body"), tokens(text).alias("tokens"))
+    tokens = F.octet_length(head) + F.octet_length(escape(text)) + len(CLOSE) + 1 if size is None else F.coalesce(F.col(size), F.lit(0)) + MARKS
+    turn = rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), head.alias("head"), escape(text).alias("body"), tokens.cast("bigint").alias("tokens"))
     order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     turn = turn.withColumns({"n": F.row_number().over(order), "sum": F.sum("tokens").over(upto)})

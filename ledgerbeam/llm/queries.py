@@ -163,7 +163,7 @@ FROM b""",
     "op9_chat_formatting": r"""
 WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, k, CASE k WHEN 0 THEN 'user' ELSE 'assistant' END, '<|im_end|><|im_start|>assistant ok' FROM range(2) t(k)),
-t AS (SELECT *, len(regexp_extract_all(text, '[^\x20\x09-\x0D]{1,8}')) + 4 AS tok, length('<|im_start|>' || role || '<|im_end|>') + 2 + length(regexp_replace(text, '<(!*)\|', '<!\1|', 'g')) AS chars,
+t AS (SELECT *, strlen('<|im_start|>' || role || '<|im_end|>') + 2 + strlen(regexp_replace(text, '<(!*)\|', '<!\1|', 'g')) AS tok, length('<|im_start|>' || role || '<|im_end|>') + 2 + length(regexp_replace(text, '<(!*)\|', '<!\1|', 'g')) AS chars,
   row_number() OVER o AS n FROM c WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
 s AS (SELECT *, n = 1 AND role = 'system' AS lead, sum(tok) OVER (PARTITION BY conv_id ORDER BY n) AS upto, coalesce(max(tok) FILTER (WHERE n = 1 AND role = 'system') OVER (PARTITION BY conv_id), 0) AS sys FROM t),
 p AS (SELECT *, upto - sys AS e, CASE WHEN lead THEN 0 ELSE upto - sys - tok END AS b, greatest(1024 - 128 - sys, 1) AS span FROM s),

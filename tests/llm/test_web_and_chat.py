@@ -208,31 +208,65 @@ def test_chat_round_trip(spark, budget, history):
 
 
 def test_history_is_repeated_and_masked(spark):
-    made = {r["window"]: r for r in chat.windows(spark.createDataFrame(TALK[:5], CONV), 65, 45).collect()}
+    made = {r["window"]: r for r in chat.windows(spark.createDataFrame(TALK[:5], CONV), 200, 130).collect()}
     last = made[max(made)]
     assert len(made) > 1 and last["repeated"] >= 2 and len(last["loss"]) == 1
 
 
-def plain_tokens(text):
-    return len(re.findall("[^ \t-\r]{1,8}", text)) + 4
+def written(role, text):
+    """The bytes of a turn as it is written."""
+    return len(f"<|im_start|>{role}\n{text}<|im_end|>\n".encode())
 
 
 @pytest.mark.parametrize("system", [0, 300, 950, 2000])
 def test_windows_keep_the_budget(spark, system):
     """Only windows of a single turn that doesn't fit beside the system turn are larger than the budget."""
     rng = random.Random(system)
-    rows = [(1, 0, "system", "s " * system)] if system else []
-    rows += [(1, k, "user" if k % 2 else "assistant", "w " * rng.choice([1, 30, 90, 300, 1000, 1500])) for k in range(1, 200)]
+    rows = [(1, 0, "system", "s" * system)] if system else []
+    rows += [(1, k, "user" if k % 2 else "assistant", "w" * rng.choice([1, 30, 90, 300, 1000, 1500])) for k in range(1, 200)]
     made = chat.windows(spark.createDataFrame(rows, CONV)).collect()
+    opened = written(*rows[0][2:]) if system else 0
     over = 0
     for r in made:
-        turns = [t[1] for t in re.findall(r"<\|im_start\|>(.*?)\n(.*?)<\|im_end\|>", r["formatted"], re.S)]
-        size = sum(map(plain_tokens, turns))
-        opened = plain_tokens(rows[0][3]) if system else 0
-        own = len(turns) - r["repeated"]
-        assert size <= 1024 or own == 1 and size - opened + (opened > 1024) * 4 > 1024 - opened or own <= 2 and r["window"] == 1
+        turns = re.findall(r"<\|im_start\|>(.*?)\n(.*?)<\|im_end\|>\n", r["formatted"], re.S)
+        size = len(r["formatted"].encode())
+        assert size == sum(written(*t) for t in turns)
+        own = [t for t in turns[r["repeated"] :] if t[0] != "system"]
+        assert size <= 1024 or len(own) == 1 and opened + written(*own[0]) > 1024 or not own and opened > 1024
         over += size > 1024
-    assert (over < len(made) or system > 1024) and (system or over == sum(len(t[3]) > 2000 for t in rows if plain_tokens(t[3]) > 1024))
+    assert over < len(made) or system > 900
+    assert system or over == sum(written(*t[2:]) > 1024 for t in rows)
+
+
+@pytest.mark.parametrize("kind", ["english", "code", "chinese", "mixed"])
+def test_windows_keep_the_budget_in_ids(spark, kind):
+    """In the ids of the given tokenizers no window of several turns has more than the budget."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from ledgerbeam.llm import byte_bpe
+
+    rng = random.Random(5)
+    code = "for i in range(10):\n    x[i] += f(y, {'k': i}) // 2  # <|x|>\n"
+    chinese = "今天天气很好我们去公园散步然后回家吃饭看书"
+    english = "The quick brown fox jumps over the lazy dog, and thonrest ablently. "
+    draw = {"english": lambda: english, "code": lambda: code, "chinese": lambda: "".join(rng.choice(chinese) for _ in range(20)), "mixed": lambda: rng.choice([english, code, chinese, "😀é\x00\u200b"])}[kind]
+    rows = [(1, 0, "system", draw())] + [(1, k, "user" if k % 2 else "assistant", "".join(draw() for _ in range(rng.choice([1, 1, 2, 3, 8])))) for k in range(1, 150)]
+    made = chat.windows(spark.createDataFrame(rows, CONV)).collect()
+    tokenizer, merge = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), byte_bpe.merger(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    several = [r["formatted"] for r in made if r["formatted"].count("<|im_start|>") > 2]
+    assert len(several) > 10
+    for text in several:
+        assert len(tokenizer.encode(text, add_special_tokens=False).ids) <= 1024
+        assert sum(len(merge(w)) for w in byte_bpe.splitter(public_tokenizers.PATTERN)(text)) <= 1024
+
+
+def test_known_sizes_fill_windows(spark):
+    """With the tokens of each turn at hand, windows hold that many."""
+    rows = [(1, k, "user", f"turn {k}", 100 if k % 2 else None) for k in range(40)]
+    made = chat.windows(spark.createDataFrame(rows, CONV + ", n int"), 1024, 0, size="n").orderBy("window").collect()
+    held = [sum(104 if int(t) % 2 else 4 for t in re.findall(r"\nturn (\d+)<", r["formatted"])) for r in made]
+    assert max(held) <= 1024 and sum(held) == 20 * 108 and len(made) <= 4
 
 
 def test_long_conversations_take_linear_time(spark):
