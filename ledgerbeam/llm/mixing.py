@@ -6,11 +6,14 @@ the others by weight, which comes to the water level ``least(2 * size, level *
 weight)``, read off one sort of the sources.
 
 Within a source the documents queue in the order of a hash (MD5) of their ids
-and texts, and queue a second time after the last.  A copy's virtual finish time is the words
-of its source up to its end, divided by the source's target.  All sources are
-served at once, each in proportion to its target, so at virtual time v the mix
-holds v times the total budget: it is cut at time 1, where the copies then in
-service keep their first words.  ``mix`` range-sorts the copies by finish time.
+and texts, and queue a second time after the last.  A copy's virtual finish time
+is the words of its source up to its end, divided by the source's target.  All
+sources are served at once, each in proportion to its target.  A copy is one
+piece, but for the ``TICKS`` ticks of virtual time up to 1: one that is in
+service then is split there, so that all sources are even at each tick.  The
+pieces are range-sorted by finish time, their running total is taken, and what
+lies beyond the total budget, the whole words of all targets, is cut off.  A
+copy of which only the first pieces are left keeps its first words.
 
 Prefix sums run in two steps, so that a source with any share of the rows is
 spread: sums by (source, slice of the hash), their running totals, then sums
@@ -33,6 +36,7 @@ from .common import WHITE, cut, n_words, row_key
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST_COPIES = 2
+TICKS = 16
 
 
 def sizes(docs: DataFrame) -> DataFrame:
@@ -64,7 +68,7 @@ def targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, copies: int
 
 
 def queue(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, copies: int = MOST_COPIES) -> DataFrame:
-    """sized with source_size, target, before (words of its source ahead of it) and taken."""
+    """sized with source_size, target, before (words of its source ahead of it) and the words taken of each copy."""
     rows = sized.count()
     bits = max(4, math.ceil(math.log2(max(1, min(rows / 500, 2 * math.sqrt(rows))))))
     # the first bits of the hash, out of 48 that are read as a number
@@ -79,13 +83,57 @@ def queue(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, copies: int =
     out = cut_in.join(parts, F.col("source").eqNullSafe(F.col("s")) & (F.col("slice") == F.col("k")))
     own = Window.partitionBy("source", "slice").orderBy("queue").rowsBetween(Window.unboundedPreceding, -1)
     out = out.withColumn("before", F.col("offset") + F.coalesce(F.sum("size").over(own), F.lit(0)))
-    served = [
-        F.greatest(F.lit(0), F.least(F.col("size"), F.floor("target") - F.col("source_size") * c - F.col("before")))
-        for c in range(copies)
-    ]
-    return out.select(
-        "doc_id", "source", "text_hash", "size", "source_size", "target", "before", *(x.cast("bigint").alias(f"taken_{c}") for c, x in enumerate(served))
-    )
+    return served(out.select("doc_id", "source", "text_hash", "size", "source_size", "target", "before"), goals, copies)
+
+
+def pieces(rows: DataFrame, copies: int) -> DataFrame:
+    """source_key, before, copy, words, finish and at of each piece: copies of rows with words, split at the ticks that they are in service at."""
+    copy = rows.where("size > 0 and target > 0").withColumn("copy", F.explode(F.array(*map(F.lit, range(copies)))))
+    start = F.col("before") + F.col("source_size") * F.col("copy")
+    copy = copy.withColumns({"_a": start, "_b": start + F.col("size")})
+    tick = lambda words: F.floor(words * TICKS / F.col("target"))
+    first, last = F.least(F.greatest(tick(F.col("_a")) - 1, F.lit(0)), F.lit(TICKS)), F.least(tick(F.col("_b")) + 1, F.lit(TICKS))
+    copy = copy.withColumn("_k", F.explode(F.sequence(first, last)))
+    edge = lambda k: F.floor(F.col("target") * k / TICKS)
+    begin = F.greatest("_a", edge(F.col("_k")))
+    # behind the last tick a copy is one piece
+    end = F.when(F.col("_k") == TICKS, F.col("_b")).otherwise(F.least("_b", edge(F.col("_k") + 1)))
+    cut_up = copy.select("source_key", "before", "copy", "target", begin.alias("at"), end.alias("_to")).where("_to > at")
+    return cut_up.select("source_key", "before", "copy", "at", (F.col("_to") - F.col("at")).alias("words"), (F.col("_to") / F.col("target")).alias("finish"))
+
+
+def truncated(parts: DataFrame, budget: int) -> DataFrame:
+    """The first budget words of parts in order of finish, over all sources; the piece on the edge keeps its first words.
+
+    A range exchange sorts; the sums of its partitions tell which of them lie before the edge, and only the one that the edge
+    is in needs running totals.
+    """
+    order = ["finish", "source_key", "at"]
+    count = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # stored, as the sums and the rows must come from the same partitions
+    ranged = cut(parts.repartitionByRange(count, *order).select("*", F.spark_partition_id().alias("_shard")))
+    sums = ranged.groupBy("_shard").agg(F.sum("words").alias("_n"))
+    # a row for each partition
+    sums = sums.withColumn("_before", F.sum("_n").over(Window.orderBy("_shard")) - F.col("_n"))
+    edges = [(r["_shard"], r["_before"]) for r in sums.where((F.col("_before") < budget) & (F.col("_before") + F.col("_n") > budget)).collect()]
+    whole = [r["_shard"] for r in sums.where(F.col("_before") + F.col("_n") <= budget).collect()]
+    kept = ranged.where(F.col("_shard").isin(whole)) if whole else ranged.where(F.lit(False))
+    for shard, before in edges:
+        upto = F.sum("words").over(Window.partitionBy("_shard").orderBy(*order)) + before
+        last = ranged.where(F.col("_shard") == shard).withColumn("_upto", upto).withColumn("words", F.least("words", F.lit(budget) - F.col("_upto") + F.col("words")))
+        kept = kept.unionByName(last.where("words > 0").drop("_upto"))
+    return kept.drop("_shard")
+
+
+def served(rows: DataFrame, goals: DataFrame, copies: int) -> DataFrame:
+    """rows with taken_0, taken_1 and so on: the words of each copy that the cut leaves."""
+    keyed = rows.withColumn("source_key", F.coalesce(F.concat(F.lit("1"), F.col("source").cast("string")), F.lit("0")))
+    budget = goals.agg(F.coalesce(F.sum(F.floor("target")), F.lit(0)).alias("n")).first()["n"]
+    kept = truncated(pieces(keyed, copies), budget)
+    # words ahead of it tell a row with words from all others of its source
+    by = kept.groupBy("source_key", "before").agg(*(F.sum(F.when(F.col("copy") == c, F.col("words")).otherwise(0)).alias(f"taken_{c}") for c in range(copies)))
+    full = keyed.where("size > 0").join(by, ["source_key", "before"], "left").select(*rows.columns, *(F.coalesce(f"taken_{c}", F.lit(0)).cast("bigint").alias(f"taken_{c}") for c in range(copies)))
+    return full.unionByName(rows.where("size = 0").withColumns({f"taken_{c}": F.lit(0).cast("bigint") for c in range(copies)}))
 
 
 def plan(docs: DataFrame, copies: int = MOST_COPIES) -> DataFrame:

@@ -155,3 +155,47 @@ def test_pipeline_on_an_empty_table(spark, empty):
     for _, stage in corpus_pipeline.STAGES:
         frame = stage(spark, frame, SMALL)
         assert frame.count() == 0
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_the_cut_of_the_sort_is_the_closed_form(spark, seed):
+    """What the truncated sort leaves of each copy is what the targets give by arithmetic, source by source."""
+    import math
+    import random
+
+    rng = random.Random(seed)
+    rows = [(k, "w " * rng.choice([0, 1, 2, 5, 40, 3000]), rng.choice(["a", "b", "c", "d", None] + ["hot"] * 4)) for k in range(150)] + [(7, "x y z", "a")] * 3
+    docs = spark.createDataFrame(rows, "doc_id int, text string, source string")
+    got = mixing.queue(mixing.sizes(docs)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        want = [max(0, min(r["size"], math.floor(r["target"]) - r["source_size"] * c - r["before"])) for c in range(2)]
+        assert [r["taken_0"], r["taken_1"]] == want
+
+
+@pytest.mark.parametrize("budget", [0, 1, 7, 100, 9_999, 10**6])
+def test_truncation_at_any_budget(spark, budget):
+    """The first words in order of finish, over all partitions."""
+    import random
+
+    rng = random.Random(budget)
+    rows = sorted((rng.choice([0.25, 0.5, rng.random()]), f"{k % 3}", k, rng.randint(1, 200)) for k in range(300))
+    parts = spark.createDataFrame([(s, k, 0, k, n, f) for f, s, k, n in rows], "source_key string, before bigint, copy int, at bigint, words bigint, finish double")
+    want, left = {}, budget
+    for _, _, k, n in rows:
+        if left > 0:
+            want[k] = min(n, left)
+        left -= n
+    assert {r["before"]: r["words"] for r in mixing.truncated(parts, budget).collect()} == want
+
+
+def test_sources_are_even_at_each_tick(spark):
+    """At every tick of virtual time each source has its share of the words so far, up to one."""
+    docs = spark.createDataFrame([(k, "w " * (1 + k * 7 % 90), "abc"[k % 3]) for k in range(120)], "doc_id int, text string, source string")
+    sized = mixing.sizes(docs)
+    goals = {r["source"]: r["target"] for r in mixing.targets(sized).collect()}
+    parts = mixing.pieces(mixing.queue(sized).withColumn("source_key", F.concat(F.lit("1"), "source")), 2).collect()
+    for k in range(1, mixing.TICKS + 1):
+        for source, target in goals.items():
+            held = sum(r["words"] for r in parts if r["source_key"] == f"1{source}" and r["finish"] <= k / mixing.TICKS)
+            assert abs(held - target * k / mixing.TICKS) <= 1
