@@ -185,3 +185,16 @@ def sample_file_codes(spark: SparkSession, d: str) -> DataFrame:
         listed = spark.createDataFrame([(f.removeprefix("file:").replace("///", "/"),) for f in good], "file string")
         rows.append((name, audit.files_verdict(audit.by_file(held, listed), states).code))
     return spark.createDataFrame(rows, "run string, code int")
+
+
+@query(f"""
+, i AS (SELECT *, ord AS own FROM items WHERE ord = 0 OR lumi % 40 = 0), w AS (SELECT *, row_number() OVER o AS rank, row_number() OVER p AS own_rank, first(ord) OVER o AS ford, first(gen) OVER o AS fgen, first(exp) OVER o AS fexp
+  FROM i WINDOW o AS (PARTITION BY lumi, event ORDER BY ord, pos), p AS (PARTITION BY lumi, event, ord ORDER BY pos))
+SELECT ord, count(*) AS entries, count(*) FILTER (WHERE ord <> ford AND own_rank = 1) AS superseded, count(*) FILTER (WHERE own_rank > 1) AS repeated, count(*) FILTER (WHERE rank = 1 AND exp IN (61, 71)) AS written,
+  count(*) FILTER (WHERE gen <> fgen OR exp <> fexp) AS conflicts FROM w GROUP BY ord""")
+def patch_sparse(spark: SparkSession, d: str) -> DataFrame:
+    """Priority where the inputs share few blocks: rows that are alone with their key are ranked without a window."""
+    rows = A.prioritised(spark, d).where("ord = 0 or luminosityBlock % 40 = 0")
+    rank = extract.ranked_sparse(rows, 2, most=1.0)
+    sums = rank.groupBy("ord").agg(F.count_if("conflict").alias("conflicts"))
+    return extract.sources(rank).select("ord", "entries", "superseded", "repeated", "written").join(sums, "ord")

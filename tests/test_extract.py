@@ -179,3 +179,19 @@ def test_bits_keep_zeros_apart(spark):
     df = spark.createDataFrame([(1, 1, 1, 53, 61, 3, 0, 0.0, 0.5, 1, 1, 0), (1, 1, 1, 53, 61, 3, 0, -0.0, 0.5, 1, 1, 1)], FP)
     out = extract.lookup(extract.ranked(extract.with_bits(extract.inputs([(DA, 0, df)])), 3))
     assert sorted(r["x1_bits"] for r in out.select(F.col("x1_bits")).collect()) == [0, 0x80000000]
+
+
+@pytest.mark.parametrize("fmt", [2, 3])
+@pytest.mark.parametrize("most", [0.0, 10.0])
+def test_rows_that_are_alone_rank_the_same(spark, fmt, most):
+    """Repeats within inputs, between inputs and in blocks that only one has, with and without the way around the window."""
+    import random
+
+    rng = random.Random(fmt)
+    rows = [(rng.randint(0, 1), 1, rng.randint(0, 12), rng.randint(0, 8), rng.choice([0, 5]), rng.randint(0, 2), k, rng.choice([53, 54]), rng.choice([53, 61]), 3, 1, rng.randint(0, 1), 7, 1, 2) for k in range(400)]
+    names = "datasetIdx int, run bigint, luminosityBlock bigint, event bigint, priority int, ord int, pos bigint, genTtbarId int, Expanded_genTtbarId int, nAddBJets int, nAddBJetsMulti int, x1_bits bigint, x2_bits bigint, Generator_id1 int, Generator_id2 int"
+    df = spark.createDataFrame(rows, names)
+    found = extract.ranked_sparse(df, fmt, most)
+    plain = extract.ranked(df, fmt)
+    assert sorted(map(tuple, found.select(*plain.columns).collect())) == sorted(map(tuple, plain.collect()))
+    assert extract.ranked_sparse(df.limit(0), fmt, most).count() == 0
