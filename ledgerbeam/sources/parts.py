@@ -52,10 +52,11 @@ def write_parts(df: DataFrame, out: str, rows: int, key=KEY) -> DataFrame:
     return index
 
 
-def parts_hit(probe: DataFrame, out: str, key=KEY) -> list[int]:
+def parts_hit(probe: DataFrame, out: str, key=KEY, exact: bool = False) -> list[int]:
     """The parts whose key range holds any of probe's keys; numbers only, a few for each file that is to be read.
 
-    Blocks find parts first.  Where that leaves out half of the parts or more, the keys themselves decide among these.
+    Blocks find parts first.  Where that leaves out half of the parts or more, or if exact, the keys themselves decide among
+    these.
     """
     stretches = probe.sparkSession.read.parquet(_beside(out, "stretches"))
     place = lambda c: F.shiftright(F.col(c).cast("bigint"), intervals.BITS)
@@ -66,7 +67,7 @@ def parts_hit(probe: DataFrame, out: str, key=KEY) -> list[int]:
     ends = [F.struct(*key[:2], F.col(c).alias(key[2])) for c in ("_from", "_to")]
     numbers = lambda df: sorted(r["part"] for r in df.select("part").distinct().collect())
     hit = numbers(seen.join(spans, same).where((F.col("last") >= ends[0]) & (F.col("first") <= ends[1])))
-    if 2 * len(hit) > stretches.select("part").distinct().count():
+    if not exact and 2 * len(hit) > stretches.select("part").distinct().count():
         return hit
     k = F.struct(*key)
     return numbers(probe.select(*key).join(spans.where(F.col("part").isin(hit)), same).where((F.col("last") >= k) & (F.col("first") <= k)))

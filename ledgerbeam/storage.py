@@ -30,7 +30,7 @@ def narrow_lookup(spark: SparkSession, d: str) -> DataFrame:
     parts.write_parts(side.select(*audit.KEY, *audit.PAYLOAD), out, 500)
     middle = side.agg(F.call_function("div", F.max("luminosityBlock"), F.lit(2)).alias("m")).first()["m"]
     probe = side.where((F.col("luminosityBlock") == middle) & (F.col("ev") % 1000 < 3)).select(*audit.KEY)
-    hit = parts.parts_hit(probe, out)
+    hit = parts.parts_hit(probe, out, exact=True)
     found = audit.match(probe, parts.read_parts(spark, out, hit)).where(F.col("side").isNotNull())
     return found.agg(F.lit(len(hit)).cast("bigint").alias("parts"), F.count("*").alias("matched"), F.sum("side.Expanded_genTtbarId").alias("codes"))
 
