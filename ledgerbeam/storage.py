@@ -9,6 +9,8 @@ from . import adapters as A
 from .catalog import COUNTERS, query
 from .functions.store import scratch
 from .operators import audit, wide
+from .plans.audited import audit_files
+from .plans.verdict import Refused
 from .sources import manifest, parts, probe
 from .streaming import incremental
 
@@ -129,3 +131,38 @@ def incremental_repeats(spark: SparkSession, d: str) -> DataFrame:
     rows = incremental.stream(spark, f"{out}/in", side.schema, 1)
     incremental.incremental_counters(rows, f"{out}/reference", f"{out}/by_batch", f"{out}/checkpoint").awaitTermination()
     return incremental.totals(spark, f"{out}/by_batch", reference)
+
+
+@query("""
+, n AS (SELECT count(*) AS n FROM sidecar), f AS (SELECT count(*) AS n FROM sidecar WHERE ev % 4 <> 3)
+SELECT 'all well' AS run, 0 AS code, n AS rows, false AS indicative FROM n UNION ALL SELECT 'a lost file', 4, NULL, NULL UNION ALL SELECT 'a lost file left out', 0, n, true FROM f UNION ALL SELECT 'a file twice', 2, NULL, NULL
+UNION ALL SELECT 'a column is lacking', 5, NULL, NULL UNION ALL SELECT 'codes differ', 6, n, false FROM n UNION ALL SELECT 'a key twice', 7, n, false FROM n UNION ALL SELECT 'nothing matches', 5, n, false FROM n UNION ALL SELECT 'another run', 9, n, false FROM n""")
+def audited_files(spark: SparkSession, d: str) -> DataFrame:
+    """The whole audit over lists of files: what it ends with, the rows it read, and whether they stand for the sample."""
+    side, out = A.sidecar(spark, d), scratch(spark, "audited")
+    keep, k = [*audit.KEY, *audit.PAYLOAD], F.col("ev") % 4
+
+    def files(name: str, rows: DataFrame) -> list[str]:
+        rows.repartition("_k").write.partitionBy("_k").parquet(f"{out}/{name}")
+        return [f"{out}/{name}/_k={i}" for i in range(4)]
+
+    whole = side.select(*keep, k.alias("_k"))
+    good, nano = files("side", whole), files("nano", whole.select(*audit.KEY, "genTtbarId", "_k"))
+    changed = files("changed", whole.withColumn("genTtbarId", F.col("genTtbarId") + F.when(F.col("event") == 8, 1).otherwise(0)).select(*audit.KEY, "genTtbarId", "_k"))
+    far = files("far", whole.select("run", (F.col("luminosityBlock") + 10**7).alias("luminosityBlock"), "event", "genTtbarId", "_k"))
+    other = files("other", whole.select((F.col("run") + 1).alias("run"), "luminosityBlock", "event", "genTtbarId", "_k"))
+    twice = files("twice", whole.unionByName(whole.where("event = 8")))
+    narrow = files("narrow", whole.drop("nAddBJets"))
+    lost = [*nano[:3], f"{out}/nano/lost"]
+    runs = {
+        "all well": (nano, good, False), "a lost file": (lost, good, False), "a lost file left out": (lost, good, True), "a file twice": ([*nano, nano[0].replace("/_k", "//_k")], good, False), "a column is lacking": (nano, narrow, False),
+        "codes differ": (changed, good, False), "a key twice": (nano, twice, False), "nothing matches": (far, good, False), "another run": (other, good, False),
+    }
+    rows = []
+    for name, (left, right, allow) in runs.items():
+        try:
+            v = audit_files(spark, left, right, attempts=1, allow_missing=allow)
+            rows.append((name, v.code, v.counters["nano_entries_opencheck"], v.counters["indicative"]))
+        except Refused as e:
+            rows.append((name, e.code, None, None))
+    return spark.createDataFrame(rows, "run string, code int, rows bigint, indicative boolean")
