@@ -9,12 +9,15 @@ ranges alone.
 
 Tasks open files through Arrow's file systems, by the path's scheme; a path
 without a scheme is local to the tasks, so on a cluster it has to be shared.
+Files of a scheme that only Spark knows are opened by Spark's reader instead, a
+few jobs at a time; ``read`` doesn't take these, as Spark's scans do.
 """
 
 from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
+from multiprocessing.pool import ThreadPool
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -41,6 +44,7 @@ class Opened(NamedTuple):
 
 
 #: States of a file.  Only bad_open is tried again: what a file holds does not change by waiting.
+UNKNOWN = "unknown"  # a scheme that Arrow doesn't know; never given out
 OK, EMPTY, BAD_OPEN, NO_TABLE, BAD_COLUMNS, READ_ERRORS = "ok", "empty", "bad_open", "no_table", "bad_columns", "read_errors"
 STATE = "file string, status string, rows bigint, columns array<string>, members array<struct<path: string, size: bigint, groups: array<bigint>>>, error string"
 
@@ -80,6 +84,10 @@ def _state(path: str, wanted: list[str]) -> tuple:
     import pyarrow.parquet as pq
 
     members, columns = [], None
+    try:
+        _at(path)
+    except Exception as e:  # no such scheme, or its library isn't there
+        return path, UNKNOWN, None, None, None, str(e)[:200]
     try:
         for name in _members(path):
             source, size = _open(name)
@@ -104,6 +112,21 @@ def _dealt(rows: DataFrame, per_task: int) -> DataFrame:
     return rows.repartition(max(1, -(-n // per_task)))
 
 
+def _by_spark(spark: SparkSession, path: str, wanted: list[str]) -> tuple:
+    """_state by Spark's own reader; the wanted columns are read too."""
+    try:
+        df = spark.read.parquet(path)
+    except Exception as e:
+        return path, BAD_OPEN if "PATH_NOT_FOUND" in str(e) else NO_TABLE, None, None, None, str(e)[:200]
+    if lost := [c for c in wanted if c not in df.columns]:
+        return path, BAD_COLUMNS, None, df.columns, None, f"lacks {', '.join(lost)}"
+    try:
+        rows = df.agg(F.count("*").alias("n"), *(F.max(c).cast("string").alias(f"_{k}") for k, c in enumerate(wanted))).first()["n"]
+        return path, OK if rows else EMPTY, rows, df.columns, None, None
+    except Exception as e:
+        return path, READ_ERRORS, None, df.columns, None, str(e)[:200]
+
+
 def probe_once(files: DataFrame, wanted: list[str] = (), per_task: int = 50) -> DataFrame:
     """STATE of each of files (file)."""
 
@@ -114,7 +137,14 @@ def probe_once(files: DataFrame, wanted: list[str] = (), per_task: int = 50) ->
             kinds = (pa.string(), pa.string(), pa.int64(), pa.list_(pa.string()), inner, pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(found, kinds)], ["file", "status", "rows", "columns", "members", "error"])
 
-    return _dealt(files.select("file"), per_task).mapInArrow(of, STATE)
+    states = stored(_dealt(files.select("file"), per_task).mapInArrow(of, STATE))
+    others = [r["file"] for r in states.where(F.col("status") == UNKNOWN).select("file").collect()]
+    if not others:
+        return states
+    spark = files.sparkSession
+    with ThreadPool(8) as pool:
+        rows = pool.map(lambda path: _by_spark(spark, path, list(wanted)), others)
+    return states.where(F.col("status") != UNKNOWN).unionByName(spark.createDataFrame(rows, STATE))
 
 
 def probe(files: DataFrame, wanted: list[str] = (), attempts: int = 3, wait: float = 10.0, longest: float = 300.0, budget: float = 1800.0, per_task: int = 50) -> DataFrame:
@@ -125,7 +155,7 @@ def probe(files: DataFrame, wanted: list[str] = (), attempts: int = 3, wait: flo
     """
     began, found = time.monotonic(), None
     for k in range(max(1, attempts)):
-        now = stored(probe_once(files, wanted, per_task).withColumn("round", F.lit(k)))
+        now = probe_once(files, wanted, per_task).withColumn("round", F.lit(k))
         found = now if found is None else found.where(F.col("status") != BAD_OPEN).unionByName(now)
         files = now.where(F.col("status") == BAD_OPEN)
         pause = min(wait * 2**k, longest)
@@ -160,7 +190,7 @@ def bad_files(states: DataFrame, most: int = 10) -> DataFrame:
 
 def _ranges(states: DataFrame) -> DataFrame:
     """file, path, size, group, expected: a row for each row group of the files that are tables with rows."""
-    good = states.where(F.col("status") == OK).dropDuplicates(["file"]).select("file", F.explode("members").alias("m"))
+    good = states.where((F.col("status") == OK) & F.col("members").isNotNull()).dropDuplicates(["file"]).select("file", F.explode("members").alias("m"))
     return good.select("file", "m.path", "m.size", F.posexplode("m.groups").alias("group", "expected"))
 
 
@@ -237,6 +267,8 @@ def read(states: DataFrame, schema: T.StructType, rounds: int = 3, wait: float =
     What was lost is read again, range by range, up to rounds times in all; then the job is refused (10), naming ten files.
     """
     spark = states.sparkSession
+    if states.where((F.col("status") == OK) & F.col("members").isNull()).take(1):
+        raise ValueError("files of a scheme that only Spark's reader takes have no ranges")
     todo, parts, ledgers = _ranges(states), [], []
     for k in range(rounds):
         rows, ledger = read_once(todo, schema, scratch(spark, f"read-{k}"), per_task, reader)
