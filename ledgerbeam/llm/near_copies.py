@@ -29,6 +29,14 @@ its commonest label and those of other ones.  Chunks of the commonest label
 never meet, so a group that the first step has joined costs its size times that
 of the rest.
 
+A group of more than ``RAREST`` chunks is not dealt out at all, as its rows would
+grow with the square of its size.  Its nodes are keyed again, by single least
+hashes: all ``BANDS * ROWS`` of them are a set of which a similar pair shares
+``BANDS * ROWS - RAREST + 1``, but for one pair in a million, so it shares one
+of the ``RAREST`` rarest of either side.  A node is dealt out that many times,
+however large the group is.  What makes unlike texts meet, a passage that many
+have, makes common hashes; the rarest ones they don't share.
+
 Nulls: a null text has no words; all texts without words are one node.  Ids play
 no part in the links.  Shingles are compared by their 64-bit hashes.  Empty tables give empty results.
 """
@@ -53,6 +61,8 @@ BANDS, ROWS = 20, 3
 BITS = 9
 BINS = 1 << BITS
 HEADS = 3
+#: Least hashes of which two sets of BANDS * ROWS share one if they share all but RAREST - 1.
+RAREST = 29
 #: Shingles that are hashed on at once.
 BLOCK = 8192
 #: Shingles of texts that a checking task holds.
@@ -113,19 +123,31 @@ def possible(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> np.ndarray:
     return equal / seen + 5 * np.sqrt(spread) + 0.01 >= 0.8
 
 
+def least_hashes(hashes: np.ndarray) -> np.ndarray:
+    """The least value of the shingles' hashes under each of the factors."""
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(hashes), BLOCK):
+        least = np.minimum(least, np.multiply.outer(FACTORS, hashes[at : at + BLOCK]).min(1))
+    return least
+
+
+def elements(joined: bytes) -> list[int]:
+    """The least hashes of a plain text, each mixed with the number of its factor."""
+    mixed = (least_hashes(shingles(joined)) ^ np.arange(BANDS * ROWS, dtype=np.uint64)) * MIX[0]
+    return (mixed ^ mixed >> np.uint64(29)).view(np.int64).tolist()
+
+
 def features(joined: bytes) -> tuple[int, int, list[int], bytes]:
     """The number of distinct shingles of a plain text, its fingerprint as a signed number, its group keys and its sketch."""
     hashes = shingles(joined)
     n = len(hashes)
     if not n:
         return 0, 0, [], sketch(hashes)
-    counts, least = np.zeros(64, np.int64), np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+    counts = np.zeros(64, np.int64)
     for at in range(0, n, BLOCK):
-        part = hashes[at : at + BLOCK]
-        counts += np.unpackbits(part.view(np.uint8)).reshape(-1, 64).sum(0, dtype=np.uint16)
-        least = np.minimum(least, np.multiply.outer(FACTORS, part).min(1))
+        counts += np.unpackbits(hashes[at : at + BLOCK].view(np.uint8)).reshape(-1, 64).sum(0, dtype=np.uint16)
     bits = np.packbits(2 * counts > n)
-    rows = least.reshape(BANDS, ROWS)
+    rows = least_hashes(hashes).reshape(BANDS, ROWS)
     keys = np.arange(BANDS, dtype=np.uint64)
     for k in range(ROWS):
         keys = (keys ^ rows[:, k]) * MIX[k]
@@ -200,17 +222,17 @@ def _checked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _dealt(labelled: DataFrame, chunk: int) -> DataFrame:
-    """Rows of labelled (key, node, label) with GROUP and side, in which all nodes of a key with different labels meet."""
+    """Rows of labelled (level, key, node, label) with GROUP and side, in which all nodes of a key with different labels meet."""
     zero = F.lit(0).cast("bigint")
-    rows = labelled.select(F.lit(0).alias("level"), zero.alias("path"), F.col("key").alias("v"), "node", "label")
-    sizes = rows.groupBy("v", "label").agg(F.count("*").alias("size"))
+    rows = labelled.select("level", zero.alias("path"), F.col("key").alias("v"), "node", "label")
+    sizes = rows.groupBy("level", "v", "label").agg(F.count("*").alias("size"))
     # chunks 0 to major - 1 hold the commonest label, the minor ones the others
-    by = sizes.groupBy("v").agg(F.max(F.struct("size", "label")).alias("most"), F.sum("size").alias("all")).where(F.col("all") > chunk)
+    by = sizes.groupBy("level", "v").agg(F.max(F.struct("size", "label")).alias("most"), F.sum("size").alias("all")).where(F.col("all") > chunk)
     pieces = lambda n: F.greatest(F.ceil(n / chunk), F.lit(1)).cast("bigint")
-    by = cut(by.select("v", F.col("most.label").alias("common"), pieces(F.col("most.size")).alias("major"), pieces(F.col("all") - F.col("most.size")).alias("minor")))
+    by = cut(by.select("level", "v", F.col("most.label").alias("common"), pieces(F.col("most.size")).alias("major"), pieces(F.col("all") - F.col("most.size")).alias("minor")))
     if by.isEmpty():
         return whole(rows)
-    large = rows.join(by, "v")
+    large = rows.join(by, ["level", "v"])
     is_major = F.col("label") == F.col("common")
     place = F.xxhash64("node")
     own = F.when(is_major, F.pmod(place, F.col("major"))).otherwise(F.col("major") + F.pmod(place, F.col("minor")))
@@ -219,10 +241,37 @@ def _dealt(labelled: DataFrame, chunk: int) -> DataFrame:
     large = large.withColumn("own", own).withColumn("other", F.explode(others))
     large = large.withColumns({"ci": F.least("own", "other"), "cj": F.greatest("own", "other"), "side": (F.col("own") > F.col("other")).cast("int")})
     columns = [*rows.columns, "ci", "cj", "side"]
-    return whole(rows.join(by, "v", "left_anti")).select(columns).unionByName(large.select(columns))
+    return whole(rows.join(by, ["level", "v"], "left_anti")).select(columns).unionByName(large.select(columns))
+
+
+def _mixed(labelled: DataFrame) -> DataFrame:
+    """The rows of keys whose nodes have several labels, stored."""
+    several = cut(labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key"))
+    return cut(labelled.join(several, "key"))
+
+
+def _again(labelled: DataFrame, texts: DataFrame, chunk: int) -> DataFrame:
+    """labelled (key, node, label) with level: 0, or 1 for the nodes of huge groups, which have their rarest least hashes as keys."""
+    plain_ = labelled.withColumn("level", F.lit(0))
+    huge = cut(labelled.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > RAREST * chunk).select("key"))
+    if huge.isEmpty():
+        return plain_
+    nodes = cut(labelled.join(huge, "key", "left_semi").select("node", "label").distinct())
+
+    @F.pandas_udf("array<bigint>")
+    def of(text: pd.Series) -> pd.Series:
+        return pd.Series([elements(plain(x)) for x in text])
+
+    # at most BANDS * ROWS small rows a node
+    spread = cut(texts.join(nodes, "node").select("node", "label", F.explode(of("whole")).alias("key")))
+    counts = cut(spread.groupBy("key").agg(F.count("*").alias("size")))
+    rank = F.row_number().over(Window.partitionBy("node").orderBy("size", "key"))
+    rare = spread.join(counts, "key").withColumn("rank", rank).where((F.col("rank") <= RAREST) & (F.col("size") > 1))
+    found = _mixed(rare.select("key", "node", "label"))
+    return plain_.join(huge, "key", "left_anti").select("key", "node", "label", "level").unionByName(found.select("key", "node", "label", F.lit(1).alias("level")))
 
 
-def _across(labelled: DataFrame, nodes: DataFrame, chunk: int) -> DataFrame:
+def _across(labelled: DataFrame, nodes: DataFrame, texts: DataFrame, chunk: int) -> DataFrame:
     """Pairs u > v of nodes of one group that have different labels and can be similar; nodes: node, n, fp, keys and sketch.
 
     A pair that meets in several groups shows in that of the first key both have, so no pair comes twice.
@@ -230,7 +279,7 @@ def _across(labelled: DataFrame, nodes: DataFrame, chunk: int) -> DataFrame:
 
     def traverse(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
         order, fp, roots = _ranges(pdf)
-        node, n, label, group = (pdf[c].to_numpy(np.int64)[order] for c in ("node", "n", "label", "v"))
+        node, n, label, group, level = (pdf[c].to_numpy(np.int64)[order] for c in ("node", "n", "label", "v", "level"))
         keys = np.stack(pdf["keys"].to_numpy())[order]
         words = np.frombuffer(b"".join(pdf["sketch"]), np.uint64).reshape(len(pdf), -1)[order]
         for i, j in joined(trie_links(fp, roots, BUDGET, label)):
@@ -239,14 +288,15 @@ def _across(labelled: DataFrame, nodes: DataFrame, chunk: int) -> DataFrame:
             for k in range(0, len(i), BLOCK):
                 x, y = i[k : k + BLOCK], j[k : k + BLOCK]
                 shared = keys[x] == keys[y]
-                first = keys[x, shared.argmax(1)] == group[x]
+                # pairs of huge groups may show once for each least hash that they share
+                first = (keys[x, shared.argmax(1)] == group[x]) | (level[x] == 1)
                 x, y = x[first], y[first]
                 ok = possible(words[x], words[y], n[x] + n[y])
                 a, b = node[x[ok]], node[y[ok]]
                 yield pd.DataFrame({"u": np.maximum(a, b), "v": np.minimum(a, b)})
 
-    dealt = _dealt(labelled, chunk).join(nodes, "node").select("node", "n", "label", "fp", "keys", "sketch", *GROUP, "side")
-    return by_groups(dealt, traverse, "u bigint, v bigint")
+    dealt = _dealt(_again(labelled, texts, chunk), chunk).join(nodes, "node").select("node", "n", "label", "fp", "keys", "sketch", *GROUP, "side")
+    return by_groups(dealt, traverse, "u bigint, v bigint").distinct()
 
 
 def labels(rows: DataFrame, docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
@@ -275,8 +325,7 @@ def labels(rows: DataFrame, docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     # all pairs of a group that the stars leave apart
     one = cut(one.join(found, "node", "left").select("node", "n", "fp", "keys", "sketch", F.coalesce("label", "node").alias("label")))
     labelled = cut(members.select("key", "node").join(one.select("node", "label"), "node"))
-    mixed = cut(labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key"))
-    apart = cut(_across(cut(labelled.join(mixed, "key")), one.drop("label"), chunk))
+    apart = cut(_across(_mixed(labelled), one.drop("label"), texts, chunk))
     return components(edges.unionByName(_checked(apart, texts)))
 
 

@@ -127,3 +127,56 @@ def test_pipeline_chain(spark):
             want = brute_force([(r["doc_id"], r["text"]) for r in before.collect()])
             assert sorted((False, r["doc_id"]) for r in frame.collect()) == want and frame.columns == before.columns
     assert corpus_pipeline.run(spark, SMALL).count() == frame.count()
+
+
+def unlike(rng, n, shared=60, own=60):
+    """Texts with a long passage in common that are unlike otherwise, some with a near copy."""
+    words = lambda k: [f"w{rng.randrange(10**9)}" for _ in range(k)]
+    stock, out = words(shared), []
+    while len(out) < n:
+        out.append(stock + words(own))
+        if len(out) % 40 == 0:
+            near = list(out[-1])
+            near[shared + rng.randrange(own - 10) + 5] = f"x{rng.randrange(10**9)}"
+            out.append(near)
+    return [(k, " ".join(t)) for k, t in enumerate(out[:n])]
+
+
+def test_huge_groups_are_keyed_again(spark, monkeypatch):
+    """Groups beyond RAREST chunks of unlike texts: the same copies are found, by the rarest hashes."""
+    rng = random.Random(11)
+    rows = unlike(rng, 420)
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS)
+    used, plain_again = [], near_copies._again
+    monkeypatch.setattr(near_copies, "_again", lambda *a: (used.append(out := plain_again(*a)), out)[1])
+    kept = near_copies.keep_one(docs, 1).collect()
+    assert sorted((False, r["doc_id"]) for r in kept) == brute_force(rows)
+    assert used[-1].where("level = 1").count() > 0
+    assert used[-1].where("level = 1").groupBy("node").count().agg(F.max("count")).first()[0] <= near_copies.RAREST
+
+
+def test_rows_of_unlike_nodes_stay_flat(spark):
+    """One key whose nodes are unlike: rows each stop rising where the group is huge."""
+    rng, each = random.Random(5), {}
+    for n in (400, 800, 1600):
+        rows = unlike(rng, n, 8, 60)
+        texts = spark.createDataFrame(rows, "node bigint, whole string")
+        labelled = texts.select(F.lit(7).cast("bigint").alias("key"), "node", F.col("node").alias("label"))
+        each[n] = near_copies._dealt(near_copies._again(labelled, texts, 8), 8).count() / n
+    assert max(each.values()) <= near_copies.RAREST and each[1600] <= each[400] + 1, each
+
+
+def test_similar_texts_share_one_of_their_rarest_hashes():
+    """Whatever the order of the hashes is, a pair at 0.8 has one in common among the first RAREST of both."""
+    rng = random.Random(2)
+    lost = 0
+    for _ in range(300):
+        base = [f"w{rng.randrange(10**9)}" for _ in range(200)]
+        other = list(base)
+        for at in rng.sample(range(0, 200, 10), 4):
+            other[at] = f"x{rng.randrange(10**9)}"
+        x, y = (near_copies.elements(near_copies.plain(" ".join(t))) for t in (base, other))
+        order = {e: rng.random() for e in {*x, *y}}
+        first = lambda e: set(sorted(e, key=order.get)[: near_copies.RAREST])  # noqa: B023, E731
+        lost += not first(x) & first(y)
+    assert lost == 0
