@@ -2,30 +2,16 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.store import shared_dir
+
 #: Characters that separate words: space and U+0009 to U+000D.
 WHITE = "\\x20\\x09-\\x0D"
 BLANKS = " \t\n\x0b\x0c\r"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one of our own where that is unset and all runs in one process."""
-    sc = spark.sparkContext
-    have = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not have:
-        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
-            raise ValueError("spark.checkpoint.dir is unset: set it to a folder that the driver and all executors share")
-        have = "file://" + tempfile.mkdtemp(prefix="ledgerbeam-checkpoint-")
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(have)
-    return have
-
-
 def cut(df: DataFrame) -> DataFrame:
     """Store df reliably and cut its lineage there."""
     shared_dir(df.sparkSession)

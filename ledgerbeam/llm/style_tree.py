@@ -14,8 +14,8 @@ For every node, with m pages that have it, grouped sums give
 * its words, those in links, and those of the pages that have it.
 
 Bottom-up the first two make a node's importance: presentation and the mean of
-the nodes below it, or the text's share where it has text of its own, less the
-share of its words that are links.  Branches below ``LEAST`` are noise and are
+the nodes below it, or the text's share where it has text of its own, outside main
+parts less the share of its words that are links.  Branches below ``LEAST`` are noise and are
 cut from each page; that list is all that decides what a page loses.
 
 Evidence other than entropy weighs this importance, and importance can overrule
@@ -102,10 +102,11 @@ NOISE_NAMES = frozenset(
 )
 #: Parts of names that say where or in what something stands; after a part that marks noise they leave the mark clear.
 PLACES = frozenset(
-    "area bar block body bottom box button card cell center close col column container content count counter desktop end entry feed field fixed foot form frame full grid group "
-    "head heading header hidden holder home icon image img inner input item label layer left link list logo main menu meta mid middle mobile module nav news outer page pane panel "
-    "part place post reply right row section short side slot small space static sticky story strip tab tablet text this thread tile title toggle tool top unit url view wide widget wrap wrapper zone "
-    "article author avatar form large".split()
+    "all also area article author avatar bar block blog body bottom box button card carousel cell center close closed col column container content count counter desktop email end entry "
+    "facebook feed field fixed floating foot form frame full gallery grid group head heading header hero hidden holder home icon image img inline inner input item label large layer leaderboard "
+    "left like link list load logo main meta mid middle mobile module more native new next now offer on outer page pane panel part place player policy post prev previous rail read reader reading "
+    "reply respond right row section short side site skyscraper slot small space square static sticky stack story strip tab table tablet teaser text this thread ticker tile title toggle tool top "
+    "twitter unit up us user video view website wide wrap wrapper you zone".split()
 )
 #: Parts of names that mark noise outside main parts only; in an article they may hold its title.
 OUTER_NAMES = frozenset("header masthead banner toolbar widget".split())
@@ -476,6 +477,10 @@ def importance(nodes: pd.DataFrame) -> dict[int, float]:
         n = todo.pop()
         order.append(n)
         todo += below.get(n, [])
+    inside: set[int] = set()
+    for n in order:
+        if rows[n].mark == 1 or rows[n].parent in inside:
+            inside.add(n)
     words: dict[int, int] = {}
     headed: dict[int, bool] = {}
     for n in reversed(order):
@@ -496,7 +501,7 @@ def importance(nodes: pd.DataFrame) -> dict[int, float]:
         r = rows[n]
         parts = [(rows[k].pages, out[k]) for k in below.get(n, ())]
         if r.content == r.content and r.content is not None:
-            parts.append((r.pages, float(r.content) * (1 - r.linked / max(r.own, 1))))
+            parts.append((r.pages, float(r.content) * (1 - (0 if n in inside else r.linked / max(r.own, 1)))))
         total, best = r.rare + sum(p for p, _ in parts), max((x for _, x in parts), default=0.0)
         inner = (r.rare_sum + sum(p * x for p, x in parts)) / total if total else 0.0
         # a node stays if it has any important branch

@@ -41,6 +41,15 @@ def test_clear_marks_in_articles_go_whatever_they_say(spark, noise):
     assert texts(spark, [page.format(k) for k in range(30)]) == [f"Title {k}\nown text {k}" for k in range(30)]
 
 
+def test_lists_of_links_in_an_article_stay(spark):
+    """Links say nothing against a list in a main part that differs from page to page; beside an unmarked body they do."""
+    links = "<ul><li><a href=x>source {0} of many</a><li><a href=y>another of {0}</a></ul>"
+    page = "<body><article><h1>Title {0}</h1><p>own text {0}</p>" + links + "</article></body>"
+    assert texts(spark, [page.format(k) for k in range(12)])[5] == "Title 5\nown text 5\nsource 5 of many\nanother of 5"
+    page = "<body>" + links + "<div class=x><h1>Title {0}</h1><p>" + "own text {0} " * 9 + "</p></div></body>"
+    assert texts(spark, [page.format(k) for k in range(12)])[5] == "Title 5\n" + " ".join(["own text 5"] * 9)
+
+
 def test_a_clear_mark_around_all_there_is_is_overruled(spark):
     """Pages whose words are nearly all in an aside, which differs from page to page; beside a longer body the same aside goes."""
     body = " ".join(f"word{i} of page {{0}}" for i in range(20))
@@ -113,6 +122,7 @@ def plain_importance(pages):
         info[n] = d
     below = lambda n: [c for c, (p, _) in nodes.items() if p == n]
     words = lambda n: info[n]["own"] - info[n]["linked"] + sum(words(c) for c in below(n))
+    within = lambda n: n in info and (info[n]["mark"] == 1 or within(nodes[n][0]))
     headed = lambda n: info[n]["mark"] == 2 or any(headed(c) for c in below(n))
     weight, here = {}, [n for n in below(0) if info[n]["mark"] != S.CLEAR]
     while here and not any(d["mark"] == 1 for d in info.values()):
@@ -127,7 +137,7 @@ def plain_importance(pages):
         d = info[n]
         parts = [(info[c]["pages"], visit(c)) for c in below(n)]
         if d["content"] is not None:
-            parts.append((d["pages"], d["content"] * (1 - d["linked"] / max(d["own"], 1))))
+            parts.append((d["pages"], d["content"] * (1 - (0 if within(n) else d["linked"] / max(d["own"], 1)))))
         inner = sum(p * x for p, x in parts) / sum(p for p, _ in parts) if parts else 0.0
         x = max([S.PRESENTATION * d["presentation"] + (1 - S.PRESENTATION) * inner, *(x for _, x in parts)])
         if d["mark"] == S.CLEAR:
@@ -184,7 +194,7 @@ def test_many_broken_tags_follow_one_rule():
 
 
 def test_names():
-    clear = {"comments", "reader-comments", "comment-list-3", "cookieNotice", "ad", "ads-top", "share-buttons", "related-posts", "main-nav", "menu-items", "newsletterSignupForm", "footer2"}
+    clear = {"comments", "reader-comments", "comment-list-3", "cookieNotice", "ad", "ads-top", "share-buttons", "related-posts", "main-nav", "menu-items", "newsletterSignupForm", "footer2", "related-stories", "promo-offer", "ad-leaderboard", "share-on-facebook"}
     doubtful = {"share-price", "comment-on-trade", "related-work", "notice-of-change", "notice-of-change-box"}
     for names, mark in ((clear, style_tree.CLEAR), (doubtful, style_tree.DOUBTFUL), ({"has-sidebar", "content", "commentary", "address"}, 0)):
         assert {n: style_tree._named_noise([n], True)[1] for n in names} == dict.fromkeys(names, mark)
