@@ -78,7 +78,11 @@ def near(x, y, relative: float = CLOSE) -> Column:
     return (a == b) | (finite(a) & finite(b) & (F.abs(a - b) <= relative * F.greatest(F.abs(a), F.abs(b))))
 
 
-def agrees(a, b, tolerance: float = 5e-4) -> Column:
+#: How far floats that agree may lie apart, as a share of the first one or of 1.
+TOLERANCE = 5e-4
+
+
+def agrees(a, b, tolerance: float = TOLERANCE) -> Column:
     """Float agreement of two columns: both NaN, equal, or closer than tolerance times max(1, |a|)."""
     x, y = _c(a).cast("double"), _c(b).cast("double")
     return (F.isnan(x) & F.isnan(y)) | (x == y) | (F.abs(x - y) < tolerance * F.greatest(F.lit(1.0), F.abs(x)))

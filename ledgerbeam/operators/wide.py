@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,12 +52,83 @@ def _states(kind: T.DataType, a: str, b: str) -> Column:
     return F.zip_with(a, b, lambda x, y: _state(kind, x, y))
 
 
+#: Types whose values are compared as Arrow arrays; those of others are compared by Spark, column by column.
+_PLAIN = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.StringType, T.BooleanType, T.BinaryType, T.DateType)
+
+
+def _by_arrow(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StringType):
+        return kind == T.StringType()  # others have a collation
+    return isinstance(kind, _PLAIN) or isinstance(kind, T.ArrayType) and _floating(kind.elementType)
+
+
+def _float_states(a: pa.Array, b: pa.Array) -> np.ndarray:
+    """_state of arrays of floating values."""
+    gone_a, gone_b = (x.is_null().to_numpy(zero_copy_only=False) for x in (a, b))
+    x, y = (v.cast(pa.float64()).fill_null(0.0).to_numpy(zero_copy_only=False) for v in (a, b))
+    with np.errstate(invalid="ignore", over="ignore"):
+        near = (x == y) | (np.abs(x - y) < codec.TOLERANCE * np.maximum(1.0, np.abs(x)))
+    same = np.where(gone_a | gone_b, gone_a & gone_b, near)
+    out = np.where(same, SAME, DIFFERENT)
+    out[np.isnan(x) & np.isnan(y) & ~gone_a & ~gone_b] = BOTH_NAN
+    return out
+
+
+def _list_states(a: pa.Array, b: pa.Array) -> np.ndarray:
+    """_state of arrays of lists of floating values: the lists of equal length are compared together, value by value."""
+    n, m = (pc.list_value_length(x) for x in (a, b))
+    gone_a, gone_b = (x.is_null().to_numpy(zero_copy_only=False) for x in (n, m))
+    n, m = (x.fill_null(-1).to_numpy(zero_copy_only=False) for x in (n, m))
+    at = np.flatnonzero(~gone_a & ~gone_b & (n == m))
+    whole = len(at) == len(a)
+    values = [pc.list_flatten(x if whole else x.take(pa.array(at))) for x in (a, b)]
+    bad = np.bincount(np.repeat(at, n[at]), _float_states(*values) == DIFFERENT, len(a)) > 0
+    out = np.full(len(a), DIFFERENT)
+    out[at] = np.where(bad[at], DIFFERENT, SAME)
+    out[gone_a & gone_b] = SAME
+    return out
+
+
+def _equal_states(a: pa.Array, b: pa.Array) -> np.ndarray:
+    gone_a, gone_b = (x.is_null().to_numpy(zero_copy_only=False) for x in (a, b))
+    same = pc.equal(a, b).fill_null(False).to_numpy(zero_copy_only=False)
+    return np.where(same | gone_a & gone_b, SAME, DIFFERENT)
+
+
+def _counted(both: DataFrame, packs: list[tuple[T.DataType, list[int]]]) -> DataFrame:
+    """k, n, mismatches, nan_agree of each task: a row for each column that has any, and one (k is -1) with the number of rows.
+
+    both has arrays _a0, _b0 and so on, one pair for each pack, or their states _s0 where Arrow doesn't compare them.
+    """
+    columns = 1 + max(k for _, at in packs for k in at)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, found = 0, np.zeros((3, columns), np.int64)
+        for batch in batches:
+            rows += batch.num_rows
+            for n, (kind, at) in enumerate(packs):
+                if _by_arrow(kind):
+                    a, b = (pc.list_flatten(batch.column(f"_{side}{n}")) for side in "ab")
+                    compare = _float_states if _floating(kind) else _list_states if isinstance(kind, T.ArrayType) else _equal_states
+                    states = compare(a, b)
+                else:
+                    states = pc.list_flatten(batch.column(f"_s{n}")).to_numpy(zero_copy_only=False)
+                states = states.reshape(batch.num_rows, len(at))
+                for state in (DIFFERENT, BOTH_NAN):
+                    found[state, at] += (states == state).sum(0)
+        some = np.flatnonzero(found.any(0))
+        lists = ([-1, *some], [rows, *([0] * len(some))], [0, *found[DIFFERENT, some]], [0, *found[BOTH_NAN, some]])
+        yield pa.RecordBatch.from_arrays([pa.array(np.array(x, np.int64)) for x in lists], ["k", "n", "mismatches", "nan_agree"])
+
+    return both.mapInArrow(run, "k bigint, n bigint, mismatches bigint, nan_agree bigint")
+
+
 def value_mismatches(left: DataFrame, right: DataFrame, key: list[str], columns: list[str] | None = None) -> DataFrame:
     """name, compared, mismatches, nan_agree for every common column, in one join.
 
     The columns of one type are one array, compared position by position, so the plan grows with the types and not with the
-    columns.  What is counted are the positions that aren't the same, and one more for each row; columns whose types differ
-    are compared as texts.
+    columns.  A task compares the joined arrays batch by batch and gives counts only; columns whose types differ are compared
+    as texts.
     """
     spark, kinds, others = left.sparkSession, {f.name: f.dataType for f in left.schema}, {f.name: f.dataType for f in right.schema}
     names = [c for c in columns or left.columns if c in others and c not in key]
@@ -67,18 +142,16 @@ def value_mismatches(left: DataFrame, right: DataFrame, key: list[str], columns:
         value = lambda c, kind: F.col(f"`{c}`") if kind else F.col(f"`{c}`").cast("string")
         return df.select(*key, *(F.array(*(value(names[k], kind) for k in at)).alias(f"{side}{n}") for n, (kind, at) in enumerate(packs.items())))
 
-    both, states = packed(left, "_a").join(packed(right, "_b"), key), []
-    for n, (kind, at) in enumerate(packs.items()):
-        one = kinds[names[at[0]]] if kind else T.StringType()
-        flags = _states(one, f"_a{n}", f"_b{n}")
-        place = F.array(*(F.lit(k) for k in at))
-        found = F.zip_with(place, flags, lambda k, f: F.struct(k.alias("k"), f.alias("state")))
-        states.append(F.filter(found, lambda x: x["state"] != SAME))
-    row = F.array(F.struct(F.lit(-1).alias("k"), F.lit(SAME).alias("state")))
-    counts = both.select(F.explode(F.concat(row, *states)).alias("s")).groupBy("s.k").agg(F.count("*").alias("n"), F.count_if(F.col("s.state") == DIFFERENT).alias("mismatches"), F.count_if(F.col("s.state") == BOTH_NAN).alias("nan_agree"))
+    # Spark takes arrays for short, however long, and would broadcast wide tables
+    both = packed(left, "_a").join(packed(right, "_b").hint("merge"), key)
+    typed = [(kinds[names[at[0]]] if kind else T.StringType(), at) for kind, at in packs.items()]
+    sides = []
+    for n, (kind, _) in enumerate(typed):
+        sides += [F.col(f"_a{n}"), F.col(f"_b{n}")] if _by_arrow(kind) else [_states(kind, f"_a{n}", f"_b{n}").alias(f"_s{n}")]
+    counts = _counted(both.select(*sides), typed).groupBy("k").agg(*(F.sum(c).alias(c) for c in ("n", "mismatches", "nan_agree")))
     # one row from here on, with an entry for each column that has any, and one for the rows
     one = counts.agg(F.collect_list(F.struct("k", F.struct("n", "mismatches", "nan_agree"))).alias("c")).select(F.map_from_entries("c").alias("c"))
-    entry = lambda k, name: F.coalesce(F.try_element_at("c", k)[name], F.lit(0))
+    entry = lambda k, name: F.coalesce(F.try_element_at("c", k.cast("bigint"))[name], F.lit(0))
     listed = one.select("c", F.posexplode(F.from_json(F.lit(json.dumps(names)), "array<string>")).alias("k", "name"))
     return listed.select("name", entry(F.lit(-1), "n").alias("compared"), entry(F.col("k"), "mismatches").alias("mismatches"), entry(F.col("k"), "nan_agree").alias("nan_agree"))
 

@@ -106,6 +106,15 @@ def test_wide_values_of_all_kinds(spark):
     assert set(none.values()) == {(0, 0)} and len(none) == 8
 
 
+def test_wide_values_are_compared_in_batches(spark):
+    rows = spark.range(50).selectExpr("id AS k").repartition(4, "k")
+    left, right = (rows.selectExpr("k", *(f"k + {c} AS c{c}" for c in range(20)), *(f"double(if(k % 10 = {c}, {x}, k)) AS d{c}" for c in range(20))) for x in ("k", "-1"))
+    found = wide.value_mismatches(left, right, ["k"])
+    assert {r["name"]: r["mismatches"] for r in found.where("mismatches > 0").collect()} == {f"d{c}": 5 for c in range(10)}
+    steps = plan(found)
+    assert "MapInArrow" in steps and "lambda" not in steps and "SortMergeJoin" in steps and "BroadcastHashJoin" not in steps
+
+
 def test_wide_plans_do_not_grow_by_aggregates(spark):
     few, many = (spark.range(3).selectExpr("id AS k", *(f"id + {c} AS c{c}" for c in range(n))) for n in (3, 60))
     aggregates = [plan(wide.value_mismatches(x, x, ["k"])).count("count_if") for x in (few, many)]
