@@ -108,7 +108,9 @@ def thousands(n) -> Column:
 def stamp(seconds) -> Column:
     """Seconds since 1970 as a UTC time for reports, whatever the session's zone."""
     s = (F.col(seconds) if isinstance(seconds, str) else seconds).cast("bigint")
-    return F.date_format(F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.timestamp_seconds(s).cast("timestamp_ntz")), "yyyy-MM-dd HH:mm:ss 'UTC'")
+    utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.timestamp_seconds(s).cast("timestamp_ntz"))
+    # a pattern writes years of five digits and more with a plus
+    return F.ltrim(F.date_format(utc, "yyyy-MM-dd HH:mm:ss 'UTC'"), F.lit("+"))
 
 
 def _head(df: DataFrame, metadata: dict[str, str] | None) -> list[str]:

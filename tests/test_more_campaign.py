@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from ledgerbeam.functions import codec
 from ledgerbeam.operators import audit, campaign, resolve
 from ledgerbeam.plans.verdict import Refused
+from ledgerbeam.sources import sinks
 
 
 def test_mask_identity(spark, tmp_path):
@@ -212,3 +213,9 @@ def test_dumps_are_bounded_or_spread(spark):
     with pytest.raises(Refused):
         sinks.dump(df, most=29)
     assert [r["line"] for r in sinks.dump_lines(df, {"a": "b"}).orderBy("at").collect()] == sinks.dump(df, {"a": "b"}, most=30)
+
+
+def test_stamps_of_years_beyond_four_digits(spark):
+    seconds = {0: "1970-01-01 00:00:00 UTC", 253_402_300_799: "9999-12-31 23:59:59 UTC", 253_402_300_800: "10000-01-01 00:00:00 UTC", 9_000_000 * 86_399: "26610-11-17 20:00:00 UTC"}
+    got = spark.createDataFrame([(s,) for s in seconds], "s bigint").select("s", sinks.stamp("s").alias("utc")).collect()
+    assert {r["s"]: r["utc"] for r in got} == seconds
