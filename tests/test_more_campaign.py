@@ -1,12 +1,15 @@
 import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerbeam import catalog
 from ledgerbeam.functions import codec
 from ledgerbeam.operators import audit, campaign, resolve
 from ledgerbeam.plans.verdict import Refused
 from ledgerbeam.sources import sinks
+from tests.conftest import SMALL
 
 
 def test_mask_identity(spark, tmp_path):
@@ -219,3 +222,11 @@ def test_stamps_of_years_beyond_four_digits(spark):
     seconds = {0: "1970-01-01 00:00:00 UTC", 253_402_300_799: "9999-12-31 23:59:59 UTC", 253_402_300_800: "10000-01-01 00:00:00 UTC", 9_000_000 * 86_399: "26610-11-17 20:00:00 UTC"}
     got = spark.createDataFrame([(s,) for s in seconds], "s bigint").select("s", sinks.stamp("s").alias("utc")).collect()
     assert {r["s"]: r["utc"] for r in got} == seconds
+
+
+def test_the_near_pair_of_patch_runs_is_one_row(spark, monkeypatch):
+    """Where a limit takes another row each time it is computed, the two inputs that are too close still have one key."""
+    whole, lot = catalog.A.prioritised, F.udf(lambda k: random.getrandbits(62), "bigint").asNondeterministic()
+    monkeypatch.setattr(catalog.A, "prioritised", lambda s, d: whole(s, d).limit(200).withColumn("event", lot("event")))
+    got = {r["scenario"]: r["code"] for r in catalog.patch_runs(spark, SMALL).collect()}
+    assert got["too close"] == 9 and got["inconsistent"] == 7
