@@ -1019,11 +1019,11 @@ def report_texts(spark: SparkSession, d: str) -> DataFrame:
 def incremental_audit(spark: SparkSession, d: str) -> DataFrame:
     """The audit of a sidecar table that comes in three batches, each of which repeats nothing."""
     out = scratch(spark, "incremental")
-    side = A.sidecar(spark, d)
+    side = stored(A.sidecar(spark, d))
     for k in range(3):
-        side.where(F.col("ev") % 3 == k).coalesce(1).write.mode("append").parquet(f"{out}/in")
-    reference = A.nano(spark, d)
-    incremental.incremental_counters(incremental.stream(spark, f"{out}/in", side.schema, 1), reference, f"{out}/by_batch", f"{out}/checkpoint").awaitTermination()
+        incremental.write_batch(side.where(F.col("ev") % 3 == k), f"{out}/in")
+    reference = stored(A.nano(spark, d))
+    incremental.incremental_counters(incremental.stream(spark, f"{out}/in", side.schema, incremental.FILES), reference, f"{out}/by_batch", f"{out}/checkpoint").awaitTermination()
     return incremental.totals(spark, f"{out}/by_batch", reference)
 
 
