@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from . import adapters as A
 from .catalog import COUNTERS, query
-from .functions.store import scratch
+from .functions.store import scratch, stored
 from .operators import audit, wide
 from .plans.audited import audit_files
 from .plans.verdict import Refused
@@ -122,12 +122,12 @@ def wide_many_columns(spark: SparkSession, d: str) -> DataFrame:
 , b AS (SELECT count(*) FILTER (WHERE ev % 3 = 0) + count(*) FILTER (WHERE ev % 100 < 2) + count(*) FILTER (WHERE ev % 50 = 7) AS extra FROM sidecar) SELECT {COUNTERS}, (SELECT extra FROM b) AS n_dup FROM matched""")
 def incremental_repeats(spark: SparkSession, d: str) -> DataFrame:
     """The audit of a sidecar in five batches, of which later ones repeat keys of earlier ones and one repeats its own, against a reference in parts."""
-    out, side, reference = scratch(spark, "incremental"), A.sidecar(spark, d), A.nano(spark, d)
+    out, side, reference = scratch(spark, "incremental"), stored(A.sidecar(spark, d)), stored(A.nano(spark, d))
     batches = [side.where("ev % 3 = 0"), side.where("ev % 3 = 1"), side.where("ev % 3 = 0 or ev % 3 = 2"), side.where("ev % 100 < 2"), side.where("ev % 50 = 7")]
     for b in batches:
-        b.coalesce(1).write.mode("append").parquet(f"{out}/in")
+        incremental.write_batch(b, f"{out}/in")
     parts.write_parts(reference, f"{out}/reference", 1000)
-    rows = incremental.stream(spark, f"{out}/in", side.schema, 1)
+    rows = incremental.stream(spark, f"{out}/in", side.schema, incremental.FILES)
     incremental.incremental_counters(rows, f"{out}/reference", f"{out}/by_batch", f"{out}/checkpoint").awaitTermination()
     return incremental.totals(spark, f"{out}/by_batch", reference)
 

@@ -4,11 +4,11 @@ from pathlib import Path
 
 import pytest
 
-from ledgerbeam import catalog
+from ledgerbeam import catalog, storage
 from tests.conftest import SMALL
 
 
-@pytest.mark.parametrize(("module", "name", "batches"), [(catalog, "incremental_audit", 3)])
+@pytest.mark.parametrize(("module", "name", "batches"), [(catalog, "incremental_audit", 3), (storage, "incremental_repeats", 5)])
 def test_a_batch_is_written_by_several_tasks(spark, monkeypatch, tmp_path, module, name, batches):
     monkeypatch.setattr(module, "scratch", lambda s, what: f"{tmp_path}/{what}")
     assert catalog.QUERIES[name](spark, SMALL).count() == 1
