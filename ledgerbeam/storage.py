@@ -138,11 +138,13 @@ SELECT 'all well' AS run, 0 AS code, n AS rows, false AS indicative FROM n UNION
 UNION ALL SELECT 'a column is lacking', 5, NULL, NULL UNION ALL SELECT 'codes differ', 6, n, false FROM n UNION ALL SELECT 'a key twice', 7, n, false FROM n UNION ALL SELECT 'nothing matches', 5, n, false FROM n UNION ALL SELECT 'another run', 9, n, false FROM n""")
 def audited_files(spark: SparkSession, d: str) -> DataFrame:
     """The whole audit over lists of files: what it ends with, the rows it read, and whether they stand for the sample."""
-    side, out = A.sidecar(spark, d), scratch(spark, "audited")
+    # stored: seven tables are made of it
+    side, out = stored(A.sidecar(spark, d)), scratch(spark, "audited")
     keep, k = [*audit.KEY, *audit.PAYLOAD], F.col("ev") % 4
 
     def files(name: str, rows: DataFrame) -> list[str]:
-        rows.repartition("_k").write.partitionBy("_k").parquet(f"{out}/{name}")
+        # each task writes what it has of every folder, so none holds a whole one
+        rows.write.partitionBy("_k").parquet(f"{out}/{name}")
         return [f"{out}/{name}/_k={i}" for i in range(4)]
 
     whole = side.select(*keep, k.alias("_k"))
