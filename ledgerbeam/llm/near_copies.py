@@ -22,7 +22,9 @@ that hold several labels are joined, for pairs of different labels only.  A pair
 is passed on if a sketch of both sets (of each of ``BINS`` ranges of hashes,
 four bits of the least hash there) doesn't tell by five standard deviations that
 the similarity is below 0.8, and only from the first group that both are in.  So a dense group of near copies costs about its
-size, and no link between components is lost.
+size, and no link between components is lost.  Where more than ``DENSE`` pairs a node are passed on, they are checked in
+rounds, those with the likest sketches first, and what a round has joined drops out of the next ones.  Pairs that are below 0.8
+by less than the sketch tells, and join nothing, are all checked.
 
 A group of more than ``CHUNK`` nodes is dealt out as pairs of chunks: those of
 its commonest label and those of other ones.  Chunks of the commonest label
@@ -61,6 +63,8 @@ BANDS, ROWS = 20, 3
 BITS = 9
 BINS = 1 << BITS
 HEADS = 3
+#: Pairs a node that are checked at once; more are checked in rounds, an eighth of that first, then eight times as many each time.
+DENSE = 32
 #: Least hashes of which two sets of BANDS * ROWS share one if they share all but RAREST - 1.
 RAREST = 29
 #: Shingles that are hashed on at once.
@@ -105,8 +109,8 @@ def sketch(h: np.ndarray) -> bytes:
     return (out[0::2] << 4 | out[1::2]).astype(np.uint8).tobytes()
 
 
-def possible(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Whether pairs of sketches, rows of 64-bit numbers, leave a similarity of 0.8 possible; n: sizes of both sets together."""
+def likeness(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """What the similarity of pairs can be by their sketches, rows of 64-bit numbers; n: sizes of both sets together."""
 
     def used(x: np.ndarray) -> np.ndarray:  # a bit for each half byte that isn't 0
         x = x | x >> np.uint64(2)
@@ -120,7 +124,12 @@ def possible(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> np.ndarray:
     equal = (15 * count(both & ~used(a ^ b)) - shared) / 14
     seen = np.maximum(some, 1)
     spread = 0.16 / seen * np.maximum(0, 1 - some * 1.8 / np.maximum(n, 1)) + np.maximum(shared - equal, 0) / 14 / seen**2
-    return equal / seen + 5 * np.sqrt(spread) + 0.01 >= 0.8
+    return equal / seen + 5 * np.sqrt(spread) + 0.01
+
+
+def possible(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Whether pairs of sketches leave a similarity of 0.8 possible."""
+    return likeness(a, b, n) >= 0.8
 
 
 def least_hashes(hashes: np.ndarray) -> np.ndarray:
@@ -272,7 +281,7 @@ def _again(labelled: DataFrame, texts: DataFrame, chunk: int) -> DataFrame:
 
 
 def _across(labelled: DataFrame, nodes: DataFrame, texts: DataFrame, chunk: int) -> DataFrame:
-    """Pairs u > v of nodes of one group that have different labels and can be similar; nodes: node, n, fp, keys and sketch.
+    """Pairs u > v of nodes of one group that have different labels and can be similar, with their likeness; nodes: node, n, fp, keys and sketch.
 
     A pair that meets in several groups shows in that of the first key both have, so no pair comes twice.
     """
@@ -291,12 +300,30 @@ def _across(labelled: DataFrame, nodes: DataFrame, texts: DataFrame, chunk: int)
                 # pairs of huge groups may show once for each least hash that they share
                 first = (keys[x, shared.argmax(1)] == group[x]) | (level[x] == 1)
                 x, y = x[first], y[first]
-                ok = possible(words[x], words[y], n[x] + n[y])
+                like = likeness(words[x], words[y], n[x] + n[y])
+                ok = like >= 0.8
                 a, b = node[x[ok]], node[y[ok]]
-                yield pd.DataFrame({"u": np.maximum(a, b), "v": np.minimum(a, b)})
+                yield pd.DataFrame({"u": np.maximum(a, b), "v": np.minimum(a, b), "like": like[ok]})
 
     dealt = _dealt(_again(labelled, texts, chunk), chunk).join(nodes, "node").select("node", "n", "label", "fp", "keys", "sketch", *GROUP, "side")
-    return by_groups(dealt, traverse, "u bigint, v bigint").distinct()
+    return by_groups(dealt, traverse, "u bigint, v bigint, like double").groupBy("u", "v").agg(F.max("like").alias("like"))
+
+
+def _joined_by(edges: DataFrame, apart: DataFrame, texts: DataFrame) -> DataFrame:
+    """edges and similar pairs of apart (u, v and like, stored) that span the same components as edges and all similar ones of apart."""
+    size = apart.agg(F.count("*").alias("pairs"), F.count_distinct("u").alias("nodes")).first()
+    if size["pairs"] <= DENSE * size["nodes"]:
+        return edges.unionByName(_checked(apart.select("u", "v"), texts))
+    rank = F.row_number().over(Window.partitionBy("u").orderBy(F.desc("like"), "v"))
+    rest, upto = cut(apart.select("u", "v", rank.alias("rank"))), DENSE // 8
+    while not rest.isEmpty():
+        edges = cut(edges.unionByName(_checked(rest.where(F.col("rank") <= upto).select("u", "v"), texts)))
+        found = components(edges)
+        of = lambda c: found.select(F.col("u").alias(c), F.col("v").alias(f"{c}_label"))  # noqa: B023, E731
+        rest = rest.where(F.col("rank") > upto).join(of("u"), "u", "left").join(of("v"), "v", "left")
+        rest = cut(rest.where(F.coalesce("u_label", "u") != F.coalesce("v_label", "v")).select("u", "v", "rank"))
+        upto *= 8
+    return edges
 
 
 def labels(rows: DataFrame, docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
@@ -326,7 +353,7 @@ def labels(rows: DataFrame, docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     one = cut(one.join(found, "node", "left").select("node", "n", "fp", "keys", "sketch", F.coalesce("label", "node").alias("label")))
     labelled = cut(members.select("key", "node").join(one.select("node", "label"), "node"))
     apart = cut(_across(_mixed(labelled), one.drop("label"), texts, chunk))
-    return components(edges.unionByName(_checked(apart, texts)))
+    return components(_joined_by(edges, apart, texts))
 
 
 def keep_one(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:

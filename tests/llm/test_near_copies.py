@@ -73,6 +73,25 @@ def test_no_pair_is_checked_twice(spark, monkeypatch):
         assert len(across) > 100 and len(set(across)) == len(across)
 
 
+def test_dense_groups_are_checked_in_rounds(spark, monkeypatch):
+    """Texts around 0.75 with some links: pairs that the likeliest ones have joined aren't checked."""
+    rng = random.Random(5)
+    base, rows = [f"w{k}" for k in range(200)], []
+    for k in range(160):
+        new = list(base)
+        for at in rng.sample(range(60), 3):
+            new[at] = f"x{k}y{at}"
+        rows.append((k, " ".join(new)))
+    given, checked = [], []
+    plain_across, plain_check = near_copies._across, near_copies._checked
+    monkeypatch.setattr(near_copies, "_across", lambda *a: (given.append(out := plain_across(*a)), out)[1])
+    monkeypatch.setattr(near_copies, "_checked", lambda pairs, texts: (checked.append(pairs), plain_check(pairs, texts))[1])
+    kept = near_copies.keep_one(spark.createDataFrame([(*r, "en", "s", 0) for r in rows], DOCS)).collect()
+    assert sorted((False, r["doc_id"]) for r in kept) == brute_force(rows)
+    pairs, sent = given[0].count(), sum(p.count() for p in checked[1:])
+    assert pairs > 32 * 160 and 0 < sent < pairs / 4, (pairs, sent)
+
+
 def test_sketches_never_lose_a_similar_pair():
     """Sets of all sizes at a similarity of 0.8 and above pass; far ones don't."""
     rng = np.random.default_rng(4)
