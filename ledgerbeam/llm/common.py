@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.store import shared_dir
@@ -10,6 +10,8 @@ from ..functions.store import shared_dir
 #: Characters that separate words: space and U+0009 to U+000D.
 WHITE = "\\x20\\x09-\\x0D"
 BLANKS = " \t\n\x0b\x0c\r"
+#: Small rows that are a task's worth.
+PIECE = 8192
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -18,6 +20,29 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def pieces(rows: int) -> int:
+    """The tasks that so many small rows are worth."""
+    return max(1, -(-rows // PIECE))
+
+
+def counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """df, of small rows, stored as cut does, and its number of rows.
+
+    It is read again by a task for each PIECE rows, if it has no fewer partitions: a task leaves some kB in shuffle files and
+    in the event log even if it has no rows, which many steps over few rows add up to more than their data.
+    """
+    seen = Observation()
+    out = cut(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    # nothing is observed where Spark knows that df is empty
+    rows = seen.get.get("rows", 0)
+    return out.coalesce(pieces(rows)), rows
+
+
+def compact(df: DataFrame) -> DataFrame:
+    """counted without the number."""
+    return counted(df)[0]
+
+
 def numbered(rows: DataFrame, order: list[str]) -> DataFrame:
     """rows, which have a column g, with idx, the number from 0 in order within g, and n, the number of rows of g.
 

@@ -53,7 +53,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, row_key
+from .common import compact, counted, cut, pieces, row_key
 from .simhash import CHUNK, GROUP, _ranges, by_groups, components, joined, lead, trie_links, whole
 
 SEED = 42
@@ -69,6 +69,8 @@ DENSE = 32
 RAREST = 29
 #: Shingles that are hashed on at once.
 BLOCK = 8192
+#: Small rows that a text counts as.
+TEXT = 16
 #: Shingles of texts that a checking task holds.
 HELD = 8_000_000
 #: Odd factors, one for each least hash.
@@ -227,7 +229,7 @@ def _checked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     full = pairs.join(texts.select(F.col("node").alias("u"), F.col("whole").alias("a")), "u")
     full = full.join(texts.select(F.col("node").alias("v"), F.col("whole").alias("b")), "v").select("u", "v", "a", "b")
-    return cut(full.mapInPandas(run, "u bigint, v bigint"))
+    return compact(full.mapInPandas(run, "u bigint, v bigint"))
 
 
 def _dealt(labelled: DataFrame, chunk: int) -> DataFrame:
@@ -238,7 +240,7 @@ def _dealt(labelled: DataFrame, chunk: int) -> DataFrame:
     # chunks 0 to major - 1 hold the commonest label, the minor ones the others
     by = sizes.groupBy("level", "v").agg(F.max(F.struct("size", "label")).alias("most"), F.sum("size").alias("all")).where(F.col("all") > chunk)
     pieces = lambda n: F.greatest(F.ceil(n / chunk), F.lit(1)).cast("bigint")
-    by = cut(by.select("level", "v", F.col("most.label").alias("common"), pieces(F.col("most.size")).alias("major"), pieces(F.col("all") - F.col("most.size")).alias("minor")))
+    by = compact(by.select("level", "v", F.col("most.label").alias("common"), pieces(F.col("most.size")).alias("major"), pieces(F.col("all") - F.col("most.size")).alias("minor")))
     if by.isEmpty():
         return whole(rows)
     large = rows.join(by, ["level", "v"])
@@ -255,25 +257,25 @@ def _dealt(labelled: DataFrame, chunk: int) -> DataFrame:
 
 def _mixed(labelled: DataFrame) -> DataFrame:
     """The rows of keys whose nodes have several labels, stored."""
-    several = cut(labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key"))
-    return cut(labelled.join(several, "key"))
+    several = compact(labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key"))
+    return compact(labelled.join(several, "key"))
 
 
 def _again(labelled: DataFrame, texts: DataFrame, chunk: int) -> DataFrame:
     """labelled (key, node, label) with level: 0, or 1 for the nodes of huge groups, which have their rarest least hashes as keys."""
     plain_ = labelled.withColumn("level", F.lit(0))
-    huge = cut(labelled.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > RAREST * chunk).select("key"))
+    huge = compact(labelled.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > RAREST * chunk).select("key"))
     if huge.isEmpty():
         return plain_
-    nodes = cut(labelled.join(huge, "key", "left_semi").select("node", "label").distinct())
+    nodes = compact(labelled.join(huge, "key", "left_semi").select("node", "label").distinct())
 
     @F.pandas_udf("array<bigint>")
     def of(text: pd.Series) -> pd.Series:
         return pd.Series([elements(plain(x)) for x in text])
 
     # at most BANDS * ROWS small rows a node
-    spread = cut(texts.join(nodes, "node").select("node", "label", F.explode(of("whole")).alias("key")))
-    counts = cut(spread.groupBy("key").agg(F.count("*").alias("size")))
+    spread = compact(texts.join(nodes, "node").select("node", "label", F.explode(of("whole")).alias("key")))
+    counts = compact(spread.groupBy("key").agg(F.count("*").alias("size")))
     rank = F.row_number().over(Window.partitionBy("node").orderBy("size", "key"))
     rare = spread.join(counts, "key").withColumn("rank", rank).where((F.col("rank") <= RAREST) & (F.col("size") > 1))
     found = _mixed(rare.select("key", "node", "label"))
@@ -315,13 +317,13 @@ def _joined_by(edges: DataFrame, apart: DataFrame, texts: DataFrame) -> DataFram
     if size["pairs"] <= DENSE * size["nodes"]:
         return edges.unionByName(_checked(apart.select("u", "v"), texts))
     rank = F.row_number().over(Window.partitionBy("u").orderBy(F.desc("like"), "v"))
-    rest, upto = cut(apart.select("u", "v", rank.alias("rank"))), DENSE // 8
+    rest, upto = compact(apart.select("u", "v", rank.alias("rank"))), DENSE // 8
     while not rest.isEmpty():
-        edges = cut(edges.unionByName(_checked(rest.where(F.col("rank") <= upto).select("u", "v"), texts)))
+        edges = compact(edges.unionByName(_checked(rest.where(F.col("rank") <= upto).select("u", "v"), texts)))
         found = components(edges)
         of = lambda c: found.select(F.col("u").alias(c), F.col("v").alias(f"{c}_label"))  # noqa: B023, E731
         rest = rest.where(F.col("rank") > upto).join(of("u"), "u", "left").join(of("v"), "v", "left")
-        rest = cut(rest.where(F.coalesce("u_label", "u") != F.coalesce("v_label", "v")).select("u", "v", "rank"))
+        rest = compact(rest.where(F.coalesce("u_label", "u") != F.coalesce("v_label", "v")).select("u", "v", "rank"))
         upto *= 8
     return edges
 
@@ -329,30 +331,32 @@ def _joined_by(edges: DataFrame, apart: DataFrame, texts: DataFrame) -> DataFram
 def labels(rows: DataFrame, docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """u and the smallest node v of its component, for every u that isn't that smallest; rows: rows_of(docs)."""
     row = F.struct("null", "num", "text")
-    sets = cut(rows.groupBy("node").agg(F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch"), F.min(row).alias("row")))
+    sets, n = counted(rows.groupBy("node").agg(F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch"), F.min(row).alias("row")))
     spread = sets.select("node", F.explode("keys").alias("key"))
-    sizes = cut(spread.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"))
-    members = cut(spread.join(sizes, "key"))
+    sizes = compact(spread.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"))
+    members = compact(spread.join(sizes, "key"))
     # each node against some members of its groups
-    score = cut(members.groupBy("node").agg(F.sum("size").alias("score")))
+    score = compact(members.groupBy("node").agg(F.sum("size").alias("score")))
     rank = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("score"), F.desc("node")))
     heads = members.select("key", "node").join(score, "node").withColumn("rank", rank).where(F.col("rank") <= HEADS)
-    heads = cut(heads.select("key", "rank", F.struct("score", "node").alias("head")))
+    heads = compact(heads.select("key", "rank", F.struct("score", "node").alias("head")))
     best = members.select("key", "node").join(heads, "key").where(F.col("node") != F.col("head.node")).groupBy("node", "rank").agg(F.max("head").alias("head"))
-    one = cut(score.join(sets, "node").select("node", "n", "fp", "keys", "sketch", "row"))
-    star = best.select("node", F.col("head.node").alias("head")).distinct()
-    star = star.join(one.select(F.col("node"), "n", "fp"), "node").alias("a").join(one.select("node", "n", "fp").alias("b"), F.col("a.head") == F.col("b.node")).where(_near("a", "b"))
-    star = cut(star.select(F.greatest("a.node", "b.node").alias("u"), F.least("a.node", "b.node").alias("v")).distinct())
+    one = compact(score.join(sets, "node").select("node", "n", "fp", "keys", "sketch", "row"))
+    few = pieces(HEADS * n)
+    star = compact(best.select("node", F.col("head.node").alias("head"))).distinct().coalesce(few)
+    star = star.join(one.select(F.col("node"), "n", "fp"), "node").coalesce(few).alias("a").join(one.select("node", "n", "fp").alias("b"), F.col("a.head") == F.col("b.node")).where(_near("a", "b"))
+    star = compact(star.select(F.greatest("a.node", "b.node").alias("u"), F.least("a.node", "b.node").alias("v")).coalesce(few).distinct())
     # the text of one row of each node that any other can be near to
     wanted = one.select(F.col("row.null").alias("null"), F.col("row.num").alias("num"), F.col("row.text").alias("hash"), "node")
     whole_texts = docs.select(*(c.alias(name) for c, name in zip(row_key(), ("null", "num", "hash"), strict=True)), F.col("text").alias("whole"))
     texts = cut(whole_texts.join(wanted, ["null", "num", "hash"]).select("node", "whole").dropDuplicates(["node"]))
+    texts = texts.coalesce(pieces(TEXT * n))
     edges = _checked(star, texts)
     found = components(edges).select(F.col("u").alias("node"), F.col("v").alias("label"))
     # all pairs of a group that the stars leave apart
-    one = cut(one.join(found, "node", "left").select("node", "n", "fp", "keys", "sketch", F.coalesce("label", "node").alias("label")))
-    labelled = cut(members.select("key", "node").join(one.select("node", "label"), "node"))
-    apart = cut(_across(_mixed(labelled), one.drop("label"), texts, chunk))
+    one = compact(one.join(found, "node", "left").select("node", "n", "fp", "keys", "sketch", F.coalesce("label", "node").alias("label")))
+    labelled = compact(members.select("key", "node").join(one.select("node", "label"), "node"))
+    apart = compact(_across(_mixed(labelled), one.drop("label"), texts, chunk))
     return components(_joined_by(edges, apart, texts))
 
 

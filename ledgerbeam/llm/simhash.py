@@ -42,7 +42,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, free_name, row_key
+from .common import compact, counted, cut, free_name, pieces, row_key
 
 SEED = 42
 SHINGLE = 4
@@ -311,16 +311,18 @@ def links(distinct: DataFrame, budget: int = BUDGET, chunk: int = CHUNK) -> Data
 
 def components(edges: DataFrame) -> DataFrame:
     """u and the smallest v of its component, for every u that isn't that smallest; edges have u > v."""
-    edges = cut(edges)
+    edges, rows = counted(edges)
     state = None
     while True:
+        # each step has about as many rows as there are edges
+        few = pieces(2 * rows)
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).coalesce(few).distinct().coalesce(few)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(least, "u")
+        joined = large.join(least, "u").coalesce(few)
         small = joined.select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
-        edges = cut(small.select("e.u", "e.v").where("u > v").distinct())
+        edges, rows = counted(small.select("e.u", "e.v").where("u > v").distinct().coalesce(few))
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state or not now[0]:
             return edges
@@ -350,7 +352,7 @@ def lead(docs: DataFrame, rows: DataFrame, found: DataFrame) -> DataFrame:
     rank = free_name(docs, "_rank")
     key = F.struct(*(F.col(c).alias(k) for c, k in zip(("null", "num", "text"), keys, strict=True)))
     best = rows.groupBy(F.col("node").alias("u")).agg(F.min(key).alias("best")).join(found, "u", "left")
-    best = cut(best.groupBy(F.coalesce("v", "u").alias("label")).agg(F.min("best").alias("best")).select("best.*"))
+    best = compact(best.groupBy(F.coalesce("v", "u").alias("label")).agg(F.min("best").alias("best")).select("best.*"))
     row = docs.withColumns(dict(zip(keys, row_key(), strict=True)))
     # rows that repeat both id and text are the only ones left to choose from
     out = row.join(best, keys, "left_semi").withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(keys[2])))

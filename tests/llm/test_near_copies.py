@@ -199,3 +199,26 @@ def test_similar_texts_share_one_of_their_rarest_hashes():
         first = lambda e: set(sorted(e, key=order.get)[: near_copies.RAREST])  # noqa: B023, E731
         lost += not first(x) & first(y)
     assert lost == 0
+
+
+def test_few_rows_take_few_tasks(spark):
+    """Steps over few rows aren't all dealt out to a task for each shuffle partition, which would each leave files and lines in the log."""
+    many = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in many}
+    for k, v in many.items():
+        spark.conf.set(k, v)
+    spark.sparkContext.setJobGroup("few", "few rows")
+    try:
+        edges = spark.createDataFrame([(k + 1, k) for k in range(40)], "u bigint, v bigint")
+        found = simhash.components(edges.repartition(64, "u"))
+        assert sorted(map(tuple, found.collect())) == [(k + 1, 0) for k in range(40)]
+        assert found.rdd.getNumPartitions() == 1
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    tracker = spark.sparkContext.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup("few") for s in tracker.getJobInfo(j).stageIds}
+    tasks = [info.numTasks for s in stages if (info := tracker.getStageInfo(s)) and info.numCompletedTasks]
+    # 64 tasks would be each stage's number
+    assert len(tasks) > 10 and sum(t > 4 for t in tasks) < len(tasks) / 2, sorted(tasks)
