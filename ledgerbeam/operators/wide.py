@@ -98,24 +98,30 @@ def _equal_states(a: pa.Array, b: pa.Array) -> np.ndarray:
 def _counted(both: DataFrame, packs: list[tuple[T.DataType, list[int]]]) -> DataFrame:
     """k, n, mismatches, nan_agree of each task: a row for each column that has any, and one (k is -1) with the number of rows.
 
-    both has arrays _a0, _b0 and so on, one pair for each pack, or their states _s0 where Arrow doesn't compare them.
+    both has arrays _a0, _b0 and so on, one pair for each pack, or their states _s0 where Arrow doesn't compare them.  Those of
+    a type are compared together, batch by batch.
     """
     columns = 1 + max(k for _, at in packs for k in at)
+    groups: dict[str, list[int]] = {}
+    for n, (kind, _) in enumerate(packs):
+        groups.setdefault(kind.json(), []).append(n)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, found = 0, np.zeros((3, columns), np.int64)
         for batch in batches:
             rows += batch.num_rows
-            for n, (kind, at) in enumerate(packs):
+            place = {name: n for n, name in enumerate(batch.schema.names)}
+            flat = lambda side, group: pa.concat_arrays([pc.list_flatten(batch.column(place[f"_{side}{n}"])) for n in group])
+            for group in groups.values():
+                kind = packs[group[0]][0]
                 if _by_arrow(kind):
-                    a, b = (pc.list_flatten(batch.column(f"_{side}{n}")) for side in "ab")
                     compare = _float_states if _floating(kind) else _list_states if isinstance(kind, T.ArrayType) else _equal_states
-                    states = compare(a, b)
+                    states = compare(flat("a", group), flat("b", group))
                 else:
-                    states = pc.list_flatten(batch.column(f"_s{n}")).to_numpy(zero_copy_only=False)
-                states = states.reshape(batch.num_rows, len(at))
-                for state in (DIFFERENT, BOTH_NAN):
-                    found[state, at] += (states == state).sum(0)
+                    states = flat("s", group).to_numpy(zero_copy_only=False)
+                for at, part in zip((packs[n][1] for n in group), np.split(states, np.cumsum([batch.num_rows * len(packs[n][1]) for n in group])[:-1])):
+                    for state in (DIFFERENT, BOTH_NAN):
+                        found[state, at] += (part.reshape(batch.num_rows, len(at)) == state).sum(0)
         some = np.flatnonzero(found.any(0))
         lists = ([-1, *some], [rows, *([0] * len(some))], [0, *found[DIFFERENT, some]], [0, *found[BOTH_NAN, some]])
         yield pa.RecordBatch.from_arrays([pa.array(np.array(x, np.int64)) for x in lists], ["k", "n", "mismatches", "nan_agree"])
@@ -123,32 +129,42 @@ def _counted(both: DataFrame, packs: list[tuple[T.DataType, list[int]]]) -> Data
     return both.mapInArrow(run, "k bigint, n bigint, mismatches bigint, nan_agree bigint")
 
 
+#: Least number of arrays that more columns than that are dealt to.
+ARRAYS = 128
+
+
 def value_mismatches(left: DataFrame, right: DataFrame, key: list[str], columns: list[str] | None = None) -> DataFrame:
     """name, compared, mismatches, nan_agree for every common column, in one join.
 
-    The columns of one type are one array, compared position by position, so the plan grows with the types and not with the
-    columns.  A task compares the joined arrays batch by batch and gives counts only; columns whose types differ are compared
-    as texts.
+    The columns of one type are few arrays, compared position by position, so the plan grows little with the columns.  A task
+    compares the joined arrays batch by batch and gives counts only; columns whose types differ are compared as texts.
     """
     spark, kinds, others = left.sparkSession, {f.name: f.dataType for f in left.schema}, {f.name: f.dataType for f in right.schema}
     names = [c for c in columns or left.columns if c in others and c not in key]
     if not names:
         return spark.createDataFrame([], "name string, compared bigint, mismatches bigint, nan_agree bigint")
-    packs: dict[str, list[int]] = {}
+    by_kind: dict[str, list[int]] = {}
     for k, c in enumerate(names):
-        packs.setdefault(kinds[c].simpleString() if kinds[c] == others[c] else "", []).append(k)
+        by_kind.setdefault(kinds[c].json() if kinds[c] == others[c] else "", []).append(k)
+    # more than a hundred arrays where there are as many columns: Spark then makes no one method of a whole table, which takes
+    # the compiler minutes and gigabytes before it is refused as too long
+    size = -(-len(names) // ARRAYS)
+    packs = [(kind, at[n : n + size]) for kind, at in by_kind.items() for n in range(0, len(at), size)]
+    quoted = lambda c: "`" + c.replace("`", "``") + "`"
 
     def packed(df: DataFrame, side: str) -> DataFrame:
-        value = lambda c, kind: F.col(f"`{c}`") if kind else F.col(f"`{c}`").cast("string")
-        return df.select(*key, *(F.array(*(value(names[k], kind) for k in at)).alias(f"{side}{n}") for n, (kind, at) in enumerate(packs.items())))
+        # as texts: thousands of Column objects take longer to make than a table to compare
+        value = lambda k, kind: quoted(names[k]) if kind else f"CAST({quoted(names[k])} AS string)"
+        return df.selectExpr(*map(quoted, key), *(f"array({', '.join(value(k, kind) for k in at)}) AS {side}{n}" for n, (kind, at) in enumerate(packs)))
 
     # Spark takes arrays for short, however long, and would broadcast wide tables
     both = packed(left, "_a").join(packed(right, "_b").hint("merge"), key)
-    typed = [(kinds[names[at[0]]] if kind else T.StringType(), at) for kind, at in packs.items()]
+    typed = [(kinds[names[at[0]]] if kind else T.StringType(), at) for kind, at in packs]
     sides = []
     for n, (kind, _) in enumerate(typed):
-        sides += [F.col(f"_a{n}"), F.col(f"_b{n}")] if _by_arrow(kind) else [_states(kind, f"_a{n}", f"_b{n}").alias(f"_s{n}")]
-    counts = _counted(both.select(*sides), typed).groupBy("k").agg(*(F.sum(c).alias(c) for c in ("n", "mismatches", "nan_agree")))
+        sides += [f"_a{n}", f"_b{n}"] if _by_arrow(kind) else [_states(kind, f"_a{n}", f"_b{n}").alias(f"_s{n}")]
+    both = both.select(*sides)
+    counts = _counted(both, typed).groupBy("k").agg(*(F.sum(c).alias(c) for c in ("n", "mismatches", "nan_agree")))
     # one row from here on, with an entry for each column that has any, and one for the rows
     one = counts.agg(F.collect_list(F.struct("k", F.struct("n", "mismatches", "nan_agree"))).alias("c")).select(F.map_from_entries("c").alias("c"))
     entry = lambda k, name: F.coalesce(F.try_element_at("c", k.cast("bigint"))[name], F.lit(0))

@@ -109,12 +109,14 @@ def wide_arrays(spark: SparkSession, d: str) -> DataFrame:
 SELECT 'c' || c AS name, (SELECT count(*) FROM part) AS compared, (SELECT count(*) FROM part WHERE p_partkey % 1000 = c)::BIGINT AS mismatches FROM range(1666) t(c)""")
 def wide_many_columns(spark: SparkSession, d: str) -> DataFrame:
     """1,666 columns of four types, arrays among them; column c differs where the key's remainder by 1,000 is c."""
-    value = lambda c, x: (f"{x} + {c}", f"double({x} + {c})", f"concat('v', {x})", f"array(float({x} % 7), float({c}))")[c % 4] + f" AS c{c}"
-    # dealt while the rows are narrow, so that both tables lie by key and no wide row is exchanged; a row of both has some 55 KB
     rows = A.table(spark, d, "part").select(F.col("p_partkey").alias("k"))
-    rows = rows.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // 2000)), "k")
-    left = rows.selectExpr("k", *(value(c, "k") for c in range(1666)))
-    right = rows.selectExpr("k", *(value(c, f"if(k % 1000 = {c}, k + 100000, k)") for c in range(1666)))
+    # what columns share is computed before them, as every task compiles all 1,666; _l is the left value, _r what the right one differs by
+    parts = [f"{x} AS {n}_{side}" for side, k in (("l", "k"), ("r", "(k + 100000)")) for n, x in (("i", k), ("d", f"double({k})"), ("s", f"concat('v', {k})"), ("f", f"float({k} % 7)"))]
+    # dealt while the rows are narrow, so that both tables lie by key and no wide row is exchanged; a row of both has some 55 KB
+    rows = rows.selectExpr("k", "k % 1000 AS m", *parts).repartition(max(spark.sparkContext.defaultParallelism, -(-rows.count() // 2000)), "k")
+    made = lambda c, x: (f"{x('i')} + {c}", f"{x('d')} + {c}D", x("s"), f"array({x('f')}, float({c}))")[c % 4] + f" AS c{c}"
+    left = rows.selectExpr("k", *(made(c, lambda n: f"{n}_l") for c in range(1666)))
+    right = rows.selectExpr("k", *(made(c, lambda n: f"if(m = {c}, {n}_r, {n}_l)" if c < 1000 else f"{n}_l") for c in range(1666)))
     return wide.value_mismatches(left, right, ["k"]).select("name", "compared", "mismatches")
 
 

@@ -121,6 +121,20 @@ def test_wide_plans_do_not_grow_by_aggregates(spark):
     assert aggregates[0] == aggregates[1]
 
 
+def test_wide_tables_are_no_single_generated_method(spark):
+    """A method that is too long takes the compiler gigabytes before it gives up; here giving up is an error."""
+    spark.conf.set("spark.sql.codegen.fallback", "false")
+    try:
+        rows = spark.range(40).selectExpr("id AS k").repartition(2, "k")
+        made = lambda c, x: (f"{x} + {c}", f"double({x} + {c})", f"concat('v', {x})", f"array(float({x} % 7), float({c}))")[c % 4] + f" AS `c.{c}`"
+        left = rows.selectExpr("k", *(made(c, "k") for c in range(1000)))
+        right = rows.selectExpr("k", *(made(c, f"if(k = {c}, k + 100001, k)") for c in range(1000)))
+        found = {r["name"]: (r["compared"], r["mismatches"]) for r in wide.value_mismatches(left, right, ["k"]).collect()}
+    finally:
+        spark.conf.unset("spark.sql.codegen.fallback")
+    assert found == {f"c.{c}": (40, int(c < 40)) for c in range(1000)}
+
+
 def test_near_is_what_the_pairs_use(spark):
     assert spark.range(1).select(codec.near(F.lit(1.0), F.lit(1.0009)), codec.near(F.lit(1.0), F.lit(1.002))).first()[:] == (True, False)
 
