@@ -20,9 +20,10 @@ row's, ``other_counts`` rows with the same codes and other jet counts.
 from __future__ import annotations
 
 import re
+from functools import cached_property
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from ..functions import codec
@@ -142,15 +143,26 @@ def several(rows: DataFrame, fmt: int) -> DataFrame:
     return stored(own.unionByName(across).distinct())
 
 
+def _not_alone(rows: DataFrame, fmt: int, most: float) -> DataFrame | None:
+    """several, or None where over most of all rows aren't alone with their identity."""
+    # about how many rows are no identity's first, from a pass that exchanges none of them; it decides the way, not the result
+    total, distinct = rows.agg(F.count("*"), F.approx_count_distinct(F.struct(*identity(fmt)), 0.02)).first()
+    if total - distinct > most * total:
+        return None
+    keys = several(rows, fmt)
+    return None if keys.count() > most * total / 2 else keys
+
+
 def ranked_sparse(rows: DataFrame, fmt: int, most: float = 0.2) -> DataFrame:
     """ranked, by way of several: rows that are alone with their identity are first by themselves and go through no window.
 
     Where over most of all rows aren't alone, all of them are ranked together.
     """
-    keys = several(rows, fmt)
-    n, total = keys.count(), rows.count()
-    if n > most * total / 2:
-        return ranked(rows, fmt)
+    keys = _not_alone(rows, fmt, most)
+    return ranked(rows, fmt) if keys is None else _ranked_by(rows, keys, fmt)
+
+
+def _ranked_by(rows: DataFrame, keys: DataFrame, fmt: int) -> DataFrame:
     key = identity(fmt)
     no = F.lit(False)
     alone = rows.join(keys, key, "left_anti").withColumns({"rank": F.lit(1), "own_rank": F.lit(1), "first_ord": F.col("ord"), "inputs": F.lit(1), "conflict": no, "other_counts": no})
@@ -245,38 +257,70 @@ def by_origin(lookup_rows: DataFrame) -> DataFrame:
     return lookup_rows.groupBy(codec.sub_code("genTtbarId").alias("gen_sub")).agg(F.count("*").alias("n"))
 
 
+class Extraction:
+    """Inputs, as DataFrames that give the same rows whenever they are read, and what is found out about them.
+
+    Each is found once, however many runs ask for it, and only by the run that gets so far; ranked rows are not stored, as they
+    would be a copy of the inputs: the counters, the pairs and the output read them.
+    """
+
+    def __init__(self, parts: list[tuple[str, int, DataFrame]], fmt: int):
+        self.fmt, self.count, self.names = fmt, len(parts), {name for name, _, _ in parts}
+        self.rows = with_bits(inputs(parts)) if fmt == 3 else inputs(parts)
+
+    @cached_property
+    def by_input(self) -> list[Row]:
+        """ord, dataset, n, odd and large of each input that has rows; no row is exchanged."""
+        small = lambda c: F.col(c).between(-(2**15), 2**15 - 1)
+        odd = codec.is_ttnb("Expanded_genTtbarId") != (F.col("nAddBJets") >= 3)
+        return self.rows.groupBy("ord", "dataset").agg(
+            F.count("*").alias("n"), F.count_if(odd).alias("odd"), F.count_if(~(small("nAddBJets") & small("nAddBJetsMulti"))).alias("large")
+        ).collect()
+
+    @cached_property
+    def _keys(self) -> DataFrame | None:
+        return _not_alone(self.rows, self.fmt, 0.2)
+
+    @cached_property
+    def rank(self) -> DataFrame:
+        return ranked(self.rows, self.fmt) if self._keys is None else _ranked_by(self.rows, self._keys, self.fmt)
+
+    @cached_property
+    def counts(self) -> dict:
+        """conflicts, other_counts, repeated, shared; rows that are alone with their identity count for none of them."""
+        key = identity(self.fmt)
+        met = self.rows if self._keys is None else self.rows.join(self._keys, key, "left_semi")
+        return conflict_counts(ranked(met, self.fmt)).first().asDict()
+
+    @cached_property
+    def close(self) -> int:
+        return too_close(self.rank).count()
+
+    def run(self, expect: dict[str, int] | None = None, on_conflict: str = "stop", on_close: str = "stop") -> tuple[DataFrame, dict]:
+        """The lookup table and its counters; refused with the code of the first failed check, before anything is written."""
+        for name in expect or {}:
+            if name not in self.names:
+                raise Refused(2, f"expectation for unknown dataset {name}")
+        if any(r["large"] for r in self.by_input):
+            raise Refused(5, "jet counts beyond 16 bits")
+        if {r["ord"] for r in self.by_input} != set(range(self.count)):
+            raise Refused(6, "an input has no rows")
+        entries = {name: sum(r["n"] for r in self.by_input if r["dataset"] == name) for name in self.names}
+        for name, n in (expect or {}).items():
+            if entries[name] != n:
+                raise Refused(6, f"{name}: {entries[name]} rows, {n} expected")
+        counts = dict(self.counts)
+        if counts["conflicts"] and on_conflict == "stop":
+            raise Refused(8, f"{counts['conflicts']} conflicts")
+        if self.fmt == 3:
+            counts["too_close"] = self.close
+            if counts["too_close"] and on_close == "stop":
+                raise Refused(9, f"{counts['too_close']} pairs too close")
+        if any(r["odd"] for r in self.by_input):
+            raise Refused(7, "sub-codes and jet counts differ")
+        return ordered(lookup(self.rank), self.fmt), counts | {"entries": sum(entries.values()), "datasets": len(self.names), "inputs": self.count}
+
+
 def run(parts: list[tuple[str, int, DataFrame]], fmt: int, expect: dict[str, int] | None = None, on_conflict: str = "stop", on_close: str = "stop") -> tuple[DataFrame, dict]:
-    """The lookup table and its counters; refused with the code of the first failed check, before anything is written."""
-    rows = inputs(parts)
-    if fmt == 3:
-        rows = with_bits(rows)
-    names = {name for name, _, _ in parts}
-    for name in expect or {}:
-        if name not in names:
-            raise Refused(2, f"expectation for unknown dataset {name}")
-    # stored: the counters, the pairs and the output all read it
-    rank = stored(ranked_sparse(rows, fmt))
-    # one pass for all counters, a row per input
-    small = lambda c: F.col(c).between(-(2**15), 2**15 - 1)
-    odd = codec.is_ttnb("Expanded_genTtbarId") != (F.col("nAddBJets") >= 3)
-    by = rank.groupBy("ord", "dataset").agg(
-        F.count("*").alias("n"), F.count_if(odd).alias("odd"), F.count_if(~(small("nAddBJets") & small("nAddBJetsMulti"))).alias("large"), *_counts()
-    ).collect()
-    if any(r["large"] for r in by):
-        raise Refused(5, "jet counts beyond 16 bits")
-    if {r["ord"] for r in by} != set(range(len(parts))):
-        raise Refused(6, "an input has no rows")
-    entries = {name: sum(r["n"] for r in by if r["dataset"] == name) for name in names}
-    for name, n in (expect or {}).items():
-        if entries[name] != n:
-            raise Refused(6, f"{name}: {entries[name]} rows, {n} expected")
-    counts = {k: sum(r[k] for r in by) for k in ("conflicts", "other_counts", "repeated", "shared")}
-    if counts["conflicts"] and on_conflict == "stop":
-        raise Refused(8, f"{counts['conflicts']} conflicts")
-    if fmt == 3:
-        counts["too_close"] = too_close(rank).count()
-        if counts["too_close"] and on_close == "stop":
-            raise Refused(9, f"{counts['too_close']} pairs too close")
-    if any(r["odd"] for r in by):
-        raise Refused(7, "sub-codes and jet counts differ")
-    return ordered(lookup(rank), fmt), counts | {"entries": sum(entries.values()), "datasets": len(names), "inputs": len(parts)}
+    """Extraction.run of inputs that are run once."""
+    return Extraction(parts, fmt).run(expect, on_conflict, on_close)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerbeam import catalog
 from ledgerbeam.functions import codec
-from ledgerbeam.operators import audit, campaign, resolve
+from ledgerbeam.operators import audit, campaign, extract, resolve
 from ledgerbeam.plans.verdict import Refused
 from ledgerbeam.sources import sinks
 from tests.conftest import SMALL
@@ -230,3 +230,21 @@ def test_the_near_pair_of_patch_runs_is_one_row(spark, monkeypatch):
     monkeypatch.setattr(catalog.A, "prioritised", lambda s, d: whole(s, d).limit(200).withColumn("event", lot("event")))
     got = {r["scenario"]: r["code"] for r in catalog.patch_runs(spark, SMALL).collect()}
     assert got["too close"] == 9 and got["inconsistent"] == 7
+
+
+def test_runs_store_no_ranked_rows(spark, monkeypatch):
+    """What a run stores are the identities that meet others, not a copy of its inputs; later runs of the same inputs find nothing anew."""
+    kept, stored, ranked, times = [], extract.stored, extract.ranked, []
+    monkeypatch.setattr(extract, "stored", lambda df: kept.append(set(df.columns)) or stored(df))
+    monkeypatch.setattr(extract, "ranked", lambda *a: times.append(1) or ranked(*a))
+    rows = catalog.A.prioritised(spark, SMALL).drop("dataset", "datasetIdx", "priority", "ord")
+    dense = [("/A/B/NANOAODSIM", k, rows.where(F.col("pos.l_suppkey") % 2 == k)) for k in (0, 1)]
+    sparse = [("/A/B/NANOAODSIM", k, rows.where(F.expr(x)).dropDuplicates(["luminosityBlock", "event"])) for k, x in enumerate(("true", "luminosityBlock % 50 = 7"))]
+    for parts in (dense, sparse):
+        del times[:]
+        one = extract.Extraction(parts, 2)
+        want = extract.conflict_counts(ranked(extract.inputs(parts), 2)).first().asDict()
+        for _ in range(3):
+            assert {k: v for k, v in one.run(on_conflict="report")[1].items() if k in want} == want
+        assert want["shared"] > 0 and len(times) == 2  # for the counters and for the output
+    assert kept == [set(extract.identity(2))]
