@@ -248,3 +248,10 @@ def test_runs_store_no_ranked_rows(spark, monkeypatch):
             assert {k: v for k, v in one.run(on_conflict="report")[1].items() if k in want} == want
         assert want["shared"] > 0 and len(times) == 2  # for the counters and for the output
     assert kept == [set(extract.identity(2))]
+
+
+def test_patch_runs_stores_no_copies_of_its_inputs(spark, monkeypatch):
+    kept, stored = [], extract.stored
+    monkeypatch.setattr(extract, "stored", lambda df: kept.append(set(df.columns)) or stored(df))
+    assert {r["scenario"]: r["code"] for r in catalog.patch_runs(spark, SMALL).collect()}["no rows"] == 6
+    assert not any("pos" in columns for columns in kept)
