@@ -129,7 +129,7 @@ def _counted(both: DataFrame, packs: list[tuple[T.DataType, list[int]]]) -> Data
     return both.mapInArrow(run, "k bigint, n bigint, mismatches bigint, nan_agree bigint")
 
 
-#: Least number of arrays that more columns than that are dealt to.
+#: Least number of arrays that as many columns or more are dealt to.
 ARRAYS = 128
 
 
@@ -146,9 +146,9 @@ def value_mismatches(left: DataFrame, right: DataFrame, key: list[str], columns:
     by_kind: dict[str, list[int]] = {}
     for k, c in enumerate(names):
         by_kind.setdefault(kinds[c].json() if kinds[c] == others[c] else "", []).append(k)
-    # more than a hundred arrays where there are as many columns: Spark then makes no one method of a whole table, which takes
-    # the compiler minutes and gigabytes before it is refused as too long
-    size = -(-len(names) // ARRAYS)
+    # with more than a hundred arrays Spark makes no one method of a whole table, which would take its compiler long and much
+    # memory before it is refused as too long
+    size = max(1, len(names) // ARRAYS)
     packs = [(kind, at[n : n + size]) for kind, at in by_kind.items() for n in range(0, len(at), size)]
     quoted = lambda c: "`" + c.replace("`", "``") + "`"
 

@@ -122,7 +122,7 @@ def test_wide_plans_do_not_grow_by_aggregates(spark):
 
 
 def test_wide_tables_are_no_single_generated_method(spark):
-    """A method that is too long takes the compiler gigabytes before it gives up; here giving up is an error."""
+    """A method that is too long takes the compiler long and much memory before it gives up; here giving up is an error."""
     spark.conf.set("spark.sql.codegen.fallback", "false")
     try:
         rows = spark.range(40).selectExpr("id AS k").repartition(2, "k")
@@ -133,6 +133,9 @@ def test_wide_tables_are_no_single_generated_method(spark):
     finally:
         spark.conf.unset("spark.sql.codegen.fallback")
     assert found == {f"c.{c}": (40, int(c < 40)) for c in range(1000)}
+    for n in (128, 129, 300):  # as many arrays or more
+        x = left.select("k", *(f"`c.{c}`" for c in range(n)))
+        assert "_a127" in plan(wide.value_mismatches(x, x, ["k"]))
 
 
 def test_near_is_what_the_pairs_use(spark):
